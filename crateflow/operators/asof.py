@@ -6,10 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crateflow.contracts import UNKNOWN_KEY
-from crateflow.plans.sizing import fits_broadcast
+from crateflow.plans.sizing import BROADCAST_BYTES, BROADCAST_ROWS
 from crateflow.plans.spread import spread_join
 
 
+def _nobody() -> Column:
+    return F.lit(UNKNOWN_KEY).cast("long")
+
+
 def resolve_asof(
     facts: DataFrame,
     versions: DataFrame,
@@ -23,15 +27,16 @@ def resolve_asof(
     """Add ``key``: the version that started last on or before ``date``.
 
     A version that has ended (``date >= end``) gives -1, as does no version at
-    all. The number of rows never changes. Version tables of checked size are
-    broadcast and the facts stay where they are; larger ones go through
-    ``asof_by_timeline``.
+    all. The number of rows never changes. Versions are spelled out by day and
+    broadcast when the checked size of that allows, and the facts stay where
+    they are; otherwise they go through ``asof_by_timeline``.
     """
     narrow = _narrow(versions, by, key, start, end)
+    spans = _spans(narrow, by)
     if fits is None:
-        fits = fits_broadcast(narrow)
+        fits = _days_fit(spans, by)
     if fits:
-        return _asof_by_range(facts, narrow, by, date, key)
+        return _asof_by_day(facts, spans, by, date, key)
     return _asof_by_timeline(facts, narrow, by, date, key)
 
 
@@ -58,22 +63,39 @@ def _narrow(versions: DataFrame, by: list[str], key: str, start: str, end: str)
     )
 
 
-def _known(column: str) -> Column:
-    return F.coalesce(F.col(column), F.lit(UNKNOWN_KEY).cast("long"))
+def _spans(narrow: DataFrame, by: list[str]) -> DataFrame:
+    """Versions cut where the next one starts; ``_days`` is NULL for the last one."""
+    following = F.lead("_start").over(Window.partitionBy(*by).orderBy("_start"))
+    days = F.datediff(F.least("_end", "_next"), "_start")
+    return narrow.withColumn("_next", following).withColumn(
+        "_days", F.when(F.col("_next").isNotNull(), F.greatest(days, F.lit(0)))
+    )
+
+
+def _days_fit(spans: DataFrame, by: list[str]) -> bool:
+    """Whether one row per day of every closed version may be broadcast."""
+    rows = F.coalesce("_days", F.lit(0)) + 1
+    width = sum((F.octet_length(F.col(name).cast("string")) + 16 for name in by), F.lit(24))
+    total = spans.agg(F.sum(rows).alias("rows"), F.sum(rows * width).alias("bytes")).first()
+    return (total["rows"] or 0) <= BROADCAST_ROWS and (total["bytes"] or 0) <= BROADCAST_BYTES
 
 
-def _asof_by_range(
-    facts: DataFrame, narrow: DataFrame, by: list[str], date: str, key: str
+def _asof_by_day(
+    facts: DataFrame, spans: DataFrame, by: list[str], date: str, key: str
 ) -> DataFrame:
-    # Cut each version where the next one starts. Then at most one version of
-    # an entity contains a date, so the range join cannot multiply facts.
-    following = F.lead("_start").over(Window.partitionBy(*by).orderBy("_start"))
-    closed = narrow.withColumn("_end", F.least("_end", following))
-    inside = (F.col(date) >= F.col("_start")) & (
+    # A version that was followed by another covers known days, so a fact finds
+    # it by an equal key, however many versions its entity has. The last one is
+    # open and is tested by its bounds; there is one per entity.
+    day = F.explode(F.expr("sequence(_start, date_add(_start, _days - 1), interval 1 day)"))
+    by_day = spans.filter("_days > 0").select(*by, day.alias(date), F.col("_key").alias("_day_key"))
+    last = spans.filter("_days IS NULL").select(*by, "_start", "_end", "_key")
+    joined = spread_join(facts, by_day, [*by, date], right_fits=True)
+    joined = spread_join(joined, last, by, right_fits=True)
+    in_last = (F.col(date) >= F.col("_start")) & (
         F.col("_end").isNull() | (F.col(date) < F.col("_end"))
     )
-    joined = spread_join(facts, closed, by, "left", inside, right_fits=True)
-    return joined.withColumn(key, _known("_key")).drop("_start", "_end", "_key")
+    found = F.coalesce("_day_key", F.when(in_last, F.col("_key")), _nobody())
+    return joined.withColumn(key, found).drop("_day_key", "_start", "_end", "_key")
 
 
 def _asof_by_timeline(
@@ -99,7 +121,7 @@ def _asof_by_timeline(
         .select(*by, F.col("_start").alias(date), F.col("_v._key").alias("_found"))
     )
     joined = spread_join(facts, resolved, [*by, date])
-    return joined.withColumn(key, _known("_found")).drop("_found")
+    return joined.withColumn(key, F.coalesce("_found", _nobody())).drop("_found")
 
 
 def version_attribute(

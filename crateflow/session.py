@@ -1,11 +1,11 @@
-"""Folders every executor can reach, and cutting lineage into them."""
+"""Folders every executor can reach."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,9 +29,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder so that later passes see the same rows."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
