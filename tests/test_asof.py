@@ -1,0 +1,111 @@
+import random
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from crateflow.operators.asof import resolve_asof
+
+BY = ["employee_id"]
+VERSIONS = "employee_id string, employee_key long, valid_from date, valid_to date"
+
+
+def keys(spark, versions, facts, fits):
+    dim = spark.createDataFrame(versions, VERSIONS)
+    df = spark.createDataFrame(facts, "order_id string, employee_id string, d date")
+    out = resolve_asof(df, dim, BY, "d", "employee_key", fits=fits)
+    assert out.columns == ["order_id", "employee_id", "d", "employee_key"]
+    return {r["order_id"]: r["employee_key"] for r in out.collect()}
+
+
+@pytest.mark.parametrize("fits", [True, False, None])
+def test_versions_ends_and_unknown_entities(spark, fits):
+    versions = [
+        ("UNKNOWN", -1, None, None),
+        ("EMP001", 1, date(2024, 1, 1), date(2024, 6, 1)),
+        ("EMP001", 2, date(2024, 6, 1), None),
+        ("EMP002", 3, date(2024, 1, 1), date(2024, 9, 30)),
+    ]
+    facts = [
+        ("O1", "EMP001", date(2024, 2, 1)),
+        ("O2", "EMP001", date(2024, 7, 1)),
+        ("O3", "EMP002", date(2024, 11, 1)),
+        ("O4", "EMP999", date(2024, 3, 1)),
+        ("on the day of the change", "EMP001", date(2024, 6, 1)),
+        ("day before the change", "EMP001", date(2024, 5, 31)),
+        ("on the last day", "EMP002", date(2024, 9, 30)),
+        ("before all", "EMP001", date(2023, 12, 31)),
+        ("first day", "EMP001", date(2024, 1, 1)),
+        ("far future", "EMP001", date(9999, 12, 31)),
+        ("nobody", None, date(2024, 3, 1)),
+        ("never", "EMP001", None),
+        ("unknown by name", "UNKNOWN", date(2024, 3, 1)),
+    ]
+    assert keys(spark, versions, facts, fits) == {
+        "O1": 1, "O2": 2, "O3": -1, "O4": -1, "on the day of the change": 2,
+        "day before the change": 1, "on the last day": -1, "before all": -1, "first day": 1,
+        "far future": 2, "nobody": -1, "never": -1, "unknown by name": -1,
+    }
+
+
+@pytest.mark.parametrize("fits", [True, False])
+def test_equal_starts_gaps_and_overlaps(spark, fits):
+    versions = [
+        ("A", 1, date(2024, 1, 1), date(2024, 1, 1)),  # empty, same day as the next
+        ("A", 2, date(2024, 1, 1), date(2024, 2, 1)),
+        ("A", 3, date(2024, 3, 1), None),  # a month without a version before
+        ("B", 4, date(2024, 1, 1), None),  # open, and yet another one starts
+        ("B", 5, date(2024, 2, 1), date(2024, 3, 1)),
+        ("C", 6, None, None),
+    ]
+    facts = [
+        ("a1", "A", date(2024, 1, 1)), ("a2", "A", date(2024, 2, 15)), ("a3", "A", date(2024, 3, 2)),
+        ("b1", "B", date(2024, 1, 9)), ("b2", "B", date(2024, 2, 1)), ("b3", "B", date(2024, 3, 1)),
+        ("c1", "C", date(2024, 1, 1)),
+    ]
+    assert keys(spark, versions, facts, fits) == {
+        "a1": 2, "a2": -1, "a3": 3, "b1": 4, "b2": 5, "b3": -1, "c1": -1,
+    }
+
+
+def last_start(versions, entity, day):
+    """The rule itself, row by row."""
+    if entity is None or day is None:
+        return -1
+    started = [v for v in versions if v[0] == entity and v[2] is not None and v[2] <= day]
+    if not started:
+        return -1
+    latest = max(started, key=lambda v: (v[2], v[1]))
+    return -1 if latest[3] is not None and day >= latest[3] else latest[1]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_both_forms_agree_with_the_rule_under_skew(spark, seed):
+    rng = random.Random(seed)
+    start = date(2024, 1, 1)
+
+    def some_day():
+        return start + timedelta(rng.randrange(120))
+
+    versions = []
+    for key in range(1, 120):
+        begin = rng.choice([None] + [some_day()] * 9)
+        end = begin and rng.choice([None, begin + timedelta(rng.randrange(60))])
+        versions.append((rng.choice("AAABCD"), key, begin, end))
+    facts = [
+        (str(i), rng.choice(["A", "A", "A", "B", "C", "E", None]), rng.choice([None] + [some_day()] * 9))
+        for i in range(600)
+    ]
+    expected = {i: last_start(versions, entity, day) for i, entity, day in facts}
+    assert keys(spark, versions, facts, True) == expected
+    assert keys(spark, versions, facts, False) == expected
+
+
+def test_row_count_and_repeated_facts_are_kept(spark):
+    df = spark.range(500).select(
+        F.lit("o").alias("order_id"), F.lit("A").alias("employee_id"), F.lit(date(2024, 1, 5)).alias("d")
+    )
+    dim = spark.createDataFrame([("A", 9, date(2024, 1, 1), None)], VERSIONS)
+    for fits in (True, False):
+        out = resolve_asof(df, dim, BY, "d", "employee_key", fits=fits)
+        assert out.groupBy("employee_key").count().collect() == [(9, 500)]
