@@ -8,22 +8,30 @@ from pyspark.sql import functions as F
 # what a number may look like once its thousands separators are gone; Spark's
 # own cast would also take '1d' and ' 1 '
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# The characters Unicode counts as white space.
+_BLANKS = (
+    "\t\n\u000b\f\r \u0085\u00a0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 # the separator of packed lists is not documented, so all common ones count
 _LIST_SEPARATOR = r"[,;|]"
 
 
+def _bare(name: str) -> Column:
+    return F.replace(F.col(name), F.lit(","), F.lit(""))
+
+
 def number(name: str) -> Column:
     """Text with thousands separators to double; anything else raises."""
-    bare = F.regexp_replace(name, ",", "")
-    return F.when(bare.rlike(_NUMBER), bare.cast("double")).when(
-        bare.isNotNull(),
-        F.raise_error(F.concat(F.lit(f"{name}: not a number: "), bare)).cast("double"),
-    )
+    bare = _bare(name)
+    failure = F.raise_error(F.concat(F.lit(f"{name}: not a number: "), bare)).cast("double")
+    return F.when(bare.rlike(_NUMBER), bare.cast("double")).when(bare.isNotNull(), failure)
 
 
 def is_number(name: str) -> Column:
     """Whether ``number(name)`` would give a value."""
-    return F.regexp_replace(name, ",", "").rlike(_NUMBER)
+    return _bare(name).rlike(_NUMBER)
 
 
 def day(name: str, date_format: str) -> Column:
@@ -33,8 +41,7 @@ def day(name: str, date_format: str) -> Column:
 
 def plain_text(name: str) -> Column:
     """Without blanks of any script at both ends, in upper case."""
-    left = F.regexp_replace(name, r"(?U)^\s+", "")
-    return F.upper(F.regexp_replace(left, r"(?U)\s+$", ""))
+    return F.upper(F.trim(F.col(name), F.lit(_BLANKS)))
 
 
 def source_name(file: Column) -> Column:

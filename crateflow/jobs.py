@@ -5,9 +5,11 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from crateflow.contracts import (
     BY_CODE,
@@ -15,6 +17,7 @@ from crateflow.contracts import (
     PLATFORM,
     SILVER_LOG,
     SOURCES,
+    UNKNOWN_KEY,
     SourceSpec,
 )
 from crateflow.operators import dimensions, facts, marts
@@ -33,6 +36,8 @@ from crateflow.sources.workbook import scan_workbooks
 
 _log = logging.getLogger(__name__)
 
+_SOURCES_AT_ONCE = 4
+
 # reads the given paths of one source as strings; may be replaced per format
 Reader = Callable[[SourceSpec, list[str]], DataFrame]
 
@@ -60,41 +65,60 @@ def run_bronze(
     readers: dict[str, Reader] | None = None,
     sources: tuple[SourceSpec, ...] = SOURCES,
 ) -> list[dict]:
-    """Land every source; one that fails is logged and the others go on.
-
-    ``duration_sec`` covers read and write: Spark reads when it writes.
-    """
+    """Land every source; one that fails is logged and the others go on."""
     readers = readers or default_readers(spark)
-    records = []
-    for source in sources:
-        start = time.perf_counter()
-        status, rows = "success", 0
-        try:
-            raw = readers[source.format](source, [str(PurePosixPath(raw_root) / source.file)])
-            publish(bronze_frame(raw, source, run_date, batch_id), bronze_root, run_date, source.name)
-            # answered by the Parquet footers, and exact even after lost tasks
-            rows = read_table(spark, bronze_root, run_date, source.name).count()
-        except SchemaMismatchError as error:
-            status = "schema_mismatch"
-            _log.error("%s", error)
-        except Exception as error:  # noqa: BLE001 -- any other failure is this source's alone
-            status = "failed"
-            _log.error("%s: %s", source.file, error)
-        records.append(
-            {
-                "batch_id": batch_id,
-                "source_name": source.name,
-                "source_file": source.file,
-                "source_platform": PLATFORM,
-                "rows_loaded": rows,
-                "status": status,
-                "duration_sec": time.perf_counter() - start,
-            }
+
+    def land(source: SourceSpec) -> dict:
+        raw_path = str(PurePosixPath(raw_root) / source.file)
+        return _land_source(
+            spark, source, readers[source.format], raw_path, bronze_root, run_date, batch_id
         )
+
+    records = list(_each_source(land, sources))
     publish(log_frame(spark, records, INGEST_LOG), bronze_root, run_date, "ingest_log")
     return records
 
 
+def _each_source(work: Callable[[SourceSpec], dict], sources: tuple[SourceSpec, ...]):
+    """Results in source order; a few sources run at once so that none waits for a slow tail."""
+    with ThreadPoolExecutor(_SOURCES_AT_ONCE) as pool:
+        yield from pool.map(work, sources)
+
+
+def _land_source(
+    spark: SparkSession,
+    source: SourceSpec,
+    reader: Reader,
+    raw_path: str,
+    bronze_root: str,
+    run_date: str,
+    batch_id: str,
+) -> dict:
+    """``duration_sec`` covers read and write: Spark reads when it writes."""
+    start = time.perf_counter()
+    status, rows = "success", 0
+    try:
+        frame = bronze_frame(reader(source, [raw_path]), source, run_date, batch_id)
+        publish(frame, bronze_root, run_date, source.name)
+        # answered by the Parquet footers, and exact even after lost tasks
+        rows = read_table(spark, bronze_root, run_date, source.name, frame.schema).count()
+    except SchemaMismatchError as error:
+        status = "schema_mismatch"
+        _log.error("%s", error)
+    except Exception as error:  # noqa: BLE001 -- any other failure is this source's alone
+        status = "failed"
+        _log.error("%s: %s", source.file, error)
+    return {
+        "batch_id": batch_id,
+        "source_name": source.name,
+        "source_file": source.file,
+        "source_platform": PLATFORM,
+        "rows_loaded": rows,
+        "status": status,
+        "duration_sec": time.perf_counter() - start,
+    }
+
+
 def run_silver(
     spark: SparkSession,
     run_date: str,
@@ -103,50 +127,57 @@ def run_silver(
     sources: tuple[SourceSpec, ...] = SOURCES,
 ) -> list[dict]:
     """Clean every source; each one adds a row to the Silver log when it is done."""
+
+    def clean(source: SourceSpec) -> dict:
+        return _clean_source(spark, source, bronze_root, silver_root, run_date)
+
     records = []
-    for source in sources:
-        counts = dict.fromkeys(("row_count_in", "row_count_out", "null_count", "dedup_count"), 0)
-        error_message = None
-        try:
-            bronze = read_table(spark, bronze_root, run_date, source.name)
-            counts["row_count_in"] = bronze.count()
-            publish(transform(bronze, source), silver_root, run_date, source.name)
-            counts |= _silver_counts(spark, bronze, source, silver_root, run_date)
-            _report_dates(bronze, source)
-        except Exception as error:  # noqa: BLE001 -- one source must not stop the run
-            error_message = str(error)
-            _log.error("%s: %s", source.file, error)
-        status = "failed" if error_message else "success"
-        entry = {"source_name": source.name, "run_date": run_date, "status": status}
-        entry |= counts | {"error_message": error_message}
+    # appends go one after the other: two at once would share a commit folder
+    for source, entry in zip(sources, _each_source(clean, sources)):
         append_rows(log_frame(spark, [entry], SILVER_LOG), silver_root, run_date, "silver_log")
-        records.append({"source_file": source.file, "status": status, "error": error_message})
+        records.append(
+            {"source_file": source.file, "status": entry["status"], "error": entry["error_message"]}
+        )
     return records
 
 
-def _silver_counts(
-    spark: SparkSession, bronze: DataFrame, source: SourceSpec, silver_root: str, run_date: str
+def _clean_source(
+    spark: SparkSession, source: SourceSpec, bronze_root: str, silver_root: str, run_date: str
 ) -> dict:
-    """Counts of a finished table.
-
-    Rows in and out come from Parquet footers; only the rows with an empty key
-    are looked at again. Counters inside the write would be off whenever a task
-    runs twice.
-    """
-    rows_in = bronze.count()
-    rows_out = read_table(spark, silver_root, run_date, source.name).count()
-    empty = null_key_rows(bronze, source).count()
-    return {
-        "row_count_out": rows_out,
-        "null_count": empty,
-        "dedup_count": rows_in - rows_out - empty,
+    entry = {
+        "source_name": source.name,
+        "run_date": run_date,
+        "row_count_in": 0,
+        "row_count_out": 0,
+        "null_count": 0,
+        "dedup_count": 0,
+        "status": "success",
+        "error_message": None,
     }
+    try:
+        bronze = read_table(spark, bronze_root, run_date, source.name)
+        entry["row_count_in"] = bronze.count()
+        silver = transform(bronze, source)
+        publish(silver, silver_root, run_date, source.name)
+        # Rows in and out come from Parquet footers; only the rows with an empty
+        # key are looked at again. Counters inside the write would be off
+        # whenever a task runs twice.
+        rows_out = read_table(spark, silver_root, run_date, source.name, silver.schema).count()
+        empty = null_key_rows(bronze, source).count()
+        entry |= {
+            "row_count_out": rows_out,
+            "null_count": empty,
+            "dedup_count": entry["row_count_in"] - rows_out - empty,
+        }
+        _report_dates(bronze, source)
+    except Exception as error:  # noqa: BLE001 -- one source must not stop the run
+        entry |= {"status": "failed", "error_message": str(error)}
+        _log.error("%s: %s", source.file, error)
+    return entry
 
 
 def _report_dates(bronze: DataFrame, source: SourceSpec) -> None:
     """One narrow scan of the date columns; as many log lines as there are columns."""
-    if not source.dates:
-        return
     for row in date_null_ratio(bronze, source).collect():
         level = logging.WARNING if row["level"] == "warning" else logging.INFO
         percent = 100 * (row["null_ratio"] or 0.0)
@@ -157,47 +188,66 @@ def run_gold(spark: SparkSession, run_date: str, silver_root: str, gold_root: st
     """Build dimensions, facts and marts from Silver, each once.
 
     Every table is read back after it was written: facts join stored
-    dimensions whose size is known, and nothing is computed twice.
+    dimensions whose size is known, and nothing is computed twice. Tables that
+    do not need each other are built at the same time.
     """
     paths: dict[str, str] = {}
 
     def silver(code: str) -> DataFrame:
         return read_table(spark, silver_root, run_date, BY_CODE[code].name)
 
-    def store(name: str, df: DataFrame) -> DataFrame:
-        paths[name] = publish(df, gold_root, run_date, name)
-        return read_table(spark, gold_root, run_date, name)
+    def store(builds: dict[str, Callable[[], DataFrame]]) -> list[DataFrame]:
+        def build(name: str) -> tuple[str, DataFrame]:
+            df = builds[name]()
+            path = publish(df, gold_root, run_date, name)
+            return path, read_table(spark, gold_root, run_date, name, df.schema)
+
+        with ThreadPoolExecutor(_SOURCES_AT_ONCE) as pool:
+            stored = list(pool.map(build, builds))
+        paths.update(zip(builds, (path for path, _ in stored)))
+        return [df for _, df in stored]
 
     sales, returns, orders = silver("SRC01"), silver("SRC09"), silver("SRC05")
-    customers = store("dim_customers", dimensions.build_dim_customers(silver("SRC03")))
-    products = store("dim_products", dimensions.build_dim_products(silver("SRC04")))
-    distributors = store("dim_distributors", dimensions.build_dim_distributors(silver("SRC06")))
-    employees = store("dim_employees", dimensions.build_dim_employees(silver("SRC07")))
-    territories = store("dim_territory", dimensions.build_dim_territories(silver("SRC08")))
-    promotions = store("dim_promotion", dimensions.build_dim_promotions(silver("SRC10")))
-    dim_date = store("dim_date", dimensions.build_dim_date((sales, "order_date")))
+    customers, products, distributors, employees, territories, promotions, dim_date = store(
+        {
+            "dim_customers": lambda: dimensions.build_dim_customers(silver("SRC03")),
+            "dim_products": lambda: dimensions.build_dim_products(silver("SRC04")),
+            "dim_distributors": lambda: dimensions.build_dim_distributors(silver("SRC06")),
+            "dim_employees": lambda: dimensions.build_dim_employees(silver("SRC07")),
+            "dim_territory": lambda: dimensions.build_dim_territories(silver("SRC08")),
+            "dim_promotion": lambda: dimensions.build_dim_promotions(silver("SRC10")),
+            "dim_date": lambda: dimensions.build_dim_date((sales, "order_date")),
+        }
+    )
     # returns and distributor orders may fall on days without a sale around them
     all_dates = dimensions.build_dim_date(
         (sales, "order_date"), (returns, "return_date"), (orders, "order_date")
     )
-
-    fact_sales = store(
-        "fact_sales", facts.build_fact_sales(sales, customers, products, employees, dim_date)
-    )
-    fact_targets = store("fact_targets", facts.build_fact_targets(silver("SRC02"), employees))
-    store(
-        "fact_returns",
-        facts.build_fact_returns(returns, customers, products, employees, all_dates, territories),
-    )
-    store(
-        "fact_distributor_orders",
-        facts.build_fact_distributor_orders(orders, products, all_dates, distributors),
+    fact_sales, fact_targets, _, _ = store(
+        {
+            "fact_sales": lambda: facts.build_fact_sales(
+                sales, customers, products, employees, dim_date
+            ),
+            "fact_targets": lambda: facts.build_fact_targets(silver("SRC02"), employees),
+            "fact_returns": lambda: facts.build_fact_returns(
+                returns, customers, products, employees, all_dates, territories
+            ),
+            "fact_distributor_orders": lambda: facts.build_fact_distributor_orders(
+                orders, products, all_dates, distributors
+            ),
+        }
     )
+    real_promotions = promotions.filter(F.col("promotion_key") != UNKNOWN_KEY)
     store(
-        "bridge_sales_promotion",
-        promotion_bridge(fact_sales, promotions.filter("promotion_key <> -1"), ["order_id"]),
+        {
+            "bridge_sales_promotion": lambda: promotion_bridge(
+                fact_sales, real_promotions, ["order_id"]
+            ),
+            "mart_sales_vs_target": lambda: marts.sales_vs_target(
+                fact_sales, fact_targets, employees
+            ),
+        }
     )
-    store("mart_sales_vs_target", marts.sales_vs_target(fact_sales, fact_targets, employees))
     return paths
 
 

@@ -92,12 +92,10 @@ def furthest_from_target(mart: DataFrame) -> DataFrame:
     An aggregate, so no month has to be sorted; equal distances go to the
     region that comes first by name.
     """
-    distance = F.abs(F.col("variance"))
-    worst = mart.groupBy("year", "month").agg(F.max(distance).alias("_distance"))
-    rows = mart.withColumn("_own", distance).join(worst, ["year", "month"])
-    at_top = rows.filter(F.col("_own") == F.col("_distance"))
-    first = F.min_by(F.struct("region", "actual_revenue", "target_revenue", "variance"), "region")
-    return at_top.groupBy("year", "month").agg(first.alias("_w")).select("year", "month", "_w.*")
+    place = F.struct(-F.abs(F.col("variance")), F.col("region"))
+    row = F.struct("region", "actual_revenue", "target_revenue", "variance")
+    first = mart.groupBy("year", "month").agg(F.min_by(row, place).alias("_first"))
+    return first.select("year", "month", "_first.*")
 
 
 def fill_rate(orders: DataFrame, by: list[str]) -> DataFrame:

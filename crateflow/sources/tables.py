@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crateflow.plans.sizing import fits_broadcast
+
 
 def run_dir(root: str, run_date: str) -> str:
     """Folder of one run date, ``2026-07-22`` becoming ``20260722``."""
@@ -19,10 +21,21 @@ def table_path(root: str, run_date: str, name: str) -> str:
     return f"{run_dir(root, run_date)}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, root: str, run_date: str, name: str) -> DataFrame:
-    """One table of one run date; parts landed in sub-folders belong to it."""
-    path = table_path(root, run_date, name)
-    return spark.read.option("recursiveFileLookup", True).parquet(path)
+def read_table(
+    spark: SparkSession,
+    root: str,
+    run_date: str,
+    name: str,
+    schema: T.StructType | None = None,
+) -> DataFrame:
+    """One table of one run date; parts landed in sub-folders belong to it.
+
+    A known ``schema`` saves the job that looks it up in the files.
+    """
+    reader = spark.read.option("recursiveFileLookup", True)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.parquet(table_path(root, run_date, name))
 
 
 def publish(df: DataFrame, root: str, run_date: str, name: str) -> str:
@@ -75,12 +88,11 @@ def run_history(spark: SparkSession, root: str, name: str) -> DataFrame:
 def latest_per(history: DataFrame, by: list[str], order_by: str = "run_day") -> DataFrame:
     """The rows of the newest run of each group; all of them, if it has several."""
     newest = history.groupBy(*by).agg(F.max(order_by).alias("_newest"))
-    own = [F.col(name).eqNullSafe(F.col(f"_n_{name}")) for name in by]
     newest = newest.withColumnsRenamed({name: f"_n_{name}" for name in by})
     match = F.col(order_by) == F.col("_newest")
-    for test in own:
-        match = match & test
-    return history.join(newest, match, "left_semi")
+    for name in by:
+        match = match & F.col(name).eqNullSafe(F.col(f"_n_{name}"))
+    return history.join(F.broadcast(newest) if fits_broadcast(newest) else newest, match, "left_semi")
 
 
 def _file_system(spark: SparkSession, name: str):

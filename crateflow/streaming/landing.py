@@ -12,6 +12,7 @@ from crateflow.sources.tables import log_frame, run_dir, table_path, write_repla
 
 # fixed schema of the binaryFile source; only the path is read here
 _FILES = "path string, modificationTime timestamp, length long, content binary"
+_FILES_PER_BATCH = 10_000
 
 
 def ingest_new_files(
@@ -32,7 +33,7 @@ def ingest_new_files(
     readers = readers or default_readers(spark)
 
     def take_in(batch: DataFrame, stream_batch: int) -> None:
-        # names of new files: the file listing itself already is on the driver
+        # names of new files, bounded by the size of a micro-batch
         paths = [row["path"] for row in batch.select("path").collect()]
         records = []
         for source, files in _by_source(paths).items():
@@ -49,6 +50,7 @@ def ingest_new_files(
         spark.readStream.format("binaryFile")
         .schema(_FILES)
         .option("recursiveFileLookup", True)
+        .option("maxFilesPerTrigger", _FILES_PER_BATCH)
         .load(landing_dir)
         .select("path")
         .writeStream.foreachBatch(take_in)
