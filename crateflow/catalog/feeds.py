@@ -9,15 +9,27 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from crateflow.contracts import BY_CODE, ROW_SEQ, SourceSpec
 from crateflow.functions.columns import money_sum
 from crateflow.plans.spread import spread_join
 
-
+_LONG_TABLES = ("lineitem", "orders", "events")
 _ROWS_PER_TASK = 50_000
 
 
+_LAYOUTS: dict[str, tuple[StructType, int, int]] = {}
+
+
+def _layout(spark: SparkSession, path: str) -> tuple[StructType, int, int]:
+    """Schema, number of files and rows of a given table; these never change."""
+    if path not in _LAYOUTS:
+        df = spark.read.parquet(path)
+        _LAYOUTS[path] = df.schema, len(df.inputFiles()), df.count()
+    return _LAYOUTS[path]
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the given tables.
 
@@ -25,15 +37,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     row group, which one task reads alone; if it is long, its rows are dealt
     out. Tables of many files are taken as they are.
     """
-    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    path = f"{folder}/{name}.parquet"
+    schema, files, rows = _layout(spark, path)
+    df = spark.read.schema(schema).parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    if name not in _LONG_TABLES or len(df.inputFiles()) >= cores:
-        return df
-    tasks = min(cores, df.count() // _ROWS_PER_TASK)
-    return df.repartition(tasks) if tasks > 1 else df
-
-
-_LONG_TABLES = ("lineitem", "orders", "events")
+    tasks = min(cores, rows // _ROWS_PER_TASK)
+    if name in _LONG_TABLES and files < cores and tasks > 1:
+        return df.repartition(tasks)
+    return df
 
 
 def ident(prefix: str, number: Column | str) -> Column:

@@ -267,8 +267,8 @@ def fact_lookup_unknown(spark, folder):
     fact = feeds.sales(spark, folder).select("order_id", "line_no", "customer_id", "product_id")
     customers = dimensions.build_dim_customers(feeds.customers(spark, folder))
     products = dimensions.build_dim_products(feeds.products(spark, folder))
-    fact = facts.lookup_key(fact, customers, "customer_id", "customer_key")
-    return facts.lookup_key(fact, products, "product_id", "product_key")
+    keyed = facts.lookup_key(fact, customers, "customer_id", "customer_key")
+    return facts.lookup_key(keyed, products, "product_id", "product_key", keys_from=fact)
 
 
 @query

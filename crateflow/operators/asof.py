@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from crateflow.contracts import UNKNOWN_KEY
 from crateflow.plans.sizing import BROADCAST_BYTES, BROADCAST_ROWS
 from crateflow.plans.spread import spread_join
+from crateflow.session import stored
 
 
 def _nobody() -> Column:
@@ -23,13 +24,15 @@ def resolve_asof(
     start: str = "valid_from",
     end: str = "valid_to",
     fits: bool | None = None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``key``: the version that started last on or before ``date``.
 
     A version that has ended (``date >= end``) gives -1, as does no version at
     all. The number of rows never changes. Versions are spelled out by day and
     broadcast when the checked size of that allows, and the facts stay where
-    they are; otherwise they go through ``asof_by_timeline``.
+    they are; otherwise they go through ``asof_by_timeline``. ``keys_from`` is
+    as in ``spread_join``.
     """
     narrow = _narrow(versions, by, key, start, end)
     spans = _spans(narrow, by)
@@ -37,7 +40,9 @@ def resolve_asof(
         fits = _days_fit(spans, by)
     if fits:
         return _asof_by_day(facts, spans, by, date, key)
-    return _asof_by_timeline(facts, narrow, by, date, key)
+    return _asof_by_timeline(
+        facts, narrow, by, date, key, facts if keys_from is None else keys_from
+    )
 
 
 def asof_by_timeline(
@@ -99,13 +104,13 @@ def _asof_by_day(
 
 
 def _asof_by_timeline(
-    facts: DataFrame, narrow: DataFrame, by: list[str], date: str, key: str
+    facts: DataFrame, narrow: DataFrame, by: list[str], date: str, key: str, keys_from: DataFrame
 ) -> DataFrame:
     # Facts are first reduced to the dates each entity was seen on. That bounds
     # a window group by the days of the calendar: twice that at most, however
     # many facts one entity has. Only these dates meet the versions.
     seen = (
-        facts.select(*by, F.col(date).alias("_start"))
+        keys_from.select(*by, F.col(date).alias("_start"))
         .na.drop()
         .distinct()
         .withColumns({"_key": F.lit(None).cast("long"), "_end": F.lit(None).cast("date")})
@@ -120,7 +125,7 @@ def _asof_by_timeline(
         .filter("_seen = 1 AND _v IS NOT NULL AND (_v._end IS NULL OR _start < _v._end)")
         .select(*by, F.col("_start").alias(date), F.col("_v._key").alias("_found"))
     )
-    joined = spread_join(facts, resolved, [*by, date])
+    joined = spread_join(facts, stored(resolved, "asof"), [*by, date], keys_from=keys_from)
     return joined.withColumn(key, F.coalesce("_found", _nobody())).drop("_found")
 
 

@@ -12,11 +12,19 @@ from crateflow.plans.spread import spread_join
 
 
 def lookup_key(
-    fact: DataFrame, dimension: DataFrame, business_key: str, key: str, fits: bool | None = None
+    fact: DataFrame,
+    dimension: DataFrame,
+    business_key: str,
+    key: str,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the surrogate key of ``business_key``, -1 where the dimension has none."""
+    """Add the surrogate key of ``business_key``, -1 where the dimension has none.
+
+    Lookups keep every row and every key, so in a chain of them ``keys_from``
+    is the table it started from.
+    """
     narrow = dimension.select(business_key, F.col(key).alias("_key"))
-    joined = spread_join(fact, narrow, [business_key], right_fits=fits)
+    joined = spread_join(fact, narrow, [business_key], keys_from=keys_from)
     unknown = F.lit(UNKNOWN_KEY).cast("long")
     return joined.withColumn(key, F.coalesce("_key", unknown)).drop("_key")
 
@@ -40,20 +48,29 @@ def build_fact_sales(
 ) -> DataFrame:
     """One row per order line, with customer, product, date and employee keys."""
     fact = sales.drop(ROW_SEQ)
-    fact = lookup_key(fact, dim_customers, "customer_id", "customer_key")
-    fact = lookup_key(fact, dim_products, "product_id", "product_key")
+    fact = lookup_key(fact, dim_customers, "customer_id", "customer_key", sales)
+    fact = lookup_key(fact, dim_products, "product_id", "product_key", sales)
     fact = lookup_date(fact, dim_date, "order_date")
-    return resolve_asof(fact, dim_employees, ["employee_id"], "order_date", "employee_key")
+    return resolve_employee(fact, dim_employees, "order_date", sales)
 
 
 def build_fact_targets(targets: DataFrame, dim_employees: DataFrame) -> DataFrame:
     """One row per employee and month, keyed as of the first of the month."""
     fact = targets.drop(ROW_SEQ).withColumn("_day", first_of_month(whole("year"), whole("month")))
-    keyed = resolve_asof(fact, dim_employees, ["employee_id"], "_day", "employee_key")
-    return keyed.drop("_day")
+    return resolve_employee(fact, dim_employees, "_day").drop("_day")
+
+
+def resolve_employee(
+    fact: DataFrame, dim_employees: DataFrame, date: str, keys_from: DataFrame | None = None
+) -> DataFrame:
+    """Add the key of the employee version in force on a date."""
+    by = ["employee_id"]
+    return resolve_asof(fact, dim_employees, by, date, "employee_key", keys_from=keys_from)
 
 
-def resolve_territory(fact: DataFrame, dim_territories: DataFrame, date: str) -> DataFrame:
+def resolve_territory(
+    fact: DataFrame, dim_territories: DataFrame, date: str, keys_from: DataFrame | None = None
+) -> DataFrame:
     """Add the territory that covered employee and customer on a date.
 
     The latest assignment on or before the date counts; once it has expired
@@ -67,6 +84,7 @@ def resolve_territory(fact: DataFrame, dim_territories: DataFrame, date: str) ->
         "territory_key",
         start="effective_date",
         end="expiry_date",
+        keys_from=keys_from,
     )
 
 
@@ -80,11 +98,11 @@ def build_fact_returns(
 ) -> DataFrame:
     """One row per return, with customer, product, date, employee and territory keys."""
     fact = returns.drop(ROW_SEQ)
-    fact = lookup_key(fact, dim_customers, "customer_id", "customer_key")
-    fact = lookup_key(fact, dim_products, "product_id", "product_key")
+    fact = lookup_key(fact, dim_customers, "customer_id", "customer_key", returns)
+    fact = lookup_key(fact, dim_products, "product_id", "product_key", returns)
     fact = lookup_date(fact, dim_date, "return_date")
-    fact = resolve_asof(fact, dim_employees, ["employee_id"], "return_date", "employee_key")
-    return resolve_territory(fact, dim_territories, "return_date")
+    fact = resolve_employee(fact, dim_employees, "return_date", returns)
+    return resolve_territory(fact, dim_territories, "return_date", returns)
 
 
 def build_fact_distributor_orders(
@@ -92,6 +110,6 @@ def build_fact_distributor_orders(
 ) -> DataFrame:
     """One row per distributor order line, with product, date and distributor keys."""
     fact = orders.drop(ROW_SEQ)
-    fact = lookup_key(fact, dim_products, "product_id", "product_key")
+    fact = lookup_key(fact, dim_products, "product_id", "product_key", orders)
     fact = lookup_date(fact, dim_date, "order_date")
-    return lookup_key(fact, dim_distributors, "distributor_id", "distributor_key")
+    return lookup_key(fact, dim_distributors, "distributor_id", "distributor_key", orders)

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crateflow.functions.columns import money_sum, packed_list, share
+from crateflow.plans.sizing import fits_broadcast
 from crateflow.plans.spread import spread_join
+from crateflow.session import stored
 
 # a promotion without a restriction says so with one of these, or with NULL
 _ANYWHERE = ("ALL", "")
@@ -61,14 +63,14 @@ def promotion_sales(sales: DataFrame, promotions: DataFrame) -> DataFrame:
     so a product with many promotions does not repeat its sales for each.
     """
     rules = promotion_rules(promotions)
-    daily = daily_sales(sales)
-    inside = spread_join(
-        daily, rules, ["product_id"], "inner", _in_scope("order_date", F.col("start_date"))
-    )
+    fits = fits_broadcast(rules)
+    daily = stored(daily_sales(sales), "daily")
+    in_period = _in_scope("order_date", F.col("start_date"))
+    inside = spread_join(daily, rules, ["product_id"], "inner", in_period, fits)
     totals = daily.groupBy("product_id", "channel", "region").agg(
         F.sum("revenue").cast("decimal(28,4)").alias("revenue")
     )
-    everywhere = spread_join(totals, rules, ["product_id"], "inner", _in_place())
+    everywhere = spread_join(totals, rules, ["product_id"], "inner", _in_place(), fits)
     sums = (
         inside.select("promotion_id", F.col("revenue").alias("_in"), F.lit(None).alias("_all"))
         .unionByName(
@@ -81,7 +83,8 @@ def promotion_sales(sales: DataFrame, promotions: DataFrame) -> DataFrame:
     )
     zero = F.lit(0).cast("decimal(28,4)")
     within, overall = F.coalesce("_in", zero), F.coalesce("_all", zero)
-    return spread_join(promotions.select("promotion_id"), sums, ["promotion_id"]).select(
+    # one row per promotion on both sides: nothing to split, no size to check
+    return promotions.select("promotion_id").join(sums, "promotion_id", "left").select(
         "promotion_id",
         within.cast("double").alias("in_period_revenue"),
         (overall - within).cast("double").alias("out_of_period_revenue"),
@@ -118,7 +121,8 @@ def promotion_uplift(sales: DataFrame, promotions: DataFrame) -> DataFrame:
         F.sum(F.when(~during, F.col("revenue"))).cast("double").alias("_before"),
     )
     terms = promotions.select("promotion_id", "actual_cost_vnd", length.alias("days"))
-    joined = spread_join(terms, sums, ["promotion_id"])
+    # one row per promotion on both sides: nothing to split, no size to check
+    joined = terms.join(sums, "promotion_id", "left")
     in_avg = share(F.coalesce("_during", F.lit(0.0)), F.col("days"))
     before_avg = share(F.coalesce("_before", F.lit(0.0)), F.col("days"))
     total = (in_avg - before_avg) * F.col("days")

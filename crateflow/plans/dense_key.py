@@ -7,7 +7,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crateflow.session import scratch_dir
+from crateflow.session import stored
 
 # monotonically_increasing_id() holds the partition above bit 33, the row below
 _ROW_BITS = 33
@@ -22,20 +22,17 @@ def dense_key(df: DataFrame, key: str, order_by: list[str]) -> DataFrame:
     partitions, also when an executor was lost between the two. ``order_by`` should be
     unique, or numbers of tied rows are interchangeable.
     """
-    spark = df.sparkSession
     ranged = (
         df.repartitionByRange(*order_by)
         .sortWithinPartitions(*order_by)
         .withColumn("_place", F.monotonically_increasing_id())
     )
-    path = scratch_dir(spark, "ranged")
-    ranged.write.parquet(path)
-    kept = spark.read.schema(ranged.schema).parquet(path)
+    kept = stored(ranged, "ranged")
     part = F.shiftright("_place", _ROW_BITS)
     # one count per range partition: bounded by spark.sql.shuffle.partitions
     sizes = sorted(kept.groupBy(part.alias("part")).count().collect())
     starts = accumulate((size for _, size in sizes), initial=0)
-    offsets = spark.createDataFrame(
+    offsets = df.sparkSession.createDataFrame(
         [(row["part"], start) for row, start in zip(sizes, starts)], "_part long, _start long"
     )
     row = F.col("_place").bitwiseAND((1 << _ROW_BITS) - 1)

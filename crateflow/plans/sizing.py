@@ -17,7 +17,9 @@ def fits_broadcast(
     """Count ``df`` and say whether it is small enough to copy to every executor.
 
     The row count comes first because a Parquet table answers it from its
-    footers; only a table that passes has its string lengths added up.
+    footers; only a table that passes has its string lengths added up. The
+    check runs ``df``, so it belongs on tables and on what is cheap to derive
+    from them; a costly result is stored first.
     """
     max_rows = BROADCAST_ROWS if max_rows is None else max_rows
     max_bytes = BROADCAST_BYTES if max_bytes is None else max_bytes

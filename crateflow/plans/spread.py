@@ -23,6 +23,7 @@ def spread_join(
     how: str = "left",
     condition: Column | None = None,
     right_fits: bool | None = None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join on equal ``on`` columns (and ``condition``); right keys are dropped.
 
@@ -30,6 +31,10 @@ def spread_join(
     are shuffled; keys that hold more rows of ``left`` than one partition should
     take are split into as many salts as they fill partitions, and only their
     ``right`` rows are copied, once per salt. ``how`` is ``left`` or ``inner``.
+
+    ``keys_from`` is a cheaper frame with the ``on`` columns of ``left``: the
+    table a chain of lookups started from saves running the chain to find its
+    frequent keys.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how={how!r}: left rows are split, so only left and inner hold")
@@ -46,7 +51,7 @@ def spread_join(
     if right_fits:
         return left.join(F.broadcast(right), match, how).drop(*drop)
 
-    hot = _hot_keys(left, on)
+    hot = _hot_keys(left if keys_from is None else keys_from, on)
     if hot is None:
         return left.join(right, match, how).drop(*drop)
 

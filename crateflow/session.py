@@ -1,11 +1,11 @@
-"""Folders every executor can reach."""
+"""Folders every executor can reach, and intermediate tables in them."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,3 +29,15 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to a scratch table and read back.
+
+    For a result that is used several times: later passes see the very same
+    rows and partitions, also after executors were lost, and its size is known
+    from the files.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -14,7 +14,9 @@ def scan_csv(
     """Read CSV with a header; nothing is inferred, a ragged row fails the read.
 
     Columns are named by the header. No schema is given because Spark would
-    bind it by position. ``row_seq`` adds the place of each row in the file.
+    bind it by position. ``row_seq`` adds the place of each row in the file;
+    of several files read at once each keeps its own order, but which file
+    comes first is up to Spark.
     """
     df = (
         spark.read.option("header", True)
