@@ -34,15 +34,14 @@ def resolve_asof(
     they are; otherwise they go through ``asof_by_timeline``. ``keys_from`` is
     as in ``spread_join``.
     """
-    narrow = _narrow(versions, by, key, start, end)
-    spans = _spans(narrow, by)
+    # measured, and then used once or twice: worth storing
+    spans = stored(_spans(_narrow(versions, by, key, start, end), by), "versions")
     if fits is None:
         fits = _days_fit(spans, by)
     if fits:
         return _asof_by_day(facts, spans, by, date, key)
-    return _asof_by_timeline(
-        facts, narrow, by, date, key, facts if keys_from is None else keys_from
-    )
+    seen = facts if keys_from is None else keys_from
+    return _asof_by_timeline(facts, spans, by, date, key, seen)
 
 
 def asof_by_timeline(
@@ -104,7 +103,7 @@ def _asof_by_day(
 
 
 def _asof_by_timeline(
-    facts: DataFrame, narrow: DataFrame, by: list[str], date: str, key: str, keys_from: DataFrame
+    facts: DataFrame, spans: DataFrame, by: list[str], date: str, key: str, keys_from: DataFrame
 ) -> DataFrame:
     # Facts are first reduced to the dates each entity was seen on. That bounds
     # a window group by the days of the calendar: twice that at most, however
@@ -116,7 +115,8 @@ def _asof_by_timeline(
         .withColumns({"_key": F.lit(None).cast("long"), "_end": F.lit(None).cast("date")})
         .withColumn("_seen", F.lit(1))
     )
-    timeline = narrow.withColumn("_seen", F.lit(0)).unionByName(seen)
+    starts = spans.select(*by, "_start", "_key", "_end")
+    timeline = starts.withColumn("_seen", F.lit(0)).unionByName(seen)
     # on one day the version sorts in front of the date that looks for it
     order = Window.partitionBy(*by).orderBy("_start", "_seen")
     version = F.when(F.col("_seen") == 0, F.struct("_key", "_end"))
