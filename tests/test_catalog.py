@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import database, differences
+from crateflow.catalog.oracle import ORACLE
+from crateflow.catalog.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
@@ -17,7 +19,9 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
@@ -26,6 +30,6 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_gives_what_sql_gives(spark, con, name):
     assert differences(entry.queries()[name](spark, FOLDER), con, entry.oracle_sql()[name]) is None
