@@ -6,13 +6,19 @@ from crateflow.llm import (
     byte_bpe,
     exact_dedup,
     preference,
+    quality,
+    secret_scan,
+    token_counts,
     url_filter,
 )
 
 QUERIES = {
     "op2_url_filter": url_filter.op2_url_filter,
+    "op3_secret_scan": secret_scan.op3_secret_scan,
     "op4_chat_preference": preference.op4_chat_preference,
+    "op5_token_counts": token_counts.op5_token_counts,
     "op6_byte_bpe": byte_bpe.op6_byte_bpe,
+    "op7_quality_classifier": quality.op7_quality_classifier,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
