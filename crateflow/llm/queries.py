@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from crateflow.llm import (
     byte_bpe,
+    decontaminate,
     exact_dedup,
+    near_dedup,
     preference,
     quality,
     secret_scan,
@@ -13,17 +15,20 @@ from crateflow.llm import (
 )
 
 QUERIES = {
+    "op1_decontamination": decontaminate.op1_decontamination,
     "op2_url_filter": url_filter.op2_url_filter,
     "op3_secret_scan": secret_scan.op3_secret_scan,
     "op4_chat_preference": preference.op4_chat_preference,
     "op5_token_counts": token_counts.op5_token_counts,
     "op6_byte_bpe": byte_bpe.op6_byte_bpe,
     "op7_quality_classifier": quality.op7_quality_classifier,
+    "op8_near_dedup": near_dedup.op8_near_dedup,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
 ORACLE = {
     "op2_url_filter": url_filter.ORACLE_SQL,
     "op4_chat_preference": preference.ORACLE_SQL,
+    "op8_near_dedup": near_dedup.ORACLE_SQL,
     "op10_exact_dedup": exact_dedup.ORACLE_SQL,
 }
