@@ -7,6 +7,7 @@ from crateflow.llm import (
     decontaminate,
     exact_dedup,
     near_dedup,
+    passages,
     preference,
     quality,
     secret_scan,
@@ -23,6 +24,7 @@ QUERIES = {
     "op6_byte_bpe": byte_bpe.op6_byte_bpe,
     "op7_quality_classifier": quality.op7_quality_classifier,
     "op8_near_dedup": near_dedup.op8_near_dedup,
+    "op9_substring_dedup": passages.op9_substring_dedup,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
@@ -30,5 +32,6 @@ ORACLE = {
     "op2_url_filter": url_filter.ORACLE_SQL,
     "op4_chat_preference": preference.ORACLE_SQL,
     "op8_near_dedup": near_dedup.ORACLE_SQL,
+    "op9_substring_dedup": passages.ORACLE_SQL,
     "op10_exact_dedup": exact_dedup.ORACLE_SQL,
 }
