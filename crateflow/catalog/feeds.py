@@ -9,42 +9,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from crateflow.contracts import BY_CODE, ROW_SEQ, SourceSpec
 from crateflow.functions.columns import money_sum
 from crateflow.plans.spread import spread_join
 
-_LONG_TABLES = ("lineitem", "orders", "events")
-_ROWS_PER_TASK = 50_000
-
-
-_LAYOUTS: dict[str, tuple[StructType, int, int]] = {}
-
-
-def _layout(spark: SparkSession, path: str) -> tuple[StructType, int, int]:
-    """Schema, number of files and rows of a given table; these never change."""
-    if path not in _LAYOUTS:
-        df = spark.read.parquet(path)
-        _LAYOUTS[path] = df.schema, len(df.inputFiles()), df.count()
-    return _LAYOUTS[path]
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One of the given tables.
-
-    A table that lies in fewer files than there are cores may come as a single
-    row group, which one task reads alone; if it is long, its rows are dealt
-    out. Tables of many files are taken as they are.
-    """
-    path = f"{folder}/{name}.parquet"
-    schema, files, rows = _layout(spark, path)
-    df = spark.read.schema(schema).parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    tasks = min(cores, rows // _ROWS_PER_TASK)
-    if name in _LONG_TABLES and files < cores and tasks > 1:
-        return df.repartition(tasks)
-    return df
+    """One of the given tables."""
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def ident(prefix: str, number: Column | str) -> Column:
@@ -309,13 +282,13 @@ PARTS_PER_BLOCK = 500
 def promotions(spark: SparkSession, folder: str) -> DataFrame:
     """Promotions of 90 days, one per product type and block of 500 part numbers.
 
-    A block covers its small parts, at most 500, so the packed list is bounded.
-    Half of the blocks run in one region only, half of the types in one channel.
+    A block covers at most 500 parts, so the packed list is bounded. In the first
+    block, large parts say ``ALL`` and small ones leave the list out: both mean
+    every product. Half of the blocks run in one region only, half of the types in one channel.
     """
     block = F.floor(F.col("p_partkey") / PARTS_PER_BLOCK).cast("int")
     listed = (
         table(spark, folder, "part")
-        .filter("p_size <= 25")
         .groupBy("p_type", block.alias("block"))
         .agg(F.array_sort(F.collect_list(ident("PRD", "p_partkey"))).alias("items"))
     )
@@ -334,7 +307,10 @@ def promotions(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("block") % 2 == 1, "ALL").otherwise(F.col("name")).alias("target_region"),
         start.alias("start_date"),
         F.date_add(start, 89).alias("end_date"),
-        F.array_join("items", ", ").alias("applicable_products"),
+        F.when((F.col("block") == 0) & (F.col("p_type") == "LARGE"), "ALL")
+        .when((F.col("block") == 0) & (F.col("p_type") == "SMALL"), None)
+        .otherwise(F.array_join("items", ", "))
+        .alias("applicable_products"),
         F.lit(10.0).alias("discount_pct"),
         F.lit(1.0).alias("min_order_quantity"),
         F.lit(5000.0).alias("budget_vnd"),

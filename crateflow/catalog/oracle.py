@@ -115,12 +115,13 @@ _PARTS = {
                CAST(DATE '1996-06-29' + CAST(180 * ((p_partkey // 500 + length(p_type)) % 8) + 89
                    AS INTEGER) AS DATE) AS end_date,
                (p_partkey // 500) * 1000.0::DOUBLE + 1000.0::DOUBLE AS cost
-        FROM part JOIN region ON r_regionkey = (p_partkey // 500) % 5 WHERE p_size <= 25""",
+        FROM part JOIN region ON r_regionkey = (p_partkey // 500) % 5""",
     "hits": """
         SELECT s.*, m.promotion_id, m.start_date, m.end_date
         FROM sales s
-        JOIN part p ON s.product_id = 'PRD' || p.p_partkey AND p.p_size <= 25
-        JOIN promos m ON m.p_type = p.p_type AND m.block = p.p_partkey // 500
+        LEFT JOIN part p ON s.product_id = 'PRD' || p.p_partkey
+        JOIN promos m ON (m.block = 0 AND m.p_type IN ('LARGE', 'SMALL'))
+                      OR (m.p_type = p.p_type AND m.block = p.p_partkey // 500)
         WHERE m.target_channel IN ('ALL', s.channel) AND m.target_region IN ('ALL', s.region)""",
     "uplift": """
         SELECT promotion_id, days, cost, inside / days AS in_avg, before / days AS before_avg
@@ -369,7 +370,8 @@ ORACLE: dict[str, str] = {
     "landing_ingest": """
         SELECT 'CUS' || c_custkey AS customer_id,
                c_name || CASE WHEN n = 1 THEN ' (copy)' ELSE '' END AS customer_name,
-               '09' || c_custkey AS phone, 'SRC03_customer_master.csv' AS _source_file,
+               '09' || c_custkey AS phone,
+               CASE WHEN c_mktsegment NOT LIKE '%building%' THEN 'gold' END AS loyalty, 'SRC03_customer_master.csv' AS _source_file,
                '2026-07-22' AS _run_date
         FROM customer,
              LATERAL (SELECT unnest(range(CASE WHEN c_custkey % 50 = 0 THEN 2 ELSE 1 END)) AS n)""",
@@ -570,9 +572,11 @@ ORACLE: dict[str, str] = {
         """SELECT row_number() OVER (ORDER BY promotion_id) AS promotion_key, promotion_id,
                   'DISCOUNT' AS promotion_type, target_region, start_date, end_date,
                   cost AS actual_cost_vnd,
-                  (SELECT string_agg('PRD' || p_partkey, ', ' ORDER BY 'PRD' || p_partkey)
-                   FROM part p WHERE p.p_type = m.p_type AND p.p_partkey // 500 = m.block
-                     AND p.p_size <= 25) AS applicable_products
+                  CASE WHEN block = 0 AND p_type = 'LARGE' THEN 'ALL'
+                       WHEN block = 0 AND p_type = 'SMALL' THEN NULL
+                       ELSE (SELECT string_agg('PRD' || p_partkey, ', ' ORDER BY 'PRD' || p_partkey)
+                   FROM part p WHERE p.p_type = m.p_type AND p.p_partkey // 500 = m.block)
+                  END AS applicable_products
            FROM promos m
            UNION ALL
            SELECT -1, 'UNKNOWN', 'Unknown', 'Unknown', NULL, NULL, NULL, 'Unknown'""",

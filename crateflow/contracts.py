@@ -37,99 +37,148 @@ class SourceSpec:
         return self.file.rsplit(".", 1)[1]
 
 
-def spec(file: str, columns: str, **options) -> SourceSpec:
-    """Build a contract from ``column`` or ``column:part`` words."""
-    pairs = [word.partition(":")[::2] for word in columns.split()]
-
-    def having(part: str) -> tuple[str, ...]:
-        return tuple(name for name, role in pairs if role == part)
-
-    return SourceSpec(
-        file=file,
-        columns=tuple(name for name, _ in pairs),
-        keys=having("key"),
-        dates=having("date"),
-        numbers=having("num"),
-        texts=having("text"),
-        **options,
-    )
-
-
 # File names, column names and their parts are the interface to
-# the upstream systems, in the order the files carry them.
+# the upstream systems, in the order the files carry them. SRC01 and SRC09 carry
+# no free text, so no line breaks: their files are read in parallel splits.
 SOURCES: tuple[SourceSpec, ...] = (
-    spec(
-        "SRC01_sales_transactions.csv",
-        "order_id:key order_date:date order_month order_quarter order_year"
-        " customer_id:key region:text province:text channel:text employee_id"
-        " product_id:key product_category:text quantity:num unit_price:num"
-        " discount_pct:num discount_amount:num gross_amount:num net_amount:num"
-        " delivery_status:text payment_method:text payment_status:text",
+    SourceSpec(
+        file="SRC01_sales_transactions.csv",
+        columns=(
+            "order_id", "order_date", "order_month", "order_quarter", "order_year",
+            "customer_id", "region", "province", "channel", "employee_id", "product_id",
+            "product_category", "quantity", "unit_price", "discount_pct", "discount_amount",
+            "gross_amount", "net_amount", "delivery_status", "payment_method", "payment_status",
+        ),
+        keys=("order_id", "customer_id", "product_id"),
+        dates=("order_date",),
+        numbers=(
+            "quantity", "unit_price", "discount_pct", "discount_amount", "gross_amount",
+            "net_amount",
+        ),
+        texts=(
+            "region", "province", "channel", "product_category", "delivery_status",
+            "payment_method", "payment_status",
+        ),
+        multiline=False,
     ),
-    spec(
-        "SRC03_customer_master.csv",
-        "customer_id:key customer_name customer_type:text channel:text"
-        " province:text region:text address phone tax_code join_date:date"
-        " credit_limit:num status:text",
+    SourceSpec(
+        file="SRC03_customer_master.csv",
+        columns=(
+            "customer_id", "customer_name", "customer_type", "channel", "province", "region",
+            "address", "phone", "tax_code", "join_date", "credit_limit", "status",
+        ),
+        keys=("customer_id",),
+        dates=("join_date",),
+        numbers=("credit_limit",),
+        texts=("customer_type", "channel", "province", "region", "status"),
         fills=(("tax_code", "UNKNOWN"),),
     ),
-    spec(
-        "SRC06_distributor_master.csv",
-        "distributor_id:key distributor_name tier:text channel:text"
-        " province:text region:text contact_person phone email tax_code"
-        " join_date:date credit_limit:num status:text assigned_supervisor_id",
+    SourceSpec(
+        file="SRC06_distributor_master.csv",
+        columns=(
+            "distributor_id", "distributor_name", "tier", "channel", "province", "region",
+            "contact_person", "phone", "email", "tax_code", "join_date", "credit_limit",
+            "status", "assigned_supervisor_id",
+        ),
+        keys=("distributor_id",),
+        dates=("join_date",),
+        numbers=("credit_limit",),
+        texts=("tier", "channel", "province", "region", "status"),
     ),
-    spec(
-        "SRC09_return_transactions.csv",
-        "return_id:key original_order_id return_date:date return_month"
-        " customer_id:key employee_id product_id:key region:text province:text"
-        " return_quantity:num unit_price:num return_amount:num"
-        " return_reason:text status:text",
+    SourceSpec(
+        file="SRC09_return_transactions.csv",
+        columns=(
+            "return_id", "original_order_id", "return_date", "return_month", "customer_id",
+            "employee_id", "product_id", "region", "province", "return_quantity", "unit_price",
+            "return_amount", "return_reason", "status",
+        ),
+        keys=("return_id", "customer_id", "product_id"),
+        dates=("return_date",),
+        numbers=("return_quantity", "unit_price", "return_amount"),
+        texts=("region", "province", "return_reason", "status"),
+        multiline=False,
     ),
-    spec(
-        "SRC02_sales_target_plan.xlsx",
-        "plan_version version_date:date effective_from:date effective_to:date"
-        " employee_id:key employee_name region:text team:text year month"
-        " target_revenue:num target_quantity:num target_new_customers:num",
+    SourceSpec(
+        file="SRC02_sales_target_plan.xlsx",
+        columns=(
+            "plan_version", "version_date", "effective_from", "effective_to", "employee_id",
+            "employee_name", "region", "team", "year", "month", "target_revenue",
+            "target_quantity", "target_new_customers",
+        ),
+        keys=("employee_id",),
+        dates=("version_date", "effective_from", "effective_to"),
+        numbers=("target_revenue", "target_quantity", "target_new_customers"),
+        texts=("region", "team"),
     ),
-    spec(
-        "SRC04_product_master.xlsx",
-        "product_id:key product_name category:text sub_category:text unit:text"
-        " unit_price:num cost_price:num weight_gram:num status:text"
-        " launch_date:date",
+    SourceSpec(
+        file="SRC04_product_master.xlsx",
+        columns=(
+            "product_id", "product_name", "category", "sub_category", "unit", "unit_price",
+            "cost_price", "weight_gram", "status", "launch_date",
+        ),
+        keys=("product_id",),
+        dates=("launch_date",),
+        numbers=("unit_price", "cost_price", "weight_gram"),
+        texts=("category", "sub_category", "unit", "status"),
     ),
-    spec(
-        "SRC05_distributor_orders.xlsx",
-        "order_id:key order_date:date order_month order_quarter"
-        " distributor_id:key region:text channel:text product_id:key"
-        " product_category:text qty_ordered:num qty_delivered:num"
-        " fill_rate_pct:num unit_price_list:num distributor_price:num"
-        " gross_amount:num delivered_amount:num expected_delivery_date:date"
-        " actual_delivery_date:date ontime_delivery delivery_status:text"
-        " payment_terms:text",
+    SourceSpec(
+        file="SRC05_distributor_orders.xlsx",
+        columns=(
+            "order_id", "order_date", "order_month", "order_quarter", "distributor_id", "region",
+            "channel", "product_id", "product_category", "qty_ordered", "qty_delivered",
+            "fill_rate_pct", "unit_price_list", "distributor_price", "gross_amount",
+            "delivered_amount", "expected_delivery_date", "actual_delivery_date",
+            "ontime_delivery", "delivery_status", "payment_terms",
+        ),
+        keys=("order_id", "distributor_id", "product_id"),
+        dates=("order_date", "expected_delivery_date", "actual_delivery_date"),
+        numbers=(
+            "qty_ordered", "qty_delivered", "fill_rate_pct", "unit_price_list",
+            "distributor_price", "gross_amount", "delivered_amount",
+        ),
+        texts=(
+            "region", "channel", "product_category", "delivery_status", "payment_terms",
+        ),
     ),
-    spec(
-        "SRC07_employee_master.xlsx",
-        "employee_id:key full_name gender:text date_of_birth:date"
-        " join_date:date position:text region:text team:text email phone"
-        " status:text version effective_date:date resign_date:date"
-        " transfer_note",
+    SourceSpec(
+        file="SRC07_employee_master.xlsx",
+        columns=(
+            "employee_id", "full_name", "gender", "date_of_birth", "join_date", "position",
+            "region", "team", "email", "phone", "status", "version", "effective_date",
+            "resign_date", "transfer_note",
+        ),
+        keys=("employee_id",),
+        dates=("date_of_birth", "join_date", "effective_date", "resign_date"),
+        numbers=(),
+        texts=("gender", "position", "region", "team", "status"),
     ),
-    spec(
-        "SRC08_territory_mapping.xlsx",
-        "territory_id:key employee_id:key customer_id:key region:text team:text"
-        " effective_date:date expiry_date:date version",
+    SourceSpec(
+        file="SRC08_territory_mapping.xlsx",
+        columns=(
+            "territory_id", "employee_id", "customer_id", "region", "team", "effective_date",
+            "expiry_date", "version",
+        ),
+        keys=("territory_id", "employee_id", "customer_id"),
+        dates=("effective_date", "expiry_date"),
+        numbers=(),
+        texts=("region", "team"),
     ),
-    spec(
-        "SRC10_promotion_program.xlsx",
-        "promotion_id:key promotion_name promotion_type:text"
-        " target_channel:text target_region:text start_date:date end_date:date"
-        " applicable_products discount_pct:num min_order_quantity:num"
-        " budget_vnd:num actual_cost_vnd:num status:text created_by",
+    SourceSpec(
+        file="SRC10_promotion_program.xlsx",
+        columns=(
+            "promotion_id", "promotion_name", "promotion_type", "target_channel",
+            "target_region", "start_date", "end_date", "applicable_products", "discount_pct",
+            "min_order_quantity", "budget_vnd", "actual_cost_vnd", "status", "created_by",
+        ),
+        keys=("promotion_id",),
+        dates=("start_date", "end_date"),
+        numbers=(
+            "discount_pct", "min_order_quantity", "budget_vnd", "actual_cost_vnd",
+        ),
+        texts=("promotion_type", "target_channel", "target_region", "status"),
     ),
 )
 
-BY_FILE: dict[str, SourceSpec] = {source.file: source for source in SOURCES}
 # SRC01 … SRC10, the short handle used inside the library
 BY_CODE: dict[str, SourceSpec] = {source.file[:5]: source for source in SOURCES}
 
@@ -174,6 +223,16 @@ SILVER_LOG = T.StructType(
     ]
 )
 
+GOLD_LOG = T.StructType(
+    [
+        T.StructField("table_name", T.StringType()),
+        T.StructField("run_date", T.StringType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("error_message", T.StringType()),
+    ]
+)
+
 LANDING_LOG = T.StructType(
     [
         T.StructField("source_file", T.StringType()),

@@ -57,7 +57,8 @@ def packed_list(name: str) -> Column:
 
 def whole(name: str) -> Column:
     """A year or month that may arrive as '7' or '7.0'; NULL if it is neither."""
-    return F.expr(f"try_cast(try_cast({name} AS double) AS int)")
+    value = F.col(name).try_cast("double")
+    return F.when(value == F.floor(value), value.try_cast("int"))
 
 
 def first_of_month(year: Column, month: Column) -> Column:

@@ -6,13 +6,13 @@ import logging
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crateflow.contracts import (
     BY_CODE,
+    GOLD_LOG,
     INGEST_LOG,
     PLATFORM,
     SILVER_LOG,
@@ -25,11 +25,12 @@ from crateflow.operators.bronze import attach_lineage, cast_to_string
 from crateflow.operators.promotions import promotion_bridge
 from crateflow.operators.quality import date_null_ratio
 from crateflow.operators.silver import (
-    SchemaMismatchError,
+    ContractError,
     check_contract,
     null_key_rows,
     transform,
 )
+from crateflow.session import scratch_of_job
 from crateflow.sources.delimited import scan_csv
 from crateflow.sources.tables import append_rows, log_frame, publish, read_table
 from crateflow.sources.workbook import scan_workbooks
@@ -69,7 +70,8 @@ def run_bronze(
     readers = readers or default_readers(spark)
 
     def land(source: SourceSpec) -> dict:
-        raw_path = str(PurePosixPath(raw_root) / source.file)
+        # joined as text: a path object would swallow a slash of ``s3a://bucket``
+        raw_path = f"{raw_root.rstrip('/')}/{source.file}"
         return _land_source(
             spark, source, readers[source.format], raw_path, bronze_root, run_date, batch_id
         )
@@ -102,7 +104,7 @@ def _land_source(
         publish(frame, bronze_root, run_date, source.name)
         # answered by the Parquet footers, and exact even after lost tasks
         rows = read_table(spark, bronze_root, run_date, source.name, frame.schema).count()
-    except SchemaMismatchError as error:
+    except ContractError as error:
         status = "schema_mismatch"
         _log.error("%s", error)
     except Exception as error:  # noqa: BLE001 -- any other failure is this source's alone
@@ -157,23 +159,24 @@ def _clean_source(
     try:
         bronze = read_table(spark, bronze_root, run_date, source.name)
         entry["row_count_in"] = bronze.count()
-        silver = transform(bronze, source)
-        publish(silver, silver_root, run_date, source.name)
-        # Rows in and out come from Parquet footers; only the rows with an empty
-        # key are looked at again. Counters inside the write would be off
-        # whenever a task runs twice.
-        rows_out = read_table(spark, silver_root, run_date, source.name, silver.schema).count()
+        # what only describes the run comes first: once the table is replaced,
+        # nothing may call the source failed
         empty = null_key_rows(bronze, source).count()
-        entry |= {
-            "row_count_out": rows_out,
-            "null_count": empty,
-            "dedup_count": entry["row_count_in"] - rows_out - empty,
-        }
         _report_dates(bronze, source)
+        silver = transform(bronze, source)
+        publish(silver, silver_root, run_date, source.name)
     except Exception as error:  # noqa: BLE001 -- one source must not stop the run
-        entry |= {"status": "failed", "error_message": str(error)}
         _log.error("%s: %s", source.file, error)
-    return entry
+        return entry | {"status": "failed", "error_message": str(error)}
+    # Rows in and out come from Parquet footers; only the rows with an empty
+    # key are looked at again. Counters inside the write would be off whenever a
+    # task runs twice.
+    rows_out = read_table(spark, silver_root, run_date, source.name, silver.schema).count()
+    return entry | {
+        "row_count_out": rows_out,
+        "null_count": empty,
+        "dedup_count": entry["row_count_in"] - rows_out - empty,
+    }
 
 
 def _report_dates(bronze: DataFrame, source: SourceSpec) -> None:
@@ -184,71 +187,110 @@ def _report_dates(bronze: DataFrame, source: SourceSpec) -> None:
         _log.log(level, "%s.%s: %.0f%% NULL after parsing", source.file, row["column_name"], percent)
 
 
-def run_gold(spark: SparkSession, run_date: str, silver_root: str, gold_root: str) -> dict[str, str]:
-    """Build dimensions, facts and marts from Silver, each once.
+def run_gold(
+    spark: SparkSession, run_date: str, silver_root: str, gold_root: str
+) -> list[dict]:
+    """Build dimensions, facts and marts from Silver, each once; one log row each.
 
     Every table is read back after it was written: facts join stored
     dimensions whose size is known, and nothing is computed twice. Tables that
-    do not need each other are built at the same time.
+    do not need each other are built at the same time. A table that fails, or
+    needs one that failed, is logged; the others are built, and what was there
+    under its name stays.
     """
-    paths: dict[str, str] = {}
+    built: dict[str, DataFrame] = {}
+    records: list[dict] = []
 
     def silver(code: str) -> DataFrame:
         return read_table(spark, silver_root, run_date, BY_CODE[code].name)
 
-    def store(builds: dict[str, Callable[[], DataFrame]]) -> list[DataFrame]:
-        def build(name: str) -> tuple[str, DataFrame]:
-            df = builds[name]()
-            path = publish(df, gold_root, run_date, name)
-            return path, read_table(spark, gold_root, run_date, name, df.schema)
-
-        with ThreadPoolExecutor(_SOURCES_AT_ONCE) as pool:
-            stored = list(pool.map(build, builds))
-        paths.update(zip(builds, (path for path, _ in stored)))
-        return [df for _, df in stored]
-
-    sales, returns, orders = silver("SRC01"), silver("SRC09"), silver("SRC05")
-    customers, products, distributors, employees, territories, promotions, dim_date = store(
-        {
-            "dim_customers": lambda: dimensions.build_dim_customers(silver("SRC03")),
-            "dim_products": lambda: dimensions.build_dim_products(silver("SRC04")),
-            "dim_distributors": lambda: dimensions.build_dim_distributors(silver("SRC06")),
-            "dim_employees": lambda: dimensions.build_dim_employees(silver("SRC07")),
-            "dim_territory": lambda: dimensions.build_dim_territories(silver("SRC08")),
-            "dim_promotion": lambda: dimensions.build_dim_promotions(silver("SRC10")),
-            "dim_date": lambda: dimensions.build_dim_date((sales, "order_date")),
-        }
-    )
-    # returns and distributor orders may fall on days without a sale around them
-    all_dates = dimensions.build_dim_date(
-        (sales, "order_date"), (returns, "return_date"), (orders, "order_date")
-    )
-    fact_sales, fact_targets, _, _ = store(
-        {
-            "fact_sales": lambda: facts.build_fact_sales(
-                sales, customers, products, employees, dim_date
-            ),
-            "fact_targets": lambda: facts.build_fact_targets(silver("SRC02"), employees),
-            "fact_returns": lambda: facts.build_fact_returns(
-                returns, customers, products, employees, all_dates, territories
-            ),
-            "fact_distributor_orders": lambda: facts.build_fact_distributor_orders(
-                orders, products, all_dates, distributors
-            ),
+    def build(name: str, work: Callable[[], DataFrame]) -> dict:
+        record = {
+            "table_name": name, "run_date": run_date, "rows": 0, "status": "success",
+            "error_message": None,
         }
-    )
-    real_promotions = promotions.filter(F.col("promotion_key") != UNKNOWN_KEY)
-    store(
-        {
-            "bridge_sales_promotion": lambda: promotion_bridge(
-                fact_sales, real_promotions, ["order_id"]
-            ),
-            "mart_sales_vs_target": lambda: marts.sales_vs_target(
-                fact_sales, fact_targets, employees
-            ),
-        }
-    )
-    return paths
+        try:
+            df = work()
+            publish(df, gold_root, run_date, name)
+        except Exception as error:  # noqa: BLE001 -- one table must not stop the others
+            reason = f"needs {error.args[0]}" if isinstance(error, _Missing) else str(error)
+            _log.error("%s: %s", name, reason)
+            return record | {"status": "failed", "error_message": reason}
+        built[name] = read_table(spark, gold_root, run_date, name, df.schema)
+        return record | {"rows": built[name].count()}
+
+    def store(builds: dict[str, Callable[[], DataFrame]]) -> None:
+        with ThreadPoolExecutor(_SOURCES_AT_ONCE) as pool:
+            records.extend(pool.map(build, builds, builds.values()))
+
+    def need(name: str) -> DataFrame:
+        if name not in built:
+            raise _Missing(name)
+        return built[name]
+
+    def all_dates() -> DataFrame:
+        # returns and distributor orders may fall on days without a sale around them
+        return dimensions.build_dim_date(
+            (silver("SRC01"), "order_date"),
+            (silver("SRC09"), "return_date"),
+            (silver("SRC05"), "order_date"),
+        )
+
+    with scratch_of_job(spark):
+        store(
+            {
+                "dim_customers": lambda: dimensions.build_dim_customers(silver("SRC03")),
+                "dim_products": lambda: dimensions.build_dim_products(silver("SRC04")),
+                "dim_distributors": lambda: dimensions.build_dim_distributors(silver("SRC06")),
+                "dim_employees": lambda: dimensions.build_dim_employees(silver("SRC07")),
+                "dim_territory": lambda: dimensions.build_dim_territories(silver("SRC08")),
+                "dim_promotion": lambda: dimensions.build_dim_promotions(silver("SRC10")),
+                "dim_date": lambda: dimensions.build_dim_date((silver("SRC01"), "order_date")),
+            }
+        )
+        store(
+            {
+                "fact_sales": lambda: facts.build_fact_sales(
+                    silver("SRC01"),
+                    need("dim_customers"),
+                    need("dim_products"),
+                    need("dim_employees"),
+                    need("dim_date"),
+                ),
+                "fact_targets": lambda: facts.build_fact_targets(
+                    silver("SRC02"), need("dim_employees")
+                ),
+                "fact_returns": lambda: facts.build_fact_returns(
+                    silver("SRC09"),
+                    need("dim_customers"),
+                    need("dim_products"),
+                    need("dim_employees"),
+                    all_dates(),
+                    need("dim_territory"),
+                ),
+                "fact_distributor_orders": lambda: facts.build_fact_distributor_orders(
+                    silver("SRC05"), need("dim_products"), all_dates(), need("dim_distributors")
+                ),
+            }
+        )
+        store(
+            {
+                "bridge_sales_promotion": lambda: promotion_bridge(
+                    need("fact_sales"),
+                    need("dim_promotion").filter(F.col("promotion_key") != UNKNOWN_KEY),
+                    ["order_id"],
+                ),
+                "mart_sales_vs_target": lambda: marts.sales_vs_target(
+                    need("fact_sales"), need("fact_targets"), need("dim_employees")
+                ),
+            }
+        )
+    publish(log_frame(spark, records, GOLD_LOG), gold_root, run_date, "gold_log")
+    return records
+
+
+class _Missing(Exception):
+    """A table that another one needs was not built."""
 
 
 def outcome(records: list[dict]) -> tuple[bool, str]:

@@ -17,8 +17,14 @@ def attach_lineage(
     batch_id: str,
     ingested_at: datetime | None = None,
 ) -> DataFrame:
-    """Add the five lineage columns; the time is taken once, here, not per task."""
-    stamp = ingested_at or datetime.now(UTC)
+    """Add the five lineage columns; the time is taken once, here, not per task.
+
+    It is UTC text with a marker, whatever the time zone of the session. A given
+    time without a zone counts as UTC.
+    """
+    moment = ingested_at or datetime.now(UTC)
+    moment = moment.astimezone(UTC) if moment.tzinfo else moment.replace(tzinfo=UTC)
+    stamp = moment.strftime("%Y-%m-%dT%H:%M:%S.%fZ")
     values = (source_file, PLATFORM, run_date, stamp, batch_id)
     return df.withColumns({name: F.lit(value) for name, value in zip(LINEAGE, values)})
 

@@ -32,11 +32,11 @@ def lookup_key(
 def lookup_date(fact: DataFrame, dim_date: DataFrame, date: str) -> DataFrame:
     """Add ``date_key``; a date outside the calendar has none.
 
-    The calendar is broadcast unchecked: one row per day of a date type that
-    ends in the year 9999, twelve bytes each, is under 50 MB at the very most.
+    The calendar is broadcast when its checked size allows: a single date in the
+    year 9999 makes it millions of rows.
     """
     narrow = dim_date.select(F.col("full_date").alias(date), "date_key")
-    return spread_join(fact, narrow, [date], right_fits=True)
+    return spread_join(fact, narrow, [date])
 
 
 def build_fact_sales(

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crateflow.functions.columns import money_sum, packed_list, share
-from crateflow.plans.sizing import fits_broadcast
+from crateflow.functions.columns import packed_list, share
 from crateflow.plans.spread import spread_join
 from crateflow.session import stored
 
@@ -15,9 +14,16 @@ _ANYWHERE = ("ALL", "")
 
 
 def promotion_rules(promotions: DataFrame) -> DataFrame:
-    """One row per promotion and product it covers."""
+    """One row per promotion and product it covers.
+
+    A product list that is NULL, empty or ``ALL`` restricts nothing, as with
+    channel and region: such a promotion is one row with a NULL product.
+    """
+    items = F.filter(packed_list("applicable_products"), lambda item: F.upper(item) != "ALL")
+    everything = F.exists(packed_list("applicable_products"), lambda item: F.upper(item) == "ALL")
+    listed = F.when(~everything, items)
     return promotions.select(
-        F.explode(packed_list("applicable_products")).alias("product_id"),
+        F.explode_outer(listed).alias("product_id"),
         "promotion_id",
         "target_channel",
         "target_region",
@@ -26,10 +32,40 @@ def promotion_rules(promotions: DataFrame) -> DataFrame:
     )
 
 
+def _by_month(rules: DataFrame, first: Column) -> DataFrame:
+    """Rules once per month they touch, from ``first`` to their end.
+
+    Rules meet sales by (product, month), so a product does not pair its sales
+    with every promotion it ever had. A rule without dates touches none.
+    """
+    months = F.sequence(F.trunc(first, "month"), F.trunc("end_date", "month"), F.expr("interval 1 month"))
+    months = F.when(first <= F.col("end_date"), months)
+    return rules.withColumn("_month", F.explode(months))
+
+
+def _in_period(sales: DataFrame, rules: DataFrame, first: Column, open_sales: DataFrame) -> DataFrame:
+    """Sales with the rules in scope of their day; ``first`` opens the period.
+
+    Rules for all products go another way: they meet ``open_sales`` by month.
+    """
+    rules = _by_month(rules, first)
+    scope = _in_scope("order_date", first)
+    month = F.trunc("order_date", "month")
+    some = rules.where("product_id IS NOT NULL")
+    every = rules.where("product_id IS NULL").drop("product_id")
+    by_product = spread_join(
+        sales.withColumn("_month", month), some, ["product_id", "_month"], "inner", scope
+    )
+    by_month = spread_join(open_sales.withColumn("_month", month), every, ["_month"], "inner", scope)
+    return by_product.unionByName(by_month, allowMissingColumns=True)
+
+
+def _open(target: str) -> Column:
+    return F.col(target).isNull() | F.col(target).isin(*_ANYWHERE)
+
+
 def _open_or_equal(target: str, value: str) -> Column:
-    target_column = F.col(target)
-    anywhere = target_column.isNull() | target_column.isin(*_ANYWHERE)
-    return anywhere | (target_column == F.col(value))
+    return _open(target) | (F.col(target) == F.col(value))
 
 
 def _in_place() -> Column:
@@ -44,14 +80,13 @@ def promotion_bridge(sales: DataFrame, promotions: DataFrame, line_key: list[str
     """Pairs of order line and promotion that applies to it.
 
     A line may fall under several promotions, so this is a bridge and not a
-    column of the fact. Product is an equal key; dates, channel and region are
-    tested on its matches.
+    column of the fact. Product and month are equal keys; days, channel and
+    region are tested on their matches.
     """
     lines = sales.select(
         *dict.fromkeys([*line_key, "product_id", "order_date", "channel", "region", "net_amount"])
     )
-    scope = _in_scope("order_date", F.col("start_date"))
-    matched = spread_join(lines, promotion_rules(promotions), ["product_id"], "inner", scope)
+    matched = _in_period(lines, promotion_rules(promotions), F.col("start_date"), lines)
     return matched.select(*lines.columns, "promotion_id")
 
 
@@ -63,14 +98,15 @@ def promotion_sales(sales: DataFrame, promotions: DataFrame) -> DataFrame:
     so a product with many promotions does not repeat its sales for each.
     """
     rules = promotion_rules(promotions)
-    fits = fits_broadcast(rules)
     daily = stored(daily_sales(sales), "daily")
-    in_period = _in_scope("order_date", F.col("start_date"))
-    inside = spread_join(daily, rules, ["product_id"], "inner", in_period, fits)
+    inside = _in_period(daily, rules, F.col("start_date"), _all_products(daily))
     totals = daily.groupBy("product_id", "channel", "region").agg(
         F.sum("revenue").cast("decimal(28,4)").alias("revenue")
     )
-    everywhere = spread_join(totals, rules, ["product_id"], "inner", _in_place(), fits)
+    listed = spread_join(
+        totals, rules.where("product_id IS NOT NULL"), ["product_id"], "inner", _in_place()
+    )
+    everywhere = listed.select("promotion_id", "revenue").unionByName(_open_totals(totals, rules))
     sums = (
         inside.select("promotion_id", F.col("revenue").alias("_in"), F.lit(None).alias("_all"))
         .unionByName(
@@ -91,6 +127,39 @@ def promotion_sales(sales: DataFrame, promotions: DataFrame) -> DataFrame:
     )
 
 
+def _open_totals(totals: DataFrame, rules: DataFrame) -> DataFrame:
+    """All revenue in the place of each rule for all products.
+
+    Sums per channel, per region, per both and over all have a key of their own,
+    so a rule finds its one sum by an equal key.
+    """
+    cube = totals.cube("channel", "region").agg(
+        F.sum("revenue").cast("decimal(28,4)").alias("revenue"),
+        F.grouping("channel").cast("boolean").alias("_any_channel"),
+        F.grouping("region").cast("boolean").alias("_any_region"),
+    )
+    place = {
+        "channel": F.when(F.col("_any_channel"), "").otherwise(F.col("channel")),
+        "region": F.when(F.col("_any_region"), "").otherwise(F.col("region")),
+    }
+    every = rules.where("product_id IS NULL").select(
+        "promotion_id",
+        _open("target_channel").alias("_any_channel"),
+        _open("target_region").alias("_any_region"),
+        F.when(_open("target_channel"), "").otherwise(F.col("target_channel")).alias("channel"),
+        F.when(_open("target_region"), "").otherwise(F.col("target_region")).alias("region"),
+    )
+    keys = ["_any_channel", "_any_region", "channel", "region"]
+    return every.join(cube.withColumns(place), keys).select("promotion_id", "revenue")
+
+
+def _all_products(daily: DataFrame) -> DataFrame:
+    """Daily revenue without the product."""
+    return daily.groupBy("order_date", "channel", "region").agg(
+        F.sum("revenue").cast("decimal(28,4)").alias("revenue")
+    )
+
+
 def daily_sales(sales: DataFrame) -> DataFrame:
     """Revenue per product, day, channel and region."""
     return sales.groupBy("product_id", "order_date", "channel", "region").agg(
@@ -106,13 +175,8 @@ def promotion_uplift(sales: DataFrame, promotions: DataFrame) -> DataFrame:
     """
     length = F.datediff("end_date", "start_date") + 1
     before = F.date_sub("start_date", F.datediff("end_date", "start_date") + 1)
-    matched = spread_join(
-        daily_sales(sales),
-        promotion_rules(promotions),
-        ["product_id"],
-        "inner",
-        _in_scope("order_date", before),
-    )
+    daily = stored(daily_sales(sales), "daily")
+    matched = _in_period(daily, promotion_rules(promotions), before, _all_products(daily))
     during = F.col("order_date") >= F.col("start_date")
     # One promotion may hold a third of the matches: the sums are partial per
     # task before the shuffle.

@@ -14,24 +14,23 @@ from crateflow.functions.columns import day, number, plain_text
 _log = logging.getLogger(__name__)
 
 
-class SchemaMismatchError(Exception):
-    """A source lacks columns its contract requires."""
+class ContractError(ValueError):
+    """What a source delivers and what its contract asks for do not fit."""
 
-    def __init__(self, source_file: str, missing: list[str], extra: list[str]):
-        super().__init__(f"{source_file}: missing required column(s) {missing}")
-        self.source_file = source_file
-        self.missing = missing
-        self.extra = extra
+    @classmethod
+    def of(cls, source: SourceSpec, lacking: set[str]) -> ContractError:
+        names = ", ".join(sorted(lacking))
+        return cls(f"{source.name} came without {len(lacking)} of {len(source.columns)} columns: {names}")
 
 
 def check_contract(df: DataFrame, source: SourceSpec) -> None:
     """Raise when required columns are missing; extra ones are only reported."""
-    missing = sorted(set(source.columns) - set(df.columns))
+    lacking = set(source.columns) - set(df.columns)
     extra = sorted(set(df.columns) - {*source.columns, *LINEAGE, ROW_SEQ})
     if extra:
         _log.warning("%s: columns outside the contract: %s", source.file, extra)
-    if missing:
-        raise SchemaMismatchError(source.file, missing, extra)
+    if lacking:
+        raise ContractError.of(source, lacking)
 
 
 def cast_numbers(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:

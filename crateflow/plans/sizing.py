@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,13 +11,41 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 _FIXED_WIDTH = 8
 
 
+def _fixed_width(kind: T.DataType) -> int | None:
+    """Bytes of a value whose size does not depend on its content."""
+    if isinstance(kind, T.StructType):
+        widths = [_fixed_width(field.dataType) for field in kind]
+        return None if None in widths else _FIXED_WIDTH + sum(widths)
+    loose = (T.StringType, T.BinaryType, T.ArrayType, T.MapType)
+    return None if isinstance(kind, loose) else _FIXED_WIDTH
+
+
+def _width(value: Column, kind: T.DataType) -> Column:
+    """Bytes that a value takes, nested ones included."""
+    fixed = _fixed_width(kind)
+    if fixed is not None:
+        return F.lit(fixed).cast("long")
+    if isinstance(kind, T.StructType):
+        return sum((_width(value[f.name], f.dataType) for f in kind), F.lit(_FIXED_WIDTH).cast("long"))
+    if isinstance(kind, T.MapType):
+        keys = _width(F.map_keys(value), T.ArrayType(kind.keyType))
+        return keys + _width(F.map_values(value), T.ArrayType(kind.valueType))
+    if isinstance(kind, T.ArrayType):
+        fixed = _fixed_width(kind.elementType)
+        if fixed is not None:
+            return F.greatest(F.coalesce(F.size(value), F.lit(0)), F.lit(0)) * fixed + _FIXED_WIDTH
+        each = F.transform(F.coalesce(value, F.array().cast(kind)), lambda x: _width(x, kind.elementType))
+        return F.aggregate(each, F.lit(_FIXED_WIDTH).cast("long"), lambda total, x: total + x)
+    return F.coalesce(F.octet_length(value), F.lit(0)).cast("long") + _FIXED_WIDTH
+
+
 def fits_broadcast(
     df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None
 ) -> bool:
     """Count ``df`` and say whether it is small enough to copy to every executor.
 
     The row count comes first because a Parquet table answers it from its
-    footers; only a table that passes has its string lengths added up. The
+    footers; only a table that passes has the lengths of its strings, arrays and maps added up. The
     check runs ``df``, so it belongs on tables and on what is cheap to derive
     from them; a costly result is stored first.
     """
@@ -26,9 +54,7 @@ def fits_broadcast(
     rows = df.count()
     if rows > max_rows or rows * _FIXED_WIDTH * len(df.columns) > max_bytes:
         return False
-    loose = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    if not loose or rows == 0:
+    if rows == 0 or all(_fixed_width(field.dataType) is not None for field in df.schema):
         return True
-    lengths = [F.coalesce(F.sum(F.octet_length(name)), F.lit(0)) for name in loose]
-    text_bytes = sum(df.agg(*lengths).first())
-    return text_bytes + rows * _FIXED_WIDTH * len(df.columns) <= max_bytes
+    width = sum((_width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema), F.lit(0).cast("long"))
+    return df.agg(F.sum(width)).first()[0] <= max_bytes

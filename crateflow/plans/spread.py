@@ -8,12 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crateflow.plans.sizing import fits_broadcast
-
-# A key is worth splitting when it would fill more than one shuffle partition,
-# so at most as many keys as partitions qualify. The sketch tracks ten times
-# what it reports; its memory per task is bounded by that number.
-HOT_KEYS = 1_000
-TRACKED = 10_000
+from crateflow.session import stored
 
 
 def spread_join(
@@ -79,22 +74,18 @@ def spread_join(
 def _hot_keys(left: DataFrame, on: list[str]) -> DataFrame | None:
     """Key hashes and the number of salts each needs, or None when all are small.
 
-    One pass with a frequent-items sketch. The list is read on the driver (at
-    most HOT_KEYS rows) because both join sides must see the very same one. A
-    key the sketch gets wrong costs time, never rows.
+    A key is worth splitting when it would fill more than one shuffle partition,
+    so there are fewer such keys than partitions: the list needs no other bound.
+    Rows per key are counted exactly, combined per task before the shuffle, and
+    written down, so total and list come from one pass over ``left``. The list
+    is read on the driver because both join sides must see the very same one.
     """
     spark = left.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = left.select(F.xxhash64(*on).alias("_h"))
-    row = keys.agg(
-        F.expr(f"approx_top_k(_h, {HOT_KEYS}, {TRACKED})").alias("top"),
-        F.count("*").alias("total"),
-    ).first()
-    hot = []
-    for item in row["top"] or []:
-        salts = -(-item["count"] * parts // row["total"])
-        if salts > 1:
-            hot.append((item["item"], int(salts)))
+    counts = stored(left.groupBy(F.xxhash64(*on).alias("_h")).count(), "key-counts")
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    salts = F.expr(f"cast(ceil(count * {parts} / {max(total, 1)}) as bigint)").alias("_salts")
+    hot = counts.where(F.col("count") * parts > total).select("_h", salts).collect()
     return spark.createDataFrame(hot, "_h long, _salts long") if hot else None
 
 

@@ -4,16 +4,22 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folder below the scratch folder of the application, while a job runs.
+_JOBS: list[str] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, also set on the context.
 
     Only a local session may go without the setting (it then gets a temporary
     folder): on a cluster a machine-local folder would lose checkpointed
-    partitions together with the executor that wrote them.
+    partitions together with the executor that wrote them. That the named folder
+    is a shared one cannot be seen from here.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -27,8 +33,31 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path for intermediate tables.
+
+    It lies in a folder of this application, which goes when the application
+    ends, or in that of the running job (``scratch_of_job``), which goes with
+    the job.
+    """
+    root = f"{shared_dir(spark).rstrip('/')}/scratch-{spark.sparkContext.applicationId}"
+    path, fs = _file_system(spark, root)
+    if not fs.exists(path):
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return "/".join([root, *_JOBS[-1:], f"{label}-{uuid.uuid4().hex}"])
+
+
+@contextmanager
+def scratch_of_job(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate tables of a job once its results are written."""
+    _JOBS.append(f"job-{uuid.uuid4().hex}")
+    folder = scratch_dir(spark, "x").rsplit("/", 1)[0]
+    try:
+        yield
+    finally:
+        _JOBS.pop()
+        path, fs = _file_system(spark, folder)
+        fs.delete(path, True)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -41,3 +70,9 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, name: str):
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(context._jsc.hadoopConfiguration())

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,17 +17,52 @@ def scan_csv(
 ) -> DataFrame:
     """Read CSV with a header; nothing is inferred, a ragged row fails the read.
 
-    Columns are named by the header. No schema is given because Spark would
-    bind it by position. ``row_seq`` adds the place of each row in the file;
-    of several files read at once each keeps its own order, but which file
-    comes first is up to Spark.
+    Columns are named by the header of their own file. Spark binds all files of
+    one read by position, so files are read in groups of one header line, and
+    the groups are joined by name; a column that a group lacks is NULL there. An
+    empty file has no header and fails the read. ``row_seq`` adds the place of
+    each row in the file; of several files read at once each keeps its own
+    order, but which file comes first is up to Spark.
     """
-    df = (
+    groups = _by_header(spark, [path] if isinstance(path, str) else path)
+    frames = [_scan(spark, files, multiline) for files in groups]
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return df.withColumn(ROW_SEQ, F.monotonically_increasing_id()) if row_seq else df
+
+
+def _scan(spark: SparkSession, files: list[str], multiline: bool) -> DataFrame:
+    return (
         spark.read.option("header", True)
         .option("inferSchema", False)
+        .option("enforceSchema", False)
         .option("multiLine", multiline)
         .option("escape", '"')
         .option("mode", "FAILFAST")
-        .csv(path)
+        .csv(files)
     )
-    return df.withColumn(ROW_SEQ, F.monotonically_increasing_id()) if row_seq else df
+
+
+def _by_header(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """Files in groups of equal header lines.
+
+    One pass over the first block of each file finds its first line; a row per
+    file comes to the driver, as the file names do for any read.
+    """
+    text = spark.read.text(paths)
+    lines = text.where("_metadata.file_block_start = 0").select(
+        F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place"), "value"
+    )
+    heads = lines.groupBy("file").agg(F.min_by("value", "place").alias("head"))
+    groups, empty = defaultdict(list), set(map(_plain, text.inputFiles()))
+    for row in heads.sort("file").collect():
+        file = _plain(row["file"])
+        groups[row["head"]].append(file)
+        empty.discard(file)
+    if empty or not groups:
+        raise ValueError(f"no header: {sorted(empty) or paths}")
+    return list(groups.values())
+
+
+def _plain(file: str) -> str:
+    """A file as a path that can be read: Spark reports it percent-encoded, local ones in two forms."""
+    return unquote(file).replace("file:///", "file:/")

@@ -30,12 +30,16 @@ def read_table(
 ) -> DataFrame:
     """One table of one run date; parts landed in sub-folders belong to it.
 
-    A known ``schema`` saves the job that looks it up in the files.
+    Parts may have columns of their own: a column that a part lacks is NULL in
+    its rows. A known ``schema`` saves the job that looks it up in the files. A
+    table whose replacement was interrupted is put back first.
     """
-    reader = spark.read.option("recursiveFileLookup", True)
+    target = table_path(root, run_date, name)
+    _put_back(spark, target)
+    reader = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(table_path(root, run_date, name))
+    return reader.parquet(target)
 
 
 def publish(df: DataFrame, root: str, run_date: str, name: str) -> str:
@@ -56,10 +60,31 @@ def write_replacing(df: DataFrame, target: str, staging: str) -> None:
     try:
         df.write.parquet(staged)
     except Exception:
-        path, fs = _file_system(df.sparkSession, staged)
-        fs.delete(path, True)
+        discard(df.sparkSession, staged)
         raise
-    _replace(df.sparkSession, staged, target)
+    replace(df.sparkSession, staged, target)
+
+
+def discard(spark: SparkSession, name: str) -> None:
+    """Delete a folder if it is there."""
+    path, fs = _file_system(spark, name)
+    fs.delete(path, True)
+
+
+def publish_days(df: DataFrame, day: str, root: str, name: str) -> None:
+    """Replace one table of many run dates in one write; ``day`` holds yyyymmdd.
+
+    The dates are moved into place one after the other, by renaming.
+    """
+    spark = df.sparkSession
+    staged = f"{root.rstrip('/')}/_staging/{uuid.uuid4().hex}"
+    df.write.partitionBy(day).parquet(staged)
+    path, fs = _file_system(spark, staged)
+    for entry in fs.listStatus(path):
+        folder = entry.getPath().getName()
+        if folder.startswith(f"{day}="):
+            replace(spark, f"{staged}/{folder}", table_path(root, folder.split("=", 1)[1], name))
+    fs.delete(path, True)
 
 
 def append_rows(df: DataFrame, root: str, run_date: str, name: str) -> str:
@@ -81,7 +106,7 @@ def run_history(spark: SparkSession, root: str, name: str) -> DataFrame:
     A bad day is taken back by dropping its folder.
     """
     day = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{8})/[^/]+\.parquet/", 1)
-    history = spark.read.parquet(f"{root.rstrip('/')}/*/{name}.parquet")
+    history = spark.read.option("mergeSchema", True).parquet(f"{root.rstrip('/')}/*/{name}.parquet")
     return history.withColumn("run_day", day)
 
 
@@ -101,18 +126,38 @@ def _file_system(spark: SparkSession, name: str):
     return path, path.getFileSystem(context._jsc.hadoopConfiguration())
 
 
-def _replace(spark: SparkSession, staged: str, target: str) -> None:
-    """Move ``staged`` to ``target``; the table before it comes back if that fails."""
+def _aside(target: str) -> str:
+    """Where the table before stands while it is replaced; readers skip such names."""
+    folder, name = target.rstrip("/").rsplit("/", 1)
+    return f"{folder}/_before-{name}"
+
+
+def _put_back(spark: SparkSession, target: str) -> None:
+    """Undo a replacement that stopped between its two steps."""
+    current, fs = _file_system(spark, target)
+    old, _ = _file_system(spark, _aside(target))
+    if not fs.exists(current) and fs.exists(old):
+        fs.rename(old, current)
+
+
+def replace(spark: SparkSession, staged: str, target: str) -> None:
+    """Move ``staged`` to ``target``.
+
+    The table before is set aside under a name that follows from the target. If
+    the second step fails it comes back at once; if the driver is lost between
+    the steps, the next read or replacement puts it back. Renames are cheap on a
+    file system and copies on an object store.
+    """
+    _put_back(spark, target)
     current, fs = _file_system(spark, target)
     new, _ = _file_system(spark, staged)
-    old, _ = _file_system(spark, f"{staged}-replaced")
-    had_one = fs.exists(current)
-    if had_one and not fs.rename(current, old):
-        raise OSError(f"cannot move {target} aside")
+    old, _ = _file_system(spark, _aside(target))
+    if fs.exists(current):
+        fs.delete(old, True)
+        if not fs.rename(current, old):
+            raise OSError(f"cannot move {target} aside")
     fs.mkdirs(current.getParent())
     if not fs.rename(new, current):
-        if had_one:
-            fs.rename(old, current)
+        _put_back(spark, target)
         raise OSError(f"cannot move {staged} to {target}")
-    if had_one:
-        fs.delete(old, True)
+    fs.delete(old, True)

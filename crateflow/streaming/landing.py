@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
 
 from crateflow.contracts import LANDING_LOG, SOURCES, SourceSpec
 from crateflow.jobs import Reader, bronze_frame, default_readers
-from crateflow.sources.tables import log_frame, run_dir, table_path, write_replacing
+from crateflow.sources.tables import (
+    discard,
+    log_frame,
+    replace,
+    run_dir,
+    table_path,
+    write_replacing,
+)
 
 # fixed schema of the binaryFile source; only the path is read here
 _FILES = "path string, modificationTime timestamp, length long, content binary"
@@ -28,7 +36,8 @@ def ingest_new_files(
 
     Files lie in one folder per source, ``<landing>/<source file>/…``. The
     stream carries paths only. Its checkpoint remembers them, and a repeated
-    micro-batch overwrites its own part of the table, so nothing lands twice.
+    micro-batch replaces its own part of the table as a whole, so nothing lands
+    twice.
     """
     readers = readers or default_readers(spark)
 
@@ -38,7 +47,7 @@ def ingest_new_files(
         records = []
         for source, files in _by_source(paths).items():
             records += _ingest_source(
-                source, sorted(files), stream_batch, bronze_root, run_date, batch_id, readers
+                spark, source, sorted(files), stream_batch, bronze_root, run_date, batch_id, readers
             )
         write_replacing(
             log_frame(spark, records, LANDING_LOG),
@@ -70,6 +79,7 @@ def _by_source(paths: list[str]) -> dict[SourceSpec | None, list[str]]:
 
 
 def _ingest_source(
+    spark: SparkSession,
     source: SourceSpec | None,
     files: list[str],
     stream_batch: int,
@@ -78,29 +88,36 @@ def _ingest_source(
     batch_id: str,
     readers: dict[str, Reader],
 ) -> list[dict]:
-    """All files of a source in one job; one by one only when that fails."""
+    """All files of a source in one job; by halves when that fails.
+
+    The half without the bad file goes in at once, so a bad file among n costs
+    about log n jobs. What could be read is gathered beside the table and then
+    replaces the part of this batch, whatever an earlier attempt left there; when
+    nothing could be read, that part goes.
+    """
     if source is None:
         return [_record(path, "failed", "no source with this folder name") for path in files]
     part = f"{table_path(bronze_root, run_date, source.name)}/landed={stream_batch}"
-    staging = f"{run_dir(bronze_root, run_date)}/_staging"
-
-    def write(paths: list[str], target: str) -> None:
-        raw = readers[source.format](source, paths)
-        write_replacing(bronze_frame(raw, source, run_date, batch_id), target, staging)
-
-    try:
-        write(files, part)
-        return [_record(path, "success") for path in files]
-    except Exception as error:  # noqa: BLE001 -- one bad file must not stop the others
-        if len(files) == 1:
-            return [_record(files[0], "failed", str(error))]
-    records = []
-    for i, path in enumerate(files):
+    staged = f"{run_dir(bronze_root, run_date)}/_staging/{uuid.uuid4().hex}"
+
+    def take(paths: list[str]) -> list[dict]:
+        target = f"{staged}/files={uuid.uuid4().hex}"
         try:
-            write([path], f"{part}/file={i}")
-            records.append(_record(path, "success"))
-        except Exception as error:  # noqa: BLE001
-            records.append(_record(path, "failed", str(error)))
+            raw = readers[source.format](source, paths)
+            bronze_frame(raw, source, run_date, batch_id).write.parquet(target)
+            return [_record(path, "success") for path in paths]
+        except Exception as error:  # noqa: BLE001 -- one bad file must not stop the others
+            discard(spark, target)
+            if len(paths) == 1:
+                return [_record(paths[0], "failed", str(error))]
+        half = len(paths) // 2
+        return take(paths[:half]) + take(paths[half:])
+
+    records = take(files)
+    if any(record["status"] == "success" for record in records):
+        replace(spark, staged, part)
+    else:
+        discard(spark, part)
     return records
 
 

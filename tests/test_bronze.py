@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 import pytest
 
@@ -13,10 +13,40 @@ def test_lineage_adds_five_constant_columns(spark):
     assert out.columns == ["a", *LINEAGE]
     for row in out.collect():
         assert row[1:] == (
-            "SRC03_customer_master.csv", "google_drive", "2026-07-22", datetime(2026, 1, 2), "b1",
+            "SRC03_customer_master.csv", "google_drive", "2026-07-22",
+            "2026-01-02T00:00:00.000000Z", "b1",
         )
 
 
+def test_lineage_time_is_utc_in_any_session(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Ho_Chi_Minh")
+    try:
+        noon = datetime(2026, 1, 2, 12, tzinfo=timezone(timedelta(hours=7)))
+        row = cast_to_string(attach_lineage(spark.range(1), "f.csv", "2026-07-22", "b1", noon)).first()
+        assert row["_ingested_at"] == "2026-01-02T05:00:00.000000Z"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_csv_files_are_bound_by_their_own_header(spark, tmp_path):
+    (tmp_path / "in put").mkdir()
+    (tmp_path / "in put" / "a.csv").write_text("name,street\nAn,Street1\n")
+    (tmp_path / "in put" / "b%20.csv").write_text("street,extra,name\nStreet2,x,Binh\n")
+    rows = scan_csv(spark, str(tmp_path / "in put"), row_seq=True).orderBy("name").collect()
+    assert [(r["name"], r["street"], r["extra"]) for r in rows] == [
+        ("An", "Street1", None), ("Binh", "Street2", "x"),
+    ]
+    assert len({r[ROW_SEQ] for r in rows}) == 2
+
+
+def test_csv_without_header_fails(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id\n1\n")
+    (tmp_path / "b.csv").write_text("")
+    with pytest.raises(ValueError, match="no header"):
+        scan_csv(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")])
+
+
 def test_lineage_time_is_one_value_per_call(spark):
     out = attach_lineage(spark.range(100).repartition(8), "f.csv", "2026-07-22", "b1")
     assert out.select("_ingested_at").distinct().count() == 1

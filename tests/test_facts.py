@@ -123,7 +123,9 @@ def offers(spark):
             ("A", "P1, P2", "ALL", None, date(2024, 1, 11), date(2024, 1, 20), 10.0),
             ("B", "P1", "R", "N", date(2024, 1, 15), date(2024, 1, 16), 0.0),
             ("C", "P9", "ALL", "ALL", date(2024, 1, 1), date(2024, 1, 2), 5.0),
-            ("D", None, "ALL", "ALL", date(2024, 1, 1), date(2024, 1, 2), None),
+            # no list and ALL mean every product, also one that no list names
+            ("D", None, "ALL", "ALL", date(2024, 1, 15), date(2024, 1, 15), None),
+            ("E", "all", "R", "S", date(2024, 1, 1), date(2024, 3, 2), 1.0),
         ],
         PROMOTIONS,
     )
@@ -148,12 +150,13 @@ def test_promotion_bridge(spark, january, offers):
     out = promotions.promotion_bridge(january, offers, ["order_id"])
     assert sorted((r["promotion_id"], r["order_id"]) for r in out.collect()) == [
         ("A", "both"), ("A", "first"), ("A", "last"), ("A", "other channel"), ("A", "other region"), ("B", "both"),
+        ("D", "both"), ("D", "no promotion"), ("D", "other channel"), ("D", "other region"), ("E", "other region"),
     ]
 
 
 def test_promotion_sales(january, offers):
     out = {r[0]: tuple(r)[1:] for r in promotions.promotion_sales(january, offers).collect()}
-    assert out == {"A": (117.0, 1041.0), "B": (7.0, 140.0), "C": (0.0, 0.0), "D": (0.0, 0.0)}
+    assert out == {"A": (117.0, 1041.0), "B": (7.0, 140.0), "C": (0.0, 0.0), "D": (21.0, 1146.0), "E": (3.0, 0.0)}
 
 
 def test_promotion_uplift(january, offers):
@@ -163,6 +166,8 @@ def test_promotion_uplift(january, offers):
     assert a["uplift_revenue"] == pytest.approx(77.0) and a["roi"] == pytest.approx(6.7)
     assert out["B"]["roi"] is None and out["B"]["before_period_daily_revenue"] == 0.0
     assert out["C"]["uplift_revenue"] == 0.0 and out["C"]["roi"] == -1.0
+    assert out["D"]["in_period_daily_revenue"] == 21.0 and out["D"]["roi"] is None
+    assert out["E"]["uplift_revenue"] == pytest.approx(3.0)
 
 
 def test_mart(spark, star):

@@ -97,9 +97,10 @@ def test_files_to_gold(spark, layers):
     assert dict(clean.dtypes)["net_amount"] == "double" and dict(clean.dtypes)["order_date"] == "date"
     assert clean.filter("order_id = 'O1'").first()["region"] == "NORTH"
 
-    paths = jobs.run_gold(spark, DAY, layers["silver"], layers["gold"])
-    gold = {name: spark.read.parquet(path) for name, path in paths.items()}
-    assert len(gold) == 13
+    records = jobs.run_gold(spark, DAY, layers["silver"], layers["gold"])
+    assert {r["status"] for r in records} == {"success"} and len(records) == 13
+    gold = {r["table_name"]: read_table(spark, layers["gold"], DAY, r["table_name"]) for r in records}
+    assert all(gold[r["table_name"]].count() == r["rows"] for r in records)
     fact = {r["order_id"]: r for r in gold["fact_sales"].collect()}
     assert (fact["O1"]["customer_key"], fact["O1"]["product_key"], fact["O1"]["employee_key"]) == (1, 1, 1)
     assert (fact["O2"]["customer_key"], fact["O2"]["product_key"], fact["O2"]["employee_key"]) == (2, -1, 2)
@@ -133,6 +134,69 @@ def test_one_bad_source_does_not_stop_bronze(spark, layers):
     assert log.filter("status = 'failed' AND error_message IS NOT NULL").count() == 2
 
 
+def test_one_bad_table_does_not_stop_gold(spark, layers):
+    bronze(spark, layers)
+    sources = tuple(s for s in SOURCES if s != BY_CODE["SRC04"])
+    jobs.run_silver(spark, DAY, layers["bronze"], layers["silver"], sources)
+    records = jobs.run_gold(spark, DAY, layers["silver"], layers["gold"])
+    failed = {r["table_name"]: r["error_message"] for r in records if r["status"] == "failed"}
+    assert set(failed) == {
+        "dim_products", "fact_sales", "fact_returns", "fact_distributor_orders",
+        "bridge_sales_promotion", "mart_sales_vs_target",
+    }
+    assert failed["fact_sales"] == "needs dim_products"
+    assert read_table(spark, layers["gold"], DAY, "fact_targets").count() == len(ROWS["SRC02"])
+    log = read_table(spark, layers["gold"], DAY, "gold_log")
+    assert log.where("status = 'failed'").count() == 6 and log.count() == 13
+
+
+def test_a_reader_gets_a_bucket_root_unchanged(spark, tmp_path):
+    asked = []
+
+    def read(source, paths):
+        asked.extend(paths)
+        raise OSError("not here")
+
+    source = (BY_CODE["SRC04"],)
+    for root in ("s3a://bucket/raw", "hdfs://name/raw/"):
+        jobs.run_bronze(spark, DAY, "b", root, str(tmp_path), {"xlsx": read}, source)
+    assert asked == [f"s3a://bucket/raw/{source[0].file}", f"hdfs://name/raw/{source[0].file}"]
+
+
+def test_an_interrupted_replacement_is_put_back(spark, tmp_path):
+    root = str(tmp_path)
+    publish(spark.range(3), root, DAY, "t")
+    folder = tmp_path / "20260722"
+    # the driver is lost after the first of the two steps
+    os.rename(folder / "t.parquet", folder / "_before-t.parquet")
+    assert read_table(spark, root, DAY, "t").count() == 3
+    os.rename(folder / "t.parquet", folder / "_before-t.parquet")
+    publish(spark.range(5), root, DAY, "t")
+    assert read_table(spark, root, DAY, "t").count() == 5
+    assert not (folder / "_before-t.parquet").exists()
+
+
+def test_a_replayed_batch_replaces_its_part(spark, tmp_path):
+    folder = tmp_path / "in" / BY_CODE["SRC03"].file
+    for name in ("one", "two"):
+        write_source(str(folder / name), "SRC03", ROWS["SRC03"][:1])
+    landing(spark, tmp_path)
+    before = read_table(spark, str(tmp_path / "bronze"), DAY, BY_CODE["SRC03"].name).count()
+    plain = jobs.default_readers(spark)["csv"]
+
+    def only_alone(source, paths):
+        if len(paths) > 1:
+            raise OSError("busy")
+        return plain(source, paths)
+
+    # the checkpoint of the first attempt is lost, and reading many files fails
+    ingest_new_files(
+        spark, str(tmp_path / "in"), str(tmp_path / "bronze"), str(tmp_path / "again"), DAY, "b1",
+        {"csv": only_alone},
+    )
+    assert read_table(spark, str(tmp_path / "bronze"), DAY, BY_CODE["SRC03"].name).count() == before == 2
+
+
 def test_rerun_replaces_tables_and_ingest_log_but_adds_to_silver_log(spark, layers):
     sources = (BY_CODE["SRC03"], BY_CODE["SRC04"])
     for _ in range(2):

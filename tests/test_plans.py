@@ -49,6 +49,18 @@ def test_hot_and_missing_keys_are_split(spark):
     assert hot == {hashes["h"]: 3, hashes["n"]: 3}
 
 
+def test_every_hot_key_is_split_however_many(spark):
+    left = spark.range(60_000).select((F.col("id") % 1500).cast("string").alias("k"))
+    spark.conf.set("spark.sql.shuffle.partitions", "6000")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    try:
+        hot = spread._hot_keys(left.coalesce(2), ["k"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.parallelismFirst")
+    assert hot.count() == 1500 and {r["_salts"] for r in hot.collect()} == {4}
+
+
 def test_even_keys_are_not_split(spark):
     left = spark.range(5000).select(F.col("id").cast("string").alias("k"))
     assert spread._hot_keys(left, ["k"]) is None
@@ -78,6 +90,16 @@ def test_different_key_types_are_refused(spark):
         spread.spread_join(spark.range(1), spark.range(1), ["id"], "full_outer")
 
 
+def test_size_check_counts_nested_values(spark):
+    df = spark.range(10).select(
+        F.array_repeat(F.lit("x" * 90), 10).alias("a"),
+        F.create_map(F.lit("k"), F.array(F.lit(1), F.lit(2))).alias("m"),
+        F.struct(F.lit("y" * 50).alias("s"), F.lit(None).cast("array<int>").alias("none")).alias("t"),
+    )
+    assert fits_broadcast(df, max_bytes=13_000)
+    assert not fits_broadcast(df, max_bytes=10_000)
+
+
 def test_size_check(spark):
     df = spark.range(100).select(F.lit("x" * 100).alias("s"))
     assert fits_broadcast(df)
