@@ -172,6 +172,16 @@ def returns(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def all_dates(spark: SparkSession, folder: str) -> DataFrame:
+    """The days of sales, returns and distributor orders, from one pass over the lines."""
+    shipped = F.col("l_shipdate").cast("date")
+    return _order_lines(spark, folder).select(
+        "order_date",
+        F.when(F.col("l_returnflag") == "R", shipped).alias("return_date"),
+        shipped.alias("delivery_date"),
+    )
+
+
 def distributor_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines as orders of a distributor."""
     delivered = F.floor(F.col("l_quantity") * (1 - F.col("l_discount"))).cast("double")

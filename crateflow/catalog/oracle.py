@@ -371,7 +371,7 @@ ORACLE: dict[str, str] = {
         SELECT 'CUS' || c_custkey AS customer_id,
                c_name || CASE WHEN n = 1 THEN ' (copy)' ELSE '' END AS customer_name,
                '09' || c_custkey AS phone,
-               CASE WHEN c_mktsegment NOT LIKE '%building%' THEN 'gold' END AS loyalty, 'SRC03_customer_master.csv' AS _source_file,
+               CASE WHEN lower(c_mktsegment) NOT LIKE '%building%' THEN 'gold' END AS loyalty, 'SRC03_customer_master.csv' AS _source_file,
                '2026-07-22' AS _run_date
         FROM customer,
              LATERAL (SELECT unnest(range(CASE WHEN c_custkey % 50 = 0 THEN 2 ELSE 1 END)) AS n)""",
@@ -388,7 +388,7 @@ ORACLE: dict[str, str] = {
     "bronze_lineage": """
         SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
                'SRC03_customer_master.csv' AS _source_file, 'google_drive' AS _source_platform,
-               '2026-07-22' AS _run_date, '2026-07-22 01:02:03' AS _ingested_at,
+               '2026-07-22' AS _run_date, '2026-07-22T01:02:03.000000Z' AS _ingested_at,
                'batch-1' AS _batch_id
         FROM customer""",
     "bronze_cast_string": """

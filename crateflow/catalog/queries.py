@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import partial
 
 import pandas as pd
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from crateflow.functions.columns import source_name
 from crateflow.operators import bronze, dimensions, facts, marts, promotions, quality, silver
 from crateflow.operators.asof import asof_by_timeline, resolve_asof
 from crateflow.plans.dense_key import dense_key
-from crateflow.session import scratch_dir
+from crateflow.session import scratch_dir, stored
 from crateflow.sources.delimited import scan_csv
 from crateflow.sources.tables import (
     append_rows,
@@ -27,7 +29,7 @@ from crateflow.sources.tables import (
     read_table,
     run_history,
 )
-from crateflow.sources.workbook import decode_workbooks
+from crateflow.sources.workbook import scan_workbooks
 from crateflow.streaming.landing import ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,11 +68,14 @@ _PART_HEADER = ["product_id", "product_name", "size", "price", "launched"]
 _PARTS_PER_WORKBOOK = 5_000
 
 
-def _part_workbook(group: pd.DataFrame) -> pd.DataFrame:
+def _write_workbook(folder: str, group: pd.DataFrame) -> pd.DataFrame:
     # a group is one block of part numbers, so it is bounded by the block
     rows = list(group[_PART_HEADER].itertuples(index=False, name=None))
-    path = f"block-{int(group['block'].iloc[0]):012d}.xlsx"
-    return pd.DataFrame({"path": [path], "content": [encode_workbook(_PART_HEADER, rows)]})
+    path = f"{folder}/block-{int(group['block'].iloc[0]):012d}.xlsx"
+    store, place = FileSystem.from_uri(path)
+    with store.open_output_stream(place) as out:
+        out.write(encode_workbook(_PART_HEADER, rows))
+    return pd.DataFrame({"path": [path]})
 
 
 @query
@@ -83,8 +88,10 @@ def scan_workbook_strings(spark, folder):
         F.date_add(F.lit("1994-01-01").cast("date"), F.col("p_size")).alias("launched"),
         F.floor(F.col("p_partkey") / _PARTS_PER_WORKBOOK).alias("block"),
     )
-    books = parts.groupBy("block").applyInPandas(_part_workbook, "path string, content binary")
-    return decode_workbooks(books)
+    books = scratch_dir(spark, "workbooks")
+    FileSystem.from_uri(books)[0].create_dir(FileSystem.from_uri(books)[1])
+    parts.groupBy("block").applyInPandas(partial(_write_workbook, books), "path string").count()
+    return scan_workbooks(spark, books)
 
 
 @query
@@ -434,13 +441,24 @@ def dim_promotion(spark, folder):
     return dimensions.build_dim_promotions(rows, "promotion_id")
 
 
+# Tables that several steps look at are written down, as they would lie in Gold.
+
+
+def _customers(spark, folder):
+    return stored(dimensions.build_dim_customers(feeds.customers(spark, folder)), "customers")
+
+
+def _products(spark, folder):
+    return stored(dimensions.build_dim_products(feeds.products(spark, folder)), "products")
+
+
 def _fact_sales(spark, folder):
-    sales = feeds.sales(spark, folder)
+    sales = stored(feeds.sales(spark, folder), "sales")
     return facts.build_fact_sales(
         sales,
-        dimensions.build_dim_customers(feeds.customers(spark, folder)),
-        dimensions.build_dim_products(feeds.products(spark, folder)),
-        _dim_employees(spark, folder),
+        _customers(spark, folder),
+        _products(spark, folder),
+        stored(_dim_employees(spark, folder), "employees"),
         dimensions.build_dim_date((sales, "order_date")),
     )
 
@@ -457,32 +475,31 @@ def fact_targets(spark, folder):
 
 
 def _wide_calendar(spark, folder):
-    return dimensions.build_dim_date(
-        (feeds.sales(spark, folder), "order_date"),
-        (feeds.returns(spark, folder), "return_date"),
-        (feeds.distributor_orders(spark, folder), "order_date"),
-    )
+    dates = feeds.all_dates(spark, folder)
+    return dimensions.build_dim_date(*[(dates, column) for column in dates.columns])
 
 
 @query
 def fact_returns(spark, folder):
     return facts.build_fact_returns(
-        feeds.returns(spark, folder),
-        dimensions.build_dim_customers(feeds.customers(spark, folder)),
-        dimensions.build_dim_products(feeds.products(spark, folder)),
-        _dim_employees(spark, folder),
-        _wide_calendar(spark, folder),
-        _dim_territory(spark, folder),
+        stored(feeds.returns(spark, folder), "returns"),
+        _customers(spark, folder),
+        _products(spark, folder),
+        stored(_dim_employees(spark, folder), "employees"),
+        stored(_wide_calendar(spark, folder), "dates"),
+        stored(_dim_territory(spark, folder), "territories"),
     )
 
 
 @query
 def fact_distributor_orders(spark, folder):
     return facts.build_fact_distributor_orders(
-        feeds.distributor_orders(spark, folder),
-        dimensions.build_dim_products(feeds.products(spark, folder)),
-        _wide_calendar(spark, folder),
-        dimensions.build_dim_distributors(feeds.distributors(spark, folder)),
+        stored(feeds.distributor_orders(spark, folder), "orders"),
+        _products(spark, folder),
+        stored(_wide_calendar(spark, folder), "dates"),
+        stored(
+            dimensions.build_dim_distributors(feeds.distributors(spark, folder)), "distributors"
+        ),
     )
 
 

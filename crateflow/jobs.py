@@ -46,8 +46,10 @@ Reader = Callable[[SourceSpec, list[str]], DataFrame]
 def default_readers(spark: SparkSession) -> dict[str, Reader]:
     """Readers of the two file formats sources come in."""
     return {
-        "csv": lambda source, paths: scan_csv(spark, paths, source.multiline, row_seq=True),
-        "xlsx": lambda source, paths: scan_workbooks(spark, paths, row_seq=True),
+        "csv": lambda source, paths: scan_csv(
+            spark, paths, source.multiline, row_seq=True, check=lambda df: check_contract(df, source)
+        ),
+        "xlsx": lambda source, paths: scan_workbooks(spark, paths, True, source.columns),
     }
 
 

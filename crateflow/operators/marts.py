@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from crateflow.functions.columns import first_of_month, money_sum, share, whole
 from crateflow.operators.asof import resolve_asof, version_attribute
+from crateflow.session import stored
 
 UNKNOWN_REGION = "Unknown"
 
@@ -68,7 +69,8 @@ def sales_vs_target(
         "employee_id", whole("year").alias("year"), whole("month").alias("month")
     ).agg(money_sum("target_revenue").alias("target"))
     grain = actual.join(target, keys, "full_outer")
-    dated = grain.withColumn("_day", first_of_month(F.col("year"), F.col("month")))
+    # looked at for its dates and for its keys, and small: a row per employee and month
+    dated = stored(grain.withColumn("_day", first_of_month(F.col("year"), F.col("month"))), "grain")
     keyed = resolve_asof(dated, dim_employees, ["employee_id"], "_day", "employee_key")
     placed = version_attribute(keyed, dim_employees, "employee_key", {"region": "_region"})
     region = F.when(F.col("employee_key") == -1, UNKNOWN_REGION).otherwise(F.col("_region"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Callable
 from functools import reduce
 from urllib.parse import unquote
 
@@ -13,19 +14,26 @@ from crateflow.contracts import ROW_SEQ
 
 
 def scan_csv(
-    spark: SparkSession, path: str | list[str], multiline: bool = True, row_seq: bool = False
+    spark: SparkSession,
+    path: str | list[str],
+    multiline: bool = True,
+    row_seq: bool = False,
+    check: Callable[[DataFrame], None] | None = None,
 ) -> DataFrame:
     """Read CSV with a header; nothing is inferred, a ragged row fails the read.
 
     Columns are named by the header of their own file. Spark binds all files of
     one read by position, so files are read in groups of one header line, and
-    the groups are joined by name; a column that a group lacks is NULL there. An
-    empty file has no header and fails the read. ``row_seq`` adds the place of
+    the groups are joined by name; a column that a group lacks is NULL there.
+    ``check`` sees each group before that and may raise. An empty file has no
+    header and fails the read. ``row_seq`` adds the place of
     each row in the file; of several files read at once each keeps its own
     order, but which file comes first is up to Spark.
     """
     groups = _by_header(spark, [path] if isinstance(path, str) else path)
     frames = [_scan(spark, files, multiline) for files in groups]
+    for frame in frames if check else ():
+        check(frame)
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     return df.withColumn(ROW_SEQ, F.monotonically_increasing_id()) if row_seq else df
 

@@ -11,6 +11,7 @@ import re
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime, timedelta
+from functools import partial
 from itertools import islice
 from xml.etree import ElementTree
 
@@ -21,38 +22,53 @@ from pyspark.sql import functions as F
 from crateflow.contracts import ROW_SEQ
 
 _ROWS_PER_BATCH = 5_000
-_CELLS = "path string, row_no long, header array<string>, cells array<string>"
+_CELLS = "path string, row_no long, cells array<string>"
 # Built-in number formats that show a date or a time.
 _DATE_FORMATS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
 _EPOCH = datetime(1899, 12, 30)
 _EPOCH_1904 = datetime(1904, 1, 1)
 
 
-def scan_workbooks(spark: SparkSession, path: str | list[str], row_seq: bool = False) -> DataFrame:
+def scan_workbooks(
+    spark: SparkSession,
+    path: str | list[str],
+    row_seq: bool = False,
+    required: tuple[str, ...] = (),
+) -> DataFrame:
     """First sheet of every workbook under ``path``: header row, then string rows."""
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return decode_workbooks(files, row_seq)
+    return decode_workbooks(files, row_seq, required)
 
 
-def decode_workbooks(files: DataFrame, row_seq: bool = False) -> DataFrame:
+def decode_workbooks(
+    files: DataFrame, row_seq: bool = False, required: tuple[str, ...] = ()
+) -> DataFrame:
     """Turn ``path, content`` rows into one string table.
 
     The columns are those of all workbooks, in order of first appearance; a
-    workbook without one of them has NULL there.
+    workbook without one of them has NULL there. A ``required`` column that some
+    workbooks have and others lack fails the read.
     """
-    # one header row per workbook comes to the driver
+    # only the distinct names come to the driver, however many workbooks there are
     headers = files.mapInPandas(_headers, "path string, header array<string>")
-    headers = headers.orderBy("path").collect()
-    names = list(dict.fromkeys(name for row in headers for name in row["header"]))
+    places = headers.select("path", F.posexplode("header").alias("at", "name"))
+    firsts = places.groupBy("name").agg(
+        F.min(F.struct("path", "at")).alias("first"), F.count("*").alias("books")
+    )
+    found = firsts.orderBy("first").collect()
+    names = [row["name"] for row in found]
     if not names:
         raise ValueError("no workbook with a header row found")
-    cell = F.map_from_arrays("header", "cells")
-    columns = [F.try_element_at(cell, F.lit(name)).alias(name) for name in names]
+    most = max(row["books"] for row in found)
+    torn = [row["name"] for row in found if row["name"] in required and row["books"] < most]
+    if torn:
+        raise ValueError(f"not in every workbook: {', '.join(torn)}")
+    columns = [F.get("cells", F.lit(i)).alias(name) for i, name in enumerate(names)]
     if row_seq:
         # rows of one workbook in sheet order, workbooks apart by their path
         place = F.shiftleft(F.xxhash64("path").bitwiseAND((1 << 41) - 1), 21) + F.col("row_no")
         columns.append(place.alias(ROW_SEQ))
-    return files.mapInPandas(_decode, _CELLS).select(*columns)
+    return files.mapInPandas(partial(_decode, names), _CELLS).select(*columns)
 
 
 def _headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -62,16 +78,20 @@ def _headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"path": [path], "header": [header]})
 
 
-def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = ["path", "row_no", "header", "cells"]
+def _decode(names: list[str], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows with their cells in the order of ``names``."""
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
             rows = _sheet_rows(content)
-            header = _header(next(rows, []))
+            place = {name: at for at, name in enumerate(_header(next(rows, [])))}
+            order = [place.get(name) for name in names]
             numbered = enumerate(rows, start=1)
             while chunk := list(islice(numbered, _ROWS_PER_BATCH)):
-                table = [(path, n, header, _padded(cells, len(header))) for n, cells in chunk]
-                yield pd.DataFrame(table, columns=names)
+                table = [
+                    (path, n, [cells[at] if at is not None and at < len(cells) else None for at in order])
+                    for n, cells in chunk
+                ]
+                yield pd.DataFrame(table, columns=["path", "row_no", "cells"])
 
 
 def _header(cells: list[str | None]) -> list[str]:
@@ -83,10 +103,6 @@ def _header(cells: list[str | None]) -> list[str]:
     return names
 
 
-def _padded(cells: list[str | None], width: int) -> list[str | None]:
-    return (cells + [None] * width)[:width]
-
-
 def _sheet_rows(content: bytes) -> Iterator[list[str | None]]:
     """Rows of the first sheet that hold at least one value."""
     with zipfile.ZipFile(io.BytesIO(content)) as book:
