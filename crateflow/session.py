@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,6 +72,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_alone(spark: SparkSession, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """What ``build`` gives, stored; the tables it stored on the way are removed."""
+    path = scratch_dir(spark, label)
+    with scratch_of_job(spark):
+        df = build()
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _file_system(spark: SparkSession, name: str):
     context = spark.sparkContext
     path = context._jvm.org.apache.hadoop.fs.Path(name)
