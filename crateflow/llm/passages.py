@@ -21,10 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crateflow.llm.rows import row_key
+from crateflow.llm.rows import BROADCAST_BYTES, row_key, small
 from crateflow.llm.words import encoded, hashed, mixed, slices, split_words, window_starts, windows
 from crateflow.plans.sizing import fits_broadcast
-from crateflow.session import stored
+from crateflow.session import stored, stored_alone
 
 WINDOW, GRAM = 20, 6
 GRAMS = WINDOW - GRAM + 1
@@ -160,6 +160,8 @@ def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 def _shard(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in _chunks(batches):
+        # Earliest first; a missing id comes last.
+        rows = rows.sort_by([(name, "ascending") for name in ("doc_id", "row_key", "start")])
         pieces = rows["words"].to_pylist()
         texts = lettered(pieces)
         salted = rows["salts"].to_numpy() > 1
@@ -220,17 +222,25 @@ def _remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _with_cuts(docs: DataFrame, cuts: DataFrame, how: str) -> DataFrame:
-    """``doc_id, row_key, text`` with the ``cuts`` of the document.
+    """``doc_id, row_key, text`` with the ``cuts`` of the document (a stored table).
 
     The cuts are broadcast when their checked size allows, so texts stay in
-    place; beyond that both sides are shuffled.
+    place. Beyond that only documents with cuts are shuffled, as far as the list
+    of those can be broadcast.
     """
     cuts = cuts.withColumnsRenamed({"doc_id": "_id", "row_key": "_key"})
-    if fits_broadcast(cuts):
-        cuts = F.broadcast(cuts)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(), "text")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row_key") == F.col("_key"))
-    return rows.join(cuts, same, how).drop("_id", "_key")
+    if fits_broadcast(cuts, max_bytes=BROADCAST_BYTES):
+        return rows.join(F.broadcast(cuts), same, how).drop("_id", "_key")
+    listed = cuts.select("_id", "_key")
+    if not fits_broadcast(listed, max_bytes=BROADCAST_BYTES):
+        return rows.join(cuts, same, how).drop("_id", "_key")
+    cut = rows.join(F.broadcast(listed), same, "left_semi").join(cuts, same).drop("_id", "_key")
+    if how == "inner":
+        return cut
+    rest = rows.join(F.broadcast(listed), same, "left_anti")
+    return cut.unionByName(rest, allowMissingColumns=True)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -249,6 +259,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     pieces are split over several tasks; what is first in each of them is then
     compared by window among the tasks.
     """
+    cuts = stored_alone(docs.sparkSession, "cuts", lambda: _repeats(docs))
+    return _with_cuts(docs, cuts, "left").mapInArrow(
+        _remove, "doc_id long, n_words long, n_removed long, kept string"
+    )
+
+
+def _repeats(docs: DataFrame) -> DataFrame:
+    """``doc_id, row_key, cuts``: runs of windows that start earlier elsewhere."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(), "text").mapInArrow(_anchors, ANCHORS)
     rows = stored(rows.withColumn("r", F.monotonically_increasing_id()), "anchors")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key", "r")
@@ -264,37 +282,40 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         ).distinct()
     )
 
-    spots = rows.join(first.select("r"), "r").select(
-        "doc_id", "row_key", F.explode(F.arrays_zip("anchors", "starts", "counts")).alias("s")
-    ).select("doc_id", "row_key", F.col("s.anchors").alias("anchor"), F.col("s.starts").alias("start"), F.col("s.counts").alias("count"))
+    others = stored(rows.select("r").join(first.select("r"), "r", "left_anti"), "other-texts")
+    # One number for start and count keeps the rows of this widest shuffle short.
+    packed = F.transform("starts", lambda s, i: F.shiftleft(s.cast("long"), 32) + F.get("counts", i))
+    spots = rows.join(small(others), "r", "left_anti").select(
+        "r", F.explode(F.arrays_zip("anchors", packed.alias("spot"))).alias("s")
+    ).select("r", F.col("s.anchors").alias("anchor"), "s.spot")
+    # Written down, so that the join shuffles both sides for itself and hot anchors are split.
     again = spots.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select(
         "anchor", F.ceil(F.col("n") / ANCHOR_PIECES).cast("int").alias("salts")
     )
-    spots = spots.join(again, "anchor").withColumn(
-        "salt", F.pmod(F.xxhash64("doc_id", "row_key", "start"), F.col("salts")).cast("int")
+    spots = spots.join(stored(again, "anchors-again"), "anchor")
+    cut = F.struct(
+        "anchor",
+        F.pmod(F.xxhash64("r", "spot"), F.col("salts")).cast("int").alias("salt"), "salts",
+        F.shiftright("spot", 32).cast("int").alias("start"),
+        F.col("spot").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("count"),
     )
-    cut = F.struct("anchor", "salt", "salts", "start", "count")
-    wanted = stored(spots.groupBy("doc_id", "row_key").agg(F.collect_list(cut).alias("cuts")), "spots")
+    wanted = spots.groupBy("r").agg(F.collect_list(cut).alias("cuts"))
+    wanted = stored(rows.select("r", "doc_id", "row_key").join(wanted, "r").drop("r"), "spots")
 
     pieces = _with_cuts(docs, wanted, "inner").dropDuplicates(["doc_id", "row_key"]) if (
         rows.count() > rows.select("doc_id", "row_key").distinct().count()
     ) else _with_cuts(docs, wanted, "inner")
     pieces = pieces.mapInArrow(_pieces, PIECES)
-    pieces = pieces.repartition("anchor", "salt").sortWithinPartitions(
-        "anchor", "salt", F.col("doc_id").isNull(), "doc_id", "row_key", "start"
-    )
+    pieces = pieces.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt")
     hits = stored(pieces.mapInArrow(_shard, HITS), "hits")
 
     later = hits.where("window is null").select("doc_id", "row_key", "start", "count")
     local = hits.where("window is not null")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key", "start")
     lowest = local.groupBy("window").agg(F.min(place).alias("first"))
-    beaten = local.join(lowest, "window").where(place != F.col("first")).select("doc_id", "row_key", "start", "count")
+    beaten = local.join(lowest, "window").where(~place.eqNullSafe(F.col("first"))).select("doc_id", "row_key", "start", "count")
     cuts = later.unionByName(beaten).unionByName(copies)
-    cuts = cuts.groupBy("doc_id", "row_key").agg(F.collect_list(F.struct("start", "count")).alias("cuts"))
-    return _with_cuts(docs, stored(cuts, "cuts"), "left").mapInArrow(
-        _remove, "doc_id long, n_words long, n_removed long, kept string"
-    )
+    return cuts.groupBy("doc_id", "row_key").agg(F.collect_list(F.struct("start", "count")).alias("cuts"))
 
 
 def op9_substring_dedup(spark, sf_dir):

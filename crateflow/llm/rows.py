@@ -14,6 +14,15 @@ def row_key() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit(""))).alias("row_key")
 
 
+# Smaller than elsewhere: several such tables may be copied in one plan.
+BROADCAST_BYTES = 16 << 20
+
+
+def small(table: DataFrame) -> DataFrame:
+    """A stored table, marked for broadcast when its checked size allows."""
+    return F.broadcast(table) if fits_broadcast(table, max_bytes=BROADCAST_BYTES) else table
+
+
 def without(docs: DataFrame, losers: DataFrame) -> DataFrame:
     """``docs`` less the rows of ``losers`` (``doc_id, row_key``, stored); ids may be null.
 
@@ -21,8 +30,7 @@ def without(docs: DataFrame, losers: DataFrame) -> DataFrame:
     in place; beyond that both sides are shuffled.
     """
     losers = losers.select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key")).distinct()
-    if fits_broadcast(losers):
-        losers = F.broadcast(losers)
+    losers = small(losers)
     same = docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (
         F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("_key")
     )
@@ -34,8 +42,8 @@ def one_row_each(docs: DataFrame, rows: DataFrame, group: str) -> DataFrame:
 
     ``rows`` is a stored table with a row per document: ``doc_id``, ``row_key``,
     the group and ``kept``. Several kept rows of one group have one ``doc_id``;
-    of these the smallest ``row_key`` stays, and of repeated rows any. A null
-    group is a group of its own for each row: all of its rows stay.
+    of these the smallest ``row_key`` stays. A null group is a group of its own
+    for each row: all of its rows stay. Rows repeated with id and text are one.
     """
     named = rows.where(F.col(group).isNotNull())
     winners = named.where("kept").groupBy(group).agg(
@@ -45,5 +53,5 @@ def one_row_each(docs: DataFrame, rows: DataFrame, group: str) -> DataFrame:
     same = named["doc_id"].eqNullSafe(winners["doc_id"]) & (named["row_key"] == winners["row_key"])
     losers = stored(named.join(winners, same, "left_anti").select("doc_id", "row_key"), "losers")
     out = without(docs, losers)
-    repeated = named.groupBy("doc_id", "row_key").count().where("count > 1")
+    repeated = rows.groupBy("doc_id", "row_key").count().where("count > 1")
     return out if repeated.isEmpty() else out.dropDuplicates(["doc_id", "text"])
