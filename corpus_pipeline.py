@@ -27,12 +27,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    return one_row_each(docs, stored(exact_groups(docs), "exact"), "recipe").select(*docs.columns)
+    return one_row_each(docs, exact_groups(docs), "recipe").select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five words, similarity 0.8."""
-    return one_row_each(docs, stored(near_groups(docs), "near"), "component").select(*docs.columns)
+    return one_row_each(docs, near_groups(docs), "component").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

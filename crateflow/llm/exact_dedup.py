@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from crateflow.llm.rows import row_key
 from crateflow.llm.words import encoded, slices
 from crateflow.plans.spread import spread_join
-from crateflow.session import stored
+from crateflow.session import stored, stored_alone
 
 MIN_CHUNK, MEAN_BITS, MAX_CHUNK = 512, 11, 1 << 16
 WHITE = re.compile(rb"[\x20\x09-\x0D]+")
@@ -117,6 +117,10 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     the shuffle. A document with a key under which different chunks were found
     is identified by the digest of its whole text instead.
     """
+    return stored_alone(docs.sparkSession, "exact-groups", lambda: _exact_groups(docs))
+
+
+def _exact_groups(docs: DataFrame) -> DataFrame:
     clashes = stored(distinct_chunks(docs).where("low <> high").select("key"), "clashes")
     rows = stored(chunk_recipes(docs), "recipes")
     if not clashes.isEmpty():

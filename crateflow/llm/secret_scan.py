@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crateflow.llm.words import slices
-from crateflow.session import stored
+from crateflow.session import stored, stored_alone
 
 SCOPE = 200
 # Kinds in the order in which spans of one start are listed.
@@ -136,6 +136,10 @@ def find_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     one are left out. A null or empty text has none; repeated rows and null ids
     give a row each.
     """
+    return stored_alone(docs.sparkSession, "secrets", lambda: _find_secrets(docs, scope))
+
+
+def _find_secrets(docs: DataFrame, scope: int) -> DataFrame:
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text"
     ).mapInArrow(_parts, PARTS)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crateflow.llm.words import slices
-from crateflow.session import stored
+from crateflow.session import stored, stored_alone
 
 # The most frequent pre-tokens travel to every task: at most so many, at most so
 # many bytes each. All others are joined.
@@ -163,6 +163,10 @@ def count_tokens(docs: DataFrame, path: str, frequent: int = FREQUENT) -> DataFr
     the task, the rest are joined by an equal pre-token. Each of the rest holds
     at most one part in ``frequent`` of all rows, so the join has no hot key.
     """
+    return stored_alone(docs.sparkSession, "token-counts", lambda: _count_tokens(docs, path, frequent))
+
+
+def _count_tokens(docs: DataFrame, path: str, frequent: int) -> DataFrame:
     spark = docs.sparkSession
     sizes = stored(piece_sizes(docs, path), "piece-sizes")
     top = (

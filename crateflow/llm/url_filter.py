@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crateflow.llm.rows import small
 from crateflow.plans.spread import spread_join
+from crateflow.session import stored
 
 PREFIX_CHARS = 8  # of the hexadecimal digest
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -105,7 +107,7 @@ def judge_urls(
         F.concat("r_host", "r_path").alias("rule"),
     )
     best = found.groupBy("host", "path").agg(F.max(rank).alias("best"))
-    judged = rows.join(best, ["host", "path"], "left")
+    judged = rows.join(small(stored(best, "judged")), ["host", "path"], "left")
     return judged.select(
         F.col("id").alias(id_column), "host", "path",
         F.col("best.rule").alias("rule"),
