@@ -8,53 +8,75 @@ rules and drops most, and what is left is compiled into one column expression.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
+from operator import eq
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crateflow.plans.sizing import fits_broadcast
-from crateflow.session import stored
+from crateflow.llm.rows import small
+from crateflow.llm.words import encoded, slices
+from crateflow.session import scratch_of_job, stored
 
 # Labelled rows to learn from; of more, a share picked by a hash of the id.
 MAX_ROWS = 200_000
-TREES, DEPTH, LASSO, SEED = 20, 4, 0.0005, 7
+TREES, DEPTH, BINS, LASSO, SEED = 20, 5, 128, 0.0003, 7
 ROWS_PER_PART = 25_000
 
-_TEXT = F.coalesce(F.col("text"), F.lit(""))
 
+# Inputs of the rules, from the text alone, in the order in which ``measured``
+# gives them. Shares are of all bytes, or of all words where the name says so.
+STATISTICS = (
+    "log_bytes", "log_words", "upper_share", "digit_share", "letter_share", "symbol_share",
+    "stop_share", "comma_share", "word_length", "distinct_words", "echoed_words", "short_words",
+    "longest_word", "lines_per_word", "distinct_lines",
+)
 
-def _share(pattern: str) -> Column:
-    """Part of the characters that match."""
-    return F.regexp_count(_TEXT, F.lit(pattern)) / F.greatest(F.length(_TEXT), F.lit(1))
 
+def _marks(characters: str) -> np.ndarray:
+    marks = np.zeros(256, np.int64)
+    marks[list(characters.encode())] = 1
+    return marks
 
-def _per_word(count: Column) -> Column:
-    return count / F.greatest(F.size("_words"), F.lit(1))
 
+_UPPER, _DIGIT = _marks("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), _marks("0123456789")
+# Beyond ASCII a character counts once, by its first byte, and as a letter.
+_LETTER = _UPPER + _marks("abcdefghijklmnopqrstuvwxyz") + (np.arange(256) >= 0xC0)
+_SYMBOL, _STOP, _COMMA = _marks("#$%&*|<>{}\\^~=+@!"), _marks(".?"), _marks(",")
+_CLASSES = np.stack([_UPPER, _DIGIT, _LETTER, _SYMBOL, _STOP, _COMMA])
 
-# Inputs of the rules, from the text alone. ``_words`` and ``_lines`` are its
-# words and non-empty lines.
-STATISTICS: dict[str, Column] = {
-    "log_chars": F.log1p(F.length(_TEXT)),
-    "log_words": F.log1p(F.size("_words")),
-    "upper_share": _share(r"\p{Lu}"),
-    "digit_share": _share(r"\p{N}"),
-    "letter_share": _share(r"\p{L}"),
-    "symbol_share": _share(r"[#$%&*|<>{}\\^~=+@!]"),
-    "stop_share": _share(r"[.?]"),
-    "comma_share": _share(r","),
-    "word_length": _per_word(F.length(_TEXT)),
-    "distinct_words": _per_word(F.size(F.array_distinct("_words"))),
-    "echoed_words": _per_word(F.regexp_count(_TEXT, F.lit(r"(?<![^ \t\n])([^ \t\n]+)(?=[ \t\n]\1(?![^ \t\n]))"))),
-    "short_words": _per_word(F.regexp_count(_TEXT, F.lit(r"(?<!\p{L})\p{L}{1,3}(?!\p{L})"))),
-    "longest_word": F.coalesce(F.array_max(F.transform("_words", lambda w: F.length(w))), F.lit(0)),
-    "lines": _per_word(F.size("_lines")),
-    "distinct_lines": F.size(F.array_distinct("_lines")) / F.greatest(F.size("_lines"), F.lit(1)),
-}
+
+def measured(text: bytes) -> tuple[float, ...]:
+    """The statistics of one text."""
+    words, lines = text.split(), [line for line in text.split(b"\n") if line]
+    n, size = max(len(words), 1), max(len(text), 1)
+    shares = _CLASSES @ np.bincount(np.frombuffer(text, np.uint8), minlength=256) / size
+    return (
+        math.log1p(len(text)), math.log1p(len(words)), *shares.tolist(), len(text) / n,
+        len(set(words)) / n, sum(map(eq, words, islice(words, 1, None))) / n,
+        sum(len(w) <= 3 for w in words) / n, float(max(map(len, words), default=0)),
+        len(lines) / n, len(set(lines)) / max(len(lines), 1),
+    )
+
+
+def _measurer(keep_text: bool) -> Callable:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            table = np.array([measured(text) for text in encoded(batch.column("text"))], float)
+            rest = [name for name in batch.schema.names if keep_text or name != "text"]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(name) for name in rest), *map(pa.array, table.T)],
+                [*rest, *(f"_s_{name}" for name in STATISTICS)],
+            )
+
+    return run
 
 
 @dataclass(frozen=True)
@@ -91,13 +113,12 @@ def conjunction(tests: tuple[Test, ...]) -> Column:
     return out
 
 
-def with_statistics(docs: DataFrame) -> DataFrame:
+def with_statistics(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     """``docs`` with a column ``_s_<name>`` for each statistic; null texts are empty."""
-    split = lambda by: F.filter(F.split(_TEXT, by), lambda x: x != "")
-    cut = docs.withColumns({"_words": split(r"[\x20\x09-\x0D]+"), "_lines": split(r"\n")})
-    return cut.withColumns(
-        {f"_s_{name}": value.cast("double") for name, value in STATISTICS.items()}
-    ).drop("_words", "_lines")
+    fields = [f for f in docs.schema if keep_text or f.name != "text"]
+    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
+    schema += [f"`_s_{name}` double" for name in STATISTICS]
+    return docs.mapInArrow(_measurer(keep_text), ", ".join(schema))
 
 
 def held_out() -> Column:
@@ -133,16 +154,20 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> RuleMod
     half, so an empty table scores a half. At most about ``max_rows`` rows are
     learned from.
     """
+    with scratch_of_job(docs.sparkSession):
+        return _fit(docs, labels, max_rows)
+
+
+def _fit(docs: DataFrame, labels: DataFrame, max_rows: int) -> RuleModel:
     marks = (
         labels.where("doc_id is not null and quality is not null")
         .groupBy(F.col("doc_id").cast("long").alias("_id"))
         .agg((F.avg("quality") >= 0.5).cast("double").alias("label"))
     )
-    if fits_broadcast(labels.select("doc_id", "quality")):
-        marks = F.broadcast(marks)
+    marks = small(stored(marks, "marks"))
     known = docs.select("doc_id", "text").where(~held_out())
-    known = with_statistics(known.join(marks, F.col("doc_id").cast("long") == F.col("_id")))
-    known = stored(known.select("doc_id", "label", *[f"_s_{name}" for name in STATISTICS]), "labelled")
+    known = known.join(marks, F.col("doc_id").cast("long") == F.col("_id")).select("doc_id", "label", "text")
+    known = stored(with_statistics(known, keep_text=False), "labelled")
     total, good = known.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if good in (0, total):
         return RuleModel((), math.log((good + 1) / (total - good + 1)))
@@ -155,7 +180,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> RuleMod
 
     features = VectorAssembler(inputCols=[f"_s_{name}" for name in STATISTICS], outputCol="features")
     forest = RandomForestClassifier(
-        numTrees=TREES, maxDepth=DEPTH, seed=SEED, minInstancesPerNode=5, featureSubsetStrategy="onethird"
+        numTrees=TREES, maxDepth=DEPTH, maxBins=BINS, seed=SEED, minInstancesPerNode=3,
+        featureSubsetStrategy="onethird",
     )
     paths = sorted(tree_paths(forest.fit(features.transform(known))), key=repr)
     if not paths:
@@ -169,13 +195,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> RuleMod
     return RuleModel(rules, float(fitted.intercept))
 
 
-def score_documents(docs: DataFrame, model: RuleModel) -> DataFrame:
-    """The columns of ``docs`` with ``held_out``, ``score`` and ``predicted``.
+def score_documents(docs: DataFrame, model: RuleModel, keep_text: bool = True) -> DataFrame:
+    """The columns of ``docs`` (``text`` if it is to be kept) with ``held_out``,
+    ``score`` and ``predicted``.
 
     A null or empty text is scored like others. Columns of these names are
     replaced; repeated rows and null ids (never held out) are rows like others.
     """
-    rows = with_statistics(docs).withColumns({"held_out": held_out(), "score": model.score()})
+    rows = with_statistics(docs.drop("held_out", "score", "predicted"), keep_text).withColumns({"held_out": held_out(), "score": model.score()})
     rows = rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
     return rows.drop(*[f"_s_{name}" for name in STATISTICS])
 
@@ -184,4 +211,4 @@ def op7_quality_classifier(spark, sf_dir):
     """Every document with its score."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return score_documents(docs, fit(docs, labels)).drop("text")
+    return score_documents(docs, fit(docs, labels), keep_text=False)
