@@ -747,6 +747,17 @@ ORACLE: dict[str, str] = {
             JOIN ({_source_counts(_DISTINCT_ROWS)}) u USING (code)""",
         *_ALL_FEEDS,
     ),
+    "silver_read_back": """
+        SELECT 'CUS' || c_custkey AS customer_id,
+               c_name || CASE WHEN n = 1 THEN ' (copy)' ELSE '' END AS customer_name,
+               CASE WHEN c_custkey % 7 <> 0 THEN 'TAX' || c_custkey ELSE 'UNKNOWN' END AS tax_code,
+               CAST(DATE '1994-01-01' + CAST(c_custkey % 365 AS INTEGER) AS DATE) AS join_date,
+               c_acctbal AS credit_limit, 'SRC03_customer_master.csv' AS _source_file,
+               'batch-1' AS _batch_id
+        FROM customer,
+             LATERAL (SELECT unnest(range(CASE WHEN c_custkey % 50 = 0 THEN 2 ELSE 1 END)) AS n)
+        WHERE c_custkey <> 1""",
+    "gold_read_back": _sql("SELECT * FROM facts", "facts"),
     "gold_job": _sql(
         """SELECT 'dim_customers' AS table_name, count(*) + 1 AS row_count FROM customer
            UNION ALL SELECT 'dim_products', count(*) + 1 FROM part

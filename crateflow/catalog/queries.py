@@ -660,7 +660,22 @@ def silver_job(spark, folder):
 
 
 @query
-def gold_job(spark, folder):
+def silver_read_back(spark, folder):
+    """The customer table as the jobs wrote it, from a feed with an empty key."""
+    source = BY_CODE["SRC03"]
+    nameless = F.when(F.col("customer_id") == "CUS1", None).otherwise(F.col("customer_id"))
+    faults = {"SRC03": lambda df: df.withColumn("customer_id", nameless)}
+    root = scratch_dir(spark, "read-back")
+    readers = _feed_readers(spark, folder, faults)
+    jobs.run_bronze(spark, _RUN_DATE, _BATCH, "unused", f"{root}/bronze", readers, (source,))
+    jobs.run_silver(spark, _RUN_DATE, f"{root}/bronze", f"{root}/silver", (source,))
+    rows = read_table(spark, f"{root}/silver", _RUN_DATE, source.name)
+    columns = ["customer_id", "customer_name", "tax_code", "join_date", "credit_limit"]
+    return rows.select(*columns, "_source_file", "_batch_id")
+
+
+def _gold(spark, folder) -> str:
+    """All Gold tables, written; the folder they are in."""
     root = scratch_dir(spark, "gold")
     for source in SOURCES:
         typed = _FEEDS[source.file[:5]](spark, folder)
@@ -668,5 +683,16 @@ def gold_job(spark, folder):
             typed = typed.withColumn(ROW_SEQ, F.monotonically_increasing_id())
         publish(typed, f"{root}/silver", _RUN_DATE, source.name)
     jobs.run_gold(spark, _RUN_DATE, f"{root}/silver", f"{root}/gold")
-    log = read_table(spark, f"{root}/gold", _RUN_DATE, "gold_log").where("status = 'success'")
+    return f"{root}/gold"
+
+
+@query
+def gold_read_back(spark, folder):
+    """The sales fact as the Gold run wrote it."""
+    return read_table(spark, _gold(spark, folder), _RUN_DATE, "fact_sales")
+
+
+@query
+def gold_job(spark, folder):
+    log = read_table(spark, _gold(spark, folder), _RUN_DATE, "gold_log").where("status = 'success'")
     return log.select("table_name", F.col("rows").alias("row_count"))

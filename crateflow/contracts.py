@@ -228,6 +228,7 @@ GOLD_LOG = T.StructType(
         T.StructField("table_name", T.StringType()),
         T.StructField("run_date", T.StringType()),
         T.StructField("rows", T.LongType()),
+        T.StructField("copies_dropped", T.LongType()),
         T.StructField("status", T.StringType()),
         T.StructField("error_message", T.StringType()),
     ]

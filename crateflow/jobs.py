@@ -38,6 +38,13 @@ from crateflow.sources.workbook import scan_workbooks
 _log = logging.getLogger(__name__)
 
 _SOURCES_AT_ONCE = 4
+# dimensions that keep the first row of a business key, and their source
+_FIRST_KEPT = {
+    "dim_customers": "SRC03",
+    "dim_products": "SRC04",
+    "dim_distributors": "SRC06",
+    "dim_promotion": "SRC10",
+}
 
 # reads the given paths of one source as strings; may be replaced per format
 Reader = Callable[[SourceSpec, list[str]], DataFrame]
@@ -208,8 +215,8 @@ def run_gold(
 
     def build(name: str, work: Callable[[], DataFrame]) -> dict:
         record = {
-            "table_name": name, "run_date": run_date, "rows": 0, "status": "success",
-            "error_message": None,
+            "table_name": name, "run_date": run_date, "rows": 0, "copies_dropped": None,
+            "status": "success", "error_message": None,
         }
         try:
             df = work()
@@ -219,7 +226,11 @@ def run_gold(
             _log.error("%s: %s", name, reason)
             return record | {"status": "failed", "error_message": reason}
         built[name] = read_table(spark, gold_root, run_date, name, df.schema)
-        return record | {"rows": built[name].count()}
+        rows, dropped = built[name].count(), None
+        if name in _FIRST_KEPT:
+            # the dimension has one row more than keys, that of the unknown member
+            dropped = silver(_FIRST_KEPT[name]).count() - (rows - 1)
+        return record | {"rows": rows, "copies_dropped": dropped}
 
     def store(builds: dict[str, Callable[[], DataFrame]]) -> None:
         with ThreadPoolExecutor(_SOURCES_AT_ONCE) as pool:

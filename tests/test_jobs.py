@@ -99,6 +99,7 @@ def test_files_to_gold(spark, layers):
 
     records = jobs.run_gold(spark, DAY, layers["silver"], layers["gold"])
     assert {r["status"] for r in records} == {"success"} and len(records) == 13
+    assert {r["table_name"]: r["copies_dropped"] for r in records if r["copies_dropped"]} == {"dim_customers": 1}
     gold = {r["table_name"]: read_table(spark, layers["gold"], DAY, r["table_name"]) for r in records}
     assert all(gold[r["table_name"]].count() == r["rows"] for r in records)
     fact = {r["order_id"]: r for r in gold["fact_sales"].collect()}
