@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crateflow.llm.rows import small
 from crateflow.session import stored
 
 
@@ -26,10 +27,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while not labels.where("moved").isEmpty():
         known = labels.select("v", "root")
         near = (
-            both.join(known.toDF("other", "low"), "other").groupBy("v").agg(F.min("low").alias("low"))
+            both.join(small(known.toDF("other", "low")), "other").groupBy("v").agg(F.min("low").alias("low"))
         )
-        step = known.join(near, "v").select("v", F.col("root").alias("old"), F.least("root", "low").alias("root"))
-        jump = step.join(known.toDF("root", "further"), "root")
+        step = near.join(small(known), "v").select("v", F.col("root").alias("old"), F.least("root", "low").alias("root"))
+        jump = step.join(small(known.toDF("root", "further")), "root")
         labels = stored(
             jump.select("v", F.col("further").alias("root"), (F.col("further") != F.col("old")).alias("moved")),
             "labels",

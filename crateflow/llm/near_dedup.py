@@ -19,21 +19,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crateflow.llm.components import connected_components
-from crateflow.llm.rows import row_key
+from crateflow.llm.rows import row_key, small
 from crateflow.llm.words import encoded, hashed, slices, shingle_lists, split_words
-from crateflow.plans.sizing import fits_broadcast
 from crateflow.plans.spread import spread_join
-from crateflow.session import stored
+from crateflow.session import stored, stored_alone
 
 # At similarity 0.85 a band agrees with probability 0.44; that none of 28 does,
 # one in ten million times.
 BANDS, BAND = 28, 5
-REGISTERS = BANDS * BAND
+# As many registers again only sharpen the estimate of a pair.
+REGISTERS = 2 * BANDS * BAND
 BASE, RATE, TOP = 1.001, 20.0, 0xFFFF
 # A pair is not confirmed on full sets when the registers are this many times
-# (as a logarithm) likelier under their best similarity than under any allowed.
-DOUBT = 16.0
+# (as a logarithm) likelier under their best similarity than under any allowed:
+# 4.5 deviations, one link of exactly the threshold in 300,000.
+DOUBT = 10.0
 SHINGLES_AT_ONCE = 512
+# Vertices of a bucket that one row of sketches holds.
+BLOCK = 256
+ROUNDS = ("leader", "stray leader", "best", "best", "all")
 
 
 def _family(name: str) -> np.ndarray:
@@ -107,25 +111,70 @@ def log_likelihood(jaccard: np.ndarray, share: np.ndarray, counts: np.ndarray) -
     )
 
 
+def estimated(
+    counts: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Likeliest similarity of pairs, and whether ``percent`` is still in doubt."""
+    share, most = n_a / (n_a + n_b), np.minimum(n_a, n_b) / np.maximum(n_a, n_b)
+    grid = np.stack([log_likelihood(most * g, share, counts) for g in np.linspace(0, 1, 41)])
+    least = percent / 100
+    allowed = np.max(
+        [log_likelihood(least + (most - least) * g, share, counts) for g in np.linspace(0, 1, 11)], axis=0
+    )
+    possible = (most >= least - 1e-12) & (grid.max(axis=0) - allowed <= DOUBT)
+    return most * grid.argmax(axis=0) / 40, possible
+
+
+def order_counts(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """How many registers are larger, smaller and equal."""
+    return np.stack([(first > second).sum(-1), (first < second).sum(-1), (first == second).sum(-1)])
+
+
 def _judge(percent: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             first, second = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, REGISTERS).astype(np.int32)
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, REGISTERS)
                 for c in ("registers_a", "registers_b")
             )
             n_a, n_b = (batch.column(c).to_numpy().astype(float) for c in ("n_a", "n_b"))
-            counts = np.array([(first > second).sum(1), (first < second).sum(1), (first == second).sum(1)])
-            share = n_a / (n_a + n_b)
-            most = np.minimum(n_a, n_b) / np.maximum(n_a, n_b)
-            grid = [log_likelihood(most * g, share, counts) for g in np.linspace(0, 1, 41)]
-            allowed = [
-                log_likelihood(percent / 100 + (most - percent / 100) * g, share, counts)
-                for g in np.linspace(0, 1, 11)
-            ]
-            possible = (most * 100 >= percent - 1e-9) & (np.max(grid, axis=0) - np.max(allowed, axis=0) <= DOUBT)
-            keep = pa.array(possible)
-            yield batch.select(["a", "b"]).filter(keep)
+            _, possible = estimated(order_counts(first, second), n_a, n_b, percent)
+            yield batch.select(["a", "b"]).filter(pa.array(possible))
+
+    return run
+
+
+def _block(items: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    v, c, n = (np.array([x[name] for x in items], np.int64) for name in ("v", "c", "n"))
+    return v, c, n.astype(float), np.frombuffer(b"".join(x["registers"] for x in items), "<u2").reshape(-1, REGISTERS)
+
+
+def _survivors(percent: int, best_only: bool):
+    """Pairs of a block of strays and a block of members that may be linked.
+
+    With ``best_only`` a stray gives its likeliest one, otherwise all.
+    """
+    floor = REGISTERS * (percent / 100 - 0.25)  # ten deviations below: not worth an estimate
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs: set[tuple[int, int]] = set()
+            for left, right in zip(batch.column("strays"), batch.column("members"), strict=True):
+                v, c, n, own = _block(left.as_py())
+                w, d, m, other = _block(right.as_py())
+                for i in range(len(v)):
+                    near = np.flatnonzero((c[i] != d) & ((other == own[i]).sum(axis=1) >= floor))
+                    if not len(near):
+                        continue
+                    value, possible = estimated(
+                        order_counts(own[i], other[near]), np.full(len(near), n[i]), m[near], percent
+                    )
+                    near, value = near[possible], value[possible]
+                    if best_only and len(near):
+                        near = near[[value.argmax()]]
+                    pairs.update((min(v[i], x), max(v[i], x)) for x in w[near].tolist())
+            ends = np.array(sorted(pairs), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
 
     return run
 
@@ -162,14 +211,19 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     no other. An empty table gives an empty result.
 
     Equal sets are one vertex from the start, so copies cost one row each and
-    are never paired. Buckets are worked off in rounds: leaders of a bucket are
-    compared with its vertices of other components, found links merge components,
-    leaders are done, and the next round takes twice as many. A bucket is
-    finished when what is left of it is one component. So every pair that meets
-    in a bucket is compared or already connected, nothing is capped, and a group
-    of similar texts costs about a row per text, not per pair.
+    are never paired. Buckets are worked off in five rounds, after each of which
+    links merge components. First the vertex of a bucket that shares most buckets
+    is compared with the others, then the one that does so among the strays,
+    those outside the largest component. Twice every stray takes its likeliest
+    partner of another component, and at last all such partners that the
+    registers leave in doubt. Vertices of one component are not compared, so
+    every pair that meets in a bucket is judged or already connected: nothing is
+    capped, and only pairs in doubt become rows.
     """
-    spark = docs.sparkSession
+    return stored_alone(docs.sparkSession, "near-groups", lambda: _near_groups(docs, size, percent))
+
+
+def _near_groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
     sketches = stored(sketched(docs, size), "sketches")
     vertices = sketches.where("set_key is not null").groupBy("set_key").agg(
         F.min("doc_id").alias("label"),
@@ -185,45 +239,45 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     entries = vertices.select("v", "registers", band).select(
         "v", F.xxhash64("band", F.substring("registers", F.col("band") * width + 1, F.lit(width))).alias("bucket")
     )
-    full = entries.groupBy("bucket").count().where("count > 1")
+    # Written down, so that the join shuffles both sides for itself and hot buckets are split.
+    full = stored(entries.groupBy("bucket").count().where("count > 1"), "full-buckets")
     members = stored(entries.join(full, "bucket").select("bucket", "v", "count"), "buckets")
     degree = members.groupBy("v").agg(F.sum("count").alias("degree"))
     component = stored(degree.select("v", "degree", F.col("v").alias("c")), "components")
     sets = _sets_of(docs, vertices, component, size)
 
-    members = members.select("bucket", "v")
-    tested = spark.createDataFrame([], "a long, b long")
-    turn = 0
-    while True:
-        at = members.join(component, "v")
-        active = at.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
-        at = stored(at.join(active.select("bucket"), "bucket"), "active")
+    members, tested = members.select("bucket", "v"), None
+    for round_ in ROUNDS:
+        at = members.join(small(component), "v")
+        kinds = at.groupBy("bucket", "c").count()
+        shape = kinds.groupBy("bucket").agg(
+            F.max_by("c", F.struct("count", "c")).alias("main"),
+            F.sum("count").alias("size"), F.count("*").alias("kinds"),
+        )
+        shape = stored(shape.where("kinds > 1").drop("kinds"), "active-buckets")
+        at = stored(at.join(small(shape), "bucket"), "active")
         if at.isEmpty():
             break
-        slot = F.pmod(F.xxhash64("v"), F.lit(2**turn))
-        leaders = at.groupBy("bucket", slot.alias("slot")).agg(F.max(F.struct("degree", "v", "c")).alias("l"))
-        leaders = stored(leaders.select("bucket", F.col("l.v").alias("leader"), F.col("l.c").alias("lc")), "leaders")
-        pairs = (
-            at.join(leaders, "bucket").where("c <> lc")
-            .select(F.least("v", "leader").alias("a"), F.greatest("v", "leader").alias("b"))
-            .distinct().join(tested, ["a", "b"], "left_anti")
-        )
-        pairs = stored(pairs, "pairs")
-        edges = stored(_linked(pairs, vertices, sets, percent), "links")
-        ends = edges.join(component.select(F.col("v").alias("a"), F.col("c").alias("ca")), "a")
-        ends = ends.join(component.select(F.col("v").alias("b"), F.col("c").alias("cb")), "b")
+        if round_.endswith("leader"):
+            pairs = _led(at if round_ == "leader" else at.where("c <> main"), at)
+        else:
+            pairs = _block_pairs(at, vertices, percent, round_ == "best")
+        pairs = pairs.distinct()
+        pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        if round_.endswith("leader"):
+            pairs = _judged(pairs, vertices, percent)
+        edges = stored(_confirmed(pairs, sets, percent), "links")
+        label = component.select("v", "c")
+        ends = edges.join(small(label.toDF("a", "ca")), "a").join(small(label.toDF("b", "cb")), "b")
         roots = connected_components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
         component = stored(
-            component.join(roots.toDF("c", "root"), "c", "left")
+            component.join(small(roots.toDF("c", "root")), "c", "left")
             .select("v", "degree", F.coalesce("root", "c").alias("c")),
             "components",
         )
-        tested = stored(tested.unionByName(pairs), "tested")
-        done = leaders.select("bucket", F.col("leader").alias("v"))
-        members = stored(at.select("bucket", "v").join(done, ["bucket", "v"], "left_anti"), "left")
-        turn += 1
 
-    named = vertices.select("set_key", "v", "label").join(component.select("v", "c"), "v", "left")
+    named = vertices.select("set_key", "v", "label").join(small(component.select("v", "c")), "v", "left")
     named = named.withColumn("component", F.coalesce("c", "v"))
     lowest = named.groupBy("component").agg(F.min("label").alias("component_id"))
     named = stored(named.join(lowest, "component").select("set_key", "component", "component_id"), "named")
@@ -244,23 +298,55 @@ def _sets_of(docs: DataFrame, vertices: DataFrame, wanted: DataFrame, size: int)
         "representatives",
     )
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(), "text")
-    side = F.broadcast(reps) if fits_broadcast(reps) else reps
-    rows = rows.join(side, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row_key") == F.col("_key")))
+    rows = rows.join(small(reps), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row_key") == F.col("_key")))
     read = stored(rows.select("v", "text").mapInArrow(_set_reader(size), "v long, members binary"), "sets")
     # A repeated row would give its set twice.
     return read.dropDuplicates(["v"]) if read.count() > reps.count() else read
 
 
-def _linked(pairs: DataFrame, vertices: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
-    def side(table: DataFrame, end: str) -> DataFrame:
-        return table.toDF(end, *[f"{c}_{end}" for c in table.columns[1:]])
+def _led(candidates: DataFrame, at: DataFrame) -> DataFrame:
+    """One leader per bucket, the candidate that shares most buckets, with all of other components."""
+    leaders = candidates.groupBy("bucket").agg(F.max(F.struct("degree", "v", "c")).alias("l"))
+    leaders = stored(leaders.select("bucket", F.col("l.v").alias("leader"), F.col("l.c").alias("lc")), "leaders")
+    return at.join(small(leaders), "bucket").where("c <> lc").select(
+        F.least("v", "leader").alias("a"), F.greatest("v", "leader").alias("b")
+    )
+
+
+def _block_pairs(at: DataFrame, vertices: DataFrame, percent: int, best_only: bool) -> DataFrame:
+    """Pairs across components of a bucket that the registers leave in doubt.
+
+    The members of a bucket are packed into blocks of about ``BLOCK`` sketches.
+    Blocks of strays, those outside the largest component of the bucket, meet all
+    blocks of it; the comparing is done inside a task and only pairs in doubt
+    come out.
+    """
+    item = F.struct("v", "c", "n", "registers")
+    rows = at.join(vertices.select("v", "n", "registers"), "v").withColumn(
+        "slot", F.pmod(F.xxhash64("v"), F.ceil(F.col("size") / BLOCK))
+    )
+    rows = stored(rows.select("bucket", "slot", (F.col("c") != F.col("main")).alias("stray"), item.alias("x")), "blocks")
+    blocks = rows.groupBy("bucket", "slot").agg(F.collect_list("x").alias("members"))
+    strays = rows.where("stray").groupBy("bucket", "slot").agg(F.collect_list("x").alias("strays"))
+    joined = strays.select("bucket", "strays").join(blocks.select("bucket", "members"), "bucket")
+    return joined.select("strays", "members").mapInArrow(_survivors(percent, best_only), "a long, b long")
+
+
+def _side(table: DataFrame, end: str) -> DataFrame:
+    return table.toDF(end, *[f"{c}_{end}" for c in table.columns[1:]])
 
+
+def _judged(pairs: DataFrame, vertices: DataFrame, percent: int) -> DataFrame:
+    """The pairs that the registers leave in doubt."""
     sketch = vertices.select("v", "n", "registers")
-    judged = pairs.join(side(sketch, "a"), "a").join(side(sketch, "b"), "b").mapInArrow(
+    return pairs.join(_side(sketch, "a"), "a").join(_side(sketch, "b"), "b").mapInArrow(
         _judge(percent), "a long, b long"
     )
-    return judged.join(side(sets, "a"), "a").join(side(sets, "b"), "b").mapInArrow(
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets are similar enough."""
+    return pairs.join(_side(sets, "a"), "a").join(_side(sets, "b"), "b").mapInArrow(
         _confirm(percent), "a long, b long"
     )
 
