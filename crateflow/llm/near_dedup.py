@@ -37,7 +37,7 @@ DOUBT = 10.0
 SHINGLES_AT_ONCE = 512
 # Vertices of a bucket that one row of sketches holds.
 BLOCK = 256
-ROUNDS = ("leader", "stray leader", "best", "best", "all")
+ROUNDS = ("leader", "stray leader", "all")
 
 
 def _family(name: str) -> np.ndarray:
@@ -111,18 +111,15 @@ def log_likelihood(jaccard: np.ndarray, share: np.ndarray, counts: np.ndarray) -
     )
 
 
-def estimated(
-    counts: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """Likeliest similarity of pairs, and whether ``percent`` is still in doubt."""
+def in_doubt(counts: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether pairs may have ``percent`` similarity, by the joint likelihood of their registers."""
     share, most = n_a / (n_a + n_b), np.minimum(n_a, n_b) / np.maximum(n_a, n_b)
-    grid = np.stack([log_likelihood(most * g, share, counts) for g in np.linspace(0, 1, 41)])
+    free = np.max([log_likelihood(most * g, share, counts) for g in np.linspace(0, 1, 41)], axis=0)
     least = percent / 100
     allowed = np.max(
         [log_likelihood(least + (most - least) * g, share, counts) for g in np.linspace(0, 1, 11)], axis=0
     )
-    possible = (most >= least - 1e-12) & (grid.max(axis=0) - allowed <= DOUBT)
-    return most * grid.argmax(axis=0) / 40, possible
+    return (most >= least - 1e-12) & (free - allowed <= DOUBT)
 
 
 def order_counts(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -138,7 +135,7 @@ def _judge(percent: int):
                 for c in ("registers_a", "registers_b")
             )
             n_a, n_b = (batch.column(c).to_numpy().astype(float) for c in ("n_a", "n_b"))
-            _, possible = estimated(order_counts(first, second), n_a, n_b, percent)
+            possible = in_doubt(order_counts(first, second), n_a, n_b, percent)
             yield batch.select(["a", "b"]).filter(pa.array(possible))
 
     return run
@@ -149,12 +146,14 @@ def _block(items: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return v, c, n.astype(float), np.frombuffer(b"".join(x["registers"] for x in items), "<u2").reshape(-1, REGISTERS)
 
 
-def _survivors(percent: int, best_only: bool):
+def _survivors(percent: int):
     """Pairs of a block of strays and a block of members that may be linked.
 
-    With ``best_only`` a stray gives its likeliest one, otherwise all.
+    Registers are equal with the probability of the similarity. A pair with five
+    deviations fewer than at the threshold is not worth the joint estimate.
     """
-    floor = REGISTERS * (percent / 100 - 0.25)  # ten deviations below: not worth an estimate
+    least = percent / 100
+    floor = REGISTERS * least - 5 * (REGISTERS * least * (1 - least)) ** 0.5
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,13 +165,10 @@ def _survivors(percent: int, best_only: bool):
                     near = np.flatnonzero((c[i] != d) & ((other == own[i]).sum(axis=1) >= floor))
                     if not len(near):
                         continue
-                    value, possible = estimated(
+                    possible = in_doubt(
                         order_counts(own[i], other[near]), np.full(len(near), n[i]), m[near], percent
                     )
-                    near, value = near[possible], value[possible]
-                    if best_only and len(near):
-                        near = near[[value.argmax()]]
-                    pairs.update((min(v[i], x), max(v[i], x)) for x in w[near].tolist())
+                    pairs.update((min(v[i], x), max(v[i], x)) for x in w[near[possible]].tolist())
             ends = np.array(sorted(pairs), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
 
@@ -211,12 +207,12 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     no other. An empty table gives an empty result.
 
     Equal sets are one vertex from the start, so copies cost one row each and
-    are never paired. Buckets are worked off in five rounds, after each of which
+    are never paired. Buckets are worked off in three rounds, after each of which
     links merge components. First the vertex of a bucket that shares most buckets
     is compared with the others, then the one that does so among the strays,
-    those outside the largest component. Twice every stray takes its likeliest
-    partner of another component, and at last all such partners that the
-    registers leave in doubt. Vertices of one component are not compared, so
+    those outside the largest component. At last every stray meets blocks of the
+    sketches of its bucket, and the partners from other components that the
+    registers leave in doubt come out. Vertices of one component are not compared, so
     every pair that meets in a bucket is judged or already connected: nothing is
     capped, and only pairs in doubt become rows.
     """
@@ -261,7 +257,7 @@ def _near_groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
         if round_.endswith("leader"):
             pairs = _led(at if round_ == "leader" else at.where("c <> main"), at)
         else:
-            pairs = _block_pairs(at, vertices, percent, round_ == "best")
+            pairs = _block_pairs(at, vertices, percent)
         pairs = pairs.distinct()
         pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
@@ -313,7 +309,7 @@ def _led(candidates: DataFrame, at: DataFrame) -> DataFrame:
     )
 
 
-def _block_pairs(at: DataFrame, vertices: DataFrame, percent: int, best_only: bool) -> DataFrame:
+def _block_pairs(at: DataFrame, vertices: DataFrame, percent: int) -> DataFrame:
     """Pairs across components of a bucket that the registers leave in doubt.
 
     The members of a bucket are packed into blocks of about ``BLOCK`` sketches.
@@ -329,7 +325,7 @@ def _block_pairs(at: DataFrame, vertices: DataFrame, percent: int, best_only: bo
     blocks = rows.groupBy("bucket", "slot").agg(F.collect_list("x").alias("members"))
     strays = rows.where("stray").groupBy("bucket", "slot").agg(F.collect_list("x").alias("strays"))
     joined = strays.select("bucket", "strays").join(blocks.select("bucket", "members"), "bucket")
-    return joined.select("strays", "members").mapInArrow(_survivors(percent, best_only), "a long, b long")
+    return joined.select("strays", "members").mapInArrow(_survivors(percent), "a long, b long")
 
 
 def _side(table: DataFrame, end: str) -> DataFrame:
