@@ -99,13 +99,15 @@ def gather_turns(conversations: DataFrame) -> DataFrame:
     )
 
 
-def answer_pairs(conversations: DataFrame) -> DataFrame:
+def answer_pairs(conversations: DataFrame, unpaired: bool = False) -> DataFrame:
     """Preference pairs from plain conversations.
 
-    Chosen is the conversation up to its last assistant turn. Rejected keeps the
-    turns before it and answers with the last assistant text of the neighbour,
-    the conversation whose id differs in the lowest bit. A conversation without
-    an assistant turn, or whose neighbour has none, gives no pair.
+    Chosen is the conversation up to its last assistant turn; later turns are cut.
+    Rejected keeps the turns before it and answers with the last assistant text of
+    the neighbour, the conversation whose id differs in the lowest bit. A
+    conversation without an assistant turn gives no pair. One whose neighbour is
+    absent or has no assistant turn gives none either, or with ``unpaired`` one
+    whose rejected side has no answer.
     """
     turns = gather_turns(conversations)
     last = F.array_max(F.transform(
@@ -115,20 +117,22 @@ def answer_pairs(conversations: DataFrame) -> DataFrame:
     answer = turns.select(
         F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"),
         F.element_at("turns", F.col("last"))["text"].alias("other"),
+        F.lit(True).alias("paired"),
     )
     swapped = F.struct(
         F.element_at("turns", F.col("last"))["turn"].alias("turn"),
         F.lit("assistant").alias("role"), F.col("other").alias("text"),
     )
-    return turns.join(answer, "conv_id").select(
+    own = F.when(F.col("paired"), F.array(swapped)).otherwise(F.array().cast(f"array<{TURN}>"))
+    return turns.join(answer, "conv_id", "left" if unpaired else "inner").select(
         F.col("conv_id").alias("pair_id"),
         F.slice("turns", F.lit(1), F.col("last")).alias("chosen"),
-        F.concat(F.slice("turns", F.lit(1), F.col("last") - 1), F.array(swapped)).alias("rejected"),
+        F.concat(F.slice("turns", F.lit(1), F.col("last") - 1), own).alias("rejected"),
     )
 
 
 def op4_chat_preference(spark, sf_dir):
-    """A preference row for every conversation with an answer."""
+    """A preference row for every conversation with an answer whose neighbour has one too, as the SQL below says."""
     conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     return format_preferences(answer_pairs(conversations))
 

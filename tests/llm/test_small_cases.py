@@ -446,6 +446,21 @@ def test_pairs_from_conversations(spark):
     assert out[7]["n_prompt_turns"] == 2
 
 
+def test_answers_without_a_neighbour_are_kept_on_request(spark):
+    rows = [
+        (2, 0, "user", "q"), (2, 1, "assistant", "r"), (2, 2, "user", "more"), (4, 0, "assistant", "alone"),
+        (5, 0, "user", "no answer"), (6, 0, "assistant", "s"), (7, 0, "assistant", "t"),
+    ]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    pairs = preference.answer_pairs(df, unpaired=True)
+    out = {r["pair_id"]: r for r in preference.format_preferences(pairs).collect()}
+    assert set(out) == {2, 4, 6, 7}
+    assert (out[2]["prompt"], out[2]["n_prompt_turns"]) == ("<|user|>\nq\n", 1)
+    assert out[2]["chosen_completion"] == "<|assistant|>\nr\n"
+    assert out[2]["rejected_completion"] == out[2]["rejected_loss"] == out[4]["rejected_completion"] == ""
+    assert out[6]["rejected_completion"] == "<|assistant|>\nt\n"
+
+
 # --- quality -------------------------------------------------------------------
 
 
