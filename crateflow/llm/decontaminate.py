@@ -1,7 +1,8 @@
 """Benchmark decontamination: SimHash of item-sized windows, then exact similarity.
 
 A document leaks an item when one of its windows, as many words long as the
-item, has a weighted shingle similarity of 0.8 or more with it. Windows and
+item, has a weighted shingle similarity of 0.8 or more with it. A document
+shorter than the item is one window as a whole. Windows and
 items get 64-bit SimHash fingerprints. With radius r a fingerprint is cut into
 r + 1 blocks: two fingerprints that differ in at most r bits agree in one block,
 so looking up every block finds all of them.
@@ -101,19 +102,21 @@ def leaks(shingles: np.ndarray, hits: np.ndarray, size: int, items: Items) -> di
     """Item -> (similarity, -start, words) of its best window in one document.
 
     ``hits`` marks shingles that some item has. A window can only be similar
-    enough when at least that part of its shingles are such, so others are not
-    fingerprinted: the bound drops nothing.
+    enough when it has at least that part of the item's number of shingles as
+    such, so others are not fingerprinted: the bound drops nothing. It holds for a
+    document shorter than the item too, whose one window is all of it.
     """
     best: dict[int, tuple[float, int, int]] = {}
     before = np.concatenate([[0], np.cumsum(hits)])
     for length in items.index:
         n = max(length - WORDS + 1, 1)
-        if min(length, WORDS) != size or len(shingles) < n:
+        if min(length, WORDS) != size or not len(shingles):
             continue
-        enough = before[n:] - before[:-n] >= np.ceil(items.similarity * n - 1e-9)
+        width = min(n, len(shingles))
+        enough = before[width:] - before[:-width] >= np.ceil(items.similarity * n - 1e-9)
         starts = np.flatnonzero(enough)
         for part in np.array_split(starts, -(-len(starts) // 256)) if len(starts) else ():
-            rows = shingles[part[:, None] + np.arange(n)]
+            rows = shingles[part[:, None] + np.arange(width)]
             for start, row, window in zip(part.tolist(), rows, fingerprints(rows).tolist(), strict=True):
                 near = items.near(length, window)
                 if near:
@@ -121,7 +124,7 @@ def leaks(shingles: np.ndarray, hits: np.ndarray, size: int, items: Items) -> di
                     for i in near:
                         found = weighted_similarity(counts, items.counts[i])
                         if found >= items.similarity - 1e-12:
-                            best[i] = max(best.get(i, (0.0, 0, 0)), (found, -start, length))
+                            best[i] = max(best.get(i, (0.0, 0, 0)), (found, -start, width + size - 1))
     return best
 
 
@@ -168,7 +171,8 @@ def find_leaks(
     ``docs`` has ``doc_id, text`` and ``items`` has ``item_id, text``; other
     columns are not read. Words are runs of other than ASCII white space with
     A-Z lower-cased, shingles five words, weighted by how often they stand in the
-    window; an item of fewer words is one shingle. Null and empty texts, and
+    window; an item of fewer words is one shingle. A text of fewer words than the
+    item is one window, and ``n_words`` its length. Null and empty texts, and
     items without words, leak nothing. Repeated documents and null ids give rows
     of their own, an item that is there twice counts twice under its ids.
 

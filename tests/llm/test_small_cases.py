@@ -319,6 +319,41 @@ def test_find_leaks(spark, docs, none):
     assert decontaminate.find_leaks(df, table.limit(0)).count() == 0
 
 
+def test_texts_shorter_than_an_item_leak_it(spark):
+    """Against a count of shingles that takes a shorter text as a whole."""
+    rnd = random.Random(12)
+    items = [(k, text_of(800 + k, n)) for k, n in enumerate([3, 5, 6, 9, 15, 30, 59, 59])]
+    items.append((8, "again " * 20))
+    texts = []
+    for _, passage in items:
+        words = passage.split()
+        for cut in (0, 1, 2, 3, 5, 9, 12):
+            for at in {0, cut // 2, cut}:
+                texts.append((len(texts), " ".join(words[at : len(words) - cut + at])))
+        words[rnd.randrange(len(words))] = "edited"
+        texts.append((len(texts), " ".join(words[1:])))
+
+    def grams(words, size):
+        return Counter(" ".join(words[k : k + size]) for k in range(len(words) - size + 1))
+
+    expected = {}
+    for doc, text in texts:
+        for item, passage in items:
+            words, own = text.split(), passage.split()
+            size, n = min(5, len(own)), min(len(own), len(words))
+            for start in range(len(words) - n + 1):
+                here, there = grams(words[start : start + n], size), grams(own, size)
+                value = (here & there).total() / (here | there).total()
+                if value >= 0.8 and value > expected.get((doc, item), (0,))[0]:
+                    expected[doc, item] = (value, start, n)
+    short = [k for k in expected if expected[k][2] < len(items[k[1]][1].split())]
+    assert len(short) > 20
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    rows = decontaminate.find_leaks(df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {(r["doc_id"], r["item_id"]): (r["similarity"], r["start"], r["n_words"]) for r in rows}
+    assert len(got) == len(rows) and got == {k: (pytest.approx(v), s, n) for k, (v, s, n) in expected.items()}
+
+
 def test_every_fingerprint_in_the_radius_is_found():
     rnd = random.Random(9)
     items = decontaminate.Items.of([(k, text_of(700 + k, 12)) for k in range(50)], 21, 0.8)
