@@ -25,8 +25,9 @@ from crateflow.session import stored
 
 WORDS, SIMILARITY = 5, 0.8
 # At similarity 0.8 the cosine is 0.89 and 64 bits differ in 9.7 places on
-# average, with a deviation of 2.9: the radius lies four deviations above.
-BITS, RADIUS = 64, 21
+# average, with a deviation of 2.9: by the binomial one window in five million
+# lies beyond the radius.
+BITS, RADIUS = 64, 26
 # Items of one pass over the documents travel to every task: so much text.
 BLOCK_BYTES = 16 << 20
 FOUND = "doc_id long, row_key long, item_id long, start long, n_words long, similarity double"

@@ -364,6 +364,16 @@ def test_every_fingerprint_in_the_radius_is_found():
         assert i in items.near(12, flipped)
 
 
+def test_a_window_of_the_threshold_with_a_distant_fingerprint_is_found(spark):
+    item = text_of(30172, 40)
+    text = " ".join([*item.split()[:36], "x1", "x2", "x3", "x4"])
+    prints = decontaminate.Items.of([(1, item), (2, text)], 21, 0.8).prints
+    assert (prints[0] ^ prints[1]).bit_count() == 22
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    (row,) = decontaminate.find_leaks(df, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
+    assert (row["item_id"], row["similarity"]) == (7, 0.8)
+
+
 # --- secrets -------------------------------------------------------------------
 
 
