@@ -28,8 +28,9 @@ WORDS, SIMILARITY = 5, 0.8
 # average, with a deviation of 2.9: by the binomial one window in five million
 # lies beyond the radius.
 BITS, RADIUS = 64, 26
-# Items of one pass over the documents travel to every task: so much text.
-BLOCK_BYTES = 16 << 20
+# Items of one pass over the documents travel to every task: so much text, some
+# 80 MB with its index.
+BLOCK_BYTES = 4 << 20
 FOUND = "doc_id long, row_key long, item_id long, start long, n_words long, similarity double"
 
 
@@ -179,6 +180,7 @@ def find_leaks(
 
     The items are a query set: they are taken in blocks of ``BLOCK_BYTES`` of
     text, one pass over the documents each, and only a block is copied to tasks.
+    What a block finds is stored, and its index dropped, before the next is built.
     """
     spark = docs.sparkSession
     items = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
@@ -188,8 +190,11 @@ def find_leaks(
     out = None
     for block in range(n_blocks):
         chosen = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block)
-        table = Items.of([(r.item_id, r.text) for r in chosen.toLocalIterator()], radius, similarity)
-        found = rows.mapInArrow(_search(spark.sparkContext.broadcast(table)), FOUND)
+        shared = spark.sparkContext.broadcast(
+            Items.of([(r.item_id, r.text) for r in chosen.toLocalIterator()], radius, similarity)
+        )
+        found = stored(rows.mapInArrow(_search(shared), FOUND), "block-leaks")
+        shared.destroy()
         out = found if out is None else out.unionByName(found)
     return out
 

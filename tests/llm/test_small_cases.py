@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import weakref
 from collections import Counter
 
 import public_tokenizers
@@ -374,6 +375,27 @@ def test_a_window_of_the_threshold_with_a_distant_fingerprint_is_found(spark):
     assert (row["item_id"], row["similarity"]) == (7, 0.8)
 
 
+def test_the_index_of_a_block_goes_before_the_next_is_built(spark, monkeypatch):
+    items = [(k, text_of(900 + k, 20)) for k in range(12)]
+    texts = [(k, f"{text_of(950 + k, 10)} {passage}") for k, passage in items]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    steps, alive, build, store = [], [], decontaminate.Items.of, decontaminate.stored
+
+    def built(*args):
+        steps.append(("build", sum(x() is not None for x in alive)))
+        out = build(*args)
+        alive.append(weakref.ref(out))
+        return out
+
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 600)
+    monkeypatch.setattr(decontaminate.Items, "of", built)
+    monkeypatch.setattr(decontaminate, "stored", lambda *args: steps.append("store") or store(*args))
+    got = decontaminate.find_leaks(df, table)
+    assert len(steps) > 4 and steps == [("build", 0), "store"] * (len(steps) // 2)
+    assert rows_of(got, "doc_id", "item_id") == {(k, k): 1 for k, _ in items}
+
+
 # --- secrets -------------------------------------------------------------------
 
 
