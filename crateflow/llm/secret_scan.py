@@ -29,9 +29,13 @@ HINT = re.compile(r"(?ai:password|passwd|secret|token|api_?key)")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 # Weak parts: a long run that mixes cases and digits, a user name, an address.
-RUN = re.compile(r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/_-]*[0-9])[A-Za-z0-9+/_-]{20,128}={0,2}(?![A-Za-z0-9+/=_-])")
-USER = re.compile(r"""\b(?ai:user(?:_?name)?|login|account(?:_?id)?|client_?id|access_?key_?id)["']?[ \t]*[:=][ \t]*["']?[\w.@+-]{3,64}""")
-PLACE = re.compile(r"""\b(?:(?ai:https?|s3|postgres(?:ql)?|mysql|redis|amqp)://[^\s"'<>]{3,200}|(?ai:host(?:name)?|endpoint|server)["']?[ \t]*[:=][ \t]*["']?[\w.-]{4,100})""")
+# None has an upper length; possessive repeats keep the scan linear.
+RUN = re.compile(r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/_-]*[0-9])[A-Za-z0-9+/_-]{20,}+={0,2}(?![A-Za-z0-9+/=_-])")
+USER = re.compile(r"""\b(?ai:user(?:_?name)?|login|account(?:_?id)?|client_?id|access_?key_?id)["']?[ \t]*[:=][ \t]*["']?[\w.@+-]{3,}+""")
+PLACE = re.compile(r"""\b(?:(?ai:https?|s3|postgres(?:ql)?|mysql|redis|amqp)://[^\s"'<>]{3,}+|(?ai:host(?:name)?|endpoint|server)["']?[ \t]*[:=][ \t]*["']?[\w.-]{4,}+)""")
+# Identifiers and endpoints that overlap what goes before them: never reported, but
+# still the complement of others.
+EVIDENCE = {4: 6, 5: 7}
 SPAN = "struct<kind:int,start:int,end:int>"
 PARTS = f"row long, doc_id long, parts array<{SPAN}>"
 
@@ -60,16 +64,21 @@ def apart(spans: list[tuple[int, int, int]], taken: list[tuple[int, int, int]])
 
 
 def weak_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Possible parts of a credential, which are nothing by themselves, beside the ``base``."""
-    named, runs = [], [
+    """Possible parts of a credential, which are nothing by themselves, beside the ``base``.
+
+    Identifiers and endpoints that overlap a certain secret, and identifiers within
+    an endpoint, come as ``EVIDENCE``.
+    """
+    named, hidden, runs = [], [], [
         (3, *m.span()) for m in RUN.finditer(text)
         if not m[0].islower() and not m[0].isupper() and not m[0].isdigit()
     ]
     if ":" in text or "=" in text:
-        named = [(5, *m.span()) for m in PLACE.finditer(text)]
-        named += apart([(4, *m.span()) for m in USER.finditer(text)], named)
-        named = apart(named, base)
-    return named + apart(runs, base + named)
+        places = [(5, *m.span()) for m in PLACE.finditer(text)]
+        users = [(4, *m.span()) for m in USER.finditer(text)]
+        named = apart(places + apart(users, places), base)
+        hidden = [(EVIDENCE[kind], *ends) for kind, *ends in set(places + users).difference(named)]
+    return named + apart(runs, base + named) + hidden
 
 
 def _parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,7 +100,8 @@ def linked(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
 
     A secret needs an identifier or an endpoint, an identifier needs a secret, an
     endpoint needs both. Identifiers are access identifiers and user names;
-    secrets are assigned, hexadecimal and weak ones. Two parts are in scope when
+    secrets are assigned, hexadecimal and weak ones. ``EVIDENCE`` serves as such but
+    is no candidate. Two parts are in scope when
     at most ``scope`` characters lie between them.
 
     The interval join works on bins as wide as the scope. Each bin and role is
@@ -102,14 +112,14 @@ def linked(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
     scope anyway.
     """
     role = (
-        F.when(F.col("kind").isin(1, 4), "id").when(F.col("kind").isin(0, 2, 3), "secret").otherwise("place")
+        F.when(F.col("kind").isin(1, 4, 6), "id").when(F.col("kind").isin(0, 2, 3), "secret").otherwise("place")
     )
     parts = parts.withColumn("role", role)
     bin_of = lambda at: F.floor(F.col(at) / scope)
     # A long span takes part in every bin it touches.
     touched = parts.withColumn("bin", F.explode(F.sequence(bin_of("start"), F.floor((F.col("end") - 1) / scope))))
     ends = touched.groupBy("row", "bin", "role").agg(F.min("start").alias("first"), F.max("end").alias("last"))
-    weak = parts.where("kind >= 3").withColumn(
+    weak = parts.where("kind between 3 and 5").withColumn(
         "bin",
         F.explode(F.sequence(bin_of("start") - 1, F.floor((F.col("end") - 1) / scope) + 1)),
     )
@@ -133,7 +143,7 @@ def find_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     ``docs`` has ``doc_id`` and ``text``; other columns are not read. ``spans``
     holds certain secrets and linked weak ones by start, then kind (an index into
     ``KINDS``), in code points, end exclusive. Weak parts that overlap a certain
-    one are left out. A null or empty text has none; repeated rows and null ids
+    one are left out, though as identifiers and endpoints they still link others. A null or empty text has none; repeated rows and null ids
     give a row each.
     """
     return stored_alone(docs.sparkSession, "secrets", lambda: _find_secrets(docs, scope))

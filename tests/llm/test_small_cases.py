@@ -424,6 +424,32 @@ def test_find_secrets(spark, docs, none):
     assert [s[0] for s in spans[6]] == ["assign", "assign"]
 
 
+def test_long_parts_and_overlapped_evidence(spark):
+    run, address = "aB3" * 12, "https://host.example/" + "p/" * 400
+    texts = {
+        1: f"user=someone {'aB3' * 43}",
+        2: f"{'aB3' * 2000}== user=someone",
+        3: f"{address} {'x ' * 60}user=someone {run}",
+        4: f"user={'someone' * 60} {run}",
+        5: f"https://host.example/x?token=abcdefgh {run}",
+        6: f"host={'a.' * 200}example {run}",
+        7: f"https://host.example/x?user=someone {run}",
+        8: "https://host.example/x?token=abcdefgh",
+    }
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    spans = {r["doc_id"]: [(secret_scan.KINDS[s["kind"]], texts[r["doc_id"]][s["start"] : s["end"]]) for s in r["spans"]]
+             for r in secret_scan.find_secrets(df).collect()}
+    user = ("weak_id", "user=someone")
+    assert spans[1] == [user, ("weak_secret", "aB3" * 43)]
+    assert spans[2] == [("weak_secret", "aB3" * 2000 + "=="), user]
+    assert spans[3] == [("endpoint", address), user, ("weak_secret", run)]
+    assert spans[4] == [("weak_id", "user=" + "someone" * 60), ("weak_secret", run)]
+    assert spans[5] == [("assign", "token=abcdefgh"), ("weak_secret", run)]
+    assert spans[6] == [("weak_secret", run)]
+    assert spans[7] == [("endpoint", "https://host.example/x?user=someone"), ("weak_secret", run)]
+    assert spans[8] == [("assign", "token=abcdefgh")]
+
+
 def test_linking_by_bins_is_linking_by_distance(spark):
     rnd = random.Random(10)
     parts = []
