@@ -11,6 +11,7 @@ the full sets.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -24,11 +25,10 @@ from crateflow.llm.words import encoded, hashed, slices, shingle_lists, split_wo
 from crateflow.plans.spread import spread_join
 from crateflow.session import stored, stored_alone
 
-# At similarity 0.85 a band agrees with probability 0.44; that none of 28 does,
-# one in ten million times.
-BANDS, BAND = 28, 5
-# As many registers again only sharpen the estimate of a pair.
-REGISTERS = 2 * BANDS * BAND
+# A link of exactly the threshold meets in no band so often at most.
+MISS = 1e-7
+# More registers than the bands take only sharpen the estimate of a pair.
+REGISTERS, BAND = 280, 5
 BASE, RATE, TOP = 1.001, 20.0, 0xFFFF
 # A pair is not confirmed on full sets when the registers are this many times
 # (as a logarithm) likelier under their best similarity than under any allowed:
@@ -50,6 +50,21 @@ FLIP, FACTOR = _family("flip")[:, None], _family("factor")[:, None] | np.uint32(
 SKETCHES = "doc_id long, row_key long, n_shingles long, set_key binary, registers binary"
 
 
+def bands_for(percent: int) -> tuple[int, int]:
+    """Number of bands and registers in each: the widest, up to ``BAND``, that keep to ``MISS``.
+
+    At similarity 0.85 these are 28 x 5, at 0.8 41 x 5, at 0.5 57 x 2.
+    """
+    for width in range(BAND, 0, -1):
+        agree = (percent / 100) ** width
+        if agree >= 1:
+            return 1, width
+        bands = math.ceil(math.log(MISS) / math.log1p(-agree)) if agree > 0 else REGISTERS + 1
+        if bands * width <= REGISTERS:
+            return bands, width
+    raise ValueError(f"{REGISTERS} registers are too few for a similarity of {percent} percent")
+
+
 def registers(shingles: np.ndarray) -> np.ndarray:
     """SetSketch of a non-empty set of 64-bit hashes."""
     low = np.full(REGISTERS, 0xFFFFFFFF, np.uint32)
@@ -204,7 +219,8 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     document is kept. Null, empty and wordless texts have an empty set, are linked
     with nothing (``component`` null) and kept. Repeated rows and null ids belong
     to the component of their text; a null id is kept only where a component has
-    no other. An empty table gives an empty result.
+    no other. An empty table gives an empty result. Bands follow from ``percent``;
+    one too low for the registers (5 or less) is refused.
 
     Equal sets are one vertex from the start, so copies cost one row each and
     are never paired. Buckets are worked off in three rounds, after each of which
@@ -230,8 +246,9 @@ def _near_groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
     # Numbered once and written down.
     vertices = stored(vertices.withColumn("v", F.monotonically_increasing_id()), "vertices")
 
-    band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")
-    width = 2 * BAND
+    bands, wide = bands_for(percent)
+    band = F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band")
+    width = 2 * wide
     entries = vertices.select("v", "registers", band).select(
         "v", F.xxhash64("band", F.substring("registers", F.col("band") * width + 1, F.lit(width))).alias("bucket")
     )

@@ -140,6 +140,29 @@ def test_near_groups(spark, docs, size, percent):
     assert got == expected
 
 
+@pytest.mark.parametrize("percent", [6, 10, 30, 50, 60, 75, 80, 85, 95, 100])
+def test_bands_follow_from_the_threshold(percent):
+    bands, width = near_dedup.bands_for(percent)
+    assert (1 - (percent / 100) ** width) ** bands <= near_dedup.MISS and bands * width <= near_dedup.REGISTERS
+    assert near_dedup.bands_for(85) == (28, 5) and near_dedup.bands_for(80) == (41, 5)
+    with pytest.raises(ValueError):
+        near_dedup.bands_for(1)
+
+
+def test_links_at_a_low_threshold_are_found(spark):
+    texts = []
+    for k in range(60):
+        words = text_of(1000 + k, 90).split()
+        texts += [(2 * k, " ".join(words[:60])), (2 * k + 1, " ".join(words[20:80]))]
+    sizes, roots = linked_components(texts, 1, 50)
+    low = {}
+    for k, root in enumerate(roots):
+        low.setdefault(root, texts[k][0])
+    expected = {i: low[roots[k]] for k, (i, _) in enumerate(texts)}
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in near_dedup.near_groups(df, 1, 50).collect()} == expected
+
+
 def test_near_groups_of_nothing(none):
     assert near_dedup.near_groups(none).count() == 0
 
