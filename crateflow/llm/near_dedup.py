@@ -32,8 +32,8 @@ REGISTERS, BAND = 280, 5
 BASE, RATE, TOP = 1.001, 20.0, 0xFFFF
 # A pair is not confirmed on full sets when the registers are this many times
 # (as a logarithm) likelier under their best similarity than under any allowed:
-# 4.5 deviations, one link of exactly the threshold in 300,000.
-DOUBT = 10.0
+# 5.7 deviations, rarer for a link of exactly the threshold than ``MISS``.
+DOUBT = 16.0
 SHINGLES_AT_ONCE = 512
 # Vertices of a bucket that one row of sketches holds.
 BLOCK = 256
@@ -161,14 +161,23 @@ def _block(items: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return v, c, n.astype(float), np.frombuffer(b"".join(x["registers"] for x in items), "<u2").reshape(-1, REGISTERS)
 
 
+def least_equal(percent: int) -> int:
+    """The most equal registers of which a link of just the threshold has fewer with ``MISS`` at most."""
+    p, below = percent / 100, 0.0
+    for k in range(REGISTERS + 1):
+        below += math.comb(REGISTERS, k) * p**k * (1 - p) ** (REGISTERS - k)
+        if below > MISS:
+            return k
+    return REGISTERS
+
+
 def _survivors(percent: int):
     """Pairs of a block of strays and a block of members that may be linked.
 
-    Registers are equal with the probability of the similarity. A pair with five
-    deviations fewer than at the threshold is not worth the joint estimate.
+    Registers are equal with the probability of the similarity. A pair with fewer
+    equal ones than ``least_equal`` is not worth the joint estimate.
     """
-    least = percent / 100
-    floor = REGISTERS * least - 5 * (REGISTERS * least * (1 - least)) ** 0.5
+    floor = least_equal(percent)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

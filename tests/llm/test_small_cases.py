@@ -149,6 +149,21 @@ def test_bands_follow_from_the_threshold(percent):
         near_dedup.bands_for(1)
 
 
+@pytest.mark.parametrize("percent", [50, 80, 85, 95])
+def test_screens_miss_no_more_than_bands(percent):
+    import math
+
+    import numpy as np
+
+    n, p = near_dedup.REGISTERS, percent / 100
+    floor = near_dedup.least_equal(percent)
+    assert sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(floor)) <= near_dedup.MISS
+    assert math.erfc(math.sqrt(near_dedup.DOUBT)) / 2 <= near_dedup.MISS
+    more = (n - floor) // 2
+    counts, size = np.array([[more], [n - floor - more], [floor]]), np.array([1000.0])
+    assert near_dedup.in_doubt(counts, size, size, percent).all()
+
+
 def test_links_at_a_low_threshold_are_found(spark):
     texts = []
     for k in range(60):
