@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from crateflow.llm import (
     byte_bpe,
+    conversation_repair,
     decontaminate,
+    divergence,
     exact_dedup,
     near_dedup,
+    packing,
     passages,
     preference,
     quality,
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_near_dedup": near_dedup.op8_near_dedup,
     "op9_substring_dedup": passages.op9_substring_dedup,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op11_source_divergence": divergence.op11_source_divergence,
+    "op12_conversation_repair": conversation_repair.op12_conversation_repair,
+    "op13_packing": packing.op13_packing,
 }
 
 ORACLE = {
@@ -34,4 +40,6 @@ ORACLE = {
     "op8_near_dedup": near_dedup.ORACLE_SQL,
     "op9_substring_dedup": passages.ORACLE_SQL,
     "op10_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op11_source_divergence": divergence.ORACLE_SQL,
+    "op12_conversation_repair": conversation_repair.ORACLE_SQL,
 }

@@ -7,6 +7,7 @@ in every process.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -19,6 +20,7 @@ SLICE_BYTES = 1 << 20
 # An odd multiplier (2**64 divided by the golden ratio): fixed value.
 STEP = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def slices(
@@ -41,6 +43,18 @@ def encoded(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
+def parts(text: bytes, limit: int = SLICE_BYTES) -> Iterator[bytes]:
+    """A text cut at white space, so that only about ``limit`` bytes are split into words at a time."""
+    start = 0
+    while len(text) - start > limit:
+        space = _SPACE.search(text, start + limit)
+        if space is None:
+            break
+        yield text[start : space.start()]
+        start = space.end()
+    yield text[start:]
+
+
 def hashed(words: list[bytes]) -> np.ndarray:
     values = np.empty(len(words), dtype=object)
     values[:] = words
