@@ -16,12 +16,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crateflow.llm.components import connected_components
 from crateflow.llm.rows import row_key, small
-from crateflow.llm.words import encoded, hashed, slices, shingle_lists, split_words
+from crateflow.llm.words import encoded, give_back, hashed, shingle_lists, slices, split_words
 from crateflow.plans.spread import spread_join
 from crateflow.session import stored, stored_alone
 
@@ -35,8 +35,9 @@ BASE, RATE, TOP = 1.001, 20.0, 0xFFFF
 # 5.7 deviations, rarer for a link of exactly the threshold than ``MISS``.
 DOUBT = 16.0
 SHINGLES_AT_ONCE = 512
-# Vertices of a bucket that one row of sketches holds.
-BLOCK = 256
+# Bytes of sketches and sets of a bucket that one row holds, and such rows that one
+# key of a join holds.
+BLOCK_BYTES, BLOCKS_TOGETHER = 1 << 20, 64
 ROUNDS = ("leader", "stray leader", "all")
 
 
@@ -156,9 +157,61 @@ def _judge(percent: int):
     return run
 
 
-def _block(items: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    v, c, n = (np.array([x[name] for x in items], np.int64) for name in ("v", "c", "n"))
-    return v, c, n.astype(float), np.frombuffer(b"".join(x["registers"] for x in items), "<u2").reshape(-1, REGISTERS)
+def _packed(values: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of an array of binaries in a row, uncopied, and where each ends, after a 0."""
+    _, ends, data = values.buffers()
+    ends = np.frombuffer(ends, np.int32)[values.offset : values.offset + len(values) + 1].astype(np.int64)
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
+    return raw[ends[0] : ends[-1]], ends - ends[0]
+
+
+class _Blocks:
+    """A column of lists of vertices: component, size, registers, and the full set where it is there."""
+
+    def __init__(self, column: pa.ListArray):
+        offsets = column.offsets.to_numpy().astype(np.int64)
+        self._ends = offsets - offsets[0]
+        v, c, n, sketches, *sets = column.flatten().flatten()
+        self.v, self.c, self.n = v.to_numpy(), c.to_numpy(), n.to_numpy().astype(float)
+        self.registers = _packed(sketches)[0].view("<u2").reshape(-1, REGISTERS)
+        if sets:
+            raw, ends = _packed(sets[0])
+            self.sets, self.ends = raw.view("<u8"), ends // 8
+
+    def row(self, r: int) -> slice:
+        return slice(int(self._ends[r]), int(self._ends[r + 1]))
+
+    def set_of(self, i: int) -> np.ndarray:
+        return self.sets[self.ends[i] : self.ends[i + 1]]
+
+
+def common_with(own: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements each of the sorted ``sets`` shares with the sorted ``own``."""
+    flat = np.concatenate(sets)
+    found = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
+    starts = np.cumsum([0, *map(len, sets[:-1])])
+    return np.add.reduceat(found.astype(np.int64), starts)
+
+
+class Union:
+    """Which components have been joined."""
+
+    def __init__(self):
+        self._above: dict[int, int] = {}
+
+    def root(self, c: int) -> int:
+        top = c
+        while (up := self._above.get(top, top)) != top:
+            top = up
+        while c != top:
+            self._above[c], c = top, self._above.get(c, c)
+        return top
+
+    def join(self, a: int, b: int) -> bool:
+        """Whether they were apart."""
+        a, b = self.root(a), self.root(b)
+        self._above[max(a, b)] = min(a, b)
+        return a != b
 
 
 def least_equal(percent: int) -> int:
@@ -171,30 +224,69 @@ def least_equal(percent: int) -> int:
     return REGISTERS
 
 
-def _survivors(percent: int):
-    """Pairs of a block of strays and a block of members that may be linked.
+def _compared(batch: pa.RecordBatch, strays: _Blocks, members: _Blocks, joined: Union, percent: int, bands: int, wide: int):
+    """Row, stray, and the members of its bucket that its registers leave in doubt.
 
     Registers are equal with the probability of the similarity. A pair with fewer
-    equal ones than ``least_equal`` is not worth the joint estimate.
+    equal ones than ``least_equal`` is not worth the joint estimate. A pair is tried
+    in the first of its common bands only, and not when its components are joined.
     """
     floor = least_equal(percent)
+    for r, (band, main) in enumerate(zip(*(batch.column(x).to_pylist() for x in ("band", "main")), strict=True)):
+        at = members.row(r)
+        other, v, c, n = members.registers[at], members.v[at], members.c[at], members.n[at]
+        for i in range(*strays.row(r).indices(len(strays.v))):
+            equal = other == strays.registers[i]
+            # Of two strays the one with the smaller number has the pair.
+            near = (c != strays.c[i]) & (equal.sum(axis=1) >= floor) & ((c == main) | (v > strays.v[i]))
+            near = np.flatnonzero(near)
+            agree = equal[near, : bands * wide].reshape(len(near), bands, wide).all(axis=2)
+            near = near[agree.argmax(axis=1) == band]
+            mine = joined.root(int(strays.c[i]))
+            near = near[np.array([joined.root(x) != mine for x in c[near].tolist()], bool)]
+            if len(near):
+                counts = order_counts(strays.registers[i], other[near])
+                near = near[in_doubt(counts, np.full(len(near), strays.n[i]), n[near], percent)]
+            if len(near):
+                yield r, i, near + at.start
+
+
+def _doubtful(percent: int, bands: int, wide: int):
+    """Buckets and those of their vertices that are in some pair in doubt, once for each row of blocks."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            strays, members = _Blocks(batch.column("strays")), _Blocks(batch.column("members"))
+            buckets = batch.column("bucket").to_pylist()
+            found: set[tuple[int, int]] = set()
+            for r, i, near in _compared(batch, strays, members, Union(), percent, bands, wide):
+                found.add((buckets[r], int(strays.v[i])))
+                found.update((buckets[r], v) for v in members.v[near].tolist())
+            ends = np.array(sorted(found), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["bucket", "v"])
+        give_back()
+
+    return run
+
+
+def _links(percent: int, bands: int, wide: int):
+    """Links between strays and members, confirmed on full sets, as far as they join components."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        joined = Union()
         for batch in batches:
-            pairs: set[tuple[int, int]] = set()
-            for left, right in zip(batch.column("strays"), batch.column("members"), strict=True):
-                v, c, n, own = _block(left.as_py())
-                w, d, m, other = _block(right.as_py())
-                for i in range(len(v)):
-                    near = np.flatnonzero((c[i] != d) & ((other == own[i]).sum(axis=1) >= floor))
-                    if not len(near):
-                        continue
-                    possible = in_doubt(
-                        order_counts(own[i], other[near]), np.full(len(near), n[i]), m[near], percent
-                    )
-                    pairs.update((min(v[i], x), max(v[i], x)) for x in w[near[possible]].tolist())
-            ends = np.array(sorted(pairs), np.int64).reshape(-1, 2)
+            links: list[tuple[int, int]] = []
+            strays, members = _Blocks(batch.column("strays")), _Blocks(batch.column("members"))
+            for _, i, near in _compared(batch, strays, members, joined, percent, bands, wide):
+                own = strays.set_of(i)
+                common = common_with(own, [members.set_of(j) for j in near.tolist()])
+                close = near[100 * common >= percent * (len(own) + members.n[near].astype(np.int64) - common)]
+                for j in close.tolist():
+                    if joined.join(int(strays.c[i]), int(members.c[j])):
+                        links.append((int(strays.v[i]), int(members.v[j])))
+            ends = np.array(links, np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
+        give_back()
 
     return run
 
@@ -235,11 +327,11 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     are never paired. Buckets are worked off in three rounds, after each of which
     links merge components. First the vertex of a bucket that shares most buckets
     is compared with the others, then the one that does so among the strays,
-    those outside the largest component. At last every stray meets blocks of the
-    sketches of its bucket, and the partners from other components that the
-    registers leave in doubt come out. Vertices of one component are not compared, so
-    every pair that meets in a bucket is judged or already connected: nothing is
-    capped, and only pairs in doubt become rows.
+    those outside the largest component. At last every stray meets blocks of its
+    bucket, first sketches and then the full sets of what these leave in doubt, and
+    is compared inside the task; of the links those come out that join components. Vertices of one component are not compared,
+    so every pair that meets in a bucket is judged or already connected: nothing is
+    capped, and no more rows come out than there are components.
     """
     return stored_alone(docs.sparkSession, "near-groups", lambda: _near_groups(docs, size, percent))
 
@@ -259,16 +351,16 @@ def _near_groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
     band = F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band")
     width = 2 * wide
     entries = vertices.select("v", "registers", band).select(
-        "v", F.xxhash64("band", F.substring("registers", F.col("band") * width + 1, F.lit(width))).alias("bucket")
+        "v", "band", F.xxhash64("band", F.substring("registers", F.col("band") * width + 1, F.lit(width))).alias("bucket")
     )
     # Written down, so that the join shuffles both sides for itself and hot buckets are split.
     full = stored(entries.groupBy("bucket").count().where("count > 1"), "full-buckets")
-    members = stored(entries.join(full, "bucket").select("bucket", "v", "count"), "buckets")
+    members = stored(entries.join(full, "bucket").select("bucket", "band", "v", "count"), "buckets")
     degree = members.groupBy("v").agg(F.sum("count").alias("degree"))
     component = stored(degree.select("v", "degree", F.col("v").alias("c")), "components")
     sets = _sets_of(docs, vertices, component, size)
 
-    members, tested = members.select("bucket", "v"), None
+    members, tested = members.select("bucket", "band", "v"), None
     for round_ in ROUNDS:
         at = members.join(small(component), "v")
         kinds = at.groupBy("bucket", "c").count()
@@ -281,15 +373,12 @@ def _near_groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
         if at.isEmpty():
             break
         if round_.endswith("leader"):
-            pairs = _led(at if round_ == "leader" else at.where("c <> main"), at)
+            pairs = _led(at if round_ == "leader" else at.where("c <> main"), at).distinct()
+            pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+            tested = pairs if tested is None else tested.unionByName(pairs)
+            edges = stored(_confirmed(_judged(pairs, vertices, percent), sets, percent), "links")
         else:
-            pairs = _block_pairs(at, vertices, percent)
-        pairs = pairs.distinct()
-        pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        if round_.endswith("leader"):
-            pairs = _judged(pairs, vertices, percent)
-        edges = stored(_confirmed(pairs, sets, percent), "links")
+            edges = stored(_block_links(at, vertices, sets, percent, bands, wide), "links")
         label = component.select("v", "c")
         ends = edges.join(small(label.toDF("a", "ca")), "a").join(small(label.toDF("b", "cb")), "b")
         roots = connected_components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
@@ -335,23 +424,46 @@ def _led(candidates: DataFrame, at: DataFrame) -> DataFrame:
     )
 
 
-def _block_pairs(at: DataFrame, vertices: DataFrame, percent: int) -> DataFrame:
-    """Pairs across components of a bucket that the registers leave in doubt.
+def _block_links(
+    at: DataFrame, vertices: DataFrame, sets: DataFrame, percent: int, bands: int, wide: int
+) -> DataFrame:
+    """Links that join components of a bucket, compared and confirmed inside tasks.
 
-    The members of a bucket are packed into blocks of about ``BLOCK`` sketches.
-    Blocks of strays, those outside the largest component of the bucket, meet all
-    blocks of it; the comparing is done inside a task and only pairs in doubt
-    come out.
+    Sketches are compared first. Full sets then travel to those buckets only in which
+    their vertex is in a pair in doubt, and there the same pairs are confirmed.
+    """
+    light = at.join(small(vertices.select("v", "n")), "v")
+    light = light.select("bucket", "band", "main", "v", "c", "n", (F.col("c") != F.col("main")).alias("stray"))
+    light = stored(light, "strays-and-members")
+    met = _meetings(light.join(vertices.select("v", "registers"), "v"), ["v", "c", "n", "registers"], F.lit(2 * REGISTERS))
+    doubtful = met.mapInArrow(_doubtful(percent, bands, wide), "bucket long, v long")
+    doubtful = stored(doubtful.distinct(), "in-doubt")
+    rows = light.join(small(doubtful), ["bucket", "v"], "left_semi")
+    rows = rows.join(vertices.select("v", "registers"), "v").join(sets, "v")
+    met = _meetings(rows, ["v", "c", "n", "registers", "members"], 8 * F.col("n") + 2 * REGISTERS)
+    return met.mapInArrow(_links(percent, bands, wide), "a long, b long")
+
+
+def _meetings(rows: DataFrame, fields: list[str], weight: Column) -> DataFrame:
+    """``bucket, band, main, strays, members``: blocks of strays with all blocks of their bucket.
+
+    The members of a bucket are packed into blocks of about ``BLOCK_BYTES``. Strays
+    are those outside the largest component of the bucket; ``BLOCKS_TOGETHER`` blocks
+    come under one key of the join.
     """
-    item = F.struct("v", "c", "n", "registers")
-    rows = at.join(vertices.select("v", "n", "registers"), "v").withColumn(
-        "slot", F.pmod(F.xxhash64("v"), F.ceil(F.col("size") / BLOCK))
+    rows = stored(rows.withColumn("weight", weight), "members-of-blocks")
+    slots = rows.groupBy("bucket").agg(F.ceil(F.sum("weight") / BLOCK_BYTES).alias("slots"))
+    rows = rows.join(small(stored(slots.where("slots > 1"), "slots")), "bucket", "left").withColumn("slots", F.coalesce("slots", F.lit(1)))
+    rows = rows.select(
+        "bucket", "band", "main", "stray", F.pmod(F.xxhash64("v"), F.col("slots")).alias("slot"),
+        F.ceil(F.col("slots") / BLOCKS_TOGETHER).alias("wholes"), F.struct(*fields).alias("x"),
     )
-    rows = stored(rows.select("bucket", "slot", (F.col("c") != F.col("main")).alias("stray"), item.alias("x")), "blocks")
-    blocks = rows.groupBy("bucket", "slot").agg(F.collect_list("x").alias("members"))
-    strays = rows.where("stray").groupBy("bucket", "slot").agg(F.collect_list("x").alias("strays"))
-    joined = strays.select("bucket", "strays").join(blocks.select("bucket", "members"), "bucket")
-    return joined.select("strays", "members").mapInArrow(_survivors(percent), "a long, b long")
+    whole = F.floor(F.col("slot") / BLOCKS_TOGETHER).alias("whole")
+    blocks = rows.groupBy("bucket", "band", "main", "slot").agg(F.collect_list("x").alias("members"))
+    strays = rows.where("stray").groupBy("bucket", "slot", "wholes").agg(F.collect_list("x").alias("strays"))
+    strays = strays.select("bucket", "strays", F.explode(F.sequence(F.lit(0).cast("long"), F.col("wholes") - 1)).alias("whole"))
+    joined = strays.join(blocks.select("bucket", "band", "main", whole, "members"), ["bucket", "whole"])
+    return joined.select("bucket", "band", "main", "strays", "members")
 
 
 def _side(table: DataFrame, end: str) -> DataFrame:

@@ -7,6 +7,7 @@ in every process.
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Iterable, Iterator
 
@@ -20,6 +21,8 @@ SLICE_BYTES = 1 << 20
 # An odd multiplier (2**64 divided by the golden ratio): fixed value.
 STEP = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
+# Of the C library, where it has it.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
@@ -36,6 +39,14 @@ def slices(
             stop = max(int(np.searchsorted(ends, before + limit, side="right")), start + 1)
             yield batch.slice(start, stop - start)
             start = stop
+        give_back()
+
+
+def give_back() -> None:
+    """Return memory that is free again to the system: workers outlive tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
 
 
 def encoded(column: pa.Array) -> list[bytes]:
