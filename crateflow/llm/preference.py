@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crateflow.plans.dense_key import dense_key
+
 TURN = "struct<turn:bigint,role:string,text:string>"
 
 
@@ -104,27 +106,29 @@ def answer_pairs(conversations: DataFrame, unpaired: bool = False) -> DataFrame:
 
     Chosen is the conversation up to its last assistant turn; later turns are cut.
     Rejected keeps the turns before it and answers with the last assistant text of
-    the neighbour, the conversation whose id differs in the lowest bit. A
-    conversation without an assistant turn gives no pair. One whose neighbour is
-    absent or has no assistant turn gives none either, or with ``unpaired`` one
-    whose rejected side has no answer.
+    the partner: the next conversation with an assistant turn in order of ids, and
+    for the last of them the first. A conversation without an assistant turn gives
+    no pair. One that is the only one with such a turn has no partner: it gives
+    none either, or with ``unpaired`` one whose rejected side has no answer.
     """
     turns = gather_turns(conversations)
     last = F.array_max(F.transform(
         "turns", lambda t, i: F.when(t["role"] == "assistant", i + 1)
     ))
-    turns = turns.withColumn("last", last).where("last is not null")
+    turns = dense_key(turns.withColumn("last", last).where("last is not null"), "place", ["conv_id"])
+    total = turns.count()
+    # The answer of a place serves the one before it.
     answer = turns.select(
-        F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"),
+        F.when(F.col("place") == 1, total).otherwise(F.col("place") - 1).alias("place"),
         F.element_at("turns", F.col("last"))["text"].alias("other"),
         F.lit(True).alias("paired"),
-    )
+    ).where(F.lit(total > 1))
     swapped = F.struct(
         F.element_at("turns", F.col("last"))["turn"].alias("turn"),
         F.lit("assistant").alias("role"), F.col("other").alias("text"),
     )
     own = F.when(F.col("paired"), F.array(swapped)).otherwise(F.array().cast(f"array<{TURN}>"))
-    return turns.join(answer, "conv_id", "left" if unpaired else "inner").select(
+    return turns.join(answer, "place", "left" if unpaired else "inner").select(
         F.col("conv_id").alias("pair_id"),
         F.slice("turns", F.lit(1), F.col("last")).alias("chosen"),
         F.concat(F.slice("turns", F.lit(1), F.col("last") - 1), own).alias("rejected"),
@@ -132,7 +136,7 @@ def answer_pairs(conversations: DataFrame, unpaired: bool = False) -> DataFrame:
 
 
 def op4_chat_preference(spark, sf_dir):
-    """A preference row for every conversation with an answer whose neighbour has one too, as the SQL below says."""
+    """A preference row for every conversation with an answer, if there are two of them."""
     conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     return format_preferences(answer_pairs(conversations))
 
@@ -145,9 +149,11 @@ WITH ordered AS (
 ), last_answer AS (
   SELECT conv_id, max(place) AS last, arg_max(text, place) AS text
   FROM ordered WHERE role = 'assistant' GROUP BY conv_id
+), partners AS (
+  SELECT *, coalesce(lead(conv_id) OVER (ORDER BY conv_id), min(conv_id) OVER ()) AS partner FROM last_answer
 ), pairs AS (
   SELECT a.conv_id, a.last, a.text AS chosen, b.text AS rejected
-  FROM last_answer a JOIN last_answer b ON b.conv_id = xor(a.conv_id, 1)
+  FROM partners a JOIN last_answer b ON b.conv_id = a.partner WHERE a.partner <> a.conv_id
 ), prompt AS (
   SELECT p.conv_id, string_agg('<|' || coalesce(o.role, '') || '|>' || chr(10) || coalesce(o.text, '') || chr(10), '' ORDER BY o.place) AS prompt
   FROM pairs p JOIN ordered o ON o.conv_id = p.conv_id AND (o.place < p.last OR (o.place = p.last AND p.chosen IS NOT DISTINCT FROM p.rejected))

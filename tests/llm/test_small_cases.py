@@ -571,25 +571,30 @@ def test_pairs_from_conversations(spark):
     ]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     out = {r["pair_id"]: r for r in preference.format_preferences(preference.answer_pairs(df)).collect()}
-    assert set(out) == {2, 3, 6, 7}
+    assert set(out) == {2, 3, 4, 6, 7}
     assert out[2]["prompt"] == "<|user|>\nq\n" and out[2]["chosen_completion"] == "<|assistant|>\nr\n"
     assert out[2]["rejected_completion"] == "<|assistant|>\n\n"
-    assert out[7]["n_prompt_turns"] == 2
+    assert out[3]["rejected_completion"] == "<|assistant|>\nalone\n"
+    assert out[6]["n_prompt_turns"] == 1 and out[6]["rejected_completion"] == ""
+    assert out[7]["n_prompt_turns"] == 1 and out[7]["rejected_completion"] == "<|assistant|>\nr\n"
 
 
-def test_answers_without_a_neighbour_are_kept_on_request(spark):
-    rows = [
-        (2, 0, "user", "q"), (2, 1, "assistant", "r"), (2, 2, "user", "more"), (4, 0, "assistant", "alone"),
-        (5, 0, "user", "no answer"), (6, 0, "assistant", "s"), (7, 0, "assistant", "t"),
-    ]
+def test_every_answered_conversation_gives_a_pair_whatever_its_id(spark):
+    rows = [(i, 0, "assistant", f"t{i}") for i in range(0, 400, 4)] + [(9, 0, "user", "no answer")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = {r["pair_id"]: r["rejected_completion"] for r in preference.format_preferences(preference.answer_pairs(df)).collect()}
+    assert out == {i: f"<|assistant|>\nt{(i + 4) % 400}\n" for i in range(0, 400, 4)}
+
+
+def test_an_answer_without_a_partner_is_kept_on_request(spark):
+    rows = [(4, 0, "user", "q"), (4, 1, "assistant", "alone"), (5, 0, "user", "no answer")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    pairs = preference.answer_pairs(df, unpaired=True)
-    out = {r["pair_id"]: r for r in preference.format_preferences(pairs).collect()}
-    assert set(out) == {2, 4, 6, 7}
-    assert (out[2]["prompt"], out[2]["n_prompt_turns"]) == ("<|user|>\nq\n", 1)
-    assert out[2]["chosen_completion"] == "<|assistant|>\nr\n"
-    assert out[2]["rejected_completion"] == out[2]["rejected_loss"] == out[4]["rejected_completion"] == ""
-    assert out[6]["rejected_completion"] == "<|assistant|>\nt\n"
+    assert preference.answer_pairs(df).count() == 0
+    (only,) = preference.format_preferences(preference.answer_pairs(df, unpaired=True)).collect()
+    assert (only["pair_id"], only["prompt"], only["n_prompt_turns"]) == (4, "<|user|>\nq\n", 1)
+    assert only["chosen_completion"] == "<|assistant|>\nalone\n"
+    assert only["rejected_completion"] == only["rejected_loss"] == ""
+    assert preference.answer_pairs(df.where("conv_id = 5")).count() == 0
 
 
 # --- quality -------------------------------------------------------------------
@@ -621,3 +626,20 @@ def test_quality(spark, docs, none):
     assert empty.rules == () and quality.score_documents(docs, empty).where("score = 0.5").count() == len(TEXTS)
     one_kind = quality.fit(df, labels.where("quality = 1"))
     assert one_kind.rules == () and one_kind.constant > 0
+
+
+def test_stages_leave_columns_of_any_name_alone(spark):
+    import corpus_pipeline
+
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(60).selectExpr(
+        "*", "doc_id as _id", "doc_id as _key", "doc_id as _LOSER", "'x' as _s_comma_share", "1 as N_TOKENS",
+        "named_struct('a b', 1, 'c', 'd') as nested", "2 as Score", "3 as component", "4 as Kept", "5 as Decoded",
+    )
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs.drop("Score") if stage is corpus_pipeline.quality else docs, folder)
+        assert set(out.columns) >= set(docs.columns) - {"Score"}
+        assert 0 < out.count() <= 60
+    last = corpus_pipeline.byte_bpe(spark, docs, folder)
+    assert last.columns.count("n_tokens") == 1 and "N_TOKENS" not in last.columns
+    assert last.where("exact and _id = doc_id and nested.`a b` = 1").count() == 60
