@@ -19,6 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crateflow.llm.words import slices
 
@@ -29,7 +30,7 @@ MEMO_PIECES = 400_000
 MEMO_BYTES = 24 << 20
 ROWS = 4096
 _NONE = np.int64(1 << 62)
-ENCODED = "n_tokens long, ids binary"
+ENCODED = T.StructType().add("n_tokens", "long").add("ids", "binary")
 
 
 class Ranks:
@@ -246,11 +247,10 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     ids. Rows stay where they are: nothing is shuffled, repeated rows and null
     ids are rows like others. Columns called ``n_tokens`` or ``ids`` are replaced.
     """
-    rest = [c for c in docs.columns if c not in ("text", "n_tokens", "ids")]
-    rows = docs.select(*rest, "text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
-    schema = f"{schema}, {ENCODED}" if schema else ENCODED
-    return rows.mapInArrow(_encoder(path, pattern), schema)
+    rest = docs.drop("n_tokens", "ids")
+    columns = [F.col(f"`{c}`") for c in rest.columns if c.lower() != "text"]
+    rows = rest.select(*columns, "text")
+    return rows.mapInArrow(_encoder(path, pattern), T.StructType([*rows.schema[:-1], *ENCODED]))
 
 
 def decode(rows: DataFrame, path: str) -> DataFrame:
@@ -259,8 +259,7 @@ def decode(rows: DataFrame, path: str) -> DataFrame:
     Null ids are no ids. An id outside the ranks file fails the task.
     """
     rows = rows.drop("decoded")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(_decoder(path), f"{schema}, decoded binary")
+    return rows.mapInArrow(_decoder(path), T.StructType([*rows.schema, T.StructField("decoded", T.BinaryType())]))
 
 
 def op6_byte_bpe(spark, sf_dir):

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import heapq
 import os
+import re
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -29,9 +30,9 @@ WIDTH = 2048
 TOGETHER = 512
 # Words whose ids a task remembers, and the longest of them in bytes.
 REMEMBERED, REMEMBERED_BYTES = 700_000, 64
-# Marks that are taken off the end of a word. Characters that may stand between words; the first that is one id is taken. No
+# Marks that end a word behind a letter. Characters that may stand between words; the first that is one id is taken. No
 # other character is normalised to any of them.
-CLOSING = b".,;:!?"
+CLOSING = re.compile(rb"[.,;:!?](?<=[A-Za-z].)[.,;:!?]*(?![^\x20\x09-\x0D])")
 MARKS = "\u2122\U0001f602\u25cf\u00a7"
 # A sequence number is that of the task, then that within the task.
 TASK_BITS = 33
@@ -56,8 +57,8 @@ class Words:
 
     The tokenizer must drop ASCII white space, never look across it, and cut between
     a letter and a mark like a full stop; then the ids of a text are those of its
-    words in a row. A word is a stem and the marks behind it; each stem is
-    encoded once, and if the tokenizer ignores case, so do stems. Only words
+    words in a row. The marks that end a word are words of their own, and if the
+    tokenizer ignores case, so do words: each is then encoded once. Only words
     up to ``REMEMBERED_BYTES`` are remembered, and all are forgotten once there are
     more than ``REMEMBERED``.
     """
@@ -81,7 +82,6 @@ class Words:
         single = ((mark, self._encode([mark])[0]) for mark in MARKS)
         self._mark, self._mark_id = next(((m, x[0]) for m, x in single if len(x) == 1), (None, None))
         self._known: dict[bytes, bytes] = {}
-        self._stems: dict[bytes, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, "<u4") for x in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -95,38 +95,25 @@ class Words:
         starts, ends = [0, *(at + 1).tolist()], [*at.tolist(), len(ids)]
         return [ids[a:b] for a, b in zip(starts, ends, strict=True)]
 
-    def _learn(self, words: list[bytes]) -> None:
-        stems, cut = self._stems, []
-        for word in words:
-            stem = word.rstrip(CLOSING)
-            if not stem[-1:].isalpha():
-                stem = word
-            # the string of an added token counts as it is written
-            folded = stem.lower() if self._any_case and b"<" not in stem else stem
-            cut.append((folded, word[len(stem) :]))
-        new = list({part for pair in cut for part in pair if part and part not in stems})
-        if new:
-            stems.update(zip(new, (x.tobytes() for x in self._each([x.decode() for x in new])), strict=True))
-        stems[b""] = b""
-        self._known.update((w, stems[stem] + stems[marks]) for w, (stem, marks) in zip(words, cut, strict=True))
-        for part in new:
-            if len(part) > REMEMBERED_BYTES:
-                del stems[part]
-
     def ids(self, text: bytes) -> np.ndarray:
+        # the string of an added token counts as it is written
+        if self._any_case and b"<" not in text:
+            text = text.lower()
         out, known = [], self._known
         for part in parts(text):
-            if len(known) > REMEMBERED or len(self._stems) > REMEMBERED:
+            if len(known) > REMEMBERED:
                 known.clear()
-                self._stems.clear()
-            words = part.split()
-            new = [word for word in set(words) if word not in known]
-            if new:
-                self._learn(new)
-            out.append(b"".join(map(known.__getitem__, words)))
-            for word in new:
-                if len(word) > REMEMBERED_BYTES:
-                    del known[word]
+            words = CLOSING.sub(rb" \g<0>", part).split()
+            ids = list(map(known.get, words))
+            if None in ids:
+                new = list({word for word, x in zip(words, ids, strict=True) if x is None})
+                each = self._each([word.decode() for word in new])
+                known.update(zip(new, (x.tobytes() for x in each), strict=True))
+                ids = list(map(known.__getitem__, words))
+                for word in new:
+                    if len(word) > REMEMBERED_BYTES:
+                        del known[word]
+            out.append(b"".join(ids))
         return np.frombuffer(b"".join(out), "<u4")
 
 

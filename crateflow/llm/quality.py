@@ -20,6 +20,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crateflow.llm.rows import small
 from crateflow.llm.words import encoded, slices
@@ -31,6 +32,8 @@ TREES, DEPTH, BINS, LASSO, SEED = 20, 5, 128, 0.0003, 7
 ROWS_PER_PART = 25_000
 
 
+# In front of the names of their columns, longer where a column of the user begins so.
+PREFIX = "_s_"
 # Inputs of the rules, from the text alone, in the order in which ``measured``
 # gives them. Shares are of all bytes, or of all words where the name says so.
 STATISTICS = (
@@ -66,14 +69,15 @@ def measured(text: bytes) -> tuple[float, ...]:
     )
 
 
-def _measurer(keep_text: bool) -> Callable:
+def _measurer(keep_text: bool, prefix: str) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             table = np.array([measured(text) for text in encoded(batch.column("text"))], float)
+            table = table.reshape(-1, len(STATISTICS))
             rest = [name for name in batch.schema.names if keep_text or name != "text"]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(name) for name in rest), *map(pa.array, table.T)],
-                [*rest, *(f"_s_{name}" for name in STATISTICS)],
+                [*rest, *(f"{prefix}{name}" for name in STATISTICS)],
             )
 
     return run
@@ -87,8 +91,8 @@ class Test:
     threshold: float
     above: bool
 
-    def column(self) -> Column:
-        value = F.col(f"_s_{self.statistic}")
+    def column(self, prefix: str) -> Column:
+        value = F.col(f"`{prefix}{self.statistic}`")
         return value > self.threshold if self.above else value <= self.threshold
 
 
@@ -99,26 +103,25 @@ class RuleModel:
     rules: tuple[tuple[tuple[Test, ...], float], ...]
     constant: float
 
-    def score(self) -> Column:
+    def score(self, prefix: str = PREFIX) -> Column:
         total = F.lit(self.constant)
         for tests, weight in self.rules:
-            total = total + F.when(conjunction(tests), weight).otherwise(0.0)
+            total = total + F.when(conjunction(tests, prefix), weight).otherwise(0.0)
         return 1 / (1 + F.exp(-total))
 
 
-def conjunction(tests: tuple[Test, ...]) -> Column:
-    out = tests[0].column()
+def conjunction(tests: tuple[Test, ...], prefix: str = PREFIX) -> Column:
+    out = tests[0].column(prefix)
     for test in tests[1:]:
-        out = out & test.column()
+        out = out & test.column(prefix)
     return out
 
 
-def with_statistics(docs: DataFrame, keep_text: bool = True) -> DataFrame:
-    """``docs`` with a column ``_s_<name>`` for each statistic; null texts are empty."""
+def with_statistics(docs: DataFrame, keep_text: bool = True, prefix: str = PREFIX) -> DataFrame:
+    """``docs`` with a column ``<prefix><name>`` for each statistic; null texts are empty."""
     fields = [f for f in docs.schema if keep_text or f.name != "text"]
-    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
-    schema += [f"`_s_{name}` double" for name in STATISTICS]
-    return docs.mapInArrow(_measurer(keep_text), ", ".join(schema))
+    fields += [T.StructField(f"{prefix}{name}", T.DoubleType()) for name in STATISTICS]
+    return docs.mapInArrow(_measurer(keep_text, prefix), T.StructType(fields))
 
 
 def held_out() -> Column:
@@ -178,7 +181,7 @@ def _fit(docs: DataFrame, labels: DataFrame, max_rows: int) -> RuleModel:
     known = known.repartition(-(-int(total) // ROWS_PER_PART), "doc_id").sortWithinPartitions(*known.columns)
     known = stored(known, "training")
 
-    features = VectorAssembler(inputCols=[f"_s_{name}" for name in STATISTICS], outputCol="features")
+    features = VectorAssembler(inputCols=[f"{PREFIX}{name}" for name in STATISTICS], outputCol="features")
     forest = RandomForestClassifier(
         numTrees=TREES, maxDepth=DEPTH, maxBins=BINS, seed=SEED, minInstancesPerNode=3,
         featureSubsetStrategy="onethird",
@@ -202,9 +205,13 @@ def score_documents(docs: DataFrame, model: RuleModel, keep_text: bool = True) -
     A null or empty text is scored like others. Columns of these names are
     replaced; repeated rows and null ids (never held out) are rows like others.
     """
-    rows = with_statistics(docs.drop("held_out", "score", "predicted"), keep_text).withColumns({"held_out": held_out(), "score": model.score()})
+    docs = docs.drop("held_out", "score", "predicted")
+    prefix = PREFIX
+    while any(name.lower().startswith(prefix) for name in docs.columns):
+        prefix += "_"
+    rows = with_statistics(docs, keep_text, prefix).withColumns({"held_out": held_out(), "score": model.score(prefix)})
     rows = rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
-    return rows.drop(*[f"_s_{name}" for name in STATISTICS])
+    return rows.drop(*[f"{prefix}{name}" for name in STATISTICS])
 
 
 def op7_quality_classifier(spark, sf_dir):

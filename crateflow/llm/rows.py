@@ -29,14 +29,23 @@ def without(docs: DataFrame, losers: DataFrame) -> DataFrame:
     The losers are broadcast when their checked size allows, so that texts stay
     in place; beyond that both sides are shuffled.
     """
-    losers = losers.select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key")).distinct()
+    loser, key = free_names(docs.columns, "loser", "key")
+    losers = losers.select(F.col("doc_id").alias(loser), F.col("row_key").alias(key)).distinct()
     losers = small(losers)
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (
-        F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("_key")
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(loser)) & (
+        F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col(key)
     )
     return docs.join(losers, same, "left_anti")
 
 
+def free_names(taken: list[str], *names: str) -> list[str]:
+    """``names`` with a common end that keeps them apart from the columns of a user, in any case."""
+    low, end = {name.lower() for name in taken}, ""
+    while any(f"_{name}{end}" in low for name in names):
+        end += "_"
+    return [f"_{name}{end}" for name in names]
+
+
 def one_row_each(docs: DataFrame, rows: DataFrame, group: str) -> DataFrame:
     """``docs`` with one row for each ``group``, out of its rows with ``kept``.
 
