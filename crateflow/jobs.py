@@ -30,7 +30,7 @@ from crateflow.operators.silver import (
     null_key_rows,
     transform,
 )
-from crateflow.session import scratch_of_job
+from crateflow.session import in_this_job, scratch_of_job
 from crateflow.sources.delimited import scan_csv
 from crateflow.sources.tables import append_rows, log_frame, publish, read_table
 from crateflow.sources.workbook import scan_workbooks
@@ -93,7 +93,7 @@ def run_bronze(
 def _each_source(work: Callable[[SourceSpec], dict], sources: tuple[SourceSpec, ...]):
     """Results in source order; a few sources run at once so that none waits for a slow tail."""
     with ThreadPoolExecutor(_SOURCES_AT_ONCE) as pool:
-        yield from pool.map(work, sources)
+        yield from pool.map(in_this_job(work), sources)
 
 
 def _land_source(
@@ -234,7 +234,7 @@ def run_gold(
 
     def store(builds: dict[str, Callable[[], DataFrame]]) -> None:
         with ThreadPoolExecutor(_SOURCES_AT_ONCE) as pool:
-            records.extend(pool.map(build, builds, builds.values()))
+            records.extend(pool.map(in_this_job(build), builds, builds.values()))
 
     def need(name: str) -> DataFrame:
         if name not in built:

@@ -7,7 +7,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crateflow.session import stored
+from crateflow.session import rows_per_task, scratch_dir
 
 # monotonically_increasing_id() holds the partition above bit 33, the row below
 _ROW_BITS = 33
@@ -17,27 +17,25 @@ def dense_key(df: DataFrame, key: str, order_by: list[str]) -> DataFrame:
     """Put 1..N in front of ``df`` as ``key``, numbered along ``order_by``.
 
     The rows are range-partitioned and sorted, so a number is the rows in all
-    earlier partitions plus the place inside its own. Partition sizes are read
-    in a second pass; the table written in between makes that pass see the same
-    partitions, also when an executor was lost between the two. ``order_by`` should be
-    unique, or numbers of tied rows are interchangeable.
+    earlier partitions plus the place inside its own. They are written down, and
+    partition sizes come from the footers of the files: no job is needed for
+    them, and later passes see the same partitions, also when an executor was
+    lost. ``order_by`` should be unique, or numbers of tied rows are interchangeable.
     """
+    spark = df.sparkSession
     ranged = (
         df.repartitionByRange(*order_by)
         .sortWithinPartitions(*order_by)
         .withColumn("_place", F.monotonically_increasing_id())
     )
-    kept = stored(ranged, "ranged")
-    part = F.shiftright("_place", _ROW_BITS)
-    # one count per range partition: bounded by spark.sql.shuffle.partitions
-    sizes = sorted(kept.groupBy(part.alias("part")).count().collect())
-    starts = accumulate((size for _, size in sizes), initial=0)
-    offsets = df.sparkSession.createDataFrame(
-        [(row["part"], start) for row, start in zip(sizes, starts)], "_part long, _start long"
-    )
+    path = scratch_dir(spark, "ranged")
+    ranged.write.parquet(path)
+    kept = spark.read.schema(ranged.schema).parquet(path)
+    # one size per range partition: bounded by spark.sql.shuffle.partitions
+    sizes = rows_per_task(spark, path)
+    starts = accumulate((sizes.get(n, 0) for n in range(max(sizes, default=0))), initial=0)
+    # one text, which the optimizer turns into a constant; no table to send around
+    listed = F.split(F.lit(",".join(map(str, starts))), ",").cast("array<bigint>")
+    part = F.shiftright("_place", _ROW_BITS).cast("int")
     row = F.col("_place").bitwiseAND((1 << _ROW_BITS) - 1)
-    return (
-        kept.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .select((F.col("_start") + row + 1).alias(key), *df.columns)
-    )
+    return kept.select((F.element_at(listed, part + 1) + row + 1).alias(key), *df.columns)

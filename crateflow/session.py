@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Folder below the scratch folder of the application, while a job runs.
-_JOBS: list[str] = []
+# Folder below the scratch folder of the application, while a job runs: that of the
+# innermost job of this thread, and of threads that work for it (``in_this_job``).
+_JOB: ContextVar[str | None] = ContextVar("crateflow_job", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -44,22 +48,31 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not fs.exists(path):
         fs.mkdirs(path)
         fs.deleteOnExit(path)
-    return "/".join([root, *_JOBS[-1:], f"{label}-{uuid.uuid4().hex}"])
+    return "/".join(filter(None, [root, _JOB.get(), f"{label}-{uuid.uuid4().hex}"]))
 
 
 @contextmanager
 def scratch_of_job(spark: SparkSession) -> Iterator[None]:
-    """Remove the intermediate tables of a job once its results are written."""
-    _JOBS.append(f"job-{uuid.uuid4().hex}")
+    """Remove the intermediate tables of a job once its results are written.
+
+    Jobs in other threads have folders of their own.
+    """
+    outer = _JOB.set(f"job-{uuid.uuid4().hex}")
     folder = scratch_dir(spark, "x").rsplit("/", 1)[0]
     try:
         yield
     finally:
-        _JOBS.pop()
+        _JOB.reset(outer)
         path, fs = _file_system(spark, folder)
         fs.delete(path, True)
 
 
+def in_this_job(work: Callable) -> Callable:
+    """``work`` for threads of a pool: what it stores belongs to the job that runs now."""
+    context = copy_context()
+    return lambda *args: context.copy().run(work, *args)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to a scratch table and read back.
 
@@ -81,6 +94,21 @@ def stored_alone(spark: SparkSession, label: str, build: Callable[[], DataFrame]
     return spark.read.schema(df.schema).parquet(path)
 
 
+def rows_per_task(spark: SparkSession, path: str) -> dict[int, int]:
+    """Rows that each task wrote to a Parquet folder, from the footers of its files."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    parquet = jvm.org.apache.parquet.hadoop
+    folder, fs = _file_system(spark, path)
+    rows: dict[int, int] = defaultdict(int)
+    for entry in fs.listStatus(folder):
+        part = re.match(r"part-(\d+)-", entry.getPath().getName())
+        if part:
+            reader = parquet.ParquetFileReader.open(parquet.util.HadoopInputFile.fromStatus(entry, conf))
+            rows[int(part[1])] += reader.getRecordCount()
+            reader.close()
+    return dict(rows)
+
+
 def _file_system(spark: SparkSession, name: str):
     context = spark.sparkContext
     path = context._jvm.org.apache.hadoop.fs.Path(name)

@@ -1,7 +1,15 @@
-"""Layer tables on disk: ``<layer>/<yyyymmdd>/<name>.parquet``."""
+"""Layer tables on disk: ``<layer>/<yyyymmdd>/<name>.parquet``.
+
+A table that is replaced as a whole has versions below ``_versions`` and, below
+``_commits``, a file for every change of the current one, whose name counts up and
+says the version. Readers take the highest name. A version is complete before its
+file is there and is never written again by a replacement, so a reader has the old
+table or the new one, and a lost driver leaves the old one in place.
+"""
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +18,12 @@ from pyspark.sql import types as T
 
 from crateflow.plans.sizing import fits_broadcast
 
+# Versions that can be read or gone back to; older ones are deleted.
+KEPT_VERSIONS = 3
+_VERSIONS, _COMMITS = "_versions", "_commits"
+# Said by a commit instead of a version: none at all, or that before the last.
+_NOTHING, _BACK = "nothing", "back"
+
 
 def run_dir(root: str, run_date: str) -> str:
     """Folder of one run date, ``2026-07-22`` becoming ``20260722``."""
@@ -28,41 +42,79 @@ def read_table(
     name: str,
     schema: T.StructType | None = None,
 ) -> DataFrame:
-    """One table of one run date; parts landed in sub-folders belong to it.
+    """One table of one run date, as it stands now; parts landed in it belong to it.
 
     Parts may have columns of their own: a column that a part lacks is NULL in
     its rows. A known ``schema`` saves the job that looks it up in the files. A
-    table whose replacement was interrupted is put back first.
+    frame that was read before the table is replaced goes on reading the
+    version it has found.
     """
     target = table_path(root, run_date, name)
-    _put_back(spark, target)
+    paths = _live_paths(spark, target)
+    if not paths:
+        raise FileNotFoundError(f"there is no table {target}")
     reader = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(target)
+    return reader.parquet(*paths)
 
 
 def publish(df: DataFrame, root: str, run_date: str, name: str) -> str:
     """Replace one table of one run date, or leave it as it was.
 
     Spark evaluates at the write, and ``overwrite`` deletes first: a failing
-    transform would take yesterday's good table with it. So the rows are
-    written beside the table and moved into place once they are complete.
+    transform would take yesterday's good table with it. So the rows are written
+    to a version of their own, and one new file makes that the current one.
     """
     target = table_path(root, run_date, name)
-    write_replacing(df, target, f"{run_dir(root, run_date)}/_staging")
+    write_replacing(df, target)
     return target
 
 
-def write_replacing(df: DataFrame, target: str, staging: str) -> None:
-    """Write ``df`` below ``staging`` and move it to ``target`` when complete."""
-    staged = f"{staging}/{uuid.uuid4().hex}"
+def write_replacing(df: DataFrame, target: str) -> None:
+    """Write ``df`` as a new version of ``target``, current once it is complete."""
+    version = uuid.uuid4().hex
+    staged = f"{target}/{_VERSIONS}/{version}"
     try:
         df.write.parquet(staged)
     except Exception:
         discard(df.sparkSession, staged)
         raise
-    replace(df.sparkSession, staged, target)
+    _commit(df.sparkSession, target, version)
+
+
+def replace(spark: SparkSession, staged: str, target: str) -> None:
+    """Make the finished folder ``staged`` the current version of ``target``."""
+    version = uuid.uuid4().hex
+    old, fs = _file_system(spark, staged)
+    new, _ = _file_system(spark, f"{target}/{_VERSIONS}/{version}")
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"cannot move {staged} to {target}")
+    _commit(spark, target, version)
+
+
+def withdraw(spark: SparkSession, target: str) -> None:
+    """Leave ``target`` without rows, if it has any; ``take_back`` undoes it."""
+    if _history(spark, target):
+        _commit(spark, target, _NOTHING)
+
+
+def take_back(spark: SparkSession, root: str, run_date: str, name: str) -> None:
+    """Undo the last replacement of a table: the version before it is current again.
+
+    Without one before, the day has no such table any more. Rows appended to the
+    version go with it. Up to ``KEPT_VERSIONS`` versions can be gone back through.
+    """
+    target = table_path(root, run_date, name)
+    history = _history(spark, target)
+    if not history:
+        raise FileNotFoundError(f"{target} was never published")
+    if len(history) > 1 and history[-2] != _NOTHING:
+        before, fs = _file_system(spark, f"{target}/{_VERSIONS}/{history[-2]}")
+        if not fs.exists(before):
+            raise FileNotFoundError(f"the version of {target} before this one is no longer kept")
+    _commit(spark, target, _BACK)
 
 
 def discard(spark: SparkSession, name: str) -> None:
@@ -74,7 +126,7 @@ def discard(spark: SparkSession, name: str) -> None:
 def publish_days(df: DataFrame, day: str, root: str, name: str) -> None:
     """Replace one table of many run dates in one write; ``day`` holds yyyymmdd.
 
-    The dates are moved into place one after the other, by renaming.
+    The dates become current one after the other.
     """
     spark = df.sparkSession
     staged = f"{root.rstrip('/')}/_staging/{uuid.uuid4().hex}"
@@ -87,10 +139,15 @@ def publish_days(df: DataFrame, day: str, root: str, name: str) -> None:
     fs.delete(path, True)
 
 
+def part_path(spark: SparkSession, target: str, part: str) -> str:
+    """Where a part of ``target`` belongs: in its current version, if it has versions."""
+    return f"{_folder_to_add_to(spark, target)}/{part}"
+
+
 def append_rows(df: DataFrame, root: str, run_date: str, name: str) -> str:
     """Add rows to one table of one run date."""
     target = table_path(root, run_date, name)
-    df.write.mode("append").parquet(target)
+    df.write.mode("append").parquet(_folder_to_add_to(df.sparkSession, target))
     return target
 
 
@@ -103,11 +160,18 @@ def log_frame(spark: SparkSession, records: list[dict], schema: T.StructType) ->
 def run_history(spark: SparkSession, root: str, name: str) -> DataFrame:
     """One table over all run dates, with the folder it came from as ``run_day``.
 
-    A bad day is taken back by dropping its folder.
+    A bad day is taken back with ``take_back``: its rows are those of the version
+    before, or none.
     """
+    path, fs = _file_system(spark, root)
+    days = sorted(entry.getPath().getName() for entry in fs.listStatus(path))
+    folders = [f"{root.rstrip('/')}/{day}/{name}.parquet" for day in days if re.fullmatch(r"\d{8}", day)]
+    paths = [live for folder in folders for live in _live_paths(spark, folder)]
+    if not paths:
+        raise FileNotFoundError(f"no day of {root} has a table {name}")
     day = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{8})/[^/]+\.parquet/", 1)
-    history = spark.read.option("mergeSchema", True).parquet(f"{root.rstrip('/')}/*/{name}.parquet")
-    return history.withColumn("run_day", day)
+    reader = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True)
+    return reader.parquet(*paths).withColumn("run_day", day)
 
 
 def latest_per(history: DataFrame, by: list[str], order_by: str = "run_day") -> DataFrame:
@@ -126,38 +190,80 @@ def _file_system(spark: SparkSession, name: str):
     return path, path.getFileSystem(context._jsc.hadoopConfiguration())
 
 
-def _aside(target: str) -> str:
-    """Where the table before stands while it is replaced; readers skip such names."""
-    folder, name = target.rstrip("/").rsplit("/", 1)
-    return f"{folder}/_before-{name}"
+def _children(spark: SparkSession, folder: str) -> list[tuple[str, bool]]:
+    """Names in a folder that readers see, and whether each is a folder."""
+    path, fs = _file_system(spark, folder)
+    if not fs.exists(path):
+        return []
+    entries = [(entry.getPath().getName(), entry.isDirectory()) for entry in fs.listStatus(path)]
+    return sorted((name, is_folder) for name, is_folder in entries if name[0] not in "_.")
 
 
-def _put_back(spark: SparkSession, target: str) -> None:
-    """Undo a replacement that stopped between its two steps."""
-    current, fs = _file_system(spark, target)
-    old, _ = _file_system(spark, _aside(target))
-    if not fs.exists(current) and fs.exists(old):
-        fs.rename(old, current)
+def _history(spark: SparkSession, target: str) -> list[str]:
+    """Versions of ``target`` from the first to the current one, without those taken back."""
+    path, fs = _file_system(spark, f"{target}/{_COMMITS}")
+    if not fs.exists(path):
+        return []
+    history: list[str] = []
+    for name in sorted(entry.getPath().getName() for entry in fs.listStatus(path)):
+        version = name.partition("-")[2]
+        if version != _BACK:
+            history.append(version)
+        elif history:
+            history.pop()
+    return history or [_NOTHING]
 
 
-def replace(spark: SparkSession, staged: str, target: str) -> None:
-    """Move ``staged`` to ``target``.
+def _commit(spark: SparkSession, target: str, version: str) -> None:
+    """Add a file whose name says what is current; nothing is overwritten or moved.
 
-    The table before is set aside under a name that follows from the target. If
-    the second step fails it comes back at once; if the driver is lost between
-    the steps, the next read or replacement puts it back. Renames are cheap on a
-    file system and copies on an object store.
+    Files count upwards. Should two writers take one number, the later name is the
+    current version for every reader, and no reader sees rows of both.
     """
-    _put_back(spark, target)
-    current, fs = _file_system(spark, target)
-    new, _ = _file_system(spark, staged)
-    old, _ = _file_system(spark, _aside(target))
-    if fs.exists(current):
-        fs.delete(old, True)
-        if not fs.rename(current, old):
-            raise OSError(f"cannot move {target} aside")
-    fs.mkdirs(current.getParent())
-    if not fs.rename(new, current):
-        _put_back(spark, target)
-        raise OSError(f"cannot move {staged} to {target}")
-    fs.delete(old, True)
+    folder, fs = _file_system(spark, f"{target}/{_COMMITS}")
+    fs.mkdirs(folder)
+    numbers = [int(entry.getPath().getName().partition("-")[0]) for entry in fs.listStatus(folder)]
+    path, _ = _file_system(spark, f"{target}/{_COMMITS}/{max(numbers, default=0) + 1:012d}-{version}")
+    if not fs.createNewFile(path):
+        raise OSError(f"cannot make {version} the current version of {target}")
+    if version == _BACK:
+        return
+    kept = set(_history(spark, target)[-KEPT_VERSIONS:])
+    known = {entry.getPath().getName().partition("-")[2] for entry in fs.listStatus(folder)}
+    for old in known - kept - {version, _BACK, _NOTHING}:
+        discard(spark, f"{target}/{_VERSIONS}/{old}")
+
+
+def _live_paths(spark: SparkSession, folder: str) -> list[str]:
+    """Folders and files that hold the rows of ``folder`` now.
+
+    A folder with commits stands for its current version, at any depth. One with
+    files and sub-folders is given by its files, or readers would take a part twice.
+    """
+    history = _history(spark, folder)
+    if history:
+        if history[-1] == _NOTHING:
+            return []
+        folder = f"{folder}/{_VERSIONS}/{history[-1]}"
+    children = _children(spark, folder)
+    files = [f"{folder}/{name}" for name, is_folder in children if not is_folder]
+    parts = [live for name, is_folder in children if is_folder for live in _live_paths(spark, f"{folder}/{name}")]
+    if files and not any(is_folder for _, is_folder in children):
+        return [folder]
+    return [*map(_literal, files), *parts]
+
+
+def _literal(path: str) -> str:
+    """A path whose characters stand for themselves."""
+    return re.sub(r"([*?{}\[\]\\])", r"\\\1", path)
+
+
+def _folder_to_add_to(spark: SparkSession, target: str) -> str:
+    """The current version of ``target``, or ``target`` itself when it has no versions."""
+    history = _history(spark, target)
+    if not history:
+        return target
+    if history[-1] == _NOTHING:
+        history.append(uuid.uuid4().hex)
+        _commit(spark, target, history[-1])
+    return f"{target}/{_VERSIONS}/{history[-1]}"

@@ -12,9 +12,11 @@ from crateflow.jobs import Reader, bronze_frame, default_readers
 from crateflow.sources.tables import (
     discard,
     log_frame,
+    part_path,
     replace,
     run_dir,
     table_path,
+    withdraw,
     write_replacing,
 )
 
@@ -49,10 +51,9 @@ def ingest_new_files(
             records += _ingest_source(
                 spark, source, sorted(files), stream_batch, bronze_root, run_date, batch_id, readers
             )
+        log = table_path(bronze_root, run_date, "landing_log")
         write_replacing(
-            log_frame(spark, records, LANDING_LOG),
-            f"{table_path(bronze_root, run_date, 'landing_log')}/landed={stream_batch}",
-            f"{run_dir(bronze_root, run_date)}/_staging",
+            log_frame(spark, records, LANDING_LOG), part_path(spark, log, f"landed={stream_batch}")
         )
 
     stream = (
@@ -97,7 +98,8 @@ def _ingest_source(
     """
     if source is None:
         return [_record(path, "failed", "no source with this folder name") for path in files]
-    part = f"{table_path(bronze_root, run_date, source.name)}/landed={stream_batch}"
+    table = table_path(bronze_root, run_date, source.name)
+    part = part_path(spark, table, f"landed={stream_batch}")
     staged = f"{run_dir(bronze_root, run_date)}/_staging/{uuid.uuid4().hex}"
 
     def take(paths: list[str]) -> list[dict]:
@@ -117,7 +119,7 @@ def _ingest_source(
     if any(record["status"] == "success" for record in records):
         replace(spark, staged, part)
     else:
-        discard(spark, part)
+        withdraw(spark, part)
     return records
 
 

@@ -1,5 +1,7 @@
 import csv
 import os
+import threading
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 import pytest
@@ -7,7 +9,9 @@ import pytest
 from crateflow import jobs
 from crateflow.catalog.workbooks import encode_workbook
 from crateflow.contracts import BY_CODE, LINEAGE, ROW_SEQ, SOURCES
-from crateflow.sources.tables import publish, read_table, run_history, latest_per
+from crateflow.session import in_this_job, scratch_of_job, stored
+from crateflow.sources import tables as layer_tables
+from crateflow.sources.tables import append_rows, latest_per, publish, read_table, run_history, take_back
 from crateflow.streaming.landing import ingest_new_files
 
 DAY = "2026-07-22"
@@ -164,17 +168,109 @@ def test_a_reader_gets_a_bucket_root_unchanged(spark, tmp_path):
     assert asked == [f"s3a://bucket/raw/{source[0].file}", f"hdfs://name/raw/{source[0].file}"]
 
 
-def test_an_interrupted_replacement_is_put_back(spark, tmp_path):
+def test_a_replacement_that_did_not_end_is_not_seen(spark, tmp_path):
     root = str(tmp_path)
-    publish(spark.range(3), root, DAY, "t")
-    folder = tmp_path / "20260722"
-    # the driver is lost after the first of the two steps
-    os.rename(folder / "t.parquet", folder / "_before-t.parquet")
+    target = publish(spark.range(3), root, DAY, "t")
+    # the driver is lost after the rows are written, before they are made current
+    spark.range(7).write.parquet(f"{target}/_versions/unfinished")
     assert read_table(spark, root, DAY, "t").count() == 3
-    os.rename(folder / "t.parquet", folder / "_before-t.parquet")
     publish(spark.range(5), root, DAY, "t")
     assert read_table(spark, root, DAY, "t").count() == 5
-    assert not (folder / "_before-t.parquet").exists()
+    with pytest.raises(Exception):
+        publish(spark.range(2).selectExpr("assert_true(id < 1) AS id"), root, DAY, "t")
+    assert read_table(spark, root, DAY, "t").count() == 5
+
+
+def test_a_reader_beside_a_replacement_has_the_old_table_or_the_new_one(spark, tmp_path, monkeypatch):
+    root, seen = str(tmp_path), []
+    publish(spark.range(3), root, DAY, "t")
+    early = read_table(spark, root, DAY, "t")
+    commit = layer_tables._commit
+
+    def between(*args):
+        seen.append(read_table(spark, root, DAY, "t").count())
+        commit(*args)
+        seen.append(read_table(spark, root, DAY, "t").count())
+
+    monkeypatch.setattr(layer_tables, "_commit", between)
+    publish(spark.range(5), root, DAY, "t")
+    assert seen == [3, 5] and early.count() == 3
+    assert read_table(spark, root, DAY, "t").count() == 5
+
+
+def test_writers_at_once_never_mix_their_rows(spark, tmp_path):
+    root = str(tmp_path)
+    frames = [spark.range(n).selectExpr("id", f"{n} AS n") for n in (3, 4, 5, 6)]
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda df: publish(df, root, DAY, "t"), frames * 2))
+    rows = read_table(spark, root, DAY, "t").collect()
+    assert len({r["n"] for r in rows}) == 1 and len(rows) == rows[0]["n"]
+
+
+def test_a_day_is_taken_back(spark, tmp_path):
+    root = str(tmp_path)
+
+    def rows():
+        history = run_history(spark, root, "t")
+        return sorted((r["run_day"], r["id"]) for r in history.collect())
+
+    publish(spark.range(1), root, "2026-07-21", "t")
+    publish(spark.range(2), root, DAY, "t")
+    publish(spark.range(50), root, DAY, "t")
+    assert len(rows()) == 51
+    take_back(spark, root, DAY, "t")
+    assert rows() == [("20260721", 0), ("20260722", 0), ("20260722", 1)]
+    assert read_table(spark, root, DAY, "t").count() == 2
+    take_back(spark, root, DAY, "t")
+    assert rows() == [("20260721", 0)]
+    with pytest.raises(FileNotFoundError):
+        read_table(spark, root, DAY, "t")
+    # a new try, rows added to it, and the parts of a table go and come with its version
+    publish(spark.range(4), root, DAY, "t")
+    append_rows(spark.range(1), root, DAY, "t")
+    assert len(rows()) == 6
+    publish(spark.range(9), root, DAY, "t")
+    take_back(spark, root, DAY, "t")
+    assert len(rows()) == 6
+
+
+def test_only_the_last_versions_are_kept(spark, tmp_path):
+    root = str(tmp_path)
+    for n in range(1, 7):
+        target = publish(spark.range(n), root, DAY, "t")
+    assert len(os.listdir(f"{target}/_versions")) == layer_tables.KEPT_VERSIONS
+    for n in (5, 4):
+        take_back(spark, root, DAY, "t")
+        assert read_table(spark, root, DAY, "t").count() == n
+    with pytest.raises(FileNotFoundError):
+        take_back(spark, root, DAY, "t")
+    assert read_table(spark, root, DAY, "t").count() == 4
+
+
+def test_jobs_at_once_keep_their_own_intermediate_tables(spark):
+    first_is_done, second_has_stored = threading.Event(), threading.Event()
+
+    def short():
+        with scratch_of_job(spark):
+            table = stored(spark.range(3), "t")
+            second_has_stored.wait(60)
+            assert table.count() == 3
+        first_is_done.set()
+
+    def long():
+        with scratch_of_job(spark):
+            table = stored(spark.range(4), "t")
+            with ThreadPoolExecutor(1) as pool:
+                (helped,) = pool.map(in_this_job(lambda n: stored(spark.range(n), "t")), [5])
+            second_has_stored.set()
+            assert first_is_done.wait(60)
+            assert table.count() == 4 and helped.count() == 5
+            folders = {table.inputFiles()[0].split("/t-")[0], helped.inputFiles()[0].split("/t-")[0]}
+        assert len(folders) == 1 and not os.path.exists(folders.pop().removeprefix("file://"))
+
+    with ThreadPoolExecutor(2) as pool:
+        for job in [pool.submit(short), pool.submit(long)]:
+            job.result(timeout=120)
 
 
 def test_a_replayed_batch_replaces_its_part(spark, tmp_path):
@@ -218,7 +314,9 @@ def test_a_failing_transform_leaves_the_old_table(spark, layers):
     record = jobs.run_silver(spark, DAY, layers["bronze"], layers["silver"], source)[0]
     assert record["status"] == "failed" and "not a number: ten" in record["error"]
     assert read_table(spark, layers["silver"], DAY, BY_CODE["SRC04"].name).count() == 2
-    assert os.listdir(f"{layers['silver']}/20260722/_staging") == []
+    # nothing half written is left behind
+    table = f"{layers['silver']}/20260722/{BY_CODE['SRC04'].name}.parquet"
+    assert len(os.listdir(f"{table}/_versions")) == 1
 
 
 def test_other_run_dates_are_untouched_and_history_sees_both(spark, tmp_path):
