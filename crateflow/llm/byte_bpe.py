@@ -262,6 +262,16 @@ def decode(rows: DataFrame, path: str) -> DataFrame:
     return rows.mapInArrow(_decoder(path), T.StructType([*rows.schema, T.StructField("decoded", T.BinaryType())]))
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``encode`` and then ``decode``, one after the other in one Python worker for each task."""
+    encoded, encoder, decoder = encode(docs, path, pattern), _encoder(path, pattern), _decoder(path)
+    rest = docs.drop("n_tokens", "ids", "decoded")
+    columns = [F.col(f"`{c}`") for c in rest.columns if c.lower() != "text"]
+    fields = [f for f in encoded.schema if f.name.lower() != "decoded"]
+    schema = T.StructType([*fields, T.StructField("decoded", T.BinaryType())])
+    return rest.select(*columns, "text").mapInArrow(lambda batches: decoder(encoder(batches)), schema)
+
+
 def op6_byte_bpe(spark, sf_dir):
     """Every document encoded and decoded again, as digests."""
     import public_tokenizers

@@ -189,6 +189,7 @@ def _packer(path: str, end_id: int, length: int, width: int, together: int) -> C
         number = (context.partitionId() if context else 0) << TASK_BITS
         end = np.array([end_id], "<u4")
         waiting: list[Piece] = []
+        ready: list[list[Piece]] = []
         held = 0
         for batch in slices(batches, "text"):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), encoded(batch.column("text")), strict=True):
@@ -196,18 +197,20 @@ def _packer(path: str, end_id: int, length: int, width: int, together: int) -> C
                 rest = Piece(doc_id, 0, ids, len(ids))
                 while len(rest.ids) >= length:
                     full, rest = rest.cut(length)
-                    yield batch_of([[full]], number)
-                    number += 1
+                    ready.append([full])
                 if len(rest.ids):
                     waiting.append(rest)
                     held += len(rest.ids)
                 if held >= together * length:
                     filled, waiting = assign(waiting, [length] * together, width)
-                    yield batch_of(filled, number)
-                    number += together
+                    ready += filled
                     held -= together * length
+                if len(ready) >= together:
+                    yield batch_of(ready, number)
+                    number += len(ready)
+                    ready = []
         filled, _ = assign(waiting, [length] * (held // length) + powers(held % length), width)
-        yield batch_of(filled, number)
+        yield batch_of(ready + filled, number)
 
     return run
 

@@ -39,7 +39,7 @@ def slices(
             stop = max(int(np.searchsorted(ends, before + limit, side="right")), start + 1)
             yield batch.slice(start, stop - start)
             start = stop
-        give_back()
+        give_back()  # what the batch before took, as this one is still held
 
 
 def give_back() -> None:
