@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crateflow.llm.byte_bpe import decode, encode
+from crateflow.llm.byte_bpe import round_trip
 from crateflow.llm.decontaminate import leaking_rows
 from crateflow.llm.exact_dedup import exact_groups
 from crateflow.llm.near_dedup import near_groups
@@ -45,7 +45,7 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as packed token ids; ``exact`` says that the ids decode to the text."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     rows = docs.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256))
-    rows = decode(encode(rows, path, public_tokenizers.PATTERN), path)
+    rows = round_trip(rows, path, public_tokenizers.PATTERN)
     return rows.withColumn("exact", F.sha2("decoded", 256) == F.col("text_sha256")).drop("decoded")
 
 
