@@ -583,6 +583,14 @@ ORACLE: dict[str, str] = {
         "promos",
     ),
     "fact_sales": _sql("SELECT * FROM facts", "facts"),
+    "fact_sales_territory": _sql(
+        """SELECT f.*, coalesce(territory_key, -1) AS territory_key
+           FROM facts f LEFT JOIN terr t
+             ON t.employee_id = f.employee_id AND t.customer_id = f.customer_id
+            AND f.order_date >= t.effective_date
+            AND (t.expiry_date IS NULL OR f.order_date < t.expiry_date)""",
+        "facts", "terr",
+    ),
     "fact_targets": _sql(
         """SELECT t.employee_id, year, month, target_revenue,
                   coalesce(employee_key, -1) AS employee_key

@@ -17,8 +17,9 @@ from crateflow.catalog.workbooks import encode_workbook
 from crateflow.contracts import BY_CODE, INGEST_LOG, ROW_SEQ, SOURCES, SourceSpec
 from crateflow.functions.columns import source_name
 from crateflow.operators import bronze, dimensions, facts, marts, promotions, quality, silver
-from crateflow.operators.asof import asof_by_timeline, resolve_asof
+from crateflow.operators.asof import asof_by_bucket, resolve_asof
 from crateflow.plans.dense_key import dense_key
+from crateflow.plans.spread import star_join
 from crateflow.session import scratch_dir, stored
 from crateflow.sources.delimited import scan_csv
 from crateflow.sources.tables import (
@@ -278,15 +279,18 @@ def fact_lookup_unknown(spark, folder):
     fact = feeds.sales(spark, folder).select("order_id", "line_no", "customer_id", "product_id")
     customers = dimensions.build_dim_customers(feeds.customers(spark, folder))
     products = dimensions.build_dim_products(feeds.products(spark, folder))
-    keyed = facts.lookup_key(fact, customers, "customer_id", "customer_key")
-    return facts.lookup_key(keyed, products, "product_id", "product_key", keys_from=fact)
+    lookups = [
+        facts.key_lookup(customers, "customer_id", "customer_key"),
+        facts.key_lookup(products, "product_id", "product_key"),
+    ]
+    return star_join(fact, lookups)
 
 
 @query
 def fact_date_key(spark, folder):
     days = dimensions.build_dim_date((feeds.sales(spark, folder), "order_date"))
     rows = feeds.returns(spark, folder).select("return_id", "return_date", "return_amount")
-    return facts.lookup_date(rows, days, "return_date")
+    return star_join(rows, [facts.date_lookup(days, "return_date")])
 
 
 def _dim_employees(spark, folder):
@@ -305,7 +309,7 @@ def asof_employee_key(spark, folder):
 @query
 def asof_window_variant(spark, folder):
     rows = feeds.sales(spark, folder).select("order_id", "line_no", "employee_id", "order_date")
-    return asof_by_timeline(rows, _dim_employees(spark, folder), *_BY_EMPLOYEE)
+    return asof_by_bucket(rows, _dim_employees(spark, folder), *_BY_EMPLOYEE)
 
 
 def _dim_territory(spark, folder):
@@ -452,7 +456,7 @@ def _products(spark, folder):
     return stored(dimensions.build_dim_products(feeds.products(spark, folder)), "products")
 
 
-def _fact_sales(spark, folder):
+def _fact_sales(spark, folder, *more):
     sales = stored(feeds.sales(spark, folder), "sales")
     return facts.build_fact_sales(
         sales,
@@ -460,6 +464,7 @@ def _fact_sales(spark, folder):
         _products(spark, folder),
         stored(_dim_employees(spark, folder), "employees"),
         dimensions.build_dim_date((sales, "order_date")),
+        *more,
     )
 
 
@@ -468,6 +473,12 @@ def fact_sales(spark, folder):
     return _fact_sales(spark, folder)
 
 
+@query
+def fact_sales_territory(spark, folder):
+    territories = stored(_dim_territory(spark, folder), "territories")
+    return _fact_sales(spark, folder, territories)
+
+
 @query
 def fact_targets(spark, folder):
     fact = facts.build_fact_targets(feeds.targets(spark, folder), _dim_employees(spark, folder))

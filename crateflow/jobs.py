@@ -197,10 +197,17 @@ def _report_dates(bronze: DataFrame, source: SourceSpec) -> None:
 
 
 def run_gold(
-    spark: SparkSession, run_date: str, silver_root: str, gold_root: str
+    spark: SparkSession,
+    run_date: str,
+    silver_root: str,
+    gold_root: str,
+    sales_territory: bool = False,
 ) -> list[dict]:
     """Build dimensions, facts and marts from Silver, each once; one log row each.
 
+    With ``sales_territory`` a sale also carries the key of its territory; it
+    then needs ``dim_territory`` too.
+
     Every table is read back after it was written: facts join stored
     dimensions whose size is known, and nothing is computed twice. Tables that
     do not need each other are built at the same time. A table that fails, or
@@ -269,6 +276,7 @@ def run_gold(
                     need("dim_products"),
                     need("dim_employees"),
                     need("dim_date"),
+                    need("dim_territory") if sales_territory else None,
                 ),
                 "fact_targets": lambda: facts.build_fact_targets(
                     silver("SRC02"), need("dim_employees")

@@ -6,13 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crateflow.contracts import UNKNOWN_KEY
-from crateflow.plans.sizing import BROADCAST_BYTES, BROADCAST_ROWS
-from crateflow.plans.spread import spread_join
-from crateflow.session import stored
+from crateflow.plans.spread import Lookup, spread_join, star_join
 
-
-def _nobody() -> Column:
-    return F.lit(UNKNOWN_KEY).cast("long")
+# Days of a bucket. An entity has a row for each bucket its versions touch, with
+# at most one version per day in it, and usually one or two.
+BUCKET_DAYS = 256
 
 
 def resolve_asof(
@@ -29,22 +27,13 @@ def resolve_asof(
     """Add ``key``: the version that started last on or before ``date``.
 
     A version that has ended (``date >= end``) gives -1, as does no version at
-    all. The number of rows never changes. Versions are spelled out by day and
-    broadcast when the checked size of that allows, and the facts stay where
-    they are; otherwise they go through ``asof_by_timeline``. ``keys_from`` is
-    as in ``spread_join``.
+    all. The number of rows never changes. ``fits`` and ``keys_from`` are as in
+    ``star_join``.
     """
-    # measured, and then used once or twice: worth storing
-    spans = stored(_spans(_narrow(versions, by, key, start, end), by), "versions")
-    if fits is None:
-        fits = _days_fit(spans, by)
-    if fits:
-        return _asof_by_day(facts, spans, by, date, key)
-    seen = facts if keys_from is None else keys_from
-    return _asof_by_timeline(facts, spans, by, date, key, seen)
+    return star_join(facts, [asof_lookup(versions, by, date, key, start, end, fits)], keys_from)
 
 
-def asof_by_timeline(
+def asof_by_bucket(
     facts: DataFrame,
     versions: DataFrame,
     by: list[str],
@@ -57,76 +46,65 @@ def asof_by_timeline(
     return resolve_asof(facts, versions, by, date, key, start, end, fits=False)
 
 
+def asof_lookup(
+    versions: DataFrame,
+    by: list[str],
+    date: str,
+    key: str,
+    start: str = "valid_from",
+    end: str = "valid_to",
+    fits: bool | None = None,
+) -> Lookup:
+    """The as-of rule as a lookup by equal keys, next to others in ``star_join``.
+
+    Facts and versions meet in (entity, range of days). Each range lists the
+    versions in force at some time in it, also one that started long before, so
+    a fact needs its own range only. Nothing starts after the last range, so all
+    later days share it and a version without an end does not go on for ever.
+    """
+    spans = _spans(_narrow(versions, by, key, start, end), by)
+    last = versions.where(F.col(key) != UNKNOWN_KEY).agg(_bucket(F.max(start))).first()[0] or 0
+    # the last day, which an end known to be later does not move
+    until = F.least(F.coalesce(_bucket(F.date_sub("_stop", 1)), F.lit(last)), F.lit(last))
+    buckets = F.explode(F.sequence(_bucket(F.col("_start")), until)).alias("_bucket")
+    table = (
+        spans.select(*by, buckets, F.struct("_start", "_stop", "_key").alias("_v"))
+        .groupBy(*by, "_bucket")
+        .agg(F.collect_list("_v").alias("versions"))
+    )
+    day = F.col(date)
+    on = {name: F.col(name) for name in by} | {
+        "_bucket": F.when(day.isNotNull(), F.least(_bucket(day), F.lit(last)))
+    }
+
+    def found(row: Column) -> Column:
+        in_force = F.filter(
+            row["versions"], lambda v: (v["_start"] <= day) & (v["_stop"].isNull() | (day < v["_stop"]))
+        )
+        return F.coalesce(F.get(in_force, 0)["_key"], F.lit(UNKNOWN_KEY).cast("long"))
+
+    return Lookup(table, on, key, found, fits)
+
+
+def _bucket(day: Column) -> Column:
+    return F.floor(F.unix_date(day) / BUCKET_DAYS).cast("int")
+
+
 def _narrow(versions: DataFrame, by: list[str], key: str, start: str, end: str) -> DataFrame:
     """One version per entity and start date; of several the highest key counts."""
     return (
         versions.filter((F.col(key) != UNKNOWN_KEY) & F.col(start).isNotNull())
         .groupBy(*by, F.col(start).alias("_start"))
         .agg(F.max(F.struct(F.col(key).alias("key"), F.col(end).alias("end"))).alias("_v"))
-        .select(*by, "_start", F.col("_v.key").alias("_key"), F.col("_v.end").alias("_end"))
+        .select(*by, "_start", F.col("_v.key").cast("long").alias("_key"), F.col("_v.end").alias("_end"))
     )
 
 
 def _spans(narrow: DataFrame, by: list[str]) -> DataFrame:
-    """Versions cut where the next one starts; ``_days`` is NULL for the last one."""
+    """Versions cut where the next one starts, without those that no day falls into."""
     following = F.lead("_start").over(Window.partitionBy(*by).orderBy("_start"))
-    days = F.datediff(F.least("_end", "_next"), "_start")
-    return narrow.withColumn("_next", following).withColumn(
-        "_days", F.when(F.col("_next").isNotNull(), F.greatest(days, F.lit(0)))
-    )
-
-
-def _days_fit(spans: DataFrame, by: list[str]) -> bool:
-    """Whether one row per day of every closed version may be broadcast."""
-    rows = F.coalesce("_days", F.lit(0)) + 1
-    width = sum((F.octet_length(F.col(name).cast("string")) + 16 for name in by), F.lit(24))
-    total = spans.agg(F.sum(rows).alias("rows"), F.sum(rows * width).alias("bytes")).first()
-    return (total["rows"] or 0) <= BROADCAST_ROWS and (total["bytes"] or 0) <= BROADCAST_BYTES
-
-
-def _asof_by_day(
-    facts: DataFrame, spans: DataFrame, by: list[str], date: str, key: str
-) -> DataFrame:
-    # A version that was followed by another covers known days, so a fact finds
-    # it by an equal key, however many versions its entity has. The last one is
-    # open and is tested by its bounds; there is one per entity.
-    day = F.explode(F.expr("sequence(_start, date_add(_start, _days - 1), interval 1 day)"))
-    by_day = spans.filter("_days > 0").select(*by, day.alias(date), F.col("_key").alias("_day_key"))
-    last = spans.filter("_days IS NULL").select(*by, "_start", "_end", "_key")
-    joined = spread_join(facts, by_day, [*by, date], right_fits=True)
-    joined = spread_join(joined, last, by, right_fits=True)
-    in_last = (F.col(date) >= F.col("_start")) & (
-        F.col("_end").isNull() | (F.col(date) < F.col("_end"))
-    )
-    found = F.coalesce("_day_key", F.when(in_last, F.col("_key")), _nobody())
-    return joined.withColumn(key, found).drop("_day_key", "_start", "_end", "_key")
-
-
-def _asof_by_timeline(
-    facts: DataFrame, spans: DataFrame, by: list[str], date: str, key: str, keys_from: DataFrame
-) -> DataFrame:
-    # Facts are first reduced to the dates each entity was seen on. That bounds
-    # a window group by the days of the calendar: twice that at most, however
-    # many facts one entity has. Only these dates meet the versions.
-    seen = (
-        keys_from.select(*by, F.col(date).alias("_start"))
-        .na.drop()
-        .distinct()
-        .withColumns({"_key": F.lit(None).cast("long"), "_end": F.lit(None).cast("date")})
-        .withColumn("_seen", F.lit(1))
-    )
-    starts = spans.select(*by, "_start", "_key", "_end")
-    timeline = starts.withColumn("_seen", F.lit(0)).unionByName(seen)
-    # on one day the version sorts in front of the date that looks for it
-    order = Window.partitionBy(*by).orderBy("_start", "_seen")
-    version = F.when(F.col("_seen") == 0, F.struct("_key", "_end"))
-    resolved = (
-        timeline.withColumn("_v", F.last(version, ignorenulls=True).over(order))
-        .filter("_seen = 1 AND _v IS NOT NULL AND (_v._end IS NULL OR _start < _v._end)")
-        .select(*by, F.col("_start").alias(date), F.col("_v._key").alias("_found"))
-    )
-    joined = spread_join(facts, stored(resolved, "asof"), [*by, date], keys_from=keys_from)
-    return joined.withColumn(key, F.coalesce("_found", _nobody())).drop("_found")
+    cut = narrow.withColumn("_next", following).withColumn("_stop", F.least("_end", "_next"))
+    return cut.where("_stop IS NULL OR _stop > _start")
 
 
 def version_attribute(

@@ -7,36 +7,40 @@ from pyspark.sql import functions as F
 
 from crateflow.contracts import ROW_SEQ, UNKNOWN_KEY
 from crateflow.functions.columns import first_of_month, whole
-from crateflow.operators.asof import resolve_asof
-from crateflow.plans.spread import spread_join
+from crateflow.operators.asof import asof_lookup
+from crateflow.plans.spread import Lookup, star_join
 
 
-def lookup_key(
-    fact: DataFrame,
-    dimension: DataFrame,
-    business_key: str,
-    key: str,
-    keys_from: DataFrame | None = None,
-) -> DataFrame:
-    """Add the surrogate key of ``business_key``, -1 where the dimension has none.
-
-    Lookups keep every row and every key, so in a chain of them ``keys_from``
-    is the table it started from.
-    """
-    narrow = dimension.select(business_key, F.col(key).alias("_key"))
-    joined = spread_join(fact, narrow, [business_key], keys_from=keys_from)
+def key_lookup(dimension: DataFrame, business_key: str, key: str) -> Lookup:
+    """The surrogate key of ``business_key``, -1 where the dimension has none."""
     unknown = F.lit(UNKNOWN_KEY).cast("long")
-    return joined.withColumn(key, F.coalesce("_key", unknown)).drop("_key")
+    narrow = dimension.select(business_key, key)
+    return Lookup(narrow, {business_key: F.col(business_key)}, key, lambda row: F.coalesce(row[key], unknown))
 
 
-def lookup_date(fact: DataFrame, dim_date: DataFrame, date: str) -> DataFrame:
-    """Add ``date_key``; a date outside the calendar has none.
+def date_lookup(dim_date: DataFrame, date: str) -> Lookup:
+    """``date_key``; a date outside the calendar has none.
 
-    The calendar is broadcast when its checked size allows: a single date in the
+    The calendar is broadcast when its size allows: a single date in the
     year 9999 makes it millions of rows.
     """
-    narrow = dim_date.select(F.col("full_date").alias(date), "date_key")
-    return spread_join(fact, narrow, [date])
+    narrow = dim_date.select("full_date", "date_key")
+    return Lookup(narrow, {"full_date": F.col(date)}, "date_key", lambda row: row["date_key"])
+
+
+def employee_lookup(dim_employees: DataFrame, date: str) -> Lookup:
+    """The key of the employee version in force on a date."""
+    return asof_lookup(dim_employees, ["employee_id"], date, "employee_key")
+
+
+def territory_lookup(dim_territories: DataFrame, date: str) -> Lookup:
+    """The territory that covered employee and customer on a date.
+
+    The latest assignment on or before the date counts; once it has expired
+    there is none.
+    """
+    by = ["employee_id", "customer_id"]
+    return asof_lookup(dim_territories, by, date, "territory_key", "effective_date", "expiry_date")
 
 
 def build_fact_sales(
@@ -45,13 +49,21 @@ def build_fact_sales(
     dim_products: DataFrame,
     dim_employees: DataFrame,
     dim_date: DataFrame,
+    dim_territories: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per order line, with customer, product, date and employee keys."""
-    fact = sales.drop(ROW_SEQ)
-    fact = lookup_key(fact, dim_customers, "customer_id", "customer_key", sales)
-    fact = lookup_key(fact, dim_products, "product_id", "product_key", sales)
-    fact = lookup_date(fact, dim_date, "order_date")
-    return resolve_employee(fact, dim_employees, "order_date", sales)
+    """One row per order line, with customer, product, date and employee keys.
+
+    With ``dim_territories`` also the territory in force on the order date.
+    """
+    lookups = [
+        key_lookup(dim_customers, "customer_id", "customer_key"),
+        key_lookup(dim_products, "product_id", "product_key"),
+        date_lookup(dim_date, "order_date"),
+        employee_lookup(dim_employees, "order_date"),
+    ]
+    if dim_territories is not None:
+        lookups.append(territory_lookup(dim_territories, "order_date"))
+    return star_join(sales.drop(ROW_SEQ), lookups, keys_from=sales)
 
 
 def build_fact_targets(targets: DataFrame, dim_employees: DataFrame) -> DataFrame:
@@ -60,32 +72,14 @@ def build_fact_targets(targets: DataFrame, dim_employees: DataFrame) -> DataFram
     return resolve_employee(fact, dim_employees, "_day").drop("_day")
 
 
-def resolve_employee(
-    fact: DataFrame, dim_employees: DataFrame, date: str, keys_from: DataFrame | None = None
-) -> DataFrame:
+def resolve_employee(fact: DataFrame, dim_employees: DataFrame, date: str) -> DataFrame:
     """Add the key of the employee version in force on a date."""
-    by = ["employee_id"]
-    return resolve_asof(fact, dim_employees, by, date, "employee_key", keys_from=keys_from)
+    return star_join(fact, [employee_lookup(dim_employees, date)])
 
 
-def resolve_territory(
-    fact: DataFrame, dim_territories: DataFrame, date: str, keys_from: DataFrame | None = None
-) -> DataFrame:
-    """Add the territory that covered employee and customer on a date.
-
-    The latest assignment on or before the date counts; once it has expired
-    there is none.
-    """
-    return resolve_asof(
-        fact,
-        dim_territories,
-        ["employee_id", "customer_id"],
-        date,
-        "territory_key",
-        start="effective_date",
-        end="expiry_date",
-        keys_from=keys_from,
-    )
+def resolve_territory(fact: DataFrame, dim_territories: DataFrame, date: str) -> DataFrame:
+    """Add the territory that covered employee and customer on a date."""
+    return star_join(fact, [territory_lookup(dim_territories, date)])
 
 
 def build_fact_returns(
@@ -97,19 +91,23 @@ def build_fact_returns(
     dim_territories: DataFrame,
 ) -> DataFrame:
     """One row per return, with customer, product, date, employee and territory keys."""
-    fact = returns.drop(ROW_SEQ)
-    fact = lookup_key(fact, dim_customers, "customer_id", "customer_key", returns)
-    fact = lookup_key(fact, dim_products, "product_id", "product_key", returns)
-    fact = lookup_date(fact, dim_date, "return_date")
-    fact = resolve_employee(fact, dim_employees, "return_date", returns)
-    return resolve_territory(fact, dim_territories, "return_date", returns)
+    lookups = [
+        key_lookup(dim_customers, "customer_id", "customer_key"),
+        key_lookup(dim_products, "product_id", "product_key"),
+        date_lookup(dim_date, "return_date"),
+        employee_lookup(dim_employees, "return_date"),
+        territory_lookup(dim_territories, "return_date"),
+    ]
+    return star_join(returns.drop(ROW_SEQ), lookups, keys_from=returns)
 
 
 def build_fact_distributor_orders(
     orders: DataFrame, dim_products: DataFrame, dim_date: DataFrame, dim_distributors: DataFrame
 ) -> DataFrame:
     """One row per distributor order line, with product, date and distributor keys."""
-    fact = orders.drop(ROW_SEQ)
-    fact = lookup_key(fact, dim_products, "product_id", "product_key", orders)
-    fact = lookup_date(fact, dim_date, "order_date")
-    return lookup_key(fact, dim_distributors, "distributor_id", "distributor_key", orders)
+    lookups = [
+        key_lookup(dim_products, "product_id", "product_key"),
+        date_lookup(dim_date, "order_date"),
+        key_lookup(dim_distributors, "distributor_id", "distributor_key"),
+    ]
+    return star_join(orders.drop(ROW_SEQ), lookups, keys_from=orders)

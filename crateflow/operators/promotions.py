@@ -6,11 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crateflow.functions.columns import packed_list, share
+from crateflow.plans.sizing import stored_with_size
 from crateflow.plans.spread import spread_join
 from crateflow.session import stored
 
 # a promotion without a restriction says so with one of these, or with NULL
 _ANYWHERE = ("ALL", "")
+# Days of the shortest block, blocks in the next longer one, and levels: the longest
+# block is longer than the calendar.
+_BLOCK_DAYS, _FACTOR, _LEVELS = 32, 8, 7
 
 
 def promotion_rules(promotions: DataFrame) -> DataFrame:
@@ -32,32 +36,76 @@ def promotion_rules(promotions: DataFrame) -> DataFrame:
     )
 
 
-def _by_month(rules: DataFrame, first: Column) -> DataFrame:
-    """Rules once per month they touch, from ``first`` to their end.
+def _cover(rules: DataFrame, first: Column) -> DataFrame:
+    """Rules once per aligned block of days that their period is made of.
 
-    Rules meet sales by (product, month), so a product does not pair its sales
-    with every promotion it ever had. A rule without dates touches none.
+    Blocks of one level are 8 times as long as those of the level below. A
+    block is taken when it lies within the period and the longer one around it
+    does not, so blocks do not overlap and a period of any length takes at most
+    14 of each level: one up to the year 9999 is some tens of rows. The shortest
+    blocks reach over the ends of a period, so days are still to be tested. A
+    rule without dates has no block.
     """
-    months = F.sequence(F.trunc(first, "month"), F.trunc("end_date", "month"), F.expr("interval 1 month"))
-    months = F.when(first <= F.col("end_date"), months)
-    return rules.withColumn("_month", F.explode(months))
+    begin = _block(first, 0)
+    end = _block(F.col("end_date"), 0) + 1
+    pieces = []
+    for level in range(_LEVELS):
+        low, high = F.ceil(begin / F.lit(_FACTOR**level)), F.floor(end / F.lit(_FACTOR**level))
+        left = right = high
+        if level + 1 < _LEVELS:
+            above = F.lit(_FACTOR ** (level + 1))
+            inner_low, inner_high = F.ceil(begin / above), F.floor(end / above)
+            left = F.when(inner_low < inner_high, inner_low * _FACTOR).otherwise(high)
+            right = F.when(inner_low < inner_high, inner_high * _FACTOR).otherwise(high)
+        pieces.append(_blocks(level, low, left))
+        pieces.append(_blocks(level, right, high))
+    taken = F.when(first <= F.col("end_date"), F.flatten(F.array(*pieces)))
+    return rules.withColumn("_at", F.explode(taken)).select(*rules.columns, "_at._level", "_at._block")
+
+
+def _block(day: Column, level: int) -> Column:
+    return F.floor(F.unix_date(day) / F.lit(_BLOCK_DAYS * _FACTOR**level))
+
+
+def _blocks(level: int, low: Column, high: Column) -> Column:
+    """The blocks of a level from ``low`` to before ``high``."""
+    numbers = F.when(low < high, F.sequence(low, high - 1)).otherwise(F.array().cast("array<bigint>"))
+    return F.transform(numbers, lambda n: F.struct(F.lit(level).alias("_level"), n.alias("_block")))
+
+
+def _in_blocks(sales: DataFrame, levels: list[int]) -> DataFrame:
+    """Sales once per level, with the block of their day."""
+    day = F.col("order_date")
+    own = [F.struct(F.lit(n).alias("_level"), _block(day, n).alias("_block")) for n in levels or [0]]
+    return sales.withColumn("_at", F.explode(F.array(*own))).select(*sales.columns, "_at._level", "_at._block")
 
 
 def _in_period(sales: DataFrame, rules: DataFrame, first: Column, open_sales: DataFrame) -> DataFrame:
     """Sales with the rules in scope of their day; ``first`` opens the period.
 
-    Rules for all products go another way: they meet ``open_sales`` by month.
+    Both meet by (product, block of days), so a product does not pair its sales
+    with every promotion it ever had. A sale looks on the levels that occur
+    among the rules, mostly one, and finds a rule once. Rules for all products
+    go another way: they meet ``open_sales`` by block.
     """
-    rules = _by_month(rules, first)
+    cover, fits = stored_with_size(_cover(rules, first), "rules")
+    # a row per level and kind of rule
+    seen = cover.select(F.isnull("product_id").alias("open"), "_level").distinct().collect()
+    levels = {kind: sorted(row["_level"] for row in seen if row["open"] == kind) for kind in (False, True)}
     scope = _in_scope("order_date", first)
-    month = F.trunc("order_date", "month")
-    some = rules.where("product_id IS NOT NULL")
-    every = rules.where("product_id IS NULL").drop("product_id")
-    by_product = spread_join(
-        sales.withColumn("_month", month), some, ["product_id", "_month"], "inner", scope
+    some = cover.where("product_id IS NOT NULL")
+    found = spread_join(
+        _in_blocks(sales, levels[False]), some, ["product_id", "_level", "_block"], "inner", scope,
+        right_fits=fits or None,
+    )
+    if not levels[True]:
+        return found
+    every = cover.where("product_id IS NULL").drop("product_id")
+    by_block = spread_join(
+        _in_blocks(open_sales, levels[True]), every, ["_level", "_block"], "inner", scope,
+        right_fits=fits or None,
     )
-    by_month = spread_join(open_sales.withColumn("_month", month), every, ["_month"], "inner", scope)
-    return by_product.unionByName(by_month, allowMissingColumns=True)
+    return found.unionByName(by_block, allowMissingColumns=True)
 
 
 def _open(target: str) -> Column:
@@ -80,7 +128,7 @@ def promotion_bridge(sales: DataFrame, promotions: DataFrame, line_key: list[str
     """Pairs of order line and promotion that applies to it.
 
     A line may fall under several promotions, so this is a bridge and not a
-    column of the fact. Product and month are equal keys; days, channel and
+    column of the fact. Product and block of days are equal keys; days, channel and
     region are tested on their matches.
     """
     lines = sales.select(

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crateflow.session import footers, scratch_dir
+
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 _FIXED_WIDTH = 8
@@ -58,3 +60,32 @@ def fits_broadcast(
         return True
     width = sum((_width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema), F.lit(0).cast("long"))
     return df.agg(F.sum(width)).first()[0] <= max_bytes
+
+
+def stored_with_size(df: DataFrame, label: str) -> tuple[DataFrame, bool]:
+    """``df`` stored, and whether it is small enough to copy to every executor.
+
+    Rows and bytes come from the footers of its files, so the check runs no job.
+    A footer says how long the texts of a column are in all before they are
+    encoded; every value counts two fixed widths on top. Reading stops at the
+    first file that passes a limit. Files written without these lengths are
+    measured by ``fits_broadcast``.
+    """
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    rows = size = 0
+    for _, footer in footers(spark, path):
+        for block in footer.getBlocks():
+            rows += block.getRowCount()
+            for column in block.getColumns():
+                size += column.getValueCount() * 2 * _FIXED_WIDTH
+                if column.getPrimitiveType().getPrimitiveTypeName().toString() == "BINARY":
+                    known = column.getSizeStatistics()
+                    length = known.getUnencodedByteArrayDataBytes() if known and known.isValid() else None
+                    if length is None or not length.isPresent():
+                        return kept, fits_broadcast(kept)
+                    size += length.get()
+        if rows > BROADCAST_ROWS or size > BROADCAST_BYTES:
+            return kept, False
+    return kept, True

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crateflow.plans.sizing import fits_broadcast
+from crateflow.plans.sizing import fits_broadcast, stored_with_size
 from crateflow.session import stored
 
 
@@ -47,32 +49,100 @@ def spread_join(
         return left.join(F.broadcast(right), match, how).drop(*drop)
 
     hot = _hot_keys(left if keys_from is None else keys_from, on)
-    if hot is None:
-        return left.join(right, match, how).drop(*drop)
+    keys = {f"_r_{name}": F.col(name) for name in on}
+    return _shuffled(left, right, keys, match, how, hot).drop(*drop)
+
+
+@dataclass(frozen=True)
+class Lookup:
+    """One row of ``table`` at most for each row that looks, and what comes of it.
+
+    ``on`` gives for each key column of ``table`` its value in the looking row;
+    ``found`` makes the new column ``name`` from the other columns of ``table``
+    as a struct, NULL where there is no match.
+    """
+
+    table: DataFrame
+    on: dict[str, Column]
+    name: str
+    found: Callable[[Column], Column]
+    fits: bool | None = None
+
+
+def star_join(
+    fact: DataFrame, lookups: list[Lookup], keys_from: DataFrame | None = None
+) -> DataFrame:
+    """``fact`` with the new column of every lookup; its rows stay as they are.
 
+    Each lookup table is stored once, which also tells its size: one that fits
+    is broadcast. For those that do not, the frequent keys of all of them come
+    from one pass over ``fact``, and both sides are shuffled as in
+    ``spread_join``. ``keys_from`` is a cheaper frame with the columns that the
+    keys are made of.
+    """
+    sides, large = [], []
+    for at, lookup in enumerate(lookups):
+        keys = {f"_k{at}_{name}": value for name, value in lookup.on.items()}
+        rest = [F.col(name) for name in lookup.table.columns if name not in lookup.on]
+        table = lookup.table.select(
+            *[F.col(name).alias(f"_k{at}_{name}") for name in lookup.on], F.struct(*rest).alias("_found")
+        )
+        _same_types(fact.select(*[v.alias(k) for k, v in keys.items()]), table, list(keys))
+        table, fits = stored_with_size(table, "lookup")
+        fits = fits if lookup.fits is None else lookup.fits
+        sides.append((table, keys, fits))
+        if not fits:
+            large.append(at)
+    seen = fact if keys_from is None else keys_from
+    hot = dict(zip(large, _frequent(seen, [list(sides[at][1].values()) for at in large]), strict=True))
+    for at, (lookup, (table, keys, fits)) in enumerate(zip(lookups, sides, strict=True)):
+        match = reduce(Column.__and__, [value == F.col(name) for name, value in keys.items()])
+        if fits:
+            joined = fact.join(F.broadcast(table), match, "left")
+        else:
+            joined = _shuffled(fact, table, keys, match, "left", hot[at])
+        fact = joined.withColumn(lookup.name, lookup.found(F.col("_found"))).drop(*keys, "_found")
+    return fact
+
+
+def _shuffled(
+    left: DataFrame,
+    right: DataFrame,
+    keys: dict[str, Column],
+    match: Column,
+    how: str,
+    hot: DataFrame | None,
+) -> DataFrame:
+    """Join by a shuffle of both sides; ``keys`` says what a right column equals on the left."""
+    if hot is None:
+        return left.join(right, match, how)
     salts = F.coalesce(F.col("_salts"), F.lit(1))
     # The partition id takes part so that copies of one row spread too. A row
     # keeps its partition when a task is run again, so the salt is repeatable.
     row_hash = F.xxhash64(*left.columns, F.spark_partition_id())
     salted_left = (
-        left.withColumn("_h", F.xxhash64(*on))
+        left.withColumn("_h", F.xxhash64(*keys.values()))
         .join(F.broadcast(hot), "_h", "left")
         .withColumn("_salt", F.pmod(row_hash, salts))
         .drop("_h", "_salts")
     )
     salted_right = (
-        right.withColumn("_h", F.xxhash64(*drop))
+        right.withColumn("_h", F.xxhash64(*keys))
         .join(F.broadcast(hot), "_h", "left")
         .withColumn("_r_salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)))
         .drop("_h", "_salts")
     )
-    return salted_left.join(
-        salted_right, match & (F.col("_salt") == F.col("_r_salt")), how
-    ).drop("_salt", "_r_salt", *drop)
+    salted = match & (F.col("_salt") == F.col("_r_salt"))
+    return salted_left.join(salted_right, salted, how).drop("_salt", "_r_salt")
 
 
 def _hot_keys(left: DataFrame, on: list[str]) -> DataFrame | None:
-    """Key hashes and the number of salts each needs, or None when all are small.
+    """Key hashes and the number of salts each needs, or None when all are small."""
+    return _frequent(left, [[F.col(name) for name in on]])[0]
+
+
+def _frequent(left: DataFrame, keys: list[list[Column]]) -> list[DataFrame | None]:
+    """``_hot_keys`` for several keys of one table, from one pass over it.
 
     A key is worth splitting when it would fill more than one shuffle partition,
     so there are fewer such keys than partitions: the list needs no other bound.
@@ -80,13 +150,19 @@ def _hot_keys(left: DataFrame, on: list[str]) -> DataFrame | None:
     written down, so total and list come from one pass over ``left``. The list
     is read on the driver because both join sides must see the very same one.
     """
+    if not keys:
+        return []
     spark = left.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = stored(left.groupBy(F.xxhash64(*on).alias("_h")).count(), "key-counts")
-    total = counts.agg(F.sum("count")).first()[0] or 0
+    each = [F.struct(F.lit(at).alias("_at"), F.xxhash64(*key).alias("_h")) for at, key in enumerate(keys)]
+    rows = left.select(F.explode(F.array(*each)).alias("_k")).select("_k._at", "_k._h")
+    counts = stored(rows.groupBy("_at", "_h").count(), "key-counts")
+    # every key list counts every row, so the first tells how many there are
+    total = counts.where("_at = 0").agg(F.sum("count")).first()[0] or 0
     salts = F.expr(f"cast(ceil(count * {parts} / {max(total, 1)}) as bigint)").alias("_salts")
-    hot = counts.where(F.col("count") * parts > total).select("_h", salts).collect()
-    return spark.createDataFrame(hot, "_h long, _salts long") if hot else None
+    hot = counts.where(F.col("count") * parts > total).select("_at", "_h", salts).collect()
+    lists = [[(row["_h"], row["_salts"]) for row in hot if row["_at"] == at] for at in range(len(keys))]
+    return [spark.createDataFrame(rows, "_h long, _salts long") if rows else None for rows in lists]
 
 
 def _same_types(left: DataFrame, right: DataFrame, on: list[str]) -> None:

@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar, copy_context
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
 
 # Folder below the scratch folder of the application, while a job runs: that of the
@@ -96,17 +97,24 @@ def stored_alone(spark: SparkSession, label: str, build: Callable[[], DataFrame]
 
 def rows_per_task(spark: SparkSession, path: str) -> dict[int, int]:
     """Rows that each task wrote to a Parquet folder, from the footers of its files."""
+    rows: dict[int, int] = defaultdict(int)
+    for task, footer in footers(spark, path):
+        rows[task] += sum(block.getRowCount() for block in footer.getBlocks())
+    return dict(rows)
+
+
+def footers(spark: SparkSession, path: str) -> Iterator[tuple[int, JavaObject]]:
+    """Task and footer of each file of a Parquet folder that one job wrote; no job is needed."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     parquet = jvm.org.apache.parquet.hadoop
     folder, fs = _file_system(spark, path)
-    rows: dict[int, int] = defaultdict(int)
     for entry in fs.listStatus(folder):
         part = re.match(r"part-(\d+)-", entry.getPath().getName())
         if part:
             reader = parquet.ParquetFileReader.open(parquet.util.HadoopInputFile.fromStatus(entry, conf))
-            rows[int(part[1])] += reader.getRecordCount()
+            footer = reader.getFooter()
             reader.close()
-    return dict(rows)
+            yield int(part[1]), footer
 
 
 def _file_system(spark: SparkSession, name: str):

@@ -109,3 +109,38 @@ def test_row_count_and_repeated_facts_are_kept(spark):
     for fits in (True, False):
         out = resolve_asof(df, dim, BY, "d", "employee_key", fits=fits)
         assert out.groupBy("employee_key").count().collect() == [(9, 500)]
+
+
+def test_versions_that_begin_long_before_and_never_end(spark):
+    versions = [
+        ("A", 1, date(1, 1, 1), date(1990, 6, 1)),
+        ("A", 2, date(1990, 6, 1), date(9999, 12, 31)),
+        ("B", 3, date(1, 1, 1), None),
+        ("B", 4, date(9000, 1, 1), None),
+        ("C", 5, date(2024, 1, 1), date(9999, 12, 31)),
+    ]
+    days = [date(1, 1, 1), date(1990, 5, 31), date(1990, 6, 1), date(2024, 1, 1), date(9999, 12, 30), date(9999, 12, 31)]
+    facts = [(f"{e}{d}", e, d) for e in "ABC" for d in days]
+    expected = {i: last_start(versions, entity, day) for i, entity, day in facts}
+    assert keys(spark, versions, facts, True) == expected
+    assert keys(spark, versions, facts, False) == expected
+
+
+def test_facts_are_shuffled_once(spark):
+    df = spark.range(1000).select(
+        F.col("id").cast("string").alias("order_id"),
+        F.when(F.col("id") % 3 == 0, "A").otherwise(F.concat(F.lit("E"), F.col("id") % 50)).alias("employee_id"),
+        F.date_add(F.lit(date(2024, 1, 1)), (F.col("id") % 900).cast("int")).alias("d"),
+    )
+    dim = spark.createDataFrame([("A", 9, date(2024, 1, 1), None), ("E1", 8, date(2024, 5, 1), None)], VERSIONS)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = resolve_asof(df, dim, BY, "d", "employee_key", fits=False)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # one for the facts, one for the versions
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert plan.count("Range (0, 1000") == 1

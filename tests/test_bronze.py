@@ -40,6 +40,19 @@ def test_csv_files_are_bound_by_their_own_header(spark, tmp_path):
     assert len({r[ROW_SEQ] for r in rows}) == 2
 
 
+def test_csv_names_may_hold_signs_of_a_pattern(spark, tmp_path):
+    names = ["s[1].csv", "s1.csv", "a{b,c}.csv", "q?.csv", "st*r.csv"]
+    for at, name in enumerate(names):
+        (tmp_path / name).write_text(f"id,{'a' if at % 2 else 'b'}\n{at},x\n")
+    for at, name in enumerate(names):
+        assert [r["id"] for r in scan_csv(spark, str(tmp_path / name)).collect()] == [str(at)]
+    everything = scan_csv(spark, [str(tmp_path / name) for name in names])
+    assert sorted(r["id"] for r in everything.collect()) == ["0", "1", "2", "3", "4"]
+    assert sorted(r["id"] for r in scan_csv(spark, str(tmp_path)).collect()) == ["0", "1", "2", "3", "4"]
+    # no file of that name: a pattern
+    assert sorted(r["id"] for r in scan_csv(spark, str(tmp_path / "s*.csv")).collect()) == ["0", "1", "4"]
+
+
 def test_csv_without_header_fails(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id\n1\n")
     (tmp_path / "b.csv").write_text("")

@@ -1,4 +1,5 @@
-from datetime import date
+import random
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -60,7 +61,6 @@ def test_large_dimensions_give_the_same_keys(spark, star, monkeypatch):
     dims = (star["customers"], star["products"], star["employees"], star["dates"])
     small = sorted(facts.build_fact_sales(df, *dims).collect())
     monkeypatch.setattr("crateflow.plans.sizing.BROADCAST_ROWS", 0)
-    monkeypatch.setattr("crateflow.operators.asof.BROADCAST_ROWS", 0)
     assert sorted(facts.build_fact_sales(df, *dims).collect()) == small
 
 
@@ -246,3 +246,86 @@ def test_log_figures(spark):
         "source_name string, row_count_in long, row_count_out long, dedup_count long, null_count long",
     )
     assert quality.rows_lost(counts).first()["rows_lost"] == 3
+
+
+def test_territory_on_sales(spark, star):
+    df = sales(
+        spark,
+        ("O1", "C1", "P1", "EMP001", date(2024, 2, 1), 1.0, 2.0, "N", "R", "b"),
+        ("O2", "C1", "P1", "EMP001", date(2024, 7, 1), 1.0, 2.0, "N", "R", "b"),
+        ("O3", "C2", "P1", "EMP001", date(2024, 2, 1), 1.0, 2.0, "N", "R", "b"),
+        ("O4", "C1", "P1", None, None, 1.0, 2.0, "N", "R", "b"),
+    )
+    terms = "territory_key long, employee_id string, customer_id string, effective_date date, expiry_date date"
+    rows = [(-1, None, "UNKNOWN", None, None), (4, "EMP001", "C1", date(2024, 1, 1), date(2024, 6, 1))]
+    territories = spark.createDataFrame(rows, terms)
+    out = facts.build_fact_sales(
+        df, star["customers"], star["products"], star["employees"], star["dates"], territories
+    )
+    assert out.columns[-2:] == ["employee_key", "territory_key"]
+    assert {r["order_id"]: r["territory_key"] for r in out.collect()} == {"O1": 4, "O2": -1, "O3": -1, "O4": -1}
+
+
+def rule_days(spark, *periods):
+    rows = [(str(n), "P", *period) for n, period in enumerate(periods)]
+    return spark.createDataFrame(rows, "promotion_id string, product_id string, start_date date, end_date date")
+
+
+def test_blocks_cover_a_period_once(spark):
+    rng = random.Random(5)
+    def some_day(top):
+        return date(1995, 1, 1) + timedelta(rng.randrange(top))
+
+    spans = [sorted([some_day(top), some_day(top)]) for top in (40, 400, 4000, 40_000) for _ in range(12)]
+    spans += [[date(1, 1, 1), date(9999, 12, 31)], [date(2024, 5, 5), date(2024, 5, 5)]]
+    cover = promotions._cover(rule_days(spark, *spans), F.col("start_date")).collect()
+    for n, (first, last) in enumerate(spans):
+        blocks = {(r["_level"], r["_block"]) for r in cover if r["promotion_id"] == str(n)}
+        days = [first, last, *[first + timedelta(rng.randrange((last - first).days + 1)) for _ in range(40)]]
+        for day in days:
+            own = [(k, (day - date(1970, 1, 1)).days // (32 * 8**k)) for k in range(7)]
+            assert sum(block in blocks for block in own) == 1
+        reach = sum(32 * 8**k for k, _ in blocks)
+        assert (last - first).days < reach <= (last - first).days + 63
+
+
+def test_rules_without_an_end_are_some_tens_of_rows(spark):
+    rules = rule_days(
+        spark, (date(2024, 1, 15), date(9999, 12, 31)), (date(2024, 3, 1), date(2024, 2, 1)),
+        (None, date(2024, 1, 1)), (date(2024, 1, 1), None),
+    )
+    cover = promotions._cover(rules, F.col("start_date"))
+    assert cover.select("promotion_id").distinct().collect() == [("0",)]
+    assert cover.count() <= 60
+
+
+def test_bridge_equals_the_rule_line_by_line(spark):
+    rng = random.Random(3)
+    def some_day(top=900):
+        return date(2023, 1, 1) + timedelta(rng.randrange(top))
+
+    places = [("N", "R"), ("S", "R"), ("N", "W")]
+    lines = [
+        (f"O{i}", "C", f"P{rng.randrange(4)}", "E", rng.choice([None] + [some_day()] * 20), 1.0, 1.0, *rng.choice(places), "b")
+        for i in range(200)
+    ]
+    rules = []
+    for n in range(40):
+        first = some_day()
+        last = rng.choice([first + timedelta(rng.randrange(-5, 300)), date(9999, 12, 31), None])
+        items = rng.choice(["P0", "P1,P2", "ALL", None, "P3"])
+        rules.append((f"M{n}", items, rng.choice(["R", "ALL", None]), rng.choice(["N", "", "S"]), first, last))
+    offers = spark.createDataFrame(
+        rules,
+        "promotion_id string, applicable_products string, target_channel string, target_region string,"
+        " start_date date, end_date date",
+    )
+    expected = sorted(
+        (line[0], rule[0])
+        for line in lines for rule in rules
+        if line[4] and rule[5] and rule[4] <= line[4] <= rule[5]
+        and (rule[1] in (None, "ALL") or line[2] in rule[1].split(","))
+        and rule[2] in (None, "ALL", line[8]) and rule[3] in ("", line[7])
+    )
+    out = promotions.promotion_bridge(sales(spark, *lines), offers, ["order_id"])
+    assert expected and sorted((r["order_id"], r["promotion_id"]) for r in out.collect()) == expected

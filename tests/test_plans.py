@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from crateflow.plans import spread
 from crateflow.plans.dense_key import dense_key
-from crateflow.plans.sizing import fits_broadcast
+from crateflow.plans.sizing import fits_broadcast, stored_with_size
 
 
 def skewed(spark):
@@ -132,3 +132,52 @@ def test_dense_key_runs_over_many_tasks(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert "SinglePartition" not in plan
     assert out.rdd.getNumPartitions() > 1
+
+
+@pytest.mark.parametrize("fits", [True, False])
+def test_star_join_equals_one_lookup_after_the_other(spark, fits):
+    fact = skewed(spark).withColumn("k2", F.when(F.col("v") < 4, F.lit(1)).otherwise(F.col("v")))
+    words = spark.createDataFrame([("hot", 2), ("k2", 1), (None, 3)], "k string, w long")
+    numbers = spark.createDataFrame([(1, "one"), (5, "five")], "n long, t string")
+    lookups = [
+        spread.Lookup(words, {"k": F.col("k")}, "a", lambda row: F.coalesce(row["w"], F.lit(-1)), fits),
+        spread.Lookup(numbers, {"n": F.col("k2") + 0}, "b", lambda row: row["t"], fits),
+    ]
+    out = spread.star_join(fact, lookups)
+    assert out.columns == ["k", "v", "k2", "a", "b"]
+    w, t = {"hot": 2, "k2": 1}, {1: "one", 5: "five"}
+    expected = Counter((k, v, k2, w.get(k, -1), t.get(k2)) for k, v, k2 in fact.collect())
+    assert Counter(tuple(row) for row in out.collect()) == expected
+
+
+def test_frequent_keys_of_several_lookups_come_from_one_pass(spark):
+    fact = skewed(spark).withColumn("one", F.lit(1))
+    keys = [[F.col("k")], [F.col("v")], [F.col("one")]]
+    found = spread._frequent(fact, keys)
+    alone = [spread._frequent(fact, [key])[0] for key in keys]
+    for together, single in zip(found, alone, strict=True):
+        assert sorted(together.collect()) == sorted(single.collect())
+    assert [row["_salts"] for row in found[2].collect()] == [8]
+
+
+def test_size_from_footers(spark, monkeypatch):
+    # the same text a thousand times: a dictionary in the file, but not on an executor
+    df = spark.range(1000).select(F.lit("x" * 100).alias("s"), F.array(F.lit("y" * 50)).alias("a"))
+    assert stored_with_size(df, "t")[1]
+    monkeypatch.setattr("crateflow.plans.sizing.BROADCAST_BYTES", 150_000)
+    assert not stored_with_size(df, "t")[1]
+    monkeypatch.setattr("crateflow.plans.sizing.BROADCAST_BYTES", 190_000)
+    kept, fits = stored_with_size(df, "t")
+    assert fits and kept.count() == 1000
+    monkeypatch.setattr("crateflow.plans.sizing.BROADCAST_ROWS", 999)
+    assert not stored_with_size(df, "t")[1]
+    assert stored_with_size(df.limit(0), "t")[1]
+
+
+def test_size_check_from_footers_runs_only_the_write(spark):
+    spark.sparkContext.setJobGroup("size", "size")
+    try:
+        stored_with_size(spark.range(100).select(F.col("id").cast("string")), "t")
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("size")) == 1
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
