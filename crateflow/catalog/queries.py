@@ -445,15 +445,16 @@ def dim_promotion(spark, folder):
     return dimensions.build_dim_promotions(rows, "promotion_id")
 
 
-# Tables that several steps look at are written down, as they would lie in Gold.
+# Dimensions with a key of their own lie in a scratch table already; other tables that
+# several steps look at are written down, as they would lie in Gold.
 
 
 def _customers(spark, folder):
-    return stored(dimensions.build_dim_customers(feeds.customers(spark, folder)), "customers")
+    return dimensions.build_dim_customers(feeds.customers(spark, folder))
 
 
 def _products(spark, folder):
-    return stored(dimensions.build_dim_products(feeds.products(spark, folder)), "products")
+    return dimensions.build_dim_products(feeds.products(spark, folder))
 
 
 def _fact_sales(spark, folder, *more):
@@ -462,7 +463,7 @@ def _fact_sales(spark, folder, *more):
         sales,
         _customers(spark, folder),
         _products(spark, folder),
-        stored(_dim_employees(spark, folder), "employees"),
+        _dim_employees(spark, folder),
         dimensions.build_dim_date((sales, "order_date")),
         *more,
     )
@@ -475,8 +476,7 @@ def fact_sales(spark, folder):
 
 @query
 def fact_sales_territory(spark, folder):
-    territories = stored(_dim_territory(spark, folder), "territories")
-    return _fact_sales(spark, folder, territories)
+    return _fact_sales(spark, folder, _dim_territory(spark, folder))
 
 
 @query
@@ -496,9 +496,9 @@ def fact_returns(spark, folder):
         stored(feeds.returns(spark, folder), "returns"),
         _customers(spark, folder),
         _products(spark, folder),
-        stored(_dim_employees(spark, folder), "employees"),
+        _dim_employees(spark, folder),
         stored(_wide_calendar(spark, folder), "dates"),
-        stored(_dim_territory(spark, folder), "territories"),
+        _dim_territory(spark, folder),
     )
 
 
