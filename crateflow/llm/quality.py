@@ -30,6 +30,7 @@ from crateflow.session import scratch_of_job, stored
 MAX_ROWS = 200_000
 TREES, DEPTH, BINS, LASSO, SEED = 20, 5, 128, 0.0003, 7
 ROWS_PER_PART = 25_000
+RULE_ROWS = 500
 
 
 # In front of the names of their columns, longer where a column of the user begins so.
@@ -95,6 +96,10 @@ class Test:
         value = F.col(f"`{prefix}{self.statistic}`")
         return value > self.threshold if self.above else value <= self.threshold
 
+    def holds(self, values: np.ndarray) -> np.ndarray:
+        """The same for many values of the statistic."""
+        return values > self.threshold if self.above else values <= self.threshold
+
 
 @dataclass(frozen=True)
 class RuleModel:
@@ -117,6 +122,29 @@ def conjunction(tests: tuple[Test, ...], prefix: str = PREFIX) -> Column:
     return out
 
 
+def rule_table(known: DataFrame, paths: list[tuple[Test, ...]]) -> DataFrame:
+    """``label`` and ``holds``: 1.0 or 0.0 for each rule.
+
+    Trees give over a thousand rules before the lasso drops most. As columns they
+    would be a plan and generated code of that size in the driver's memory.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, RULE_ROWS):
+                part = batch.slice(start, RULE_ROWS)
+                values = {n: part.column(f"{PREFIX}{n}").to_numpy(zero_copy_only=False) for n in STATISTICS}
+                tests = {t: t.holds(values[t.statistic]) for path in paths for t in path}
+                table = np.empty((part.num_rows, len(paths)))
+                for at, path in enumerate(paths):
+                    table[:, at] = np.logical_and.reduce([tests[t] for t in path])
+                ends = np.arange(part.num_rows + 1, dtype=np.int32) * len(paths)
+                holds = pa.ListArray.from_arrays(pa.array(ends), pa.array(table.ravel()))
+                yield pa.RecordBatch.from_arrays([part.column("label"), holds], ["label", "holds"])
+
+    return known.mapInArrow(run, "label double, holds array<double>")
+
+
 def with_statistics(docs: DataFrame, keep_text: bool = True, prefix: str = PREFIX) -> DataFrame:
     """``docs`` with a column ``<prefix><name>`` for each statistic; null texts are empty."""
     fields = [f for f in docs.schema if keep_text or f.name != "text"]
@@ -189,8 +217,7 @@ def _fit(docs: DataFrame, labels: DataFrame, max_rows: int) -> RuleModel:
     paths = sorted(tree_paths(forest.fit(features.transform(known))), key=repr)
     if not paths:
         return RuleModel((), math.log((good + 1) / (total - good + 1)))
-    holds = F.array(*[F.when(conjunction(tests), 1.0).otherwise(0.0) for tests in paths])
-    table = known.select("label", array_to_vector(holds).alias("features"))
+    table = rule_table(known, paths).select("label", array_to_vector("holds").alias("features"))
     lasso = LogisticRegression(elasticNetParam=1.0, regParam=LASSO, maxIter=60, tol=1e-5)
     fitted = lasso.fit(table)
     weights = fitted.coefficients.toArray().tolist()

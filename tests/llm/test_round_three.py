@@ -10,10 +10,11 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from crateflow.llm import conversation_repair as repair
-from crateflow.llm import divergence, near_dedup, packing
+from crateflow.llm import divergence, near_dedup, packing, quality
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
 DOCS = "doc_id long, text string, lang string, source string, value date, rank string"
@@ -269,3 +270,23 @@ def test_a_wide_group_gives_no_more_links_than_texts(spark, monkeypatch):
             root = [low if r == high else r for r in root]
     assert got == dict(enumerate(root))
     assert sum(rows) <= 8 * 150
+
+
+def test_rules_as_columns_are_the_rules_learned_from(spark):
+    rng = np.random.default_rng(4)
+    names = list(quality.STATISTICS)
+    rows = [(float(n % 2), *rng.random(len(names)).round(1).tolist()) for n in range(1300)]
+    known = spark.createDataFrame(rows, ["label", *(f"{quality.PREFIX}{n}" for n in names)])
+    paths = [
+        tuple(quality.Test(str(rng.choice(names)), float(rng.integers(11)) / 10, bool(rng.integers(2))) for _ in range(size))
+        for size in (1, 1, 2, 2, 3, 5)
+    ]
+    plain = [
+        (row[0], [float(all((row[1 + names.index(t.statistic)] > t.threshold) == t.above for t in p)) for p in paths])
+        for row in rows
+    ]
+    learned = [(r["label"], r["holds"]) for r in quality.rule_table(known.coalesce(1), paths).collect()]
+    compiled = F.array(*[F.when(quality.conjunction(p), 1.0).otherwise(0.0) for p in paths]).alias("holds")
+    scored = [(r["label"], r["holds"]) for r in known.coalesce(1).select("label", compiled).collect()]
+    assert sorted(learned) == sorted(scored) == sorted(plain)
+    assert quality.rule_table(known.limit(0), paths).count() == 0
