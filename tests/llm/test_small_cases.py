@@ -1,11 +1,14 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import hashlib
+import itertools
+import math
 import random
 import re
 import weakref
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -394,20 +397,55 @@ def test_texts_shorter_than_an_item_leak_it(spark):
 
 
 def test_every_fingerprint_in_the_radius_is_found():
-    rnd = random.Random(9)
-    items = decontaminate.Items.of([(k, text_of(700 + k, 12)) for k in range(50)], 21, 0.8)
-    for i, own in enumerate(items.prints):
-        flipped = own
-        for bit in rnd.sample(range(64), 21):
-            flipped ^= 1 << bit
-        assert i in items.near(12, flipped)
-
-
-def test_a_window_of_the_threshold_with_a_distant_fingerprint_is_found(spark):
+    rng = np.random.default_rng(9)
+    items = decontaminate.Items.of([(k, text_of(700 + k, 12)) for k in range(50)], decontaminate.RADIUS, 0.8)
+    _, prints = items.index[12]
+    for i, own in enumerate(prints):
+        bits = np.unpackbits(own.view(np.uint8))
+        bits[rng.choice(decontaminate.BITS, decontaminate.RADIUS, replace=False)] ^= 1
+        assert i in items.near(12, np.packbits(bits).view(np.uint64))
+
+
+def test_few_unlike_windows_agree_in_enough_blocks():
+    rng = np.random.default_rng(10)
+    prints = decontaminate.fingerprints(rng.integers(0, 1 << 63, (2000, 30), np.uint64))
+    asked = decontaminate.BITS // decontaminate.BLOCK - decontaminate.RADIUS
+    passed = sum((decontaminate.agreeing_blocks(prints, own) >= asked).sum() - 1 for own in prints)
+    assert passed / (2000 * 1999) < 0.01
+    blocks = prints.view(np.uint8)[..., None] >> np.arange(0, 8, 2, dtype=np.uint8) & 3
+    plain = (blocks[0] == blocks).sum(axis=(1, 2))
+    assert decontaminate.agreeing_blocks(prints, prints[0]).tolist() == plain.tolist()
+
+
+def test_windows_at_the_threshold_lie_within_the_radius():
+    def sums(n):
+        return {2 * k - n: math.comb(n, k) / 2**n for k in range(n + 1)}
+
+    def differs(common, a, b):
+        """How likely one bit differs, with so many shingles in both and in one only."""
+        cases = itertools.product(sums(common).items(), sums(a).items(), sums(b).items())
+        return sum(p * q * r for (s, p), (x, q), (y, r) in cases if (s + x > 0) != (s + y > 0))
+
+    def missed(p):
+        n = decontaminate.BITS
+        return sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(decontaminate.RADIUS + 1, n + 1))
+
+    sizes = [(c, d, a) for c in range(1, 61) for d in range(c // 4 + 1) for a in range(d + 1)]
+    assert max(missed(differs(c, a, d - a)) for c, d, a in sizes) < 1 / 3e6
+    assert max(missed(differs(c, a, a)) for c, d, a in sizes if d == 2 * a) < 1e-11
+    # measured bits follow the formula: 36 shingles in common, 4 in one only, 5 in the other
+    rng = np.random.default_rng(11)
+    rows = rng.integers(0, 1 << 63, (1000, 45), np.uint64)
+    apart = np.bitwise_count(
+        decontaminate.fingerprints(rows[:, :40]) ^ decontaminate.fingerprints(np.delete(rows, slice(36, 40), axis=1))
+    ).sum(axis=1)
+    assert abs(apart.mean() / decontaminate.BITS - differs(36, 4, 5)) < 0.005
+    assert apart.max() <= decontaminate.RADIUS
+
+
+def test_a_window_of_just_the_threshold_is_found(spark):
     item = text_of(30172, 40)
     text = " ".join([*item.split()[:36], "x1", "x2", "x3", "x4"])
-    prints = decontaminate.Items.of([(1, item), (2, text)], 21, 0.8).prints
-    assert (prints[0] ^ prints[1]).bit_count() == 22
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")
     (row,) = decontaminate.find_leaks(df, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
     assert (row["item_id"], row["similarity"]) == (7, 0.8)
