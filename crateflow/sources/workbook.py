@@ -11,8 +11,7 @@ import re
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime, timedelta
-from functools import partial
-from itertools import islice
+from itertools import chain, islice
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -20,9 +19,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crateflow.contracts import ROW_SEQ
+from crateflow.plans.spread import spread_join
+from crateflow.session import stored
 
 _ROWS_PER_BATCH = 5_000
 _CELLS = "path string, row_no long, cells array<string>"
+# Row number of the header in the stored cells.
+_HEADER = 0
 # Built-in number formats that show a date or a time.
 _DATE_FORMATS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
 _EPOCH = datetime(1899, 12, 30)
@@ -47,10 +50,12 @@ def decode_workbooks(
 
     The columns are those of all workbooks, in order of first appearance; a
     workbook without one of them has NULL there. A ``required`` column that some
-    workbooks have and others lack fails the read.
+    workbooks have and others lack fails the read. Each workbook is decoded once,
+    to a stored table of its cells; names and rows are both read from that.
     """
+    cells = stored(files.mapInPandas(_decode, _CELLS), "workbook-cells")
+    headers = cells.where(F.col("row_no") == _HEADER).select("path", F.col("cells").alias("header"))
     # only the distinct names come to the driver, however many workbooks there are
-    headers = files.mapInPandas(_headers, "path string, header array<string>")
     places = headers.select("path", F.posexplode("header").alias("at", "name"))
     firsts = places.groupBy("name").agg(
         F.min(F.struct("path", "at")).alias("first"), F.count("*").alias("books")
@@ -63,34 +68,32 @@ def decode_workbooks(
     torn = [row["name"] for row in found if row["name"] in required and row["books"] < most]
     if torn:
         raise ValueError(f"not in every workbook: {', '.join(torn)}")
-    columns = [F.get("cells", F.lit(i)).alias(name) for i, name in enumerate(names)]
+    rows = cells.where(F.col("row_no") > _HEADER)
+    orders = headers.select("header").distinct().limit(2).collect()
+    # with one header for all workbooks a name has one place and nothing is joined
+    if len(orders) == 1:
+        at = {name: F.lit(i) for i, name in enumerate(orders[0]["header"])}
+    else:
+        order = F.array(*[F.array_position("header", F.lit(name)).cast("int") for name in names])
+        rows = spread_join(rows, headers.select("path", order.alias("_order")), ["path"])
+        # a place of 0 means that the workbook lacks the name
+        at = {name: F.nullif(F.col("_order")[i], F.lit(0)) - 1 for i, name in enumerate(names)}
+    columns = [F.get("cells", at[name]).alias(name) for name in names]
     if row_seq:
         # rows of one workbook in sheet order, workbooks apart by their path
         place = F.shiftleft(F.xxhash64("path").bitwiseAND((1 << 41) - 1), 21) + F.col("row_no")
         columns.append(place.alias(ROW_SEQ))
-    return files.mapInPandas(partial(_decode, names), _CELLS).select(*columns)
+    return rows.select(*columns)
 
 
-def _headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            header = _header(next(_sheet_rows(content), []))
-            yield pd.DataFrame({"path": [path], "header": [header]})
-
-
-def _decode(names: list[str], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows with their cells in the order of ``names``."""
+def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Column names of each workbook, then its rows, in the order of the sheet."""
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
             rows = _sheet_rows(content)
-            place = {name: at for at, name in enumerate(_header(next(rows, [])))}
-            order = [place.get(name) for name in names]
-            numbered = enumerate(rows, start=1)
+            numbered = enumerate(chain([_header(next(rows, []))], rows), start=_HEADER)
             while chunk := list(islice(numbered, _ROWS_PER_BATCH)):
-                table = [
-                    (path, n, [cells[at] if at is not None and at < len(cells) else None for at in order])
-                    for n, cells in chunk
-                ]
+                table = [(path, n, cells) for n, cells in chunk]
                 yield pd.DataFrame(table, columns=["path", "row_no", "cells"])
 
 

@@ -31,6 +31,27 @@ def test_folder_of_workbooks_with_different_columns(spark, tmp_path):
     assert sorted(df.collect()) == [("1", "p", None), ("2", None, "q"), ("3", None, "r")]
 
 
+def test_each_workbook_is_decoded_once(spark, tmp_path):
+    heads = [["id", "x"], ["x", "id"], ["id", "x"], []]
+    for k, head in enumerate(heads):
+        (tmp_path / f"{k}.xlsx").write_bytes(encode_workbook(head, [(k, f"v{k}")] if head else []))
+    (tmp_path / "4.xlsx").write_bytes(encode_workbook(["id", "x", "late"], [(4, None, "z"), (None, "only", None)]))
+    df = scan_workbooks(spark, str(tmp_path), row_seq=True)
+    assert "MapInPandas" not in df._jdf.queryExecution().toString()
+    assert df.columns == ["id", "x", "late", ROW_SEQ]
+    assert sorted((tuple(r)[:3] for r in df.collect()), key=str) == sorted(
+        [("0", "v0", None), ("v1", "1", None), ("2", "v2", None), ("4", None, "z"), (None, "only", None)], key=str
+    )
+    assert df.select(ROW_SEQ).distinct().count() == 5
+
+
+def test_a_required_column_missing_from_one_workbook(spark, tmp_path):
+    (tmp_path / "a.xlsx").write_bytes(encode_workbook(["id", "x"], [(1, 2)]))
+    (tmp_path / "b.xlsx").write_bytes(encode_workbook(["id"], [(1,)]))
+    with pytest.raises(ValueError, match="not in every workbook: x"):
+        scan_workbooks(spark, str(tmp_path), required=("id", "x"))
+
+
 def test_shared_strings_sparse_cells_and_first_sheet(spark):
     ns = "http://schemas.openxmlformats.org"
     main = f'xmlns="{ns}/spreadsheetml/2006/main"'
