@@ -76,35 +76,63 @@ def _blocks(level: int, low: Column, high: Column) -> Column:
 def _in_blocks(sales: DataFrame, levels: list[int]) -> DataFrame:
     """Sales once per level, with the block of their day."""
     day = F.col("order_date")
-    own = [F.struct(F.lit(n).alias("_level"), _block(day, n).alias("_block")) for n in levels or [0]]
+    if len(levels) < 2:
+        level = (levels or [0])[0]
+        own = {"_level": F.lit(level), "_block": _block(day, level)}
+        return sales.select(*sales.columns, *[value.alias(name) for name, value in own.items()])
+    own = [F.struct(F.lit(n).alias("_level"), _block(day, n).alias("_block")) for n in levels]
     return sales.withColumn("_at", F.explode(F.array(*own))).select(*sales.columns, "_at._level", "_at._block")
 
 
-def _in_period(sales: DataFrame, rules: DataFrame, first: Column, open_sales: DataFrame) -> DataFrame:
+def _on_ruled_days(sales: DataFrame, days: DataFrame) -> DataFrame:
+    """Sales in blocks, without those of days that no rule of ``days`` covers.
+
+    ``days`` has a row for each block that occurs among the rules, with the first
+    and the last day in it that any of them covers, so it is bounded by the calendar.
+    """
+    at = {"_level": "_on_level", "_block": "_on_block"}
+    equal = [F.col(name) == F.col(other) for name, other in at.items()]
+    known = F.broadcast(days.select(*[F.col(old).alias(new) for old, new in at.items()], "_from", "_to"))
+    return sales.join(known, [*equal, F.col("order_date").between(F.col("_from"), F.col("_to"))], "left_semi")
+
+
+def _in_period(sales: DataFrame, rules: DataFrame, first: Column, daily: bool = False) -> DataFrame:
     """Sales with the rules in scope of their day; ``first`` opens the period.
 
     Both meet by (product, block of days), so a product does not pair its sales
     with every promotion it ever had. A sale looks on the levels that occur
-    among the rules, mostly one, and finds a rule once. Rules for all products
-    go another way: they meet ``open_sales`` by block.
+    among the rules, mostly one, and finds a rule once; one on a day without a
+    rule is left out before anything is shuffled by product. Rules for all
+    products go another way and meet sales by block. With ``daily`` the sales
+    are added up first, per product and day, or per day for the second way.
     """
-    cover, fits = stored_with_size(_cover(rules, first), "rules")
+    kept = stored(_cover(rules, first), "rules")
+    days = stored(
+        kept.groupBy(F.isnull("product_id").alias("_open"), "_level", "_block").agg(
+            F.min(first).alias("_from"), F.max("end_date").alias("_to")
+        ),
+        "ruled-days",
+    )
     # a row per level and kind of rule
-    seen = cover.select(F.isnull("product_id").alias("open"), "_level").distinct().collect()
-    levels = {kind: sorted(row["_level"] for row in seen if row["open"] == kind) for kind in (False, True)}
+    seen = days.select("_open", "_level").distinct().collect()
+    listed, open_days = days.where("NOT _open"), days.where("_open")
+    some, fits = stored_with_size(kept.where("product_id IS NOT NULL"), "listed-rules")
+    asked = _on_ruled_days(_in_blocks(sales, sorted({row["_level"] for row in seen})), days)
+    if daily:
+        asked = daily_sales(asked, "_level", "_block")
+    if daily or not fits or any(row["_open"] for row in seen):
+        # one pass over the sales for frequent keys and both kinds of rules
+        asked = stored(asked, "asked")
     scope = _in_scope("order_date", first)
-    some = cover.where("product_id IS NOT NULL")
     found = spread_join(
-        _in_blocks(sales, levels[False]), some, ["product_id", "_level", "_block"], "inner", scope,
-        right_fits=fits or None,
+        _on_ruled_days(asked, listed), some, ["product_id", "_level", "_block"], "inner", scope, right_fits=fits
     )
-    if not levels[True]:
+    if not any(row["_open"] for row in seen):
         return found
-    every = cover.where("product_id IS NULL").drop("product_id")
-    by_block = spread_join(
-        _in_blocks(open_sales, levels[True]), every, ["_level", "_block"], "inner", scope,
-        right_fits=fits or None,
-    )
+    every, fits = stored_with_size(kept.where("product_id IS NULL").drop("product_id"), "open-rules")
+    asked = _on_ruled_days(asked, open_days)
+    asked = _all_products(asked, "_level", "_block") if daily else asked
+    by_block = spread_join(asked, every, ["_level", "_block"], "inner", scope, right_fits=fits)
     return found.unionByName(by_block, allowMissingColumns=True)
 
 
@@ -134,7 +162,7 @@ def promotion_bridge(sales: DataFrame, promotions: DataFrame, line_key: list[str
     lines = sales.select(
         *dict.fromkeys([*line_key, "product_id", "order_date", "channel", "region", "net_amount"])
     )
-    matched = _in_period(lines, promotion_rules(promotions), F.col("start_date"), lines)
+    matched = _in_period(lines, promotion_rules(promotions), F.col("start_date"))
     return matched.select(*lines.columns, "promotion_id")
 
 
@@ -145,15 +173,16 @@ def promotion_sales(sales: DataFrame, promotions: DataFrame) -> DataFrame:
     revenue in scope, whose sums no longer carry a day when they meet the rules,
     so a product with many promotions does not repeat its sales for each.
     """
-    rules = promotion_rules(promotions)
-    daily = stored(daily_sales(sales), "daily")
-    inside = _in_period(daily, rules, F.col("start_date"), _all_products(daily))
-    totals = daily.groupBy("product_id", "channel", "region").agg(
-        F.sum("revenue").cast("decimal(28,4)").alias("revenue")
+    rules = stored(promotion_rules(promotions), "rules")
+    lines = stored(sales.select("product_id", "order_date", "channel", "region", "net_amount"), "lines")
+    inside = _in_period(lines, rules, F.col("start_date"), daily=True)
+    totals = stored(
+        lines.groupBy("product_id", "channel", "region").agg(_revenue().alias("revenue")), "totals"
     )
-    listed = spread_join(
-        totals, rules.where("product_id IS NOT NULL"), ["product_id"], "inner", _in_place()
+    some, fits = stored_with_size(
+        rules.where("product_id IS NOT NULL").drop("start_date", "end_date"), "listed-rules"
     )
+    listed = spread_join(totals, some, ["product_id"], "inner", _in_place(), right_fits=fits)
     everywhere = listed.select("promotion_id", "revenue").unionByName(_open_totals(totals, rules))
     sums = (
         inside.select("promotion_id", F.col("revenue").alias("_in"), F.lit(None).alias("_all"))
@@ -201,17 +230,21 @@ def _open_totals(totals: DataFrame, rules: DataFrame) -> DataFrame:
     return every.join(cube.withColumns(place), keys).select("promotion_id", "revenue")
 
 
-def _all_products(daily: DataFrame) -> DataFrame:
-    """Daily revenue without the product."""
-    return daily.groupBy("order_date", "channel", "region").agg(
+def _revenue() -> Column:
+    return F.sum(F.col("net_amount").cast("decimal(18,4)")).cast("decimal(28,4)")
+
+
+def _all_products(daily: DataFrame, *more: str) -> DataFrame:
+    """Daily revenue without the product; ``more`` are further columns to keep apart."""
+    return daily.groupBy("order_date", "channel", "region", *more).agg(
         F.sum("revenue").cast("decimal(28,4)").alias("revenue")
     )
 
 
-def daily_sales(sales: DataFrame) -> DataFrame:
-    """Revenue per product, day, channel and region."""
-    return sales.groupBy("product_id", "order_date", "channel", "region").agg(
-        F.sum(F.col("net_amount").cast("decimal(18,4)")).cast("decimal(28,4)").alias("revenue")
+def daily_sales(sales: DataFrame, *more: str) -> DataFrame:
+    """Revenue per product, day, channel and region; ``more`` are further columns to keep apart."""
+    return sales.groupBy("product_id", "order_date", "channel", "region", *more).agg(
+        _revenue().alias("revenue")
     )
 
 
@@ -223,8 +256,7 @@ def promotion_uplift(sales: DataFrame, promotions: DataFrame) -> DataFrame:
     """
     length = F.datediff("end_date", "start_date") + 1
     before = F.date_sub("start_date", F.datediff("end_date", "start_date") + 1)
-    daily = stored(daily_sales(sales), "daily")
-    matched = _in_period(daily, promotion_rules(promotions), before, _all_products(daily))
+    matched = _in_period(sales, promotion_rules(promotions), before, daily=True)
     during = F.col("order_date") >= F.col("start_date")
     # One promotion may hold a third of the matches: the sums are partial per
     # task before the shuffle.

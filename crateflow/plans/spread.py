@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from crateflow.plans.sizing import fits_broadcast, stored_with_size
 from crateflow.session import stored
 
+# Bins of key hashes for each shuffle partition, when frequent keys are looked for.
+_BINS = 64
+
 
 def spread_join(
     left: DataFrame,
@@ -142,13 +145,16 @@ def _hot_keys(left: DataFrame, on: list[str]) -> DataFrame | None:
 
 
 def _frequent(left: DataFrame, keys: list[list[Column]]) -> list[DataFrame | None]:
-    """``_hot_keys`` for several keys of one table, from one pass over it.
+    """``_hot_keys`` for several keys of one table, mostly from one pass over it.
 
     A key is worth splitting when it would fill more than one shuffle partition,
     so there are fewer such keys than partitions: the list needs no other bound.
-    Rows per key are counted exactly, combined per task before the shuffle, and
-    written down, so total and list come from one pass over ``left``. The list
-    is read on the driver because both join sides must see the very same one.
+    Counts of every key would be as large as the table where keys are nearly
+    unique, so rows are first counted per bin of key hashes, some bins for each
+    partition. Only a bin that is itself too large can hold such a key. If all
+    its rows have one hash, its count is that of the key; the keys of other
+    large bins are counted exactly in a second pass. The list is read on the
+    driver because both join sides must see the very same one.
     """
     if not keys:
         return []
@@ -156,13 +162,25 @@ def _frequent(left: DataFrame, keys: list[list[Column]]) -> list[DataFrame | Non
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     each = [F.struct(F.lit(at).alias("_at"), F.xxhash64(*key).alias("_h")) for at, key in enumerate(keys)]
     rows = left.select(F.explode(F.array(*each)).alias("_k")).select("_k._at", "_k._h")
-    counts = stored(rows.groupBy("_at", "_h").count(), "key-counts")
+    rows = rows.withColumn("_bin", F.pmod("_h", F.lit(parts * _BINS)))
+    one = (F.min("_h") == F.max("_h")).alias("_one")
+    bins = stored(
+        rows.groupBy("_at", "_bin").agg(F.count("*").alias("count"), F.min("_h").alias("_h"), one), "key-counts"
+    )
     # every key list counts every row, so the first tells how many there are
-    total = counts.where("_at = 0").agg(F.sum("count")).first()[0] or 0
-    salts = F.expr(f"cast(ceil(count * {parts} / {max(total, 1)}) as bigint)").alias("_salts")
-    hot = counts.where(F.col("count") * parts > total).select("_at", "_h", salts).collect()
-    lists = [[(row["_h"], row["_salts"]) for row in hot if row["_at"] == at] for at in range(len(keys))]
-    return [spark.createDataFrame(rows, "_h long, _salts long") if rows else None for rows in lists]
+    total = bins.where("_at = 0").agg(F.sum("count")).first()[0] or 0
+    too_many = F.col("count") * parts > total
+    large = bins.where(too_many).collect()
+    counts = [(row["_at"], row["_h"], row["count"]) for row in large if row["_one"]]
+    mixed = [(row["_at"], row["_bin"]) for row in large if not row["_one"]]
+    if mixed:
+        listed = F.broadcast(spark.createDataFrame(mixed, "_at int, _bin long"))
+        again = rows.join(listed, ["_at", "_bin"], "left_semi").groupBy("_at", "_h").count()
+        counts += [tuple(row) for row in again.where(too_many).collect()]
+    lists: list[list] = [[] for _ in keys]
+    for at, key_hash, count in counts:
+        lists[at].append((key_hash, -(-count * parts // total)))
+    return [spark.createDataFrame(found, "_h long, _salts long") if found else None for found in lists]
 
 
 def _same_types(left: DataFrame, right: DataFrame, on: list[str]) -> None:

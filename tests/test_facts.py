@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from crateflow.operators import facts, marts, promotions, quality
+from crateflow.session import stored
 
 
 @pytest.fixture
@@ -329,3 +330,27 @@ def test_bridge_equals_the_rule_line_by_line(spark):
     )
     out = promotions.promotion_bridge(sales(spark, *lines), offers, ["order_id"])
     assert expected and sorted((r["order_id"], r["promotion_id"]) for r in out.collect()) == expected
+
+
+@pytest.mark.parametrize("items", ["P1", "ALL"])
+def test_sales_on_days_without_a_rule_are_not_carried_on(spark, monkeypatch, items):
+    tables = {}
+    def kept(df, label):
+        tables[label] = stored(df, label)
+        return tables[label]
+
+    monkeypatch.setattr(promotions, "stored", kept)
+    monkeypatch.setattr("crateflow.plans.sizing.BROADCAST_ROWS", 0)
+    days = [date(2024, 1, 1) + timedelta(n) for n in range(366)]
+    lines = sales(spark, *[(f"O{n}", "C", "P1", "E", day, 1.0, 1.0, "N", "R", "b") for n, day in enumerate(days)])
+    offers = spark.createDataFrame(
+        [("M", items, None, None, date(2024, 3, 1), date(2024, 3, 30), 1.0)],
+        "promotion_id string, applicable_products string, target_channel string, target_region string,"
+        " start_date date, end_date date, actual_cost_vnd double",
+    )
+    assert promotions.promotion_bridge(lines, offers, ["order_id"]).count() == 30
+    assert tables["asked"].count() == 30
+    assert tuple(promotions.promotion_sales(lines, offers).first()) == ("M", 30.0, 336.0)
+    assert tables["asked"].count() == 30
+    assert promotions.promotion_uplift(lines, offers).first()["uplift_revenue"] == 0.0
+    assert tables["asked"].count() == 60

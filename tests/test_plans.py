@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from crateflow.plans import spread
 from crateflow.plans.dense_key import dense_key
 from crateflow.plans.sizing import fits_broadcast, stored_with_size
+from crateflow.session import stored
 
 
 def skewed(spark):
@@ -66,6 +67,23 @@ def test_even_keys_are_not_split(spark):
     assert spread._hot_keys(left, ["k"]) is None
 
 
+def test_frequent_keys_are_found_without_a_count_of_every_key(spark, monkeypatch):
+    tables = []
+    def kept(df, label):
+        tables.append(stored(df, label))
+        return tables[-1]
+
+    monkeypatch.setattr(spread, "stored", kept)
+    # nearly unique keys, and two that are frequent among them
+    key = F.when(F.col("id") % 5 == 0, -1).when(F.col("id") % 6 == 0, -2).otherwise(F.col("id"))
+    left = spark.range(60_000).select(key.alias("k"))
+    hot = {r["_h"]: r["_salts"] for r in spread._hot_keys(left, ["k"]).collect()}
+    hashes = spark.sql("SELECT xxhash64(-1L) AS a, xxhash64(-2L) AS b").first()
+    # 12,000 and 8,000 of 60,000 rows over 8 partitions
+    assert hot == {hashes["a"]: 2, hashes["b"]: 2}
+    assert tables and sum(table.count() for table in tables) <= 8 * spread._BINS
+
+
 def test_copies_of_a_hot_row_spread(spark):
     left = spark.range(4000).select(F.lit("hot").alias("k"), F.lit(1).alias("v")).repartition(16)
     right = spark.createDataFrame([("hot", 1)], "k string, w int")
