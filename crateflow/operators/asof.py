@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 from crateflow.contracts import UNKNOWN_KEY
 from crateflow.plans.spread import Lookup, spread_join, star_join
 
-# Days of a bucket. An entity has a row for each bucket its versions touch, with
-# at most one version per day in it, and usually one or two.
+# Versions that a bucket holds at most or nearly so, as there is one per day at most and
+# it is no longer than so many days unless no entity has more versions; and how many it
+# is to hold on average. An entity has a row for each bucket its versions touch.
 BUCKET_DAYS = 256
+_VERSIONS_EACH = 4
+# Versions for each bin of entities.
+_BIN_VERSIONS = 16
 
 
 def resolve_asof(
@@ -61,9 +65,16 @@ def asof_lookup(
     versions in force at some time in it, also one that started long before, so
     a fact needs its own range only. Nothing starts after the last range, so all
     later days share it and a version without an end does not go on for ever.
+    The length of a range follows that of the versions, so that a fact looks
+    through a few of them and a version stands in a few ranges.
     """
     spans = _spans(_narrow(versions, by, key, start, end), by)
-    last = versions.where(F.col(key) != UNKNOWN_KEY).agg(_bucket(F.max(start))).first()[0] or 0
+    width, last_day = _bucket_days(versions.where(F.col(key) != UNKNOWN_KEY), by, start)
+    last = last_day // width
+
+    def _bucket(day: Column) -> Column:
+        return F.floor(F.unix_date(day) / width).cast("int")
+
     # the last day, which an end known to be later does not move
     until = F.least(F.coalesce(_bucket(F.date_sub("_stop", 1)), F.lit(last)), F.lit(last))
     buckets = F.explode(F.sequence(_bucket(F.col("_start")), until)).alias("_bucket")
@@ -86,8 +97,31 @@ def asof_lookup(
     return Lookup(table, on, key, found, fits)
 
 
-def _bucket(day: Column) -> Column:
-    return F.floor(F.unix_date(day) / BUCKET_DAYS).cast("int")
+def _bucket_days(versions: DataFrame, by: list[str], start: str) -> tuple[int, int]:
+    """Days of a bucket, a power of two, and the number of the last day on which a version starts.
+
+    Entities times days over versions is how long a version lasts on average. A
+    bucket is some times as long: an entity then has fewer buckets than versions,
+    and few versions in one. The number of entities is estimated; a wrong one
+    changes the size of the buckets, not what is found. Versions that last long
+    would stand in many short buckets, so theirs may be longer; but then no
+    entity may have many versions, which counts per bin of entities tell.
+    """
+    day = F.unix_date(start)
+    entities = F.approx_count_distinct(F.xxhash64(*by))
+    known = versions.where(F.col(start).isNotNull())
+    first, last, count, several = known.agg(F.min(day), F.max(day), F.count("*"), entities).first()
+    if not count:
+        return BUCKET_DAYS, 0
+    wanted = _VERSIONS_EACH * (last - first + 1) * several / count
+    if wanted > BUCKET_DAYS:
+        bins = F.pmod(F.xxhash64(*by), F.lit(max(1, count // _BIN_VERSIONS)))
+        most = known.groupBy(bins.alias("_bin")).count().agg(F.max("count")).first()[0]
+        wanted = wanted if most <= BUCKET_DAYS else BUCKET_DAYS
+    width = 1
+    while width < wanted:
+        width *= 2
+    return width, last
 
 
 def _narrow(versions: DataFrame, by: list[str], key: str, start: str, end: str) -> DataFrame:

@@ -4,7 +4,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from crateflow.operators.asof import resolve_asof
+from crateflow.operators.asof import asof_lookup, resolve_asof
 
 BY = ["employee_id"]
 VERSIONS = "employee_id string, employee_key long, valid_from date, valid_to date"
@@ -144,3 +144,34 @@ def test_facts_are_shuffled_once(spark):
     # one for the facts, one for the versions
     assert plan.count("Exchange hashpartitioning") == 2
     assert plan.count("Range (0, 1000") == 1
+
+
+def test_a_fact_looks_through_a_few_versions_only(spark):
+    # a new version on every day for two years, and an entity whose versions last for long
+    first = date(2023, 1, 1)
+    versions = [("A", n, first + timedelta(n), None) for n in range(730)]
+    versions += [("B", 1000, first, None), ("B", 1001, first + timedelta(400), None)]
+    dim = spark.createDataFrame(versions, VERSIONS)
+    table = asof_lookup(dim, BY, "d", "employee_key").table
+    assert table.agg(F.max(F.size("versions"))).first()[0] <= 16
+    assert table.count() <= 2 * len(versions)
+    facts = [(f"{e}{n}", e, first + timedelta(n)) for e in "AB" for n in range(-2, 740, 7)]
+    expected = {i: last_start(versions, entity, day) for i, entity, day in facts}
+    for fits in (True, False):
+        assert keys(spark, versions, facts, fits) == expected
+
+
+@pytest.mark.parametrize("dense", [0, 730])
+def test_versions_that_last_long_stand_in_few_ranges(spark, dense):
+    first = date(2015, 1, 1)
+    # one version without an end for most entities, and one entity with a new version on each day
+    versions = [(f"E{n}", n, first + timedelta(n * 37 % 3000), None) for n in range(1, 2000)]
+    versions += [("A", 5000 + n, first + timedelta(n), None) for n in range(dense)]
+    dim = spark.createDataFrame(versions, VERSIONS)
+    table = asof_lookup(dim, BY, "d", "employee_key").table
+    assert table.agg(F.max(F.size("versions"))).first()[0] <= 257
+    assert dense or table.count() <= 2 * len(versions)
+    facts = [(f"{e}-{n}", e, first + timedelta(n)) for e in ("A", "E7", "E1999") for n in range(-2, 3100, 61)]
+    expected = {i: last_start(versions, entity, day) for i, entity, day in facts}
+    for fits in (True, False):
+        assert keys(spark, versions, facts, fits) == expected
