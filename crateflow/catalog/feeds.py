@@ -113,15 +113,35 @@ def distributors(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _order_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines with their order and the region of the customer."""
+def order_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines with their order, as narrow as sales, returns and their days need them.
+
+    Feeds that are made of order lines take a stored copy as ``lines``, so that a
+    run with several of them joins lines and orders once.
+    """
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"),
         "o_custkey",
         F.col("o_orderdate").cast("date").alias("order_date"),
         F.col("o_orderpriority").alias("channel"),
     )
-    lines = spread_join(table(spark, folder, "lineitem"), orders, ["l_orderkey"], "inner")
+    lines = table(spark, folder, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        (F.col("l_suppkey") % 130).alias("employee"),
+        "l_returnflag",
+        "l_quantity",
+        "l_discount",
+        "l_extendedprice",
+        F.col("l_shipdate").cast("date").alias("shipped"),
+    )
+    return spread_join(lines, orders, ["l_orderkey"], "inner")
+
+
+def _in_region(spark: SparkSession, folder: str, lines: DataFrame | None) -> DataFrame:
+    """Order lines with the region of the customer."""
+    lines = order_lines(spark, folder) if lines is None else lines
     region = table(spark, folder, "region").select(
         F.col("r_regionkey"), F.col("r_name").alias("region")
     )
@@ -130,13 +150,12 @@ def _order_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def _employee() -> Column:
     """Employee of an order line; number 77 is not filled in, 120 to 129 have no versions."""
-    number = F.col("l_suppkey") % 130
-    return F.when(number != 77, ident("EMP", number))
+    return F.when(F.col("employee") != 77, ident("EMP", "employee"))
 
 
-def sales(spark: SparkSession, folder: str) -> DataFrame:
+def sales(spark: SparkSession, folder: str, lines: DataFrame | None = None) -> DataFrame:
     """Sales lines."""
-    return _order_lines(spark, folder).select(
+    return _in_region(spark, folder, lines).select(
         ident("ORD", "l_orderkey").alias("order_id"),
         "order_date",
         ident("CUS", astray("o_custkey")).alias("customer_id"),
@@ -153,15 +172,15 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def returns(spark: SparkSession, folder: str) -> DataFrame:
+def returns(spark: SparkSession, folder: str, lines: DataFrame | None = None) -> DataFrame:
     """Returned order lines."""
     return (
-        _order_lines(spark, folder)
+        _in_region(spark, folder, lines)
         .filter("l_returnflag = 'R'")
         .select(
             F.concat(ident("RET", "l_orderkey"), F.lit("-"), F.col("l_linenumber")).alias("return_id"),
             ident("ORD", "l_orderkey").alias("original_order_id"),
-            F.col("l_shipdate").cast("date").alias("return_date"),
+            F.col("shipped").alias("return_date"),
             ident("CUS", astray("o_custkey")).alias("customer_id"),
             _employee().alias("employee_id"),
             ident("PRD", astray("l_partkey")).alias("product_id"),
@@ -174,11 +193,10 @@ def returns(spark: SparkSession, folder: str) -> DataFrame:
 
 def all_dates(spark: SparkSession, folder: str) -> DataFrame:
     """The days of sales, returns and distributor orders, from one pass over the lines."""
-    shipped = F.col("l_shipdate").cast("date")
-    return _order_lines(spark, folder).select(
+    return _in_region(spark, folder, None).select(
         "order_date",
-        F.when(F.col("l_returnflag") == "R", shipped).alias("return_date"),
-        shipped.alias("delivery_date"),
+        F.when(F.col("l_returnflag") == "R", F.col("shipped")).alias("return_date"),
+        F.col("shipped").alias("delivery_date"),
     )
 
 
@@ -236,17 +254,18 @@ def employees(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def targets(spark: SparkSession, folder: str) -> DataFrame:
+def targets(spark: SparkSession, folder: str, lines: DataFrame | None = None) -> DataFrame:
     """Target of an employee for a month: gross sales of the month before, whole units."""
     month = F.add_months(F.trunc("order_date", "month"), 1)
     return (
-        sales(spark, folder)
-        .filter("employee_id IS NOT NULL")
-        .groupBy("employee_id", month.cast("date").alias("effective_from"))
+        _in_region(spark, folder, lines)
+        .filter("employee <> 77")
+        .groupBy("employee", month.cast("date").alias("effective_from"))
         .agg(
-            F.floor(money_sum("gross_amount")).cast("double").alias("target_revenue"),
-            F.sum("quantity").alias("target_quantity"),
+            F.floor(money_sum("l_extendedprice")).cast("double").alias("target_revenue"),
+            F.sum("l_quantity").alias("target_quantity"),
         )
+        .withColumn("employee_id", _employee())
         .select(
             F.lit("V1").alias("plan_version"),
             F.col("effective_from").alias("version_date"),
@@ -261,19 +280,22 @@ def targets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def territories(spark: SparkSession, folder: str) -> DataFrame:
+def territories(spark: SparkSession, folder: str, lines: DataFrame | None = None) -> DataFrame:
     """Assignments of customers to employees, opened by sales that were kept.
 
     One lasts until the next of the same pair. The days of a pair are distinct,
-    so a window group is bounded by the calendar.
+    so a window group is bounded by the calendar. Numbers travel and names are
+    made of them at the end; one shuffle by pair serves both copies and window.
     """
+    kept = _in_region(spark, folder, lines).filter("l_returnflag = 'N' AND employee <> 77")
     opened = (
-        sales(spark, folder)
-        .filter("return_flag = 'N' AND employee_id IS NOT NULL")
-        .select("employee_id", "customer_id", "region", F.col("order_date").alias("effective_date"))
+        kept.withColumn("customer", astray("o_custkey"))
+        .select("employee", "customer", "region", F.col("order_date").alias("effective_date"))
+        .repartition("employee", "customer")
         .distinct()
+        .withColumns({"employee_id": _employee(), "customer_id": ident("CUS", "customer")})
     )
-    pair = Window.partitionBy("employee_id", "customer_id").orderBy("effective_date")
+    pair = Window.partitionBy("employee", "customer").orderBy("effective_date")
     return opened.select(
         F.concat_ws("/", "employee_id", "customer_id", "effective_date").alias("territory_id"),
         "employee_id",

@@ -634,12 +634,26 @@ _FEEDS = {
 }
 
 
+# those made of order lines
+_OF_LINES = {"SRC01", "SRC02", "SRC08", "SRC09"}
+
+
+def _feeds(spark: SparkSession, folder: str) -> dict[str, Callable[[], DataFrame]]:
+    """All feeds by code; lines and orders are joined once and stored for those made of them."""
+    lines = stored(feeds.order_lines(spark, folder), "order-lines")
+    return {
+        code: partial(feed, spark, folder, lines) if code in _OF_LINES else partial(feed, spark, folder)
+        for code, feed in _FEEDS.items()
+    }
+
+
 def _feed_readers(spark: SparkSession, folder: str, faults: dict) -> dict[str, jobs.Reader]:
     """Readers that deliver the feeds in place of files, some of them faulty."""
+    delivered_by = _feeds(spark, folder)
 
     def read(source: SourceSpec, _paths: list[str]) -> DataFrame:
         code = source.file[:5]
-        delivered = feeds.landed(_FEEDS[code](spark, folder), source)
+        delivered = feeds.landed(delivered_by[code](), source)
         return faults[code](delivered) if code in faults else delivered
 
     return {"csv": read, "xlsx": read}
@@ -688,11 +702,16 @@ def silver_read_back(spark, folder):
 def _gold(spark, folder) -> str:
     """All Gold tables, written; the folder they are in."""
     root = scratch_dir(spark, "gold")
-    for source in SOURCES:
-        typed = _FEEDS[source.file[:5]](spark, folder)
+    typed_by = _feeds(spark, folder)
+
+    def clean(source: SourceSpec) -> None:
+        typed = typed_by[source.file[:5]]()
         if ROW_SEQ not in typed.columns:
             typed = typed.withColumn(ROW_SEQ, F.monotonically_increasing_id())
         publish(typed, f"{root}/silver", _RUN_DATE, source.name)
+
+    for _ in jobs.each_source(clean, SOURCES):
+        pass
     jobs.run_gold(spark, _RUN_DATE, f"{root}/silver", f"{root}/gold")
     return f"{root}/gold"
 

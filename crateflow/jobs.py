@@ -85,12 +85,12 @@ def run_bronze(
             spark, source, readers[source.format], raw_path, bronze_root, run_date, batch_id
         )
 
-    records = list(_each_source(land, sources))
+    records = list(each_source(land, sources))
     publish(log_frame(spark, records, INGEST_LOG), bronze_root, run_date, "ingest_log")
     return records
 
 
-def _each_source(work: Callable[[SourceSpec], dict], sources: tuple[SourceSpec, ...]):
+def each_source(work: Callable[[SourceSpec], object], sources: tuple[SourceSpec, ...]):
     """Results in source order; a few sources run at once so that none waits for a slow tail."""
     with ThreadPoolExecutor(_SOURCES_AT_ONCE) as pool:
         yield from pool.map(in_this_job(work), sources)
@@ -144,7 +144,7 @@ def run_silver(
 
     records = []
     # appends go one after the other: two at once would share a commit folder
-    for source, entry in zip(sources, _each_source(clean, sources)):
+    for source, entry in zip(sources, each_source(clean, sources)):
         append_rows(log_frame(spark, [entry], SILVER_LOG), silver_root, run_date, "silver_log")
         records.append(
             {"source_file": source.file, "status": entry["status"], "error": entry["error_message"]}

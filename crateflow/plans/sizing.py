@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,30 +62,46 @@ def fits_broadcast(
     return df.agg(F.sum(width)).first()[0] <= max_bytes
 
 
+def fits_hashing(spark: SparkSession, size: int) -> bool:
+    """Whether a shuffle partition of a table of ``size`` bytes is small enough for a hash table.
+
+    Holds for tables with few rows per key only, whose partitions are alike.
+    """
+    return size <= int(spark.conf.get("spark.sql.shuffle.partitions")) * BROADCAST_BYTES
+
+
 def stored_with_size(df: DataFrame, label: str) -> tuple[DataFrame, bool]:
     """``df`` stored, and whether it is small enough to copy to every executor.
 
-    Rows and bytes come from the footers of its files, so the check runs no job.
+    Files written without the lengths of texts are measured by ``fits_broadcast``.
+    """
+    kept, rows, size = stored_measured(df, label)
+    if size is None:
+        return kept, fits_broadcast(kept)
+    return kept, rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+
+
+def stored_measured(df: DataFrame, label: str) -> tuple[DataFrame, int, int | None]:
+    """``df`` stored, its rows and its bytes, if the files tell them.
+
+    Both come from the footers of its files, so no job is needed.
     A footer says how long the texts of a column are in all before they are
-    encoded; every value counts two fixed widths on top. Reading stops at the
-    first file that passes a limit. Files written without these lengths are
-    measured by ``fits_broadcast``.
+    encoded; every value counts two fixed widths on top.
     """
     spark, path = df.sparkSession, scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     kept = spark.read.schema(df.schema).parquet(path)
-    rows = size = 0
+    rows, size = 0, 0
     for _, footer in footers(spark, path):
         for block in footer.getBlocks():
             rows += block.getRowCount()
-            for column in block.getColumns():
+            for column in block.getColumns() if size is not None else ():
                 size += column.getValueCount() * 2 * _FIXED_WIDTH
                 if column.getPrimitiveType().getPrimitiveTypeName().toString() == "BINARY":
                     known = column.getSizeStatistics()
                     length = known.getUnencodedByteArrayDataBytes() if known and known.isValid() else None
                     if length is None or not length.isPresent():
-                        return kept, fits_broadcast(kept)
+                        size = None
+                        break
                     size += length.get()
-        if rows > BROADCAST_ROWS or size > BROADCAST_BYTES:
-            return kept, False
-    return kept, True
+    return kept, rows, size

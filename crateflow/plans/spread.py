@@ -9,7 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crateflow.plans.sizing import fits_broadcast, stored_with_size
+from crateflow.plans import sizing
+from crateflow.plans.sizing import fits_broadcast, fits_hashing, stored_measured
 from crateflow.session import stored
 
 # Bins of key hashes for each shuffle partition, when frequent keys are looked for.
@@ -91,19 +92,23 @@ def star_join(
             *[F.col(name).alias(f"_k{at}_{name}") for name in lookup.on], F.struct(*rest).alias("_found")
         )
         _same_types(fact.select(*[v.alias(k) for k, v in keys.items()]), table, list(keys))
-        table, fits = stored_with_size(table, "lookup")
-        fits = fits if lookup.fits is None else lookup.fits
-        sides.append((table, keys, fits))
+        table, rows, size = stored_measured(table, "lookup")
+        fits = lookup.fits
+        if fits is None and size is None:
+            fits = fits_broadcast(table)
+        elif fits is None:
+            fits = rows <= sizing.BROADCAST_ROWS and size <= sizing.BROADCAST_BYTES
+        sides.append((table, keys, fits, size is not None and fits_hashing(table.sparkSession, size)))
         if not fits:
             large.append(at)
     seen = fact if keys_from is None else keys_from
     hot = dict(zip(large, _frequent(seen, [list(sides[at][1].values()) for at in large]), strict=True))
-    for at, (lookup, (table, keys, fits)) in enumerate(zip(lookups, sides, strict=True)):
+    for at, (lookup, (table, keys, fits, hashed)) in enumerate(zip(lookups, sides, strict=True)):
         match = reduce(Column.__and__, [value == F.col(name) for name, value in keys.items()])
         if fits:
             joined = fact.join(F.broadcast(table), match, "left")
         else:
-            joined = _shuffled(fact, table, keys, match, "left", hot[at])
+            joined = _shuffled(fact, table, keys, match, "left", hot[at], hashed)
         fact = joined.withColumn(lookup.name, lookup.found(F.col("_found"))).drop(*keys, "_found")
     return fact
 
@@ -115,10 +120,15 @@ def _shuffled(
     match: Column,
     how: str,
     hot: DataFrame | None,
+    hashed: bool = False,
 ) -> DataFrame:
-    """Join by a shuffle of both sides; ``keys`` says what a right column equals on the left."""
+    """Join by a shuffle of both sides; ``keys`` says what a right column equals on the left.
+
+    With ``hashed`` a hash table of each partition of ``right`` is made, so rows of
+    ``left``, however wide, are not sorted.
+    """
     if hot is None:
-        return left.join(right, match, how)
+        return left.join(right.hint("shuffle_hash") if hashed else right, match, how)
     salts = F.coalesce(F.col("_salts"), F.lit(1))
     # The partition id takes part so that copies of one row spread too. A row
     # keeps its partition when a task is run again, so the salt is repeatable.
@@ -136,6 +146,8 @@ def _shuffled(
         .drop("_h", "_salts")
     )
     salted = match & (F.col("_salt") == F.col("_r_salt"))
+    if hashed:
+        salted_right = salted_right.hint("shuffle_hash")
     return salted_left.join(salted_right, salted, how).drop("_salt", "_r_salt")
 
 

@@ -65,6 +65,14 @@ def test_large_dimensions_give_the_same_keys(spark, star, monkeypatch):
     assert sorted(facts.build_fact_sales(df, *dims).collect()) == small
 
 
+def test_wide_facts_are_not_sorted_for_a_large_dimension(spark, star, monkeypatch):
+    df = sales(spark, ("O1", "C1", "P1", "EMP001", date(2024, 2, 1), 1.0, 2.0, "N", "R", "b"))
+    monkeypatch.setattr("crateflow.plans.sizing.BROADCAST_ROWS", 0)
+    out = facts.build_fact_sales(df, star["customers"], star["products"], star["employees"], star["dates"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_fact_targets(spark, star):
     rows = [("EMP001", "2024", "2", 1.0), ("EMP001", "2024", "7.0", 1.0), ("EMP999", "2024", "3", 1.0), ("EMP001", "2024", "13", 1.0)]
     df = spark.createDataFrame(rows, "employee_id string, year string, month string, target_revenue double")

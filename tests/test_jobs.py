@@ -7,6 +7,7 @@ from datetime import date
 import pytest
 
 from crateflow import jobs
+from crateflow.catalog import feeds, queries
 from crateflow.catalog.workbooks import encode_workbook
 from crateflow.contracts import BY_CODE, LINEAGE, ROW_SEQ, SOURCES
 from crateflow.session import in_this_job, scratch_of_job, stored
@@ -385,3 +386,17 @@ def test_dates_in_workbooks_reach_silver(spark, layers):
     jobs.run_silver(spark, DAY, layers["bronze"], layers["silver"], source)
     table = read_table(spark, layers["silver"], DAY, BY_CODE["SRC07"].name)
     assert table.first()["effective_date"] == date(2024, 1, 1)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+@pytest.mark.parametrize("name", ["gold_job", "bronze_job"])
+def test_a_job_joins_lines_and_orders_once(spark, monkeypatch, name):
+    joins, join = [], feeds.spread_join
+
+    def counted(*args, **kwargs):
+        joins.append(args[2])
+        return join(*args, **kwargs)
+
+    monkeypatch.setattr(feeds, "spread_join", counted)
+    assert queries.QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+    assert joins == [["l_orderkey"]]
