@@ -172,7 +172,7 @@ def _clean_source(
         # nothing may call the source failed
         empty = null_key_rows(bronze, source).count()
         _report_dates(bronze, source)
-        silver = transform(bronze, source)
+        silver = transform(bronze, source, few_copies=True)
         publish(silver, silver_root, run_date, source.name)
     except Exception as error:  # noqa: BLE001 -- one source must not stop the run
         _log.error("%s: %s", source.file, error)

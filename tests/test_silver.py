@@ -161,3 +161,36 @@ def test_packed_list_and_month(spark):
     assert values(df, packed_list("l")) == [["A", "B", "C"], None]
     assert values(df, whole("y")) == [2, None]
     assert values(df, first_of_month(F.lit(2024), whole("m"))) == [None, date(2024, 2, 1)]
+
+
+def test_few_copies_go_without_a_shuffle_of_every_row(spark, monkeypatch):
+    row = {"order_id": "O1", "customer_id": "C1", "product_id": "P1", "quantity": "1,000", "region": " north "}
+    bronze = frame(
+        spark, "SRC01", row, row | {"quantity": "1000", "region": "NORTH"}, row | {"quantity": "1001"},
+        row | {"order_id": "O2", "quantity": "0"}, row | {"order_id": "O2", "quantity": "-0"},
+        row | {"order_id": "O3"}, row | {"customer_id": None}, row | {"customer_id": None},
+    )
+    source = BY_CODE["SRC01"]
+    keys = ["order_id", "quantity"]
+    whole_rows = sorted(map(tuple, silver.transform(bronze, source).select(keys).collect()))
+    assert whole_rows == [("O1", 1000.0), ("O1", 1001.0), ("O2", 0.0), ("O3", 1000.0)]
+    found = silver.transform(bronze, source, few_copies=True).select(keys)
+    assert sorted(map(tuple, found.collect())) == whole_rows
+    # too many hashes to broadcast: every row is compared
+    monkeypatch.setattr("crateflow.plans.sizing.BROADCAST_ROWS", 0)
+    found = silver.transform(bronze, source, few_copies=True).select(keys)
+    assert sorted(map(tuple, found.collect())) == whole_rows
+    monkeypatch.undo()
+
+    distinct = bronze.where("order_id = 'O3'")
+    plan = silver.transform(distinct, source, few_copies=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_few_copies_keep_the_first_position(spark):
+    row = {"customer_id": "C1", "status": "a"}
+    bronze = frame(
+        spark, "SRC03", row | {ROW_SEQ: "7"}, row | {ROW_SEQ: "3", "status": " A"}, {"customer_id": "C2", ROW_SEQ: "1"}
+    )
+    out = silver.transform(bronze, BY_CODE["SRC03"], few_copies=True).select("customer_id", ROW_SEQ)
+    assert sorted(map(tuple, out.collect())) == [("C1", 3), ("C2", 1)]
