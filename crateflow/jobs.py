@@ -32,7 +32,7 @@ from crateflow.operators.silver import (
 )
 from crateflow.session import in_this_job, scratch_of_job
 from crateflow.sources.delimited import scan_csv
-from crateflow.sources.tables import append_rows, log_frame, publish, read_table
+from crateflow.sources.tables import SMALL, append_rows, log_frame, publish, read_table
 from crateflow.sources.workbook import scan_workbooks
 
 _log = logging.getLogger(__name__)
@@ -110,7 +110,7 @@ def _land_source(
     status, rows = "success", 0
     try:
         frame = bronze_frame(reader(source, [raw_path]), source, run_date, batch_id)
-        publish(frame, bronze_root, run_date, source.name)
+        publish(frame, bronze_root, run_date, source.name, SMALL)
         # answered by the Parquet footers, and exact even after lost tasks
         rows = read_table(spark, bronze_root, run_date, source.name, frame.schema).count()
     except ContractError as error:
@@ -173,7 +173,7 @@ def _clean_source(
         empty = null_key_rows(bronze, source).count()
         _report_dates(bronze, source)
         silver = transform(bronze, source, few_copies=True)
-        publish(silver, silver_root, run_date, source.name)
+        publish(silver, silver_root, run_date, source.name, SMALL)
     except Exception as error:  # noqa: BLE001 -- one source must not stop the run
         _log.error("%s: %s", source.file, error)
         return entry | {"status": "failed", "error_message": str(error)}

@@ -400,3 +400,10 @@ def test_a_job_joins_lines_and_orders_once(spark, monkeypatch, name):
     monkeypatch.setattr(feeds, "spread_join", counted)
     assert queries.QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
     assert joins == [["l_orderkey"]]
+
+
+def test_bronze_and_silver_are_packed_small(spark, tmp_path):
+    df = spark.createDataFrame([("a",)], "k string")
+    path = publish(df, str(tmp_path), DAY, "t", layer_tables.SMALL)
+    assert any(name.endswith(".zstd.parquet") for _, _, names in os.walk(path) for name in names)
+    assert [tuple(r) for r in read_table(spark, str(tmp_path), DAY, "t").collect()] == [("a",)]
