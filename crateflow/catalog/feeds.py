@@ -295,7 +295,19 @@ def territories(spark: SparkSession, folder: str, lines: DataFrame | None = None
         .distinct()
         .withColumns({"employee_id": _employee(), "customer_id": ident("CUS", "customer")})
     )
-    pair = Window.partitionBy("employee", "customer").orderBy("effective_date")
+    return _assignments(opened, ["employee", "customer"])
+
+
+def territories_of(sales: DataFrame) -> DataFrame:
+    """``territories`` from a stored copy of ``sales``, so that lines and orders are joined once."""
+    kept = sales.filter("return_flag = 'N' AND employee_id IS NOT NULL")
+    pair = ["employee_id", "customer_id"]
+    opened = kept.select(*pair, "region", F.col("order_date").alias("effective_date"))
+    return _assignments(opened.repartition(*pair).distinct(), pair)
+
+
+def _assignments(opened: DataFrame, pair: list[str]) -> DataFrame:
+    following = Window.partitionBy(*pair).orderBy("effective_date")
     return opened.select(
         F.concat_ws("/", "employee_id", "customer_id", "effective_date").alias("territory_id"),
         "employee_id",
@@ -303,7 +315,7 @@ def territories(spark: SparkSession, folder: str, lines: DataFrame | None = None
         "region",
         F.lit("TEAM1").alias("team"),
         "effective_date",
-        F.lead("effective_date").over(pair).alias("expiry_date"),
+        F.lead("effective_date").over(following).alias("expiry_date"),
         F.lit("1").alias("version"),
     )
 

@@ -312,8 +312,12 @@ def asof_window_variant(spark, folder):
     return asof_by_bucket(rows, _dim_employees(spark, folder), *_BY_EMPLOYEE)
 
 
+def _territories(assigned):
+    return dimensions.build_dim_territories(assigned, "territory_id")
+
+
 def _dim_territory(spark, folder):
-    return dimensions.build_dim_territories(feeds.territories(spark, folder), "territory_id")
+    return _territories(feeds.territories(spark, folder))
 
 
 @query
@@ -457,7 +461,7 @@ def _products(spark, folder):
     return dimensions.build_dim_products(feeds.products(spark, folder))
 
 
-def _fact_sales(spark, folder, *more):
+def _fact_sales(spark, folder, with_territory=False):
     sales = stored(feeds.sales(spark, folder), "sales")
     return facts.build_fact_sales(
         sales,
@@ -465,7 +469,7 @@ def _fact_sales(spark, folder, *more):
         _products(spark, folder),
         _dim_employees(spark, folder),
         dimensions.build_dim_date((sales, "order_date")),
-        *more,
+        _territories(feeds.territories_of(sales)) if with_territory else None,
     )
 
 
@@ -476,7 +480,7 @@ def fact_sales(spark, folder):
 
 @query
 def fact_sales_territory(spark, folder):
-    return _fact_sales(spark, folder, _dim_territory(spark, folder))
+    return _fact_sales(spark, folder, with_territory=True)
 
 
 @query

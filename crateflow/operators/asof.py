@@ -68,8 +68,8 @@ def asof_lookup(
     The length of a range follows that of the versions, so that a fact looks
     through a few of them and a version stands in a few ranges.
     """
-    spans = _spans(_narrow(versions, by, key, start, end), by)
-    width, last_day = _bucket_days(versions.where(F.col(key) != UNKNOWN_KEY), by, start)
+    width, last_day, few = _bucket_days(versions.where(F.col(key) != UNKNOWN_KEY), by, start)
+    spans = _spans(_narrow(versions, by, key, start, end, few), by)
     last = last_day // width
 
     def _bucket(day: Column) -> Column:
@@ -97,8 +97,9 @@ def asof_lookup(
     return Lookup(table, on, key, found, fits)
 
 
-def _bucket_days(versions: DataFrame, by: list[str], start: str) -> tuple[int, int]:
-    """Days of a bucket, a power of two, and the number of the last day on which a version starts.
+def _bucket_days(versions: DataFrame, by: list[str], start: str) -> tuple[int, int, bool]:
+    """Days of a bucket, a power of two, the number of the last day on which a version starts,
+    and whether each entity is known to have few versions, copies of a day included.
 
     Entities times days over versions is how long a version lasts on average. A
     bucket is some times as long: an entity then has fewer buckets than versions,
@@ -112,23 +113,33 @@ def _bucket_days(versions: DataFrame, by: list[str], start: str) -> tuple[int, i
     known = versions.where(F.col(start).isNotNull())
     first, last, count, several = known.agg(F.min(day), F.max(day), F.count("*"), entities).first()
     if not count:
-        return BUCKET_DAYS, 0
+        return BUCKET_DAYS, 0, False
     wanted = _VERSIONS_EACH * (last - first + 1) * several / count
+    few = False
     if wanted > BUCKET_DAYS:
         bins = F.pmod(F.xxhash64(*by), F.lit(max(1, count // _BIN_VERSIONS)))
         most = known.groupBy(bins.alias("_bin")).count().agg(F.max("count")).first()[0]
-        wanted = wanted if most <= BUCKET_DAYS else BUCKET_DAYS
+        few = most <= BUCKET_DAYS
+        wanted = wanted if few else BUCKET_DAYS
     width = 1
     while width < wanted:
         width *= 2
-    return width, last
+    return width, last, few
 
 
-def _narrow(versions: DataFrame, by: list[str], key: str, start: str, end: str) -> DataFrame:
-    """One version per entity and start date; of several the highest key counts."""
+def _narrow(versions: DataFrame, by: list[str], key: str, start: str, end: str, few: bool) -> DataFrame:
+    """One version per entity and start date; of several the highest key counts.
+
+    With ``few`` versions for each entity all are kept, as a window group of ``_spans``
+    is small anyway: those that do not count last no day there, and one shuffle is saved.
+    """
+    known = versions.filter((F.col(key) != UNKNOWN_KEY) & F.col(start).isNotNull())
+    if few:
+        return known.select(
+            *by, F.col(start).alias("_start"), F.col(key).cast("long").alias("_key"), F.col(end).alias("_end")
+        )
     return (
-        versions.filter((F.col(key) != UNKNOWN_KEY) & F.col(start).isNotNull())
-        .groupBy(*by, F.col(start).alias("_start"))
+        known.groupBy(*by, F.col(start).alias("_start"))
         .agg(F.max(F.struct(F.col(key).alias("key"), F.col(end).alias("end"))).alias("_v"))
         .select(*by, "_start", F.col("_v.key").cast("long").alias("_key"), F.col("_v.end").alias("_end"))
     )
@@ -136,7 +147,7 @@ def _narrow(versions: DataFrame, by: list[str], key: str, start: str, end: str)
 
 def _spans(narrow: DataFrame, by: list[str]) -> DataFrame:
     """Versions cut where the next one starts, without those that no day falls into."""
-    following = F.lead("_start").over(Window.partitionBy(*by).orderBy("_start"))
+    following = F.lead("_start").over(Window.partitionBy(*by).orderBy("_start", "_key", "_end"))
     cut = narrow.withColumn("_next", following).withColumn("_stop", F.least("_end", "_next"))
     return cut.where("_stop IS NULL OR _stop > _start")
 

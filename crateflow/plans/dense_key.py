@@ -7,7 +7,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crateflow.session import rows_per_task, scratch_dir
+from crateflow.session import SMALL, rows_per_task, scratch_dir
 
 # monotonically_increasing_id() holds the partition above bit 33, the row below
 _ROW_BITS = 33
@@ -29,7 +29,7 @@ def dense_key(df: DataFrame, key: str, order_by: list[str]) -> DataFrame:
         .withColumn("_place", F.monotonically_increasing_id())
     )
     path = scratch_dir(spark, "ranged")
-    ranged.write.parquet(path)
+    ranged.write.parquet(path, compression=SMALL)
     kept = spark.read.schema(ranged.schema).parquet(path)
     # one size per range partition: bounded by spark.sql.shuffle.partitions
     sizes = rows_per_task(spark, path)

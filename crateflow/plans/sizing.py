@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crateflow.session import footers, scratch_dir
+from crateflow.session import SMALL, footers, scratch_dir
 
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -89,7 +89,7 @@ def stored_measured(df: DataFrame, label: str) -> tuple[DataFrame, int, int | No
     encoded; every value counts two fixed widths on top.
     """
     spark, path = df.sparkSession, scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=SMALL)
     kept = spark.read.schema(df.schema).parquet(path)
     rows, size = 0, 0
     for _, footer in footers(spark, path):

@@ -15,6 +15,8 @@ from crateflow.session import stored
 
 # Bins of key hashes for each shuffle partition, when frequent keys are looked for.
 _BINS = 64
+# Bits of a row number within its file, and of the place of a row within a block of rows.
+_ROW_BITS, _BLOCK_BITS = 40, 8
 
 
 def spread_join(
@@ -81,8 +83,9 @@ def star_join(
     Each lookup table is stored once, which also tells its size: one that fits
     is broadcast. For those that do not, the frequent keys of all of them come
     from one pass over ``fact``, and both sides are shuffled as in
-    ``spread_join``. ``keys_from`` is a cheaper frame with the columns that the
-    keys are made of.
+    ``spread_join``; if there are several, only the columns they look at are, and
+    whole rows just once (``_looked_up``). ``keys_from`` is a cheaper frame with
+    the columns that the keys are made of.
     """
     sides, large = [], []
     for at, lookup in enumerate(lookups):
@@ -103,14 +106,74 @@ def star_join(
             large.append(at)
     seen = fact if keys_from is None else keys_from
     hot = dict(zip(large, _frequent(seen, [list(sides[at][1].values()) for at in large]), strict=True))
-    for at, (lookup, (table, keys, fits, hashed)) in enumerate(zip(lookups, sides, strict=True)):
+
+    def look(df: DataFrame, at: int) -> DataFrame:
+        lookup, (table, keys, fits, hashed) = lookups[at], sides[at]
         match = reduce(Column.__and__, [value == F.col(name) for name, value in keys.items()])
         if fits:
-            joined = fact.join(F.broadcast(table), match, "left")
+            joined = df.join(F.broadcast(table), match, "left")
         else:
-            joined = _shuffled(fact, table, keys, match, "left", hot[at], hashed)
-        fact = joined.withColumn(lookup.name, lookup.found(F.col("_found"))).drop(*keys, "_found")
-    return fact
+            joined = _shuffled(df, table, keys, match, "left", hot[at], hashed)
+        return joined.withColumn(lookup.name, lookup.found(F.col("_found"))).drop(*keys, "_found")
+
+    several = large if len(large) > 1 else []
+    columns = [*fact.columns, *(lookup.name for lookup in lookups)]
+    if several:
+        fact = _looked_up(fact, {lookups[at].name: lambda df, at=at: look(df, at) for at in several})
+    for at in range(len(lookups)):
+        if at not in several:
+            fact = look(fact, at)
+    return fact.select(*columns)
+
+
+def _looked_up(fact: DataFrame, looks: dict[str, Callable[[DataFrame], DataFrame]]) -> DataFrame:
+    """``fact`` with the columns that ``looks`` add, each by a shuffle, its rows shuffled whole only once.
+
+    A row is known by its file and its number there, which hold however the files
+    are read. Each look takes the number and what else it needs, and its results
+    come back to blocks of numbers, which whole rows meet by their block. That
+    spreads evenly whatever the keys are.
+    """
+    if not _is_table(fact):
+        fact = stored(fact, "fact")
+    place = [F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_row")]
+    spark, rows = fact.sparkSession, fact.count()
+    paths = sorted(row[0] for row in fact.select(*place).select("_path").distinct().collect())
+    files = spark.createDataFrame(list(enumerate(paths)), "_file long, _path string")
+    number = F.shiftleft("_file", _ROW_BITS).bitwiseOR(F.col("_row")).alias("_fact_row")
+    fact = numbered = fact.select("*", *place).join(F.broadcast(files), "_path").select(*fact.columns, number)
+    at = F.col("_fact_row").bitwiseAND((1 << _BLOCK_BITS) - 1).cast("int")
+    block = F.shiftright("_fact_row", _BLOCK_BITS)
+    # a place and a value take up to 32 bytes in the list of a block
+    hashed = fits_hashing(spark, rows * 32 * len(looks))
+    for name, look in looks.items():
+        found = look(numbered).select(block.alias("_block"), at.alias("_at"), F.col(name).alias("_value"))
+        listed = found.repartition("_block").groupBy("_block").agg(_by_place().alias("_list"))
+        joined = fact.join(listed.hint("shuffle_hash") if hashed else listed, block == F.col("_block"), "left")
+        # as many rows as the lookup has found
+        fact = joined.select(*fact.columns, F.explode(F.get("_list", at)).alias(name))
+    return fact.drop("_fact_row")
+
+
+def _by_place() -> Column:
+    """Values of a block as an array for each place, which has one unless a row has found several."""
+    pairs = F.sort_array(F.collect_list(F.struct("_at", "_value")))
+
+    def values(at: Column) -> Column:
+        return F.transform(F.filter(pairs, lambda pair: pair["_at"] == at), lambda pair: pair["_value"])
+
+    last = F.element_at(pairs, -1)["_at"]
+    single = F.transform(pairs, lambda pair: F.array(pair["_value"]))
+    return F.when(last == F.size(pairs) - 1, single).otherwise(F.transform(F.sequence(F.lit(0), last), values))
+
+
+def _is_table(df: DataFrame) -> bool:
+    """Whether ``df`` has the rows of Parquet files as they are, whatever its columns."""
+    plan = df._jdf.queryExecution().analyzed()
+    fixed = plan.deterministic()
+    while plan.nodeName() == "Project":
+        plan = plan.child()
+    return fixed and plan.nodeName() == "LogicalRelation" and plan.simpleString(0).lower().endswith("parquet")
 
 
 def _shuffled(
@@ -132,7 +195,7 @@ def _shuffled(
     salts = F.coalesce(F.col("_salts"), F.lit(1))
     # The partition id takes part so that copies of one row spread too. A row
     # keeps its partition when a task is run again, so the salt is repeatable.
-    row_hash = F.xxhash64(*left.columns, F.spark_partition_id())
+    row_hash = F.xxhash64(*(["_fact_row"] if "_fact_row" in left.columns else left.columns), F.spark_partition_id())
     salted_left = (
         left.withColumn("_h", F.xxhash64(*keys.values()))
         .join(F.broadcast(hot), "_h", "left")

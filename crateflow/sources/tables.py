@@ -17,12 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crateflow.plans.sizing import fits_broadcast
+from crateflow.session import SMALL as SMALL
 
 # Versions that can be read or gone back to; older ones are deleted.
 KEPT_VERSIONS = 3
 _VERSIONS, _COMMITS = "_versions", "_commits"
-# Compression that makes strings of a source a quarter smaller than the default and takes longer.
-SMALL = "zstd"
 # Said by a commit instead of a version: none at all, or that before the last.
 _NOTHING, _BACK = "nothing", "back"
 

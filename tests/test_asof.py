@@ -175,3 +175,26 @@ def test_versions_that_last_long_stand_in_few_ranges(spark, dense):
     expected = {i: last_start(versions, entity, day) for i, entity, day in facts}
     for fits in (True, False):
         assert keys(spark, versions, facts, fits) == expected
+
+
+def test_versions_of_entities_with_few_are_shuffled_once(spark, monkeypatch):
+    # copies of a start with other keys, ends before starts, ends that are not known, no start
+    draw = random.Random(5)
+    start = date(2020, 1, 1)
+    versions = [("UNKNOWN", -1, None, None), ("E1", 900, None, None)]
+    for key in range(400):
+        begins = start + timedelta(days=400 * draw.randrange(5))
+        ends = draw.choice([None, begins, begins + timedelta(days=draw.randrange(-10, 900))])
+        versions.append((f"E{draw.randrange(60)}", key, begins, ends))
+    facts = [
+        (str(n), f"E{draw.randrange(65)}", start + timedelta(days=draw.randrange(-5, 2500))) for n in range(800)
+    ]
+    got = keys(spark, versions, facts, False)
+    dim = spark.createDataFrame(versions, VERSIONS)
+    plan = asof_lookup(dim, BY, "d", "employee_key").table._jdf.queryExecution().executedPlan().toString()
+    # one for the window and the ranges; the versions of one day need none of their own
+    assert plan.count("Exchange hashpartitioning") == 1
+    monkeypatch.setattr("crateflow.operators.asof.BUCKET_DAYS", 1)
+    assert got == keys(spark, versions, facts, False)
+    plan = asof_lookup(dim, BY, "d", "employee_key").table._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2

@@ -407,3 +407,15 @@ def test_bronze_and_silver_are_packed_small(spark, tmp_path):
     path = publish(df, str(tmp_path), DAY, "t", layer_tables.SMALL)
     assert any(name.endswith(".zstd.parquet") for _, _, names in os.walk(path) for name in names)
     assert [tuple(r) for r in read_table(spark, str(tmp_path), DAY, "t").collect()] == [("a",)]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_territories_from_stored_sales(spark, monkeypatch):
+    folder = "/root/testdata/sf0.001"
+    direct, ours = feeds.territories(spark, folder), feeds.territories_of(feeds.sales(spark, folder))
+    assert direct.schema == ours.schema and direct.count() == ours.count() > 0
+    assert direct.exceptAll(ours).count() == 0
+    joins, join = [], feeds.spread_join
+    monkeypatch.setattr(feeds, "spread_join", lambda *args: joins.append(args[2]) or join(*args))
+    queries.QUERIES["fact_sales_territory"](spark, folder)
+    assert joins == [["l_orderkey"]]

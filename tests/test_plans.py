@@ -199,3 +199,73 @@ def test_size_check_from_footers_runs_only_the_write(spark):
         assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("size")) == 1
     finally:
         spark.sparkContext._jsc.clearJobGroup()
+
+
+def star_of_three(fact):
+    spark = fact.sparkSession
+    words = spark.createDataFrame([("hot", 2), ("k2", 1), ("k2", 7), (None, 3)], "k string, w long")
+    numbers = spark.createDataFrame([(1, "one"), (5, "five")], "v long, t string")
+    return spread.star_join(
+        fact,
+        [
+            spread.Lookup(words, {"k": F.col("k")}, "a", lambda row: F.coalesce(row["w"], F.lit(-1)), False),
+            spread.Lookup(numbers, {"v": F.col("v")}, "b", lambda row: row["t"], True),
+            spread.Lookup(numbers, {"v": F.col("v") + 1}, "c", lambda row: F.concat(row["t"], F.col("wide")), False),
+        ],
+    )
+
+
+@pytest.mark.parametrize("table", [True, False])
+def test_star_join_with_several_large_lookups(spark, table):
+    fact = skewed(spark).withColumn("wide", F.concat(F.lit("w"), F.col("v")))
+    fact = stored(fact, "fact") if table else fact
+    assert spread._is_table(fact.drop("none")) == table
+    out = star_of_three(fact)
+    assert out.columns == ["k", "v", "wide", "a", "b", "c"]
+    # a key with two rows gives two, as by a join
+    w, t = {"hot": [2], "k2": [1, 7]}, {1: "one", 5: "five"}
+    expected = Counter(
+        (k, v, wide, a, t.get(v), t[v + 1] + wide if v + 1 in t else None)
+        for k, v, wide in fact.collect()
+        for a in w.get(k, [-1])
+    )
+    assert Counter(tuple(row) for row in out.collect()) == expected
+    assert star_of_three(fact.limit(0)).count() == 0
+
+
+def test_whole_rows_are_shuffled_once_for_several_large_lookups(spark):
+    fact = stored(skewed(spark).withColumn("wide", F.lit("w" * 50)), "fact")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    numbers = spark.createDataFrame([(1, "one"), (5, "five")], "v long, t string")
+    lookups = [
+        spread.Lookup(numbers, {"v": F.col("v") + more}, name, lambda row: row["t"], False)
+        for more, name in enumerate("abc")
+    ]
+    try:
+        plan = spread.star_join(fact, lookups)._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+    def shuffled(node):
+        found = [node.output().mkString(",")] if node.nodeName() == "Exchange" else []
+        children = node.children()
+        return found + [out for at in range(children.size()) for out in shuffled(children.apply(at))]
+
+    assert sum("wide#" in columns for columns in shuffled(plan)) == 1
+
+
+def test_rows_of_a_filter_or_of_chance_are_no_table(spark):
+    table = stored(spark.range(9), "t")
+    assert spread._is_table(table.select((F.col("id") + 1).alias("n")))
+    assert not spread._is_table(table.where("id > 3"))
+    assert not spread._is_table(table.withColumn("r", F.rand()))
+    assert not spread._is_table(table.join(table.withColumnRenamed("id", "n")))
+
+
+def test_scratch_tables_are_packed_small(spark):
+    tables = [stored(spark.range(3), "t"), stored_with_size(spark.range(3), "t")[0]]
+    tables.append(dense_key(spark.range(3), "key", ["id"]))
+    for table in tables:
+        assert all(name.endswith(".zstd.parquet") for name in table.inputFiles())
