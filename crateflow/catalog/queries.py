@@ -20,9 +20,10 @@ from crateflow.operators import bronze, dimensions, facts, marts, promotions, qu
 from crateflow.operators.asof import asof_by_bucket, resolve_asof
 from crateflow.plans.dense_key import dense_key
 from crateflow.plans.spread import star_join
-from crateflow.session import scratch_dir, stored
+from crateflow.session import scratch_dir, scratch_of_job, shuffles_removed, stored
 from crateflow.sources.delimited import scan_csv
 from crateflow.sources.tables import (
+    SMALL,
     append_rows,
     latest_per,
     publish,
@@ -706,16 +707,17 @@ def silver_read_back(spark, folder):
 def _gold(spark, folder) -> str:
     """All Gold tables, written; the folder they are in."""
     root = scratch_dir(spark, "gold")
-    typed_by = _feeds(spark, folder)
+    with scratch_of_job(spark), shuffles_removed(spark):
+        typed_by = _feeds(spark, folder)
 
-    def clean(source: SourceSpec) -> None:
-        typed = typed_by[source.file[:5]]()
-        if ROW_SEQ not in typed.columns:
-            typed = typed.withColumn(ROW_SEQ, F.monotonically_increasing_id())
-        publish(typed, f"{root}/silver", _RUN_DATE, source.name)
+        def clean(source: SourceSpec) -> None:
+            typed = typed_by[source.file[:5]]()
+            if ROW_SEQ not in typed.columns:
+                typed = typed.withColumn(ROW_SEQ, F.monotonically_increasing_id())
+            publish(typed, f"{root}/silver", _RUN_DATE, source.name, SMALL)
 
-    for _ in jobs.each_source(clean, SOURCES):
-        pass
+        for _ in jobs.each_source(clean, SOURCES):
+            pass
     jobs.run_gold(spark, _RUN_DATE, f"{root}/silver", f"{root}/gold")
     return f"{root}/gold"
 

@@ -30,7 +30,7 @@ from crateflow.operators.silver import (
     null_key_rows,
     transform,
 )
-from crateflow.session import in_this_job, scratch_of_job
+from crateflow.session import in_this_job, scratch_of_job, shuffles_removed
 from crateflow.sources.delimited import scan_csv
 from crateflow.sources.tables import SMALL, append_rows, log_frame, publish, read_table
 from crateflow.sources.workbook import scan_workbooks
@@ -227,7 +227,7 @@ def run_gold(
         }
         try:
             df = work()
-            publish(df, gold_root, run_date, name)
+            publish(df, gold_root, run_date, name, SMALL)
         except Exception as error:  # noqa: BLE001 -- one table must not stop the others
             reason = f"needs {error.args[0]}" if isinstance(error, _Missing) else str(error)
             _log.error("%s: %s", name, reason)
@@ -256,7 +256,7 @@ def run_gold(
             (silver("SRC05"), "order_date"),
         )
 
-    with scratch_of_job(spark):
+    with scratch_of_job(spark), shuffles_removed(spark):
         store(
             {
                 "dim_customers": lambda: dimensions.build_dim_customers(silver("SRC03")),
@@ -281,6 +281,11 @@ def run_gold(
                 "fact_targets": lambda: facts.build_fact_targets(
                     silver("SRC02"), need("dim_employees")
                 ),
+            }
+        )
+        # wide tables one after the other, so that the shuffle files of one are there at a time
+        store(
+            {
                 "fact_returns": lambda: facts.build_fact_returns(
                     silver("SRC09"),
                     need("dim_customers"),
@@ -289,6 +294,10 @@ def run_gold(
                     all_dates(),
                     need("dim_territory"),
                 ),
+            }
+        )
+        store(
+            {
                 "fact_distributor_orders": lambda: facts.build_fact_distributor_orders(
                     silver("SRC05"), need("dim_products"), all_dates(), need("dim_distributors")
                 ),

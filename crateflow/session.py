@@ -9,12 +9,19 @@ from collections import defaultdict
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar, copy_context
+from threading import Lock
 
 from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
 
 # Compression that makes strings of a source a quarter smaller than the default and takes longer.
 SMALL = "zstd"
+# Whether Spark removes the shuffle files of an execution with it; how many jobs of a session
+# want that, and what was set before them.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_cleaning: defaultdict[SparkSession, int] = defaultdict(int)
+_cleanup_before: dict[SparkSession, str | None] = {}
+_cleanup_lock = Lock()
 # Folder below the scratch folder of the application, while a job runs: that of the
 # innermost job of this thread, and of threads that work for it (``in_this_job``).
 _JOB: ContextVar[str | None] = ContextVar("crateflow_job", default=None)
@@ -70,6 +77,32 @@ def scratch_of_job(spark: SparkSession) -> Iterator[None]:
         fs.delete(path, True)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove the shuffle files of each execution when it ends, not once the driver collects garbage.
+
+    A frame that is run again shuffles again, so this is for jobs that run each once.
+    The setting is that of the session: the last of several jobs puts it back.
+    """
+    with _cleanup_lock:
+        if not _cleaning[spark]:
+            _cleanup_before[spark] = spark.conf.get(_CLEANUP, None)
+            spark.conf.set(_CLEANUP, "true")
+        _cleaning[spark] += 1
+    try:
+        yield
+    finally:
+        with _cleanup_lock:
+            _cleaning[spark] -= 1
+            if not _cleaning[spark]:
+                del _cleaning[spark]
+                before = _cleanup_before.pop(spark)
+                if before is None:
+                    spark.conf.unset(_CLEANUP)
+                else:
+                    spark.conf.set(_CLEANUP, before)
+
+
 def in_this_job(work: Callable) -> Callable:
     """``work`` for threads of a pool: what it stores belongs to the job that runs now."""
     context = copy_context()

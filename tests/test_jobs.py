@@ -1,6 +1,7 @@
 import csv
 import os
 import threading
+import time
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
@@ -10,7 +11,7 @@ from crateflow import jobs
 from crateflow.catalog import feeds, queries
 from crateflow.catalog.workbooks import encode_workbook
 from crateflow.contracts import BY_CODE, LINEAGE, ROW_SEQ, SOURCES
-from crateflow.session import in_this_job, scratch_of_job, stored
+from crateflow.session import _CLEANUP, in_this_job, scratch_of_job, shuffles_removed, stored
 from crateflow.sources import tables as layer_tables
 from crateflow.sources.tables import append_rows, latest_per, publish, read_table, run_history, take_back
 from crateflow.streaming.landing import ingest_new_files
@@ -419,3 +420,59 @@ def test_territories_from_stored_sales(spark, monkeypatch):
     monkeypatch.setattr(feeds, "spread_join", lambda *args: joins.append(args[2]) or join(*args))
     queries.QUERIES["fact_sales_territory"](spark, folder)
     assert joins == [["l_orderkey"]]
+
+
+def shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = disk.getAllFiles().iterator()
+    return {name for name in iter(lambda: files.next().getName() if files.hasNext() else None, None)
+            if name.startswith("shuffle_")}
+
+
+def test_shuffle_files_go_with_their_execution(spark):
+    def kept():
+        before = shuffle_files(spark)
+        stored(spark.range(1000).repartition(4, "id"), "t")
+        for _ in range(50):
+            left = shuffle_files(spark) - before
+            if not left:
+                break
+            time.sleep(0.1)
+        return len(left)
+
+    assert kept() > 0
+    with shuffles_removed(spark):
+        with shuffles_removed(spark):
+            assert kept() == 0
+        assert kept() == 0
+    assert spark.conf.get(_CLEANUP, None) is None
+    spark.conf.set(_CLEANUP, "false")
+    with pytest.raises(KeyError), shuffles_removed(spark):
+        raise KeyError
+    assert spark.conf.get(_CLEANUP) == "false"
+    spark.conf.unset(_CLEANUP)
+
+
+def test_gold_removes_shuffle_files_packs_tables_and_builds_wide_facts_alone(spark, layers, monkeypatch):
+    bronze(spark, layers)
+    silver(spark, layers)
+    running, together, lock = set(), set(), threading.Lock()
+    write = jobs.publish
+
+    def watched(df, root, run_date, name, *codec):
+        with lock:
+            running.add(name)
+            together.update((name, other) for other in running - {name})
+        assert spark.conf.get(_CLEANUP) == "true" or name == "gold_log"
+        write(df, root, run_date, name, *codec)
+        with lock:
+            running.discard(name)
+
+    monkeypatch.setattr(jobs, "publish", watched)
+    records = jobs.run_gold(spark, DAY, layers["silver"], layers["gold"])
+    assert all(record["status"] == "success" for record in records)
+    wide = {"fact_sales", "fact_returns", "fact_distributor_orders"}
+    assert not any({one, other} <= wide for one, other in together)
+    assert spark.conf.get(_CLEANUP, None) is None
+    files = read_table(spark, layers["gold"], DAY, "fact_sales").inputFiles()
+    assert files and all(name.endswith(".zstd.parquet") for name in files)
